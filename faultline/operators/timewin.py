@@ -29,6 +29,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faultline.functions.frames import floor_div, upto
 from faultline.functions.timecols import US_PER_DAY, elapsed_minutes
@@ -106,9 +107,11 @@ def windowed(ev: DataFrame, keys: list[str], u: str, specs: WindowSpecs, *,
     ev_sel = [F.col(k) for k in keys] + [uc.alias("_u")] + [F.col(c) for c in passthrough] + ind_cols
     for n, (c, _d) in specs.since.items():
         ev_sel.append(F.when(F.coalesce(c.cast("boolean"), F.lit(False)), uc).alias(since_cols[n]))
-    tb_struct = [F.col(c) for c in tiebreak]
+    first_ord = _order_key(base, uc, tiebreak) if specs.first else None
     for n, c in specs.first.items():
-        ev_sel.append(F.struct(uc.alias("u"), *tb_struct, c.alias("v")).alias(first_cols[n]))
+        ev_sel.append(c.alias(first_cols[n]))
+    if first_ord is not None:
+        ev_sel.append(first_ord.alias("_ford"))
     rows = base.select(*ev_sel)
 
     # --- halo copies: every bucket whose bounded frames can reach the row ----
@@ -120,9 +123,11 @@ def windowed(ev: DataFrame, keys: list[str], u: str, specs: WindowSpecs, *,
                   .withColumn("_home", F.col("_bk") == F.col("_home_bk"))
                   .drop("_home_bk")
                   .withColumn("_kind", F.lit(_EVENT)))
-    # first-row structs only matter through the carry rows
+    # first-row values only reach the output through the carry rows
     for c in first_cols.values():
         stream = stream.withColumn(c, F.lit(None).cast(rows.schema[c].dataType))
+    if first_ord is not None:
+        stream = stream.drop("_ford")
 
     st_type = None
     need_carry = bool(specs.since or specs.first or specs.states is not None)
@@ -173,7 +178,7 @@ def windowed(ev: DataFrame, keys: list[str], u: str, specs: WindowSpecs, *,
         out.append(F.coalesce(elapsed_minutes(F.col("_u"), last), F.lit(float(default))).alias(n))
     for n in specs.first:
         out.append(F.max(first_cols[n]).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-                   .getField("v").alias(n))
+                   .alias(n))
     if specs.states is not None:
         st = F.max("_st").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
         val = F.when(F.col("_u") <= st.getField("end"), st.getField("value"))
@@ -186,34 +191,55 @@ def windowed(ev: DataFrame, keys: list[str], u: str, specs: WindowSpecs, *,
                   .drop("_kind", "_home"))
 
 
+def _order_key(df: DataFrame, uc: Column, tiebreak: list[str]) -> Column:
+    """Total order (instant, tiebreak) as one fixed-width value, so that the
+    first-row aggregate stays a hash aggregate. With one integral tiebreak
+    the pair is packed into decimal(38,0): (u + 2^60) * 2^64 + (tb + 2^63),
+    exact for |u| < 2^60 micros; otherwise a struct (sort-based aggregate)."""
+    if not tiebreak:
+        return uc
+    integral = all(isinstance(df.schema[c].dataType, (T.LongType, T.IntegerType, T.ShortType))
+                   for c in tiebreak)
+    if len(tiebreak) == 1 and integral:
+        d = lambda x: F.lit(str(x)).cast("decimal(38,0)")
+        return ((uc.cast("decimal(38,0)") + d(2 ** 60)) * d(2 ** 64)
+                + (F.col(tiebreak[0]).cast("decimal(38,0)") + d(2 ** 63)))
+    return F.struct(uc, *[F.col(c) for c in tiebreak])
+
+
 def _carry_rows(rows: DataFrame, keys: list[str], B: int, since_cols: dict, first_cols: dict,
                 iv: DataFrame | None, st_type) -> DataFrame:
     """One row per (key, bucket holding events) that summarises everything
     before the bucket (last flagged instants, latest interval) and the key's
     first row. Built from partial aggregates, so its size is the number of
-    (key, bucket) pairs, never the number of rows."""
+    (key, bucket) pairs, never the number of rows. Event rows only feed
+    fixed-width aggregation buffers (hash aggregate); the interval side
+    aggregates a struct, which is sort-based but runs on the interval table."""
     aggs = [F.max(c).alias(c) for c in since_cols.values()]
-    aggs += [F.min(c).alias(c) for c in first_cols.values()]
+    aggs += [F.min_by(c, "_ford").alias(c) for c in first_cols.values()]
+    if first_cols:
+        aggs.append(F.min("_ford").alias("_ford"))
     aggs += [F.lit(True).alias("_has_ev")]
-    ev_b = rows.groupBy(*keys, floor_div(F.col("_u"), B).alias("_bk")).agg(*aggs)
-    if iv is not None:
-        iv_b = iv.groupBy(*keys, floor_div(F.col("_u"), B).alias("_bk")).agg(F.max("_st").alias("_st"))
-        both = ev_b.unionByName(iv_b, allowMissingColumns=True)
-        merge = [F.max(c).alias(c) for c in since_cols.values()]
-        merge += [F.min(c).alias(c) for c in first_cols.values()]
-        merge += [F.max("_st").alias("_st"), F.max("_has_ev").alias("_has_ev")]
-        b = both.groupBy(*keys, "_bk").agg(*merge)
-    else:
-        b = ev_b
+    b = rows.groupBy(*keys, floor_div(F.col("_u"), B).alias("_bk")).agg(*aggs)
     wk = Window.partitionBy(*keys).orderBy("_bk")
     prior = wk.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    sel = [F.col(k) for k in keys] + [F.col("_bk"), F.col("_has_ev")]
+    sel = [F.col(k) for k in keys] + [F.col("_bk")]
     sel += [F.max(c).over(prior).alias(c) for c in since_cols.values()]
-    sel += [F.min(c).over(whole).alias(c) for c in first_cols.values()]
+    sel += [F.min_by(c, "_ford").over(whole).alias(c) for c in first_cols.values()]
+    c = b.select(*sel)
     if iv is not None:
-        sel.append(F.max("_st").over(prior).alias("_st"))
-    c = b.select(*sel).where(F.col("_has_ev")).drop("_has_ev")
+        # latest interval of every (key, bucket); joined to the event buckets
+        # and rolled forward over the key's buckets in order
+        iv_b = iv.groupBy(*keys, floor_div(F.col("_u"), B).alias("_bk")).agg(F.max("_st").alias("_st"))
+        both = (c.withColumn("_has_ev", F.lit(True))
+                 .unionByName(iv_b.withColumn("_has_ev", F.lit(False)), allowMissingColumns=True))
+        # an event bucket's own intervals sort after it, so they stay out
+        prior_iv = (Window.partitionBy(*keys).orderBy("_bk", F.col("_has_ev").desc())
+                    .rowsBetween(Window.unboundedPreceding, -1))
+        c = (both.select(*[F.col(x) for x in c.columns], F.col("_has_ev"),
+                         F.max("_st").over(prior_iv).alias("_st_prior"))
+                 .where(F.col("_has_ev")).drop("_has_ev").withColumnRenamed("_st_prior", "_st"))
     # placed just before the bucket's first home instant
     return (c.withColumn("_u", F.col("_bk") * F.lit(B) - F.lit(1))
              .withColumn("_kind", F.lit(_CARRY)).withColumn("_home", F.lit(False)))

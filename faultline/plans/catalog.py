@@ -37,3 +37,442 @@ def _features(spark, sf_dir, include=None):
                                         body="select * from features"))
 def feature_matrix(spark, sf_dir):
     return _features(spark, sf_dir)
+
+
+# --- shared inputs -----------------------------------------------------------------
+
+from faultline.functions.binning import right_closed_bin  # noqa: E402
+from faultline.functions.timecols import micros_to_ntz  # noqa: E402
+from faultline.operators import eda, metrics as M, quality as Q, rules as R, split as S  # noqa: E402
+from faultline.sources.telemetry import union_months  # noqa: E402
+
+ADAPTER_TRAIN_END = "2024-01-20 23:59:59"
+ADAPTER_TEST_START = "2024-01-21 00:00:00"
+
+
+def _tele(spark, sf_dir):
+    return A.telemetry(spark, sf_dir)
+
+
+def _clean(spark, sf_dir):
+    return Q.clean_telemetry(_tele(spark, sf_dir))
+
+
+def _scored_features(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    return (f.withColumn("y", F.col("label_4h"))
+             .withColumn("y_prob", F.when(F.col("critical_alarm_count_1h") > 0, F.lit(0.3)).otherwise(F.lit(0.0))
+                         + (F.col("event_id") % 50).cast("double") / F.lit(100.0)))
+
+
+def _test_split(df):
+    return S.temporal_split(df, "ts_us", ADAPTER_TRAIN_END, ADAPTER_TEST_START)
+
+
+# --- scans -----------------------------------------------------------------------------
+
+_MONTH_SPANS = [("jan", None, "2024-01-06"), ("feb", "2024-01-06", "2024-01-11"),
+                ("mar", "2024-01-11", "2024-01-16"), ("abr", "2024-01-16", "2024-01-21"),
+                ("may", "2024-01-21", "2024-01-26"), ("jun", "2024-01-26", None)]
+
+
+def _monthly_slices(spark, sf_dir):
+    """The events table read as six monthly inputs (each a pushed-down range
+    scan), raw telemetry columns with ``Data_Evento``."""
+    out = {}
+    for m, lo, hi in _MONTH_SPANS:
+        t = _tele(spark, sf_dir)
+        if lo:
+            t = t.where(F.col("timestamp") >= F.lit(lo).cast("timestamp_ntz"))
+        if hi:
+            t = t.where(F.col("timestamp") < F.lit(hi).cast("timestamp_ntz"))
+        out[m] = t.drop("_source_month", "ts_us").withColumnRenamed("timestamp", "Data_Evento")
+    return out
+
+
+@register("scan_union_months", O.with_ctes(O.TELEMETRY_CTE, body="""
+select _source_month, count(*) as n_rows, count(distinct TAG) as n_tags from telemetry group by 1"""))
+def scan_union_months(spark, sf_dir):
+    t = union_months(_monthly_slices(spark, sf_dir))
+    return t.groupBy("_source_month").agg(F.count(F.lit(1)).alias("n_rows"),
+                                         F.count_distinct("TAG").alias("n_tags"))
+
+
+@register("clean_telemetry", O.with_ctes(O.TELEMETRY_CTE, O.CLEAN_CTE, body="""
+select event_id, Criticidade, Classe, Valor from clean"""))
+def clean_telemetry(spark, sf_dir):
+    return _clean(spark, sf_dir).select("event_id", "Criticidade", "Classe", "Valor")
+
+
+_QC_SQL = r"""count(*) as n_rows,
+  count(*) filter (where regexp_replace(Criticidade, 'N.{1,2}o Cr.{1,2}tico', 'Não Crítico', 'g') <> Criticidade) as criticidade_fixed,
+  count(*) filter (where Classe = 'NULL') as null_string_fixed,
+  count(*) filter (where Valor = 'NULL') as valor_null_fixed,
+  count(*) filter (where contains(Valor, ',')) as decimal_fixed"""
+
+
+@register("quality_counts", O.with_ctes(O.TELEMETRY_CTE, body=r"""
+select """ + _QC_SQL + r""",
+  count(*) filter (where replace(case when Valor = 'NULL' then null else Valor end, ',', '.') is not null
+     and not regexp_matches(replace(case when Valor = 'NULL' then null else Valor end, ',', '.'),
+                            '^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$')) as valor_rejected
+from telemetry"""))
+def quality_counts(spark, sf_dir):
+    return Q.quality_counts(_tele(spark, sf_dir))
+
+
+@register("quality_counts_by_month", O.with_ctes(O.TELEMETRY_CTE, body="select _source_month, " + _QC_SQL
+                                                 + " from telemetry group by 1"))
+def quality_counts_by_month(spark, sf_dir):
+    return Q.quality_counts_by_month(_tele(spark, sf_dir))
+
+
+@register("post_clean_checks", O.with_ctes(O.TELEMETRY_CTE, O.CLEAN_CTE, body="""
+select count(*) as n_rows, count(*) filter (where contains(Criticidade, '?')) as criticidade_marker,
+  count(*) filter (where Classe = 'NULL') as classe_null_literal,
+  count(*) filter (where cast(Valor as varchar) = 'NULL') as valor_null_literal,
+  true as valor_is_double
+from clean"""))
+def post_clean_checks(spark, sf_dir):
+    return Q.post_clean_checks(_clean(spark, sf_dir))
+
+
+@register("inverted_intervals", O.with_ctes(O.INTERVALS_CTE, body="""
+select count(*) as n_intervals, count(*) filter (where inicio_us > fim_us) as inicio_after_fim from intervals"""))
+def inverted_intervals(spark, sf_dir):
+    return Q.inverted_intervals(A.intervals(spark, sf_dir))
+
+
+@register("tag_mismatch", O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, body="""
+select distinct TAG from telemetry where TAG is not null
+  and TAG not in (select Tag from intervals where Tag is not null)"""))
+def tag_mismatch(spark, sf_dir):
+    return Q.tag_mismatch(_tele(spark, sf_dir), A.intervals(spark, sf_dir))
+
+
+_DUP_COLS = ["TAG", "Alarme", "Id_Criticidade", "Criticidade", "Valor", "Classe", "Is_Dont_Go", "Tipo"]
+
+
+@register("duplicate_rows", O.with_ctes(O.TELEMETRY_CTE, body=f"""
+select cast(coalesce(sum(n - 1), 0) as bigint) as duplicate_rows, count(*) as distinct_rows
+from (select count(*) as n from telemetry group by {", ".join(_DUP_COLS)}, ts_us)"""))
+def duplicate_rows(spark, sf_dir):
+    return Q.duplicate_rows(_tele(spark, sf_dir), _DUP_COLS + ["ts_us"])
+
+
+@register("alarm_profile_duplicates", O.with_ctes(O.TELEMETRY_CTE, body="""
+select cast(coalesce(sum(n - 1), 0) as bigint) as duplicate_rows, count(*) as distinct_rows
+from (select count(*) as n from telemetry group by TAG, Alarme, Criticidade, Classe, Tipo)"""))
+def alarm_profile_duplicates(spark, sf_dir):
+    """Duplicate count on a coarse projection (many duplicates, hot groups)."""
+    return Q.duplicate_rows(_tele(spark, sf_dir), ["TAG", "Alarme", "Criticidade", "Classe", "Tipo"])
+
+
+@register("timestamp_gaps", O.with_ctes(O.TELEMETRY_CTE, body="""
+select _source_month, (h + 1) * 3600000000 as gap_start_us, nxt * 3600000000 as gap_end_us,
+  cast(nxt - h - 1 as bigint) as missing_units
+from (select _source_month, h, lead(h) over (partition by _source_month order by h) as nxt
+      from (select distinct _source_month, cast(floor(ts_us / 3600000000) as bigint) as h from telemetry))
+where nxt - h > 1"""))
+def timestamp_gaps(spark, sf_dir):
+    return Q.timestamp_gaps(_tele(spark, sf_dir))
+
+
+# --- time-window features ---------------------------------------------------------------
+
+def _feature_subset(cols):
+    def q(spark, sf_dir):
+        return _features(spark, sf_dir, include=set(cols)).select("event_id", "TAG", "ts_us", *cols)
+    return q
+
+
+def _feature_sql(cols):
+    return O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, O.FEATURES_CTE,
+                       body=f"select event_id, TAG, ts_us, {', '.join(cols)} from features")
+
+
+for _name, _cols in {
+    "rolling_counts": ["alarm_count_15m", "alarm_count_30m", "alarm_count_1h", "alarm_count_2h",
+                       "alarm_count_4h"],
+    "critical_1h": ["critical_alarm_count_1h"],
+    "time_since_critical": ["time_since_last_critical"],
+    "forward_labels": ["label_1h", "label_2h", "label_4h"],
+    "tipo_first_row": ["tipo_caminhao"],
+    "current_state": ["current_state"],
+}.items():
+    register(_name, _feature_sql(_cols))(_feature_subset(_cols))
+
+
+def _features_on(view_fn, view_sql_cte):
+    def q(spark, sf_dir):
+        return build_features(view_fn(spark, sf_dir), A.intervals(spark, sf_dir), keep=["event_id"])
+    sql = O.with_ctes(O.TELEMETRY_CTE, view_sql_cte, O.INTERVALS_CTE,
+                      O.FEATURES_CTE.replace("from telemetry where TAG is not null",
+                                             "from telemetry_v where TAG is not null"),
+                      body="select * from features")
+    return q, sql
+
+
+_TIES_CTE = """telemetry_v AS (
+  select * replace (ts_us - ts_us % 3600000000 as ts_us) from telemetry)"""
+_DENSE_CTE = """telemetry_v AS (
+  select * replace (concat('EQ', cast(e.user_id % 10 as varchar)) as TAG)
+  from telemetry t join events e using (event_id))"""
+
+_q, _s = _features_on(A.telemetry_ties, _TIES_CTE)
+register("feature_matrix_ties", _s)(_q)
+
+
+def _dense_features(spark, sf_dir):
+    return build_features(A.telemetry_dense(spark, sf_dir), A.intervals(spark, sf_dir), keep=["event_id"])
+
+
+register("feature_matrix_dense", _features_on(A.telemetry_dense, _DENSE_CTE)[1])(_dense_features)
+
+
+# --- rules ---------------------------------------------------------------------------------
+
+_RULE_CTES = [O.TELEMETRY_CTE, O.RULES_CTE, """r AS (
+  select EVENTO, QTD, TEMPO from (
+    select *, row_number() over (partition by EVENTO order by QTD, TEMPO) as rn from rules) where rn = 1)""",
+    """flags AS (
+  select t.event_id, t.TAG, t.Alarme, t.ts_us, t.Is_Dont_Go,
+    case when r.EVENTO is null or t.TAG is null then 0
+         when (select count(*) from telemetry t2 where t2.TAG = t.TAG and t2.Alarme = t.Alarme
+                 and t2.ts_us > t.ts_us - cast(r.TEMPO as bigint) * 60000000 and t2.ts_us <= t.ts_us) >= r.QTD
+         then 1 else 0 end as Is_Dont_Go_derived
+  from telemetry t left join r on t.Alarme = r.EVENTO)"""]
+
+
+def _rule_flags(spark, sf_dir):
+    t = _tele(spark, sf_dir).select("event_id", "TAG", "Alarme", "ts_us", "Is_Dont_Go")
+    return R.apply_rules(t, A.rules(spark))
+
+
+@register("rule_flags", O.with_ctes(*_RULE_CTES, body="select * from flags"))
+def rule_flags(spark, sf_dir):
+    return _rule_flags(spark, sf_dir)
+
+
+@register("signal_compare", O.with_ctes(*_RULE_CTES, body="""
+select tp as true_positives, fp as false_positives, fn as false_negatives, tn as true_negatives,
+  coalesce(cast(tp as double) / nullif(cast(tp + fp as double), 0), 0.0) as precision,
+  coalesce(cast(tp as double) / nullif(cast(tp + fn as double), 0), 0.0) as recall
+from (select """ + O.confusion_sql("Is_Dont_Go", "Is_Dont_Go_derived") + " from flags)"))
+def signal_compare(spark, sf_dir):
+    return R.compare_signals(_rule_flags(spark, sf_dir))
+
+
+@register("rule_flags_by_alarm", O.with_ctes(*_RULE_CTES, body="""
+select Alarme, count(*) as n_rows, cast(sum(Is_Dont_Go_derived) as bigint) as derived,
+  cast(sum(Is_Dont_Go) as bigint) as registered from flags group by Alarme"""))
+def rule_flags_by_alarm(spark, sf_dir):
+    return _rule_flags(spark, sf_dir).groupBy("Alarme").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("Is_Dont_Go_derived").cast("long")).alias("derived"),
+        F.sum(F.col("Is_Dont_Go").cast("long")).alias("registered"))
+
+
+# --- metrics on the deterministic score ------------------------------------------------------
+
+def _scored(spark, sf_dir):
+    return A.scored(spark, sf_dir)
+
+
+@register("confusion", O.with_ctes(O.TELEMETRY_CTE, O.SCORED_CTE, body="select "
+                                   + O.confusion_sql("y", "cast(y_prob >= 0.5 as integer)") + " from scored"))
+def confusion(spark, sf_dir):
+    return M.confusion_counts(_scored(spark, sf_dir).withColumn("y_pred", M.predict("y_prob", 0.5)))
+
+
+@register("prf", O.with_ctes(O.TELEMETRY_CTE, O.SCORED_CTE, body="select *, " + O.RATES + " from (select "
+                             + O.confusion_sql("y", "cast(y_prob >= 0.5 as integer)") + " from scored)"))
+def prf(spark, sf_dir):
+    return M.with_rates(M.confusion_counts(_scored(spark, sf_dir).withColumn("y_pred", M.predict("y_prob", 0.5))))
+
+
+@register("threshold_sweep", O.with_ctes(O.TELEMETRY_CTE, O.SCORED_CTE, body="""
+select threshold, tp, fp, fn, tn, """ + O.RATES + """ from (
+  select th.threshold, """ + O.confusion_sql("s.y", "cast(s.y_prob >= th.threshold as integer)") + """
+  from scored s, (values (0.3), (0.5), (0.7)) th(threshold) group by th.threshold)"""
+    .replace("(values (0.3), (0.5), (0.7)) th(threshold)",
+             "(select cast(x as double) as threshold from (values (0.3), (0.5), (0.7)) v(x)) th")))
+def threshold_sweep(spark, sf_dir):
+    return M.threshold_sweep(_scored(spark, sf_dir))
+
+
+def _ranking_sql(src_ctes, src, cols, y="y", score="y_prob"):
+    body = O.ranking_sql(src, y, score)
+    sql = O.with_ctes(*src_ctes, body.split("\nselect cast(n_pos")[0],
+                      body="select cast(n_pos" + body.split("\nselect cast(n_pos")[1])
+    return f"select {', '.join(cols)} from ({sql})"
+
+
+_SCORED_SRC = [O.TELEMETRY_CTE, O.SCORED_CTE]
+
+
+@register("roc_auc", _ranking_sql(_SCORED_SRC, "scored", ["n_pos", "n_neg", "auc_roc"]))
+def roc_auc(spark, sf_dir):
+    return M.ranking_metrics(_scored(spark, sf_dir)).select("n_pos", "n_neg", "auc_roc")
+
+
+@register("average_precision", _ranking_sql(_SCORED_SRC, "scored", ["n_pos", "n_neg", "auc_pr"]))
+def average_precision(spark, sf_dir):
+    return M.ranking_metrics(_scored(spark, sf_dir)).select("n_pos", "n_neg", "auc_pr")
+
+
+@register("score_curve", O.with_ctes(O.TELEMETRY_CTE, O.SCORED_CTE, body="""
+select s, pos, neg,
+  sum(pos) over (order by s desc rows between unbounded preceding and current row) as cum_pos,
+  sum(neg) over (order by s desc rows between unbounded preceding and current row) as cum_neg
+from (select cast(y_prob as double) as s, count(*) filter (where y = 1) as pos,
+             count(*) filter (where y <> 1) as neg
+      from scored where y_prob is not null and y is not null group by 1)"""))
+def score_curve(spark, sf_dir):
+    """ROC / PR curve points: cumulative positives and negatives at every
+    distinct score, highest first."""
+    return M.cumulative_by_score(M.score_table(_scored(spark, sf_dir)))
+
+
+# --- error analysis on scored features (test split, threshold 0.7) ----------------------------
+
+_SF_SRC = [O.TELEMETRY_CTE, O.INTERVALS_CTE, O.FEATURES_CTE, O.SCORED_FEATURES_CTE,
+           f"""test_set AS (select *, cast(y_prob >= 0.7 as integer) as y_pred from scored_features
+               where ts_us >= {O.ADAPTER_TEST_START_US})""",
+           f"""train_set AS (select * from scored_features where ts_us <= {O.ADAPTER_TRAIN_END_US})"""]
+
+
+def _test_set(spark, sf_dir):
+    _, test = _test_split(_scored_features(spark, sf_dir))
+    return test.withColumn("y_pred", M.predict("y_prob", M.REPORT_THRESHOLD))
+
+
+def _train_set(spark, sf_dir):
+    train, _ = _test_split(_scored_features(spark, sf_dir))
+    return train
+
+
+@register("error_confusion", O.with_ctes(*_SF_SRC, body="select " + O.confusion_sql("y", "y_pred")
+                                         + ", count(*) as n_test from test_set"))
+def error_confusion(spark, sf_dir):
+    t = _test_set(spark, sf_dir)
+    return t.agg(*M.confusion_exprs("y", "y_pred"), F.count(F.lit(1)).alias("n_test"))
+
+
+@register("fn_slices", O.with_ctes(*_SF_SRC, """fnr AS (select * from test_set where y = 1 and y_pred = 0)""",
+                                   body="""
+select 'total' as dimension, 'all' as key, cast(count(*) as bigint) as fn from fnr
+union all select 'tipo_caminhao', 'caminhao', cast(count(*) filter (where tipo_caminhao = 1) as bigint) from fnr
+union all select 'tipo_caminhao', 'escavadeira', cast(count(*) filter (where tipo_caminhao = 0) as bigint) from fnr
+union all select 'alarm_count_4h_bin', '0-5', cast(count(*) filter (where alarm_count_4h > -0.5 and alarm_count_4h <= 5) as bigint) from fnr
+union all select 'alarm_count_4h_bin', '6-10', cast(count(*) filter (where alarm_count_4h > 5 and alarm_count_4h <= 10) as bigint) from fnr
+union all select 'alarm_count_4h_bin', '11-20', cast(count(*) filter (where alarm_count_4h > 10 and alarm_count_4h <= 20) as bigint) from fnr
+union all select 'alarm_count_4h_bin', '21+', cast(count(*) filter (where alarm_count_4h > 20) as bigint) from fnr
+union all select 'current_state', current_state, cast(count(*) as bigint) from fnr
+  where current_state is not null group by current_state"""))
+def fn_slices(spark, sf_dir):
+    return M.fn_slices(_test_set(spark, sf_dir))
+
+
+@register("recall_by_month", O.with_ctes(*_SF_SRC, body="""
+select month, coalesce(cast(tp as double) / nullif(cast(tp + fn as double), 0), 0.0) as recall, tp, fn,
+  tp + fn as positives
+from (select strftime(make_timestamp(ts_us), '%Y-%m') as month,
+        count(*) filter (where y = 1 and y_pred = 1) as tp, count(*) filter (where y = 1 and y_pred = 0) as fn
+      from test_set group by 1)"""))
+def recall_by_month(spark, sf_dir):
+    return M.recall_by_month(_test_set(spark, sf_dir))
+
+
+@register("recall_by_day", O.with_ctes(*_SF_SRC, body="""
+select day, coalesce(cast(tp as double) / nullif(cast(tp + fn as double), 0), 0.0) as recall, tp, fn,
+  tp + fn as positives
+from (select strftime(make_timestamp(ts_us), '%Y-%m-%d') as day,
+        count(*) filter (where y = 1 and y_pred = 1) as tp, count(*) filter (where y = 1 and y_pred = 0) as fn
+      from test_set group by 1)"""))
+def recall_by_day(spark, sf_dir):
+    """Drift check at day grain (the adapter data spans one month)."""
+    t = _test_set(spark, sf_dir)
+    g = t.groupBy(F.date_format(micros_to_ntz(F.col("ts_us")), "yyyy-MM-dd").alias("day")).agg(
+        F.count_if((F.col("y") == 1) & (F.col("y_pred") == 1)).alias("tp"),
+        F.count_if((F.col("y") == 1) & (F.col("y_pred") == 0)).alias("fn"))
+    return g.select("day", M.safe_div(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"), "tp", "fn",
+                    (F.col("tp") + F.col("fn")).alias("positives"))
+
+
+@register("impact_estimate", O.with_ctes(*_SF_SRC, body="""
+select tp, tp + fn as positives, coalesce(cast(tp as double) / nullif(cast(tp + fn as double), 0), 0.0) as recall,
+  cast(tp * 4 as bigint) as anticipated_hours
+from (select """ + O.confusion_sql("y", "y_pred") + " from test_set)"))
+def impact_estimate(spark, sf_dir):
+    """Don't Go events anticipated on the test split and the hours of
+    warning they represent (4 h horizon)."""
+    c = M.confusion_counts(_test_set(spark, sf_dir))
+    return c.select("tp", (F.col("tp") + F.col("fn")).alias("positives"),
+                    M.safe_div(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
+                    (F.col("tp") * F.lit(4)).cast("long").alias("anticipated_hours"))
+
+
+# --- split and baselines -----------------------------------------------------------------------------
+
+@register("temporal_split_counts", O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, O.FEATURES_CTE, body=f"""
+select count(*) filter (where ts_us <= {O.ADAPTER_TRAIN_END_US}) as train_rows,
+  count(*) filter (where ts_us >= {O.ADAPTER_TEST_START_US}) as test_rows,
+  count(*) filter (where not (ts_us <= {O.ADAPTER_TRAIN_END_US}) and not (ts_us >= {O.ADAPTER_TEST_START_US})) as neither_rows,
+  count(*) filter (where ts_us <= {O.ADAPTER_TRAIN_END_US} and label_4h = 1) as train_positives,
+  count(*) filter (where ts_us >= {O.ADAPTER_TEST_START_US} and label_4h = 1) as test_positives
+from features"""))
+def temporal_split_counts(spark, sf_dir):
+    return S.split_counts(_features(spark, sf_dir), "label_4h", "ts_us", ADAPTER_TRAIN_END, ADAPTER_TEST_START)
+
+
+@register("class_balance", O.with_ctes(*_SF_SRC, body="""
+select n_neg, n_pos, case when n_pos > 0 then cast(n_neg as double) / cast(n_pos as double) else 1.0 end
+  as scale_pos_weight
+from (select count(*) filter (where label_4h = 0) as n_neg, count(*) filter (where label_4h = 1) as n_pos
+      from train_set)"""))
+def class_balance(spark, sf_dir):
+    from faultline.operators.ml import class_balance as cb
+    return cb(_train_set(spark, sf_dir), "label_4h")
+
+
+def _report_sql(src_cte_name: str, pred: str, score: str) -> str:
+    conf = O.with_ctes(*_SF_SRC, f"""src AS (select y, {pred} as y_pred, {score} as y_prob from {src_cte_name})""",
+                       f"""cm AS (select {O.confusion_sql('y', 'y_pred')} from src)""",
+                       O.ranking_sql("src").split("\nselect cast(n_pos")[0],
+                       """rk AS (select cast(n_pos as bigint) as n_pos, cast(n_neg as bigint) as n_neg,
+  case when n_pos > 0 and n_neg > 0 then round(auc_num / (cast(n_pos as double) * cast(n_neg as double)), 6) else 0.0 end as auc_roc,
+  case when n_pos > 0 and n_neg > 0 then round(ap_num / cast(n_pos as double), 6) else 0.0 end as auc_pr from agg)""",
+                       body=f"select cm.*, {O.RATES}, rk.* from cm, rk")
+    return conf
+
+
+@register("heuristic_metrics", _report_sql("test_set", "cast(critical_alarm_count_1h > 0 as integer)",
+                                           "cast(critical_alarm_count_1h as double)"))
+def heuristic_metrics(spark, sf_dir):
+    from faultline.operators.ml import heuristic
+    return _report(heuristic(_test_set(spark, sf_dir).drop("y_pred", "y_prob")))
+
+
+def _report(scored_df):
+    cm = M.with_rates(M.confusion_counts(scored_df))
+    rk = M.ranking_metrics(scored_df)
+    return M._one_row_merge(cm, rk)
+
+
+@register("dummy_majority_metrics", _report_sql(
+    "test_set", "(select case when count(*) filter (where y = 1) > count(*) filter (where y = 0) then 1 else 0 end from train_set)",
+    "cast((select case when count(*) filter (where y = 1) > count(*) filter (where y = 0) then 1 else 0 end from train_set) as double)"))
+def dummy_majority_metrics(spark, sf_dir):
+    from faultline.operators.ml import dummy_majority, majority_class
+    train = _train_set(spark, sf_dir)
+    maj = majority_class(train, "y")
+    has_pos = train.where(F.col("y") == 1).limit(1).count() > 0
+    return _report(dummy_majority(_test_set(spark, sf_dir).drop("y_pred", "y_prob"), maj, has_pos))
+
+
+@register("dummy_stratified_metrics")
+def dummy_stratified_metrics(spark, sf_dir):
+    from faultline.operators.ml import dummy_stratified
+    train = _train_set(spark, sf_dir)
+    rate = train.agg(F.avg(F.col("y").cast("double"))).first()[0] or 0.0
+    return _report(dummy_stratified(_test_set(spark, sf_dir).drop("y_pred", "y_prob"), rate, ["event_id"]))

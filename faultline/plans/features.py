@@ -84,7 +84,7 @@ def build_features(tele: DataFrame, intervals: DataFrame | None = None, *,
     if want("time_since_last_critical"):
         specs.since["time_since_last_critical"] = (crit, DEFAULT_MINUTES_SINCE)
     if want("tipo_caminhao"):
-        specs.first["_first_tipo"] = F.col("Tipo")
+        specs.first["tipo_caminhao"] = F.coalesce((F.col("Tipo") == F.lit(TRUCK)).cast("int"), F.lit(0))
     if intervals is not None and want("current_state"):
         specs.states = interval_frame(intervals)
         specs.state_name = "current_state"
@@ -92,10 +92,6 @@ def build_features(tele: DataFrame, intervals: DataFrame | None = None, *,
     tb = list(tiebreak) or [c for c in ("event_id",) if c in t.columns]
     out = windowed(t, ["TAG"], "ts_us", specs, keep=list(keep), tiebreak=tb,
                    bucket_us=bucket_us, ties=ties)
-    if want("tipo_caminhao"):
-        out = out.withColumn("tipo_caminhao",
-                             F.coalesce((F.col("_first_tipo") == F.lit(TRUCK)).cast("int"), F.lit(0))) \
-                 .drop("_first_tipo")
     order = ["TAG", "ts_us"] + [c for c in keep if c not in ("TAG", "ts_us")] + \
         [c for c in FEATURE_COLS + ["current_state"] + LABEL_COLS if c in out.columns]
     return out.select(*order)

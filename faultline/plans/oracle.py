@@ -88,3 +88,58 @@ features AS (
 
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+CLEAN_CTE = r"""clean AS (
+  select event_id, TAG, Alarme, Id_Criticidade,
+    regexp_replace(Criticidade, 'N.{1,2}o Cr.{1,2}tico', 'Não Crítico', 'g') as Criticidade,
+    case when Classe = 'NULL' then null else Classe end as Classe,
+    case when regexp_matches(replace(case when Valor = 'NULL' then null else Valor end, ',', '.'),
+                             '^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$')
+         then try_cast(replace(case when Valor = 'NULL' then null else Valor end, ',', '.') as double) end as Valor,
+    Is_Dont_Go, Tipo, timestamp, ts_us, _source_month
+  from telemetry)"""
+
+# adapter split: the events span January 2024
+ADAPTER_TRAIN_END_US = "epoch_us(timestamp '2024-01-20 23:59:59')"
+ADAPTER_TEST_START_US = "epoch_us(timestamp '2024-01-21 00:00:00')"
+
+SCORED_FEATURES_CTE = """scored_features AS (
+  select *, label_4h as y,
+    (case when critical_alarm_count_1h > 0 then cast(0.3 as double) else cast(0 as double) end)
+      + cast(event_id % 50 as double) / cast(100 as double) as y_prob
+  from features)"""
+
+
+def confusion_sql(y: str, pred: str) -> str:
+    return (f"count(*) filter (where {y} = 1 and {pred} = 1) as tp, "
+            f"count(*) filter (where {y} = 0 and {pred} = 1) as fp, "
+            f"count(*) filter (where {y} = 1 and {pred} = 0) as fn, "
+            f"count(*) filter (where {y} = 0 and {pred} = 0) as tn")
+
+
+RATES = ("coalesce(cast(tp as double) / nullif(cast(tp + fp as double), 0), 0.0) as precision, "
+         "coalesce(cast(tp as double) / nullif(cast(tp + fn as double), 0), 0.0) as recall, "
+         "coalesce(cast(2 * tp as double) / nullif(cast(2 * tp + fp + fn as double), 0), 0.0) as f1")
+
+
+def ranking_sql(src: str, y: str = "y", score: str = "y_prob") -> str:
+    """n_pos, n_neg, auc_roc, auc_pr over a source relation (body only)."""
+    return f"""st as (
+  select cast({score} as double) as s, count(*) filter (where {y} = 1) as pos,
+         count(*) filter (where {y} <> 1) as neg
+  from {src} where {score} is not null and {y} is not null group by 1),
+cum as (
+  select s, pos, neg,
+    sum(pos) over (order by s desc rows between unbounded preceding and current row) as cum_pos,
+    sum(neg) over (order by s desc rows between unbounded preceding and current row) as cum_neg
+  from st),
+agg as (
+  select coalesce(sum(pos), 0) as n_pos, coalesce(sum(neg), 0) as n_neg,
+    sum(cast(neg as double) * (cast(cum_pos - pos as double) + cast(pos as double) * 0.5)) as auc_num,
+    sum(case when pos > 0 then cast(pos as double) * (cast(cum_pos as double) / cast(cum_pos + cum_neg as double)) end) as ap_num
+  from cum)
+select cast(n_pos as bigint) as n_pos, cast(n_neg as bigint) as n_neg,
+  case when n_pos > 0 and n_neg > 0 then round(auc_num / (cast(n_pos as double) * cast(n_neg as double)), 6) else 0.0 end as auc_roc,
+  case when n_pos > 0 and n_neg > 0 then round(ap_num / cast(n_pos as double), 6) else 0.0 end as auc_pr
+from agg"""
