@@ -476,3 +476,140 @@ def dummy_stratified_metrics(spark, sf_dir):
     train = _train_set(spark, sf_dir)
     rate = train.agg(F.avg(F.col("y").cast("double"))).first()[0] or 0.0
     return _report(dummy_stratified(_test_set(spark, sf_dir).drop("y_pred", "y_prob"), rate, ["event_id"]))
+
+
+# --- exploratory aggregates ------------------------------------------------------------------------
+
+@register("alarm_frequency_top20", O.with_ctes(O.TELEMETRY_CTE, body="""
+select Alarme, count(*) as count from telemetry where Alarme is not null group by Alarme
+order by count desc, Alarme limit 20"""))
+def alarm_frequency_top20(spark, sf_dir):
+    return eda.frequency(_tele(spark, sf_dir), "Alarme", top=20)
+
+
+@register("criticidade_frequency", O.with_ctes(O.TELEMETRY_CTE, O.CLEAN_CTE, body="""
+select Criticidade, count(*) as count from clean where Criticidade is not null group by Criticidade"""))
+def criticidade_frequency(spark, sf_dir):
+    return eda.frequency(_clean(spark, sf_dir), "Criticidade")
+
+
+@register("state_frequency", O.with_ctes(O.INTERVALS_CTE, body="""
+select Classe, count(*) as count from intervals where Classe is not null group by Classe"""))
+def state_frequency(spark, sf_dir):
+    return eda.frequency(A.intervals(spark, sf_dir), "Classe")
+
+
+@register("dontgo_rate_by_tipo", O.with_ctes(O.TELEMETRY_CTE, body="""
+select Tipo, avg(cast(Is_Dont_Go as double)) * 100.0 as rate, count(*) as n from telemetry group by Tipo"""))
+def dontgo_rate_by_tipo(spark, sf_dir):
+    return eda.rate_by(_tele(spark, sf_dir), "Tipo", "Is_Dont_Go")
+
+
+@register("daily_dontgo", O.with_ctes(O.TELEMETRY_CTE, body="""
+select d.day * 86400000000 as day_us, cast(coalesce(p.total, 0) as bigint) as total
+from (select range as day from range((select min(cast(floor(ts_us / 86400000000) as bigint)) from telemetry),
+                                     (select max(cast(floor(ts_us / 86400000000) as bigint)) from telemetry) + 1)) d
+left join (select cast(floor(ts_us / 86400000000) as bigint) as day, sum(Is_Dont_Go) as total
+           from telemetry group by 1) p on d.day = p.day"""))
+def daily_dontgo(spark, sf_dir):
+    return eda.daily_sum(_tele(spark, sf_dir), "ts_us", "Is_Dont_Go")
+
+
+@register("daily_dontgo_sparse", O.with_ctes(O.TELEMETRY_CTE, body="""
+select d.day * 86400000000 as day_us, cast(coalesce(p.total, 0) as bigint) as total
+from (select range as day from range((select min(cast(floor(ts_us / 86400000000) as bigint)) from telemetry where TAG = 'EQ0000'),
+                                     (select max(cast(floor(ts_us / 86400000000) as bigint)) from telemetry where TAG = 'EQ0000') + 1)) d
+left join (select cast(floor(ts_us / 86400000000) as bigint) as day, sum(Is_Dont_Go) as total
+           from telemetry where TAG = 'EQ0000' group by 1) p on d.day = p.day"""))
+def daily_dontgo_sparse(spark, sf_dir):
+    """Daily series of one equipment: days without events are zero-filled."""
+    return eda.daily_sum(_tele(spark, sf_dir).where(F.col("TAG") == "EQ0000"), "ts_us", "Is_Dont_Go")
+
+
+@register("distinct_profile", O.with_ctes(O.TELEMETRY_CTE, body="""
+select count(*) as n_rows, count(distinct _source_month) as distinct__source_month,
+  count(distinct TAG) as distinct_TAG, count(distinct Alarme) as distinct_Alarme from telemetry"""))
+def distinct_profile(spark, sf_dir):
+    return eda.distinct_profile(_tele(spark, sf_dir), ["_source_month", "TAG", "Alarme"])
+
+
+@register("label_rates", O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, O.FEATURES_CTE, body="""
+select avg(cast(label_1h as double)) * 100.0 as label_1h_rate, avg(cast(label_2h as double)) * 100.0 as label_2h_rate,
+  avg(cast(label_4h as double)) * 100.0 as label_4h_rate from features"""))
+def label_rates(spark, sf_dir):
+    return eda.means(_features(spark, sf_dir, include=set(LABEL_COLS)), LABEL_COLS, scale=100.0)
+
+
+@register("dontgo_rate", O.with_ctes(O.TELEMETRY_CTE, body="""
+select avg(cast(Is_Dont_Go as double)) * 100.0 as Is_Dont_Go_rate from telemetry"""))
+def dontgo_rate(spark, sf_dir):
+    return eda.means(_tele(spark, sf_dir), ["Is_Dont_Go"], scale=100.0)
+
+
+_NUMERIC_FEATURES = ["ts_us", "event_id"] + FEATURE_COLS + LABEL_COLS
+
+
+@register("null_profile", O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, O.FEATURES_CTE, body=" union all ".join(
+    f"select '{c}' as \"column\", cast(count(*) filter (where {c} is null) as bigint) as nulls from features"
+    for c in _NUMERIC_FEATURES)))
+def null_profile(spark, sf_dir):
+    f = _features(spark, sf_dir).select("TAG", *_NUMERIC_FEATURES, "current_state")
+    return eda.null_profile(f)
+
+
+@register("time_span", O.with_ctes(O.TELEMETRY_CTE, body="select min(ts_us) as min_us, max(ts_us) as max_us from telemetry"))
+def time_span(spark, sf_dir):
+    return eda.time_span(_tele(spark, sf_dir), "ts_us")
+
+
+@register("label_correlation", O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, O.FEATURES_CTE, body=" union all ".join(
+    f"""select '{c}' as feature, case when stddev_pop(cast({c} as double)) > 0 and stddev_pop(cast(label_1h as double)) > 0
+      then round(covar_pop(cast({c} as double), cast(label_1h as double)) /
+                 (stddev_pop(cast({c} as double)) * stddev_pop(cast(label_1h as double))), 6) end as corr from features"""
+    for c in FEATURE_COLS)))
+def label_correlation(spark, sf_dir):
+    return eda.label_correlation(_features(spark, sf_dir), FEATURE_COLS, "label_1h")
+
+
+_COUNT_COLS = ["alarm_count_15m", "alarm_count_30m", "alarm_count_1h", "alarm_count_2h", "alarm_count_4h"]
+
+
+def _hist_sql(c: str) -> str:
+    return f"""select '{c}' as "column", b as bin, lo + cast(b as double) * w as lo, lo + cast(b + 1 as double) * w as hi,
+  count(*) as count from (
+    select least(floor((cast({c} as double) - r.lo) / r.w), 29) as b, r.lo, r.w from features,
+      (select min(cast({c} as double)) as lo,
+              case when max(cast({c} as double)) > min(cast({c} as double))
+                   then (max(cast({c} as double)) - min(cast({c} as double))) / cast(30 as double) else 1.0 end as w
+       from features) r where {c} is not null)
+  group by b, lo, w"""
+
+
+@register("feature_histogram", O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, O.FEATURES_CTE,
+                                           body=" union all ".join(_hist_sql(c) for c in _COUNT_COLS)))
+def feature_histogram(spark, sf_dir):
+    return eda.histogram(_features(spark, sf_dir, include=set(_COUNT_COLS)), _COUNT_COLS, bins=30) \
+        .withColumn("bin", F.col("bin").cast("bigint"))
+
+
+@register("alarm_bins", O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, O.FEATURES_CTE, body="""
+select case when alarm_count_4h > -0.5 and alarm_count_4h <= 5 then '0-5'
+            when alarm_count_4h > 5 and alarm_count_4h <= 10 then '6-10'
+            when alarm_count_4h > 10 and alarm_count_4h <= 20 then '11-20'
+            when alarm_count_4h > 20 then '21+' end as bin, count(*) as count
+from features group by 1"""))
+def alarm_bins(spark, sf_dir):
+    f = _features(spark, sf_dir, include={"alarm_count_4h"})
+    return f.groupBy(right_closed_bin(F.col("alarm_count_4h")).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("rule_flag_totals", O.with_ctes(*_RULE_CTES, body="""
+select count(*) as n_rows, cast(sum(Is_Dont_Go_derived) as bigint) as derived, cast(sum(Is_Dont_Go) as bigint) as registered
+from (select * from flags order by hash(event_id, 42), event_id limit 5000)""".replace(
+    "order by hash(event_id, 42), event_id limit 5000", "where true")))
+def rule_flag_totals(spark, sf_dir):
+    """Rules evaluated on every row; totals over the output (sampling, when
+    wanted, applies to the output, never before the window)."""
+    f = _rule_flags(spark, sf_dir)
+    return f.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("Is_Dont_Go_derived").cast("long")).alias("derived"),
+                 F.sum(F.col("Is_Dont_Go").cast("long")).alias("registered"))
