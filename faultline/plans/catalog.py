@@ -613,3 +613,92 @@ def rule_flag_totals(spark, sf_dir):
     f = _rule_flags(spark, sf_dir)
     return f.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("Is_Dont_Go_derived").cast("long")).alias("derived"),
                  F.sum(F.col("Is_Dont_Go").cast("long")).alias("registered"))
+
+
+# --- models (rows-only checks: Spark ML results have no SQL oracle) -------------------------------
+
+from faultline.operators import ml  # noqa: E402
+from faultline.plans import evaluation as EV  # noqa: E402
+
+_MODEL_CACHE: dict = {}
+
+
+def _splits(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    return _test_split(f)
+
+
+def _fitted(spark, sf_dir, label="label_4h", family="gbt"):
+    """Train once per (scale, label, family) in this process; the scored test
+    set is checkpointed to the session's checkpoint folder so metric jobs do
+    not re-run the model or the feature plan."""
+    key = (sf_dir, label, family)
+    if key not in _MODEL_CACHE:
+        train, test = _splits(spark, sf_dir)
+        model, sc, n_train, spw = EV.train_and_score(train, test, label, family, keep=["event_id", "ts_us",
+                                                                                       "current_state"])
+        _MODEL_CACHE[key] = (model, sc.checkpoint(), n_train, spw)
+    return _MODEL_CACHE[key]
+
+
+@register("gbt_metrics")
+def gbt_metrics(spark, sf_dir):
+    _, sc, n_train, spw = _fitted(spark, sf_dir, "label_4h", "gbt")
+    return EV.model_metrics(spark, "gbt", "label_4h", sc, n_train, spw)
+
+
+@register("rf_metrics")
+def rf_metrics(spark, sf_dir):
+    _, sc, n_train, spw = _fitted(spark, sf_dir, "label_4h", "rf")
+    return EV.model_metrics(spark, "rf", "label_4h", sc, n_train, spw)
+
+
+@register("gbt_threshold_sweep")
+def gbt_threshold_sweep(spark, sf_dir):
+    _, sc, _, _ = _fitted(spark, sf_dir, "label_4h", "gbt")
+    return M.threshold_sweep(sc, "y", "y_prob")
+
+
+@register("horizon_pick")
+def horizon_pick(spark, sf_dir):
+    rows = None
+    for i, lab in enumerate(LABEL_COLS):
+        _, sc, n_train, spw = _fitted(spark, sf_dir, lab, "gbt")
+        r = EV.model_metrics(spark, "gbt", lab, sc, n_train, spw).withColumn("_order", F.lit(i))
+        rows = r if rows is None else rows.unionByName(r)
+    best = rows.agg(F.max_by("label", F.struct(F.col("f1"), -F.col("_order"))).alias("b")).first()["b"]
+    return rows.withColumn("is_best", F.col("label") == F.lit(best)).drop("_order")
+
+
+@register("model_comparison")
+def model_comparison(spark, sf_dir):
+    train, test = _splits(spark, sf_dir)
+    base = EV.baseline_rows(spark, train, test, "label_4h", ["event_id"])
+    rows = base
+    for fam in ("gbt", "rf"):
+        _, sc, n_train, spw = _fitted(spark, sf_dir, "label_4h", fam)
+        rows = rows.unionByName(EV.model_metrics(spark, fam, "label_4h", sc, n_train, spw))
+    return EV.comparison(rows, ["dummy_most_frequent", "dummy_stratified", "heuristic_critical_1h"])
+
+
+@register("gbt_error_analysis")
+def gbt_error_analysis(spark, sf_dir):
+    _, sc, _, _ = _fitted(spark, sf_dir, "label_4h", "gbt")
+    s = sc.withColumn("y_pred", M.predict("y_prob", M.REPORT_THRESHOLD))
+    return M.fn_slices(s)
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    model, _, _, _ = _fitted(spark, sf_dir, "label_4h", "gbt")
+    return ml.feature_importances(spark, model, FEATURE_COLS)
+
+
+@register("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    model, _, _, _ = _fitted(spark, sf_dir, "label_4h", "gbt")
+    _, test = _splits(spark, sf_dir)
+    test = test.select("event_id", *FEATURE_COLS, F.col("label_4h").cast("int").alias("y")).checkpoint()
+    rows = ml.permutation_importance(lambda d: ml.score(model, d), test, FEATURE_COLS, "y", "event_id",
+                                     lambda d: M.ranking_metrics(d, "y", "y_prob"))
+    return spark.createDataFrame(rows, "feature string, base_auc double, permuted_auc double, drop double")
