@@ -84,12 +84,17 @@ def windowed(ev: DataFrame, keys: list[str], u: str, specs: WindowSpecs, *,
         valid = valid & F.col(k).isNotNull()
     base = ev.where(valid)
 
-    ind_cols, names = [], {}
+    ind_cols, names, seen = [], {}, {}
+
     def ind(c: Column | None) -> str:
-        name = f"_i{len(ind_cols)}"
+        """One 0/1 column per distinct indicator expression, so equal growing
+        frames (e.g. G(1, 0) shared by all look-back counts) run once."""
         expr = F.lit(1) if c is None else F.coalesce(c.cast("boolean"), F.lit(False)).cast("int")
-        ind_cols.append(expr.alias(name))
-        return name
+        text = str(expr)
+        if text not in seen:
+            seen[text] = f"_i{len(ind_cols)}"
+            ind_cols.append(expr.alias(seen[text]))
+        return seen[text]
 
     for n, (c, span) in specs.lookback.items():
         names[n] = (ind(c), int(span))
@@ -153,7 +158,7 @@ def windowed(ev: DataFrame, keys: list[str], u: str, specs: WindowSpecs, *,
         stream = stream.unionByName(carry, allowMissingColumns=True)
 
     # zero-fill indicators on interval / carry rows
-    for n, (icol, _s) in names.items():
+    for icol in seen.values():
         stream = stream.withColumn(icol, F.coalesce(F.col(icol), F.lit(0)))
 
     w = Window.partitionBy(*[F.col(k) for k in keys], F.col("_bk")).orderBy(F.col("_u"))
@@ -180,12 +185,15 @@ def windowed(ev: DataFrame, keys: list[str], u: str, specs: WindowSpecs, *,
         out.append(F.max(first_cols[n]).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
                    .alias(n))
     if specs.states is not None:
-        st = F.max("_st").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        st = F.col("_st_last")
         val = F.when(F.col("_u") <= st.getField("end"), st.getField("value"))
         if specs.state_default is not None:
             val = F.coalesce(val, F.lit(specs.state_default))
         out.append(val.alias(specs.state_name))
 
+    if specs.states is not None:
+        stream = stream.withColumn(
+            "_st_last", F.max("_st").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
     return (stream.select(*out, F.col("_kind"), F.col("_home"))
                   .where((F.col("_kind") == _EVENT) & F.col("_home"))
                   .drop("_kind", "_home"))
