@@ -632,6 +632,8 @@ def _fitted(spark, sf_dir, label="label_4h", family="gbt"):
     """Train once per (scale, label, family) in this process; the scored test
     set is checkpointed to the session's checkpoint folder so metric jobs do
     not re-run the model or the feature plan."""
+    from faultline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     key = (sf_dir, label, family)
     if key not in _MODEL_CACHE:
         train, test = _splits(spark, sf_dir)
