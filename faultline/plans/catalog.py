@@ -634,7 +634,7 @@ def _fitted(spark, sf_dir, label="label_4h", family="gbt"):
     not re-run the model or the feature plan."""
     from faultline.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    key = (sf_dir, label, family)
+    key = (spark.sparkContext.applicationId, sf_dir, label, family)
     if key not in _MODEL_CACHE:
         train, test = _splits(spark, sf_dir)
         model, sc, n_train, spw = EV.train_and_score(train, test, label, family, keep=["event_id", "ts_us",
