@@ -84,20 +84,23 @@ def label_correlation(df: DataFrame, features: list[str], label: str) -> DataFra
 def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
     """Equal-width histogram per column between its min and max: column,
     bin (0..bins-1, the max falls in the last bin), lo, hi, count. Empty bins
-    are omitted."""
-    out = None
+    are omitted. Two passes in total: one for all bounds (two numbers per
+    column reach the driver), one that bins every column at once."""
+    rng = df.agg(*[F.min(F.col(c).cast("double")).alias(f"{c}__lo") for c in cols],
+                 *[F.max(F.col(c).cast("double")).alias(f"{c}__hi") for c in cols]).first()
+    entries = []
     for c in cols:
-        x = F.col(c).cast("double")
-        rng = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-        lo_hi = rng.first()
-        lo, hi = lo_hi["lo"], lo_hi["hi"]
+        lo, hi = rng[f"{c}__lo"], rng[f"{c}__hi"]
         if lo is None:
             continue
         width = (hi - lo) / bins if hi > lo else 1.0
+        x = F.col(c).cast("double")
         b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-        h = (df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-               .select(F.lit(c).alias("column"), "bin",
-                       (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
-                       (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"), "count"))
-        out = h if out is None else out.unionByName(h)
-    return out
+        entries.append(F.struct(F.lit(c).alias("column"), b.alias("bin"), F.lit(lo).alias("_lo"),
+                                F.lit(width).alias("_w")))
+    if not entries:
+        return df.sparkSession.createDataFrame([], "column string, bin int, lo double, hi double, count bigint")
+    exploded = df.select(F.inline(F.array(*entries))).where(F.col("bin").isNotNull())
+    h = exploded.groupBy("column", "bin", "_lo", "_w").agg(F.count(F.lit(1)).alias("count"))
+    return h.select("column", "bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("lo"),
+                    (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("hi"), "count")

@@ -75,11 +75,14 @@ def threshold_sweep(df: DataFrame, y: str = "y", score: str = "y_prob",
 
 # --- ranking metrics -----------------------------------------------------------
 
-def score_table(df: DataFrame, y: str = "y", score: str = "y_prob") -> DataFrame:
-    """Per distinct score: pos, neg (partial aggregation, so a score shared by
-    many rows is combined map-side)."""
+def score_table(df: DataFrame, y: str = "y", score: str = "y_prob", pred: str | None = None) -> DataFrame:
+    """Per distinct score (and prediction, when given): pos, neg. Partial
+    aggregation combines a score shared by many rows map-side."""
+    keys = [F.col(score).cast("double").alias("s")]
+    if pred is not None:
+        keys.append(F.col(pred).cast("int").alias("p"))
     return (df.where(F.col(score).isNotNull() & F.col(y).isNotNull())
-              .groupBy(F.col(score).cast("double").alias("s"))
+              .groupBy(*keys)
               .agg(F.count_if(_is(y, 1)).alias("pos"), F.count_if(~_is(y, 1)).alias("neg")))
 
 
@@ -115,7 +118,24 @@ def ranking_metrics(df: DataFrame, y: str = "y", score: str = "y_prob",
                     n_buckets: int = 256) -> DataFrame:
     """One row: n_pos, n_neg, auc_roc, auc_pr (average precision). Both AUCs
     are 0.0 when only one class is present."""
-    cum = cumulative_by_score(score_table(df, y, score), n_buckets)
+    return ranking_from_scores(materialized_scores(df, y, score), n_buckets)
+
+
+def confusion_from_scores(st: DataFrame, threshold: float | None = None) -> DataFrame:
+    """tp, fp, fn, tn from a per-score table (no row pass): prediction is
+    ``s >= threshold``, or the stored prediction ``p`` when no threshold."""
+    hi = (F.col("s") >= F.lit(float(threshold))) if threshold is not None else _is("p", 1)
+    z = F.lit(0).cast("long")
+    return st.agg(F.coalesce(F.sum(F.when(hi, F.col("pos"))), z).cast("long").alias("tp"),
+                  F.coalesce(F.sum(F.when(hi, F.col("neg"))), z).cast("long").alias("fp"),
+                  F.coalesce(F.sum(F.when(~hi, F.col("pos"))), z).cast("long").alias("fn"),
+                  F.coalesce(F.sum(F.when(~hi, F.col("neg"))), z).cast("long").alias("tn"))
+
+
+def ranking_from_scores(st: DataFrame, n_buckets: int = 256) -> DataFrame:
+    if "p" in st.columns:
+        st = st.groupBy("s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    cum = cumulative_by_score(st, n_buckets)
     parts = cum.agg(
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
         F.sum(F.col("neg").cast("double") * ((F.col("cum_pos") - F.col("pos")).cast("double")
@@ -133,14 +153,26 @@ def ranking_metrics(df: DataFrame, y: str = "y", score: str = "y_prob",
          .otherwise(F.lit(0.0)).alias("auc_pr"))
 
 
+def materialized_scores(df: DataFrame, y: str = "y", score: str = "y_prob",
+                        pred: str | None = None) -> DataFrame:
+    """The per-score table, checkpointed (reliable storage), so the rows are
+    read once however many metrics derive from it."""
+    from faultline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return score_table(df, y, score, pred).checkpoint()
+
+
 def classification_report(df: DataFrame, y: str = "y", score: str = "y_prob",
-                          threshold: float = 0.5, n_buckets: int = 256) -> DataFrame:
-    """One row: confusion counts, precision, recall, f1 at ``threshold`` and
-    the two ranking metrics."""
-    cm = with_rates(df.agg(*confusion_exprs(y, predict(score, threshold))))
-    rk = ranking_metrics(df, y, score, n_buckets)
-    # two one-row frames; attach by position through a constant-key union
-    return _one_row_merge(cm.withColumn("threshold", F.lit(float(threshold))), rk)
+                          threshold: float | None = 0.5, pred: str | None = None,
+                          n_buckets: int = 256) -> DataFrame:
+    """One row: confusion counts, precision, recall, f1 (prediction = score >=
+    threshold, or the ``pred`` column) and the two ranking metrics, all from
+    one pass over the rows."""
+    st = materialized_scores(df, y, score, pred)
+    cm = with_rates(confusion_from_scores(st, None if pred else threshold))
+    if threshold is not None and not pred:
+        cm = cm.withColumn("threshold", F.lit(float(threshold)))
+    return _one_row_merge(cm, ranking_from_scores(st, n_buckets))
 
 
 def _one_row_merge(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -156,28 +188,37 @@ def fn_slices(df: DataFrame, y: str = "y", yhat: str = "y_pred", tipo: str = "ti
               state: str = "current_state", count4h: str = "alarm_count_4h") -> DataFrame:
     """False negatives by equipment type (both keys always), operating state
     (observed states) and alarm-count bin (all four bins always), plus the
-    total. Long form: dimension, key, fn. One pass over the rows."""
+    total. Long form: dimension, key, fn.
+
+    One pass over the rows: ``rollup(state)`` yields one row per state and the
+    grand total; the long form is exploded from those few rows."""
     fn = df.where(_is(y, 1) & _is(yhat, 0))
     binc = right_closed_bin(F.col(count4h))
-    per_state = fn.groupBy(F.col(state).cast("string").alias("_state")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(_is(tipo, v)).alias(f"_t_{k}") for k, v in TIPO_KEYS],
-        *[F.count_if(F.coalesce(binc == F.lit(lab), F.lit(False))).alias(f"_b{i}")
+    g = fn.withColumn("_state", F.col(state).cast("string")).rollup("_state").agg(
+        F.grouping("_state").alias("_total"),
+        F.count(F.lit(1)).cast("long").alias("_n"),
+        *[F.count_if(_is(tipo, v)).cast("long").alias(f"_t_{k}") for k, v in TIPO_KEYS],
+        *[F.count_if(F.coalesce(binc == F.lit(lab), F.lit(False))).cast("long").alias(f"_b{i}")
           for i, lab in enumerate(ALARM_BIN_LABELS)])
-    states = per_state.where(F.col("_state").isNotNull()).select(
-        F.lit("current_state").alias("dimension"), F.col("_state").alias("key"), F.col("_n").cast("long").alias("fn"))
-    totals = per_state.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"),
-                           *[F.coalesce(F.sum(f"_t_{k}"), F.lit(0)).alias(f"_t_{k}") for k, _ in TIPO_KEYS],
-                           *[F.coalesce(F.sum(f"_b{i}"), F.lit(0)).alias(f"_b{i}")
-                             for i in range(len(ALARM_BIN_LABELS))])
-    entries = [F.struct(F.lit("total").alias("dimension"), F.lit("all").alias("key"),
-                        F.col("_total").cast("long").alias("fn"))]
-    entries += [F.struct(F.lit("tipo_caminhao").alias("dimension"), F.lit(k).alias("key"),
-                         F.col(f"_t_{k}").cast("long").alias("fn")) for k, _ in TIPO_KEYS]
-    entries += [F.struct(F.lit("alarm_count_4h_bin").alias("dimension"), F.lit(lab).alias("key"),
-                         F.col(f"_b{i}").cast("long").alias("fn")) for i, lab in enumerate(ALARM_BIN_LABELS)]
-    fixed = totals.select(F.inline(F.array(*entries)))
-    return fixed.unionByName(states)
+
+    def entry(dim, key, col):
+        return F.struct(F.lit(dim).alias("dimension"), key.alias("key"), col.alias("fn"))
+
+    fixed = [entry("total", F.lit("all"), F.col("_n"))]
+    fixed += [entry("tipo_caminhao", F.lit(k), F.col(f"_t_{k}")) for k, _ in TIPO_KEYS]
+    fixed += [entry("alarm_count_4h_bin", F.lit(lab), F.col(f"_b{i}")) for i, lab in enumerate(ALARM_BIN_LABELS)]
+    per_state = F.array(entry("current_state", F.col("_state"), F.col("_n")))
+    empty = F.array_remove(per_state, per_state.getItem(0))
+    items = (F.when(F.col("_total") == 1, F.array(*fixed))
+              .when(F.col("_state").isNotNull(), per_state).otherwise(empty))
+    out = g.select(F.inline(items))
+    # the fixed dimensions are reported even without any false negative
+    zeros = df.sparkSession.createDataFrame(
+        [("total", "all", 0)] + [("tipo_caminhao", k, 0) for k, _ in TIPO_KEYS]
+        + [("alarm_count_4h_bin", lab, 0) for lab in ALARM_BIN_LABELS],
+        "dimension string, key string, fn bigint")
+    return (out.unionByName(zeros).groupBy("dimension", "key")
+               .agg(F.sum("fn").cast("long").alias("fn")))
 
 
 def month_of(u: str | Column) -> Column:

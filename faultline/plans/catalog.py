@@ -454,9 +454,7 @@ def heuristic_metrics(spark, sf_dir):
 
 
 def _report(scored_df):
-    cm = M.with_rates(M.confusion_counts(scored_df))
-    rk = M.ranking_metrics(scored_df)
-    return M._one_row_merge(cm, rk)
+    return M.classification_report(scored_df, "y", "y_prob", threshold=None, pred="y_pred")
 
 
 @register("dummy_majority_metrics", _report_sql(
