@@ -37,6 +37,19 @@ def quality_counts(raw: DataFrame) -> DataFrame:
     )
 
 
+def raw_diagnostics(raw: DataFrame, month_col: str = "_source_month", first_month: str = "jan") -> DataFrame:
+    """Pre-cleaning diagnostic masks: rows whose Criticidade matches the
+    corruption pattern, Classe "NULL" overall and in the first month, Valor
+    with a decimal comma (null-safe: a null never matches)."""
+    from faultline.functions.cleaning import CRITICIDADE_PATTERN
+    crit = F.coalesce(F.col("Criticidade").rlike(CRITICIDADE_PATTERN), F.lit(False))
+    classe_null = is_null_literal(F.col("Classe"))
+    return raw.agg(F.count_if(crit).alias("criticidade_pattern_rows"),
+                   F.count_if(classe_null).alias("classe_null_rows"),
+                   F.count_if(classe_null & (F.col(month_col) == F.lit(first_month))).alias("classe_null_first_month"),
+                   F.count_if(has_decimal_comma(F.col("Valor"))).alias("valor_comma_rows"))
+
+
 def quality_counts_by_month(raw: DataFrame, month_col: str = "_source_month") -> DataFrame:
     """The same counters per source month."""
     return raw.groupBy(month_col).agg(

@@ -621,9 +621,19 @@ from faultline.plans import evaluation as EV  # noqa: E402
 _MODEL_CACHE: dict = {}
 
 
+_FEATURE_TABLES: dict = {}
+
+
 def _splits(spark, sf_dir):
-    f = _features(spark, sf_dir)
-    return _test_split(f)
+    """Train / test splits of the feature table, written once to the
+    checkpoint folder so the trainings and scorings that follow read it
+    instead of re-running the window plan."""
+    from faultline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FEATURE_TABLES:
+        _FEATURE_TABLES[key] = _features(spark, sf_dir).checkpoint()
+    return _test_split(_FEATURE_TABLES[key])
 
 
 def _fitted(spark, sf_dir, label="label_4h", family="gbt"):
@@ -702,3 +712,46 @@ def permutation_importance(spark, sf_dir):
     rows = ml.permutation_importance(lambda d: ml.score(model, d), test, FEATURE_COLS, "y", "event_id",
                                      lambda d: M.ranking_metrics(d, "y", "y_prob"))
     return spark.createDataFrame(rows, "feature string, base_auc double, permuted_auc double, drop double")
+
+
+# --- diagnostics, previews, sampling, ordered split ------------------------------------------------
+
+@register("raw_diagnostics", O.with_ctes(O.TELEMETRY_CTE, body="""
+select count(*) filter (where regexp_matches(Criticidade, 'N.{1,2}o Cr.{1,2}tico')) as criticidade_pattern_rows,
+  count(*) filter (where Classe = 'NULL') as classe_null_rows,
+  count(*) filter (where Classe = 'NULL' and _source_month = 'jan') as classe_null_first_month,
+  count(*) filter (where contains(Valor, ',')) as valor_comma_rows
+from telemetry"""))
+def raw_diagnostics(spark, sf_dir):
+    return Q.raw_diagnostics(_tele(spark, sf_dir))
+
+
+@register("clean_preview", O.with_ctes(O.TELEMETRY_CTE, O.CLEAN_CTE, body="""
+select event_id, TAG, Alarme, Criticidade, Valor, Classe, ts_us from clean
+order by TAG, ts_us, event_id limit 5"""))
+def clean_preview(spark, sf_dir):
+    """head(5) of the cleaned table with an explicit order (a top-k)."""
+    return (_clean(spark, sf_dir).select("event_id", "TAG", "Alarme", "Criticidade", "Valor", "Classe", "ts_us")
+            .orderBy("TAG", "ts_us", "event_id").limit(5))
+
+
+@register("rule_flags_sample")
+def rule_flags_sample(spark, sf_dir):
+    """50,000 rows of the rule output drawn by a seeded hash (rules run on
+    every row first, so the sample does not thin the window counts)."""
+    return S.fixed_size_sample(_rule_flags(spark, sf_dir), 50_000, ["event_id"])
+
+
+@register("sequential_split_counts", O.with_ctes(O.TELEMETRY_CTE, body="""
+select count(*) filter (where rn <= cut) as train_rows, count(*) filter (where rn > cut) as test_rows,
+  max(ts_us) filter (where rn <= cut) as train_max_us, min(ts_us) filter (where rn > cut) as test_min_us
+from (select ts_us, row_number() over (order by ts_us, event_id) as rn,
+             cast(floor(count(*) over () * 0.8) as bigint) as cut from telemetry where ts_us is not null)"""))
+def sequential_split_counts(spark, sf_dir):
+    """The source system's fixed cut points (2025) on this data leave the
+    test side empty, so the ordered 80/20 fall-back applies."""
+    t = _tele(spark, sf_dir).where(F.col("ts_us").isNotNull()).select("event_id", "ts_us")
+    train, test = S.split_or_fallback(t, "ts_us", "event_id")
+    a = train.agg(F.count(F.lit(1)).alias("train_rows"), F.max("ts_us").alias("train_max_us"))
+    b = test.agg(F.count(F.lit(1)).alias("test_rows"), F.min("ts_us").alias("test_min_us"))
+    return M._one_row_merge(a, b).select("train_rows", "test_rows", "train_max_us", "test_min_us")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.timecols import US_PER_HOUR, US_PER_MINUTE, epoch_micros
 from faultline.operators.timewin import DEFAULT_BUCKET_US, WindowSpecs, windowed
-from faultline.sources.schema import TRUCK, UNKNOWN_STATE, interval_key
+from faultline.sources.schema import TRUCK, UNKNOWN_STATE, interval_key, time_column
 
 # --- fixed values -----------------------------------------------------------
 LOOKBACK_WINDOWS = {
@@ -45,10 +45,10 @@ LABEL_COLS = list(LABEL_HORIZONS)
 OUTPUT_COLS = ["TAG", "ts_us"] + FEATURE_COLS + ["current_state"] + LABEL_COLS
 
 
-def with_micros(df: DataFrame, ts_col: str = "timestamp", out: str = "ts_us") -> DataFrame:
+def with_micros(df: DataFrame, ts_col: str | None = None, out: str = "ts_us") -> DataFrame:
     if out in df.columns:
         return df
-    return df.withColumn(out, epoch_micros(df, ts_col))
+    return df.withColumn(out, epoch_micros(df, ts_col or time_column(df)))
 
 
 def interval_frame(intervals: DataFrame) -> DataFrame:

@@ -44,6 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage is cut with "
+                           "checkpoint() and executors may be lost")
     path = tempfile.mkdtemp(prefix="faultline-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path

@@ -78,6 +78,15 @@ def check_schema(df: DataFrame, label: str, check_types: bool = True) -> None:
             raise SchemaError(f"{label} has unexpected types: {bad}")
 
 
+def time_column(df: DataFrame) -> str:
+    """The event instant is ``Inicio`` in some exports, ``timestamp`` in the
+    cleaned table (``Data_Evento`` before the rename)."""
+    for c in ("Inicio", "timestamp", "Data_Evento"):
+        if c in df.columns:
+            return c
+    raise SchemaError("no time column (Inicio / timestamp / Data_Evento)")
+
+
 def interval_key(df: DataFrame) -> str:
     """The interval table names its key ``Tag`` or ``TAG``."""
     for c in df.columns:
