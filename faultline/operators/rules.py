@@ -30,12 +30,20 @@ def dedupe_rules(rules: DataFrame) -> DataFrame:
                  .select("EVENTO", "r.QTD", "r.TEMPO"))
 
 
+MAX_FRAME_LENGTHS = 16
+
+
 def apply_rules(tele: DataFrame, rules: DataFrame, *, u: str = "ts_us",
                 flag: str = "Is_Dont_Go_derived", bucket_us: int = US_PER_DAY,
-                max_rules: int = 100_000) -> DataFrame:
+                max_rules: int = 100_000, method: str = "auto") -> DataFrame:
     """Every input row plus ``flag`` (0/1). Rows without TAG, alarm, instant
     or rule get 0. The rule table is broadcast only after its row count is
-    checked against ``max_rules``."""
+    checked against ``max_rules``.
+
+    ``method``: "frames" evaluates one growing-frame difference per distinct
+    rule length (no expiry rows: about half the rows of the sweep), "sweep"
+    the sweep line (any number of lengths), "auto" frames when the rule table
+    has at most 16 distinct lengths."""
     r = dedupe_rules(rules).select(F.col("EVENTO").alias("_ev"), F.col("QTD").alias("_qty"),
                                    (F.col("TEMPO").cast("long") * F.lit(US_PER_MINUTE)).alias("_w"))
     base_cols = tele.columns
@@ -45,6 +53,41 @@ def apply_rules(tele: DataFrame, rules: DataFrame, *, u: str = "ts_us",
     ruled = j.where(ruled_cond)
     unruled = j.where(~ruled_cond).select(*base_cols, F.lit(0).alias(flag))
 
+    if method in ("auto", "frames"):
+        # bounded: the rule table passed the row check above
+        lengths = sorted({row["_w"] for row in r.select("_w").distinct().limit(MAX_FRAME_LENGTHS + 1).collect()
+                          if row["_w"] is not None})
+        if method == "frames" or len(lengths) <= MAX_FRAME_LENGTHS:
+            return _frames(ruled, base_cols, u, flag, bucket_us, lengths).unionByName(unruled)
+    return _sweep(ruled, base_cols, u, flag, bucket_us).unionByName(unruled)
+
+
+def _frames(ruled: DataFrame, base_cols: list[str], u: str, flag: str, bucket_us: int,
+            lengths: list[int]) -> DataFrame:
+    """count(t - w, t] = G(0) - G(-w) for the row's own w, with one growing
+    frame per distinct w; halo copies up to the row's w."""
+    B = int(bucket_us)
+    uc = F.col(u).cast("long")
+    home = floor_div(uc, B)
+    rows = (ruled.withColumn("_home_bk", home)
+                 .withColumn("_bk", F.explode(F.sequence(home, floor_div(uc + F.col("_w"), B))))
+                 .withColumn("_out", F.col("_bk") == F.col("_home_bk")))
+    payload = [F.when(F.col("_out"), F.col(c)).alias(c) if c not in ("TAG", "Alarme") else F.col(c)
+               for c in base_cols]
+    rows = rows.select(*payload, uc.alias("_t"), "_bk", "_w", "_qty", "_out")
+    w = Window.partitionBy("TAG", "Alarme", "_bk").orderBy("_t")
+    one = F.lit(1)
+    total = F.sum(one).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    count = None
+    for length in lengths:
+        before = F.coalesce(F.sum(one).over(w.rangeBetween(Window.unboundedPreceding, -int(length))), F.lit(0))
+        count = (F.when(F.col("_w") == F.lit(int(length)), total - before) if count is None
+                 else count.when(F.col("_w") == F.lit(int(length)), total - before))
+    return (rows.select(*base_cols, "_out", (count >= F.col("_qty")).cast("int").alias(flag))
+                .where(F.col("_out")).drop("_out"))
+
+
+def _sweep(ruled: DataFrame, base_cols: list[str], u: str, flag: str, bucket_us: int) -> DataFrame:
     B = int(bucket_us)
     uc = F.col(u).cast("long")
     home = floor_div(uc, B)
@@ -61,9 +104,8 @@ def apply_rules(tele: DataFrame, rules: DataFrame, *, u: str = "ts_us",
     w = (Window.partitionBy("TAG", "Alarme", "_bk").orderBy("_t", "_d")
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     running = F.sum("_d").over(w)
-    flagged = (sweep.select(*base_cols, "_out", (running >= F.col("_qty")).cast("int").alias(flag))
-                    .where(F.col("_out")).drop("_out"))
-    return flagged.unionByName(unruled)
+    return (sweep.select(*base_cols, "_out", (running >= F.col("_qty")).cast("int").alias(flag))
+                 .where(F.col("_out")).drop("_out"))
 
 
 def compare_signals(df: DataFrame, actual: str = "Is_Dont_Go",

@@ -23,8 +23,9 @@ def test_dedupe_keeps_most_restrictive(spark):
     assert got == {"AL01": (3, 30), "AL02": (1, 5)}
 
 
+@pytest.mark.parametrize("method", ["sweep", "frames"])
 @pytest.mark.parametrize("bucket_min", [7, 30, 24 * 60])
-def test_e5_rule_windows(spark, bucket_min):
+def test_e5_rule_windows(spark, bucket_min, method):
     rows = []
     groups = {"A": [0, 10, 20], "B": [0, 10], "C": [0, 40, 80], "D": [0, 15, 30]}
     i = 0
@@ -34,7 +35,8 @@ def test_e5_rule_windows(spark, bucket_min):
             i += 1
     rows.append((i, "A", "UNRULED", 5.0, 1))
     rows.append((i + 1, None, "AL01", 20.0, 0))
-    out = apply_rules(_tele(spark, rows), _rules(spark, [("AL01", 3, 30)]), bucket_us=bucket_min * MIN)
+    out = apply_rules(_tele(spark, rows), _rules(spark, [("AL01", 3, 30)]), bucket_us=bucket_min * MIN,
+                      method=method)
     got = {r["event_id"]: r["Is_Dont_Go_derived"] for r in out.collect()}
     assert len(got) == len(rows)
     assert [got[k] for k in range(0, 3)] == [0, 0, 1]
@@ -44,10 +46,11 @@ def test_e5_rule_windows(spark, bucket_min):
     assert got[11] == 0 and got[12] == 0
 
 
-def test_peer_inclusive_ties(spark):
+@pytest.mark.parametrize("method", ["sweep", "frames"])
+def test_peer_inclusive_ties(spark, method):
     rows = [(0, "A", "AL01", 0.0, 0), (1, "A", "AL01", 15.0, 0), (2, "A", "AL01", 15.0, 0),
             (3, "A", "AL01", 15.0, 0), (4, "A", "AL01", 30.0, 0)]
-    out = apply_rules(_tele(spark, rows), _rules(spark, [("AL01", 3, 15)]))
+    out = apply_rules(_tele(spark, rows), _rules(spark, [("AL01", 3, 15)]), method=method)
     got = {r["event_id"]: r["Is_Dont_Go_derived"] for r in out.collect()}
     assert [got[k] for k in range(5)] == [0, 1, 1, 1, 0]
 
@@ -69,13 +72,15 @@ def test_compare_signals(spark):
     assert r["precision"] == 0.0 and r["recall"] == 0.0
 
 
-def test_rules_match_brute_force_on_adapter(spark):
-    """Sweep line vs a direct per-row count on sf0.001."""
+@pytest.mark.parametrize("method", ["sweep", "frames"])
+def test_rules_match_brute_force_on_adapter(spark, method):
+    """Sweep line and frames vs a direct per-row count on sf0.001."""
     from faultline.sources import adapters as A
     from tests_support import SF_SMALL
     t = A.telemetry(spark, SF_SMALL).select("event_id", "TAG", "Alarme", "ts_us", "Is_Dont_Go")
     rules = A.rules(spark)
-    got = {r["event_id"]: r["Is_Dont_Go_derived"] for r in apply_rules(t, rules, bucket_us=60 * MIN).collect()}
+    got = {r["event_id"]: r["Is_Dont_Go_derived"]
+           for r in apply_rules(t, rules, bucket_us=60 * MIN, method=method).collect()}
     dd = {r["EVENTO"]: (r["QTD"], r["TEMPO"]) for r in dedupe_rules(rules).collect()}
     rows = t.collect()
     for r in rows:
