@@ -322,8 +322,8 @@ def average_precision(spark, sf_dir):
 
 @register("score_curve", O.with_ctes(O.TELEMETRY_CTE, O.SCORED_CTE, body="""
 select s, pos, neg,
-  sum(pos) over (order by s desc rows between unbounded preceding and current row) as cum_pos,
-  sum(neg) over (order by s desc rows between unbounded preceding and current row) as cum_neg
+  cast(sum(pos) over (order by s desc rows between unbounded preceding and current row) as bigint) as cum_pos,
+  cast(sum(neg) over (order by s desc rows between unbounded preceding and current row) as bigint) as cum_neg
 from (select cast(y_prob as double) as s, count(*) filter (where y = 1) as pos,
              count(*) filter (where y <> 1) as neg
       from scored where y_prob is not null and y is not null group by 1)"""))
@@ -573,7 +573,7 @@ _COUNT_COLS = ["alarm_count_15m", "alarm_count_30m", "alarm_count_1h", "alarm_co
 
 
 def _hist_sql(c: str) -> str:
-    return f"""select '{c}' as "column", b as bin, lo + cast(b as double) * w as lo, lo + cast(b + 1 as double) * w as hi,
+    return f"""select '{c}' as "column", cast(b as bigint) as bin, lo + cast(b as double) * w as lo, lo + cast(b + 1 as double) * w as hi,
   count(*) as count from (
     select least(floor((cast({c} as double) - r.lo) / r.w), 29) as b, r.lo, r.w from features,
       (select min(cast({c} as double)) as lo,
