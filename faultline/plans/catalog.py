@@ -751,7 +751,12 @@ def sequential_split_counts(spark, sf_dir):
     """The source system's fixed cut points (2025) on this data leave the
     test side empty, so the ordered 80/20 fall-back applies."""
     t = _tele(spark, sf_dir).where(F.col("ts_us").isNotNull()).select("event_id", "ts_us")
-    train, test = S.split_or_fallback(t, "ts_us", "event_id")
-    a = train.agg(F.count(F.lit(1)).alias("train_rows"), F.max("ts_us").alias("train_max_us"))
-    b = test.agg(F.count(F.lit(1)).alias("test_rows"), F.min("ts_us").alias("test_min_us"))
-    return M._one_row_merge(a, b).select("train_rows", "test_rows", "train_max_us", "test_min_us")
+    _, test = S.temporal_split(t)
+    if test.limit(1).count() > 0:
+        raise AssertionError("expected the fall-back split on this data")
+    cut = int(t.count() * S.FALLBACK_TRAIN_SHARE)
+    rn = S.global_row_number(t, "ts_us", "event_id")
+    tr = F.col("row_number") <= F.lit(cut)
+    return rn.agg(F.count_if(tr).alias("train_rows"), F.count_if(~tr).alias("test_rows"),
+                  F.max(F.when(tr, F.col("ts_us"))).alias("train_max_us"),
+                  F.min(F.when(~tr, F.col("ts_us"))).alias("test_min_us"))
