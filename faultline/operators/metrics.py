@@ -172,10 +172,10 @@ def classification_report(df: DataFrame, y: str = "y", score: str = "y_prob",
     cm = with_rates(confusion_from_scores(st, None if pred else threshold))
     if threshold is not None and not pred:
         cm = cm.withColumn("threshold", F.lit(float(threshold)))
-    return _one_row_merge(cm, ranking_from_scores(st, n_buckets))
+    return one_row_merge(cm, ranking_from_scores(st, n_buckets))
 
 
-def _one_row_merge(a: DataFrame, b: DataFrame) -> DataFrame:
+def one_row_merge(a: DataFrame, b: DataFrame) -> DataFrame:
     """Combine two one-row frames side by side (union + max per column)."""
     cols_a, cols_b = a.columns, b.columns
     u = a.unionByName(b, allowMissingColumns=True)

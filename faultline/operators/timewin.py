@@ -251,3 +251,18 @@ def _carry_rows(rows: DataFrame, keys: list[str], B: int, since_cols: dict, firs
     # placed just before the bucket's first home instant
     return (c.withColumn("_u", F.col("_bk") * F.lit(B) - F.lit(1))
              .withColumn("_kind", F.lit(_CARRY)).withColumn("_home", F.lit(False)))
+
+
+def suggest_bucket_us(ev: DataFrame, keys: list[str], u: str, horizon_us: int,
+                      target_rows: int = 2_000_000, day_us: int = US_PER_DAY) -> int:
+    """A bucket width for ``windowed`` from the hottest key's density: about
+    ``target_rows`` rows per (key, bucket) task, never below the largest
+    frame span (at most three copies per row), never above 30 days.
+
+    One aggregation job over (key, day) counts; only one number reaches the
+    driver."""
+    per_day = ev.where(F.col(u).isNotNull()).groupBy(*keys, floor_div(F.col(u), day_us).alias("_d")) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    peak = per_day.agg(F.max("_n").alias("m")).first()["m"] or 1
+    width = int(day_us * target_rows / peak)
+    return int(min(max(width, int(horizon_us)), 30 * day_us))

@@ -118,3 +118,14 @@ def test_monotone_counts_and_labels(spark):
                   (F.col("label_1h") > F.col("label_2h")) | (F.col("label_2h") > F.col("label_4h")))
     assert bad.count() == 0
     assert f.count() == A.telemetry(spark, SF_SMALL).count()
+
+
+def test_suggest_bucket(spark):
+    from faultline.operators.timewin import suggest_bucket_us
+    from faultline.sources import adapters as A
+    from tests_support import SF_SMALL
+    t = A.telemetry_dense(spark, SF_SMALL)
+    b = suggest_bucket_us(t, ["TAG"], "ts_us", 4 * 60 * MIN, target_rows=1)
+    assert b == 4 * 60 * MIN  # dense key: clamped at the frame span
+    b2 = suggest_bucket_us(t, ["TAG"], "ts_us", 4 * 60 * MIN, target_rows=10 ** 9)
+    assert b2 == 30 * 24 * 60 * MIN
