@@ -129,3 +129,15 @@ def test_suggest_bucket(spark):
     assert b == 4 * 60 * MIN  # dense key: clamped at the frame span
     b2 = suggest_bucket_us(t, ["TAG"], "ts_us", 4 * 60 * MIN, target_rows=10 ** 9)
     assert b2 == 30 * 24 * 60 * MIN
+
+
+def test_asof_operator(spark):
+    from faultline.operators.asof import asof_backward
+    iv = _intervals(spark, [("A", 0.0, 60.0, "Operando"), ("A", 30.0, 40.0, "Parado"),
+                            ("A", 100.0, 90.0, "Manutenção")]).withColumnRenamed("Tag", "TAG")
+    ts = [-5.0, 0.0, 30.0, 40.0, 41.0, 60.0, 100.0]
+    ev = events(spark, [("A", t, 2, 0, "x", i) for i, t in enumerate(ts)] + [("B", 0.0, 2, 0, "x", 99)])
+    out = asof_backward(ev, iv, keys=["TAG"], left_u="ts_us", right_start="inicio_us", right_end="fim_us",
+                        value="Classe", out="state", keep=["event_id"], bucket_us=25 * MIN)
+    got = [r["state"] for r in out.orderBy("event_id").collect()]
+    assert got == [None, "Operando", "Parado", "Parado", None, None, None, None]
