@@ -10,7 +10,12 @@ def _plan(df):
 
 
 def test_feature_matrix_single_row_exchange(spark):
+    import re
     df = catalog.QUERIES["feature_matrix"](spark, SF_SMALL)
+    ex = _plan(df)
+    # exactly one exchange moves the rows: the one on (TAG, bucket) feeding the window;
+    # the others are keyed by aggregate grouping expressions (carry-in tables)
+    assert len(re.findall(r"Exchange hashpartitioning\(TAG#\d+, _bk#\d+L", ex)) == 1
     p = df._jdf.queryExecution().sparkPlan().toString()
     # the rows are shuffled once, on (TAG, bucket); other exchanges carry
     # per-(TAG, bucket) aggregates only
