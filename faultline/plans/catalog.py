@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.plans import oracle as O
-from faultline.plans.features import FEATURE_COLS, LABEL_COLS, build_features
+from faultline.plans.features import FEATURE_COLS, LABEL_COLS, LOOKBACK_WINDOWS, build_features
+
+LOOKBACK_COLS = list(LOOKBACK_WINDOWS)
 from faultline.sources import adapters as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -760,3 +762,30 @@ def sequential_split_counts(spark, sf_dir):
     return rn.agg(F.count_if(tr).alias("train_rows"), F.count_if(~tr).alias("test_rows"),
                   F.max(F.when(tr, F.col("ts_us"))).alias("train_max_us"),
                   F.min(F.when(~tr, F.col("ts_us"))).alias("test_min_us"))
+
+
+def _row_ties_sql() -> str:
+    lb = {"alarm_count_15m": 15, "alarm_count_30m": 30, "alarm_count_1h": 60, "alarm_count_2h": 120,
+          "alarm_count_4h": 240}
+    rows_frame = "over (partition by TAG order by ts_us, event_id rows between unbounded preceding and current row)"
+    cols = []
+    for name, mins in lb.items():
+        cols.append(f"cast(count(*) {rows_frame} - coalesce(count(*) over (partition by TAG order by ts_us "
+                    f"range between unbounded preceding and {mins * 60_000_000} preceding), 0) as integer) as {name}")
+    crit = "case when Id_Criticidade=1 then 1 else 0 end"
+    cols.append(f"cast(sum({crit}) {rows_frame} - coalesce(sum({crit}) over (partition by TAG order by ts_us "
+                f"range between unbounded preceding and 3600000000 preceding), 0) as integer) as critical_alarm_count_1h")
+    cols.append("coalesce(cast(ts_us - max(case when Id_Criticidade=1 then ts_us end) " + rows_frame +
+                " as double) / cast(60000000 as double), cast(240.0 as double)) as time_since_last_critical")
+    return O.with_ctes(O.TELEMETRY_CTE, _TIES_CTE, body=f"""
+select event_id, TAG, ts_us, {', '.join(cols)} from telemetry_v where TAG is not null""")
+
+
+@register("feature_matrix_row_ties", _row_ties_sql())
+def feature_matrix_row_ties(spark, sf_dir):
+    """Look-back features on hour-truncated instants with ``ties="row"``:
+    tied rows count 1, 2, 3 in (instant, event_id) order."""
+    cols = list(LOOKBACK_COLS) + ["critical_alarm_count_1h", "time_since_last_critical"]
+    f = build_features(A.telemetry_ties(spark, sf_dir), None, keep=["event_id"], ties="row",
+                       include=set(cols))
+    return f.select("event_id", "TAG", "ts_us", *cols)
