@@ -88,3 +88,13 @@ def test_s25_month_without_positives(spark):
     df = spark.createDataFrame([(jan, 1, 1), (jan, 1, 0), (feb, 0, 0)], "ts_us long, y int, y_pred int")
     got = {r["month"]: (r["recall"], r["tp"], r["fn"], r["positives"]) for r in M.recall_by_month(df).collect()}
     assert got == {"2025-01": (0.5, 1, 1, 2), "2025-02": (0.0, 0, 0, 0)}
+
+
+def test_ranking_stable_under_repartition(spark):
+    from faultline.sources import adapters as A
+    from tests_support import SF_SMALL
+    s = A.scored(spark, SF_SMALL)
+    ref = M.ranking_metrics(s).first()
+    for n in (1, 11):
+        r = M.ranking_metrics(s.repartition(n), n_buckets=5).first()
+        assert (r["auc_roc"], r["auc_pr"], r["n_pos"]) == (ref["auc_roc"], ref["auc_pr"], ref["n_pos"])

@@ -15,7 +15,8 @@ from tests_support import SF_SMALL
 def split(spark):
     from faultline.operators.split import temporal_split
     f = build_features(A.telemetry(spark, SF_SMALL), A.intervals(spark, SF_SMALL), keep=["event_id"]).cache()
-    return temporal_split(f, "ts_us", "2024-01-20 23:59:59", "2024-01-21 00:00:00")
+    yield temporal_split(f, "ts_us", "2024-01-20 23:59:59", "2024-01-21 00:00:00")
+    f.unpersist()
 
 
 def test_class_balance(spark):

@@ -11,6 +11,7 @@ def _plan(df):
 
 def test_feature_matrix_single_row_exchange(spark):
     import re
+    spark.catalog.clearCache()
     df = catalog.QUERIES["feature_matrix"](spark, SF_SMALL)
     ex = _plan(df)
     # exactly one exchange moves the rows: the one on (TAG, bucket) feeding the window;

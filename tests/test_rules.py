@@ -91,3 +91,12 @@ def test_rules_match_brute_force_on_adapter(spark, method):
         n = sum(1 for o in rows if o["TAG"] == r["TAG"] and o["Alarme"] == r["Alarme"]
                 and r["ts_us"] - w * MIN < o["ts_us"] <= r["ts_us"])
         assert got[r["event_id"]] == int(n >= q)
+
+
+def test_rules_stable_under_repartition(spark):
+    from faultline.sources import adapters as A
+    from tests_support import SF_SMALL
+    t = A.telemetry(spark, SF_SMALL).select("event_id", "TAG", "Alarme", "ts_us", "Is_Dont_Go")
+    ref = sorted(tuple(r) for r in apply_rules(t, A.rules(spark)).collect())
+    for n in (1, 13):
+        assert sorted(tuple(r) for r in apply_rules(t.repartition(n), A.rules(spark)).collect()) == ref
