@@ -789,3 +789,20 @@ def feature_matrix_row_ties(spark, sf_dir):
     f = build_features(A.telemetry_ties(spark, sf_dir), None, keep=["event_id"], ties="row",
                        include=set(cols))
     return f.select("event_id", "TAG", "ts_us", *cols)
+
+
+@register("quality_report", O.with_ctes(O.TELEMETRY_CTE, body="""
+select *, concat_ws(chr(10),
+    'Telemetry rows: ' || cast(n_rows as varchar),
+    '  Criticidade encoding fixed: ' || cast(criticidade_fixed as varchar),
+    '  NULL string -> null (Classe): ' || cast(null_string_fixed as varchar),
+    '  NULL string -> null (Valor): ' || cast(valor_null_fixed as varchar),
+    '  Decimal separator fixed: ' || cast(decimal_fixed as varchar)) as summary
+from (select """ + _QC_SQL + r""",
+  count(*) filter (where replace(case when Valor = 'NULL' then null else Valor end, ',', '.') is not null
+     and not regexp_matches(replace(case when Valor = 'NULL' then null else Valor end, ',', '.'),
+                            '^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$')) as valor_rejected
+from telemetry)"""))
+def quality_report(spark, sf_dir):
+    """The one-row cleaning report with its text summary (what the text sink writes)."""
+    return Q.quality_report(_tele(spark, sf_dir))
