@@ -47,23 +47,35 @@ def split_counts(df: DataFrame, label: str, u: str = "ts_us", train_end: str = T
                   F.count_if(te & pos).alias("test_positives"))
 
 
-def global_row_number(df: DataFrame, u: str, tiebreak: str, n_buckets: int = 256,
-                      rel_err: float = 0.001) -> DataFrame:
-    """Exact 1-based row number by (u, tiebreak) without a single-partition
-    window: quantile buckets of ``u`` (bounded boundary list), per-bucket
-    counts prefixed over the bounded bucket table, then a window per bucket."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = sorted(set(q for q in df.approxQuantile(u, probs, rel_err) if q is not None))
-    arr = F.array(*[F.lit(float(q)) for q in qs]) if qs else None
-    b = F.size(F.filter(arr, lambda e: e < F.col(u).cast("double"))) if qs else F.lit(0)
-    d = df.withColumn("_b", b)
-    tot = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    wt = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("_b", F.coalesce(F.sum("_n").over(wt), F.lit(0)).alias("_off"))
-    wb = Window.partitionBy("_b").orderBy(u, tiebreak)
-    return (d.join(F.broadcast(off), "_b")
-             .withColumn("row_number", F.col("_off") + F.row_number().over(wb))
-             .drop("_b", "_off"))
+def global_row_number(df: DataFrame, u: str, tiebreak: str, n_parts: int | None = None) -> DataFrame:
+    """Exact 1-based row number by (u, tiebreak), balanced even when one
+    instant holds a large share of the rows.
+
+    The rows are range-partitioned on the full order (sampled bounds split
+    ties on ``u`` by the tiebreak), sorted within partitions and tagged with
+    ``monotonically_increasing_id`` (partition index in the high bits,
+    position in the low 33 bits). The tagged rows are checkpointed so the tags
+    never change on recomputation; per-partition counts are prefixed over a
+    table of at most ``n_parts`` rows and broadcast back. No window, one
+    shuffle."""
+    from faultline.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tagged = (df.repartitionByRange(n, F.col(u), F.col(tiebreak))
+                .sortWithinPartitions(u, tiebreak)
+                .withColumn("_mid", F.monotonically_increasing_id())
+                .checkpoint())
+    low = F.lit((1 << 33) - 1)
+    t = tagged.withColumn("_pid", F.shiftright(F.col("_mid"), 33)) \
+              .withColumn("_pos", F.col("_mid").bitwiseAND(low))
+    counts = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # bounded: one row per range partition
+    wt = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = counts.select("_pid", F.coalesce(F.sum("_n").over(wt), F.lit(0)).alias("_off"))
+    return (t.join(F.broadcast(off), "_pid")
+             .withColumn("row_number", F.col("_off") + F.col("_pos") + F.lit(1))
+             .drop("_pid", "_pos", "_off", "_mid"))
 
 
 def sequential_split(df: DataFrame, u: str, tiebreak: str,

@@ -31,9 +31,14 @@ def test_global_row_number_exact(spark):
     rnd = random.Random(3)
     rows = [(rnd.randrange(50), i) for i in range(500)]
     df = spark.createDataFrame(rows, "u long, tb long")
-    got = {r["tb"]: r["row_number"] for r in S.global_row_number(df, "u", "tb", n_buckets=7).collect()}
+    got = {r["tb"]: r["row_number"] for r in S.global_row_number(df, "u", "tb", n_parts=7).collect()}
     expect = {tb: i + 1 for i, (u, tb) in enumerate(sorted(rows))}
     assert got == expect
+    # one instant holding most rows is still split across partitions
+    hot = spark.createDataFrame([(5 if i % 4 else i, i) for i in range(400)], "u long, tb long")
+    rn = S.global_row_number(hot, "u", "tb", n_parts=8)
+    got = sorted((r["u"], r["tb"], r["row_number"]) for r in rn.collect())
+    assert [x[2] for x in sorted(got, key=lambda x: (x[0], x[1]))] == list(range(1, 401))
 
 
 def test_sequential_split_fallback(spark):
