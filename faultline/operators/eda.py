@@ -25,17 +25,19 @@ def rate_by(df: DataFrame, by: str, flag: str, scale: float = 100.0) -> DataFram
                               F.count(F.lit(1)).alias("n"))
 
 
-def daily_sum(df: DataFrame, u: str, flag: str) -> DataFrame:
-    """Sum of ``flag`` per UTC day from the first to the last observed day;
-    days without rows are present with 0. The calendar has one row per day
-    of the observed span (bounded by the span, not the row count)."""
+def daily_sum(df: DataFrame, u: str, flag: str, by: list[str] = ()) -> DataFrame:
+    """Sum of ``flag`` per UTC day (per ``by`` group) from the group's first
+    to its last observed day; days without rows are present with 0. The
+    calendar has one row per group and day of its span (bounded by the time
+    span, not by the row count)."""
+    by = list(by)
     per_day = (df.where(F.col(u).isNotNull())
-                 .groupBy(floor_div(F.col(u), US_PER_DAY).alias("day"))
+                 .groupBy(*by, floor_div(F.col(u), US_PER_DAY).alias("day"))
                  .agg(F.sum(F.col(flag).cast("long")).alias("total")))
-    span = per_day.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-    cal = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
-    return (cal.join(per_day, "day", "left")
-               .select((F.col("day") * F.lit(US_PER_DAY)).alias("day_us"),
+    span = per_day.groupBy(*by).agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    cal = span.select(*by, F.explode(F.sequence("lo", "hi")).alias("day"))
+    return (cal.join(per_day, by + ["day"], "left")
+               .select(*by, (F.col("day") * F.lit(US_PER_DAY)).alias("day_us"),
                        F.coalesce(F.col("total"), F.lit(0)).cast("long").alias("total")))
 
 

@@ -515,15 +515,18 @@ def daily_dontgo(spark, sf_dir):
     return eda.daily_sum(_tele(spark, sf_dir), "ts_us", "Is_Dont_Go")
 
 
-@register("daily_dontgo_sparse", O.with_ctes(O.TELEMETRY_CTE, body="""
-select d.day * 86400000000 as day_us, cast(coalesce(p.total, 0) as bigint) as total
-from (select range as day from range((select min(cast(floor(ts_us / 86400000000) as bigint)) from telemetry where TAG = 'EQ0000'),
-                                     (select max(cast(floor(ts_us / 86400000000) as bigint)) from telemetry where TAG = 'EQ0000') + 1)) d
-left join (select cast(floor(ts_us / 86400000000) as bigint) as day, sum(Is_Dont_Go) as total
-           from telemetry where TAG = 'EQ0000' group by 1) p on d.day = p.day"""))
-def daily_dontgo_sparse(spark, sf_dir):
-    """Daily series of one equipment: days without events are zero-filled."""
-    return eda.daily_sum(_tele(spark, sf_dir).where(F.col("TAG") == "EQ0000"), "ts_us", "Is_Dont_Go")
+@register("daily_dontgo_by_tag", O.with_ctes(O.TELEMETRY_CTE, body="""
+select s.TAG, d.day * 86400000000 as day_us, cast(coalesce(p.total, 0) as bigint) as total
+from (select TAG, min(cast(floor(ts_us / 86400000000) as bigint)) as lo,
+             max(cast(floor(ts_us / 86400000000) as bigint)) as hi
+      from telemetry where ts_us is not null group by TAG) s,
+     lateral (select unnest(generate_series(s.lo, s.hi)) as day) d
+left join (select TAG, cast(floor(ts_us / 86400000000) as bigint) as day, sum(Is_Dont_Go) as total
+           from telemetry where ts_us is not null group by 1, 2) p on p.TAG = s.TAG and p.day = d.day"""))
+def daily_dontgo_by_tag(spark, sf_dir):
+    """Daily Don't Go series of every equipment over its own span; days
+    without events are zero-filled."""
+    return eda.daily_sum(_tele(spark, sf_dir), "ts_us", "Is_Dont_Go", by=["TAG"])
 
 
 @register("distinct_profile", O.with_ctes(O.TELEMETRY_CTE, body="""

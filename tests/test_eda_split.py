@@ -70,3 +70,9 @@ def test_histogram_edges(spark):
     df = spark.createDataFrame([(v,) for v in [0, 0, 3, 30]], "c int")
     h = {r["bin"]: r["count"] for r in eda.histogram(df, ["c"], bins=30).collect()}
     assert h == {0: 2, 3: 1, 29: 1}
+
+
+def test_calendar_fill_per_group(spark):
+    df = spark.createDataFrame([("A", 1 * DAY, 1), ("A", 4 * DAY, 2), ("B", 2 * DAY, 0)], "TAG string, ts_us long, flag int")
+    got = sorted((r["TAG"], r["day_us"] // DAY, r["total"]) for r in eda.daily_sum(df, "ts_us", "flag", by=["TAG"]).collect())
+    assert got == [("A", 1, 1), ("A", 2, 0), ("A", 3, 0), ("A", 4, 2), ("B", 2, 0)]
