@@ -55,3 +55,28 @@ def test_streaming_ingest(spark, tmp_out):
     assert out.count() == exp
     assert dict(out.dtypes)["Valor"] == "double"
     assert {r["_source_month"] for r in out.select("_source_month").distinct().collect()} == set(MONTHS[:2])
+
+
+def test_cli_clean_rules_features(spark, tmp_out):
+    from faultline.cli import main
+    data = os.path.join(tmp_out, "data")
+    t = A.telemetry(spark, SF_SMALL).drop("ts_us").withColumnRenamed("timestamp", "Data_Evento")
+    for m in MONTHS:
+        t.where(F.col("_source_month") == m).drop("_source_month") \
+            .write.parquet(os.path.join(data, f"telemetry_{m}.parquet"))
+    A.intervals(spark, SF_SMALL).select("Tag", "Inicio", "Fim", "Classe").write.parquet(os.path.join(tmp_out, "iv"))
+    A.rules(spark).write.option("header", True).csv(os.path.join(tmp_out, "rules"))
+    out = os.path.join(tmp_out, "out")
+    assert main(["clean", "--data", data, "--intervals", os.path.join(tmp_out, "iv"), "--out", out]) == 0
+    assert main(["rules", "--out", out, "--rules", os.path.join(tmp_out, "rules")]) == 0
+    assert main(["features", "--out", out, "--bucket-hours", "6"]) == 0
+    feats = spark.read.parquet(os.path.join(out, "features"))
+    ref = build_features_for_check(spark)
+    cols = ["alarm_count_4h", "label_4h", "current_state", "time_since_last_critical"]
+    assert sorted(tuple(r) for r in feats.select("TAG", "ts_us", *cols).collect()) == \
+        sorted(tuple(r) for r in ref.select("TAG", "ts_us", *cols).collect())
+
+
+def build_features_for_check(spark):
+    from faultline.plans.features import build_features
+    return build_features(A.telemetry(spark, SF_SMALL), A.intervals(spark, SF_SMALL))
