@@ -35,7 +35,8 @@ MAX_FRAME_LENGTHS = 16
 
 def apply_rules(tele: DataFrame, rules: DataFrame, *, u: str = "ts_us",
                 flag: str = "Is_Dont_Go_derived", bucket_us: int = US_PER_DAY,
-                max_rules: int = 100_000, method: str = "auto") -> DataFrame:
+                max_rules: int = 100_000, method: str = "auto", ties: str = "range",
+                tiebreak: str | None = None) -> DataFrame:
     """Every input row plus ``flag`` (0/1). Rows without TAG, alarm, instant
     or rule get 0. The rule table is broadcast only after its row count is
     checked against ``max_rules``.
@@ -43,7 +44,14 @@ def apply_rules(tele: DataFrame, rules: DataFrame, *, u: str = "ts_us",
     ``method``: "frames" evaluates one growing-frame difference per distinct
     rule length (no expiry rows: about half the rows of the sweep), "sweep"
     the sweep line (any number of lengths), "auto" frames when the rule table
-    has at most 16 distinct lengths."""
+    has at most 16 distinct lengths.
+
+    ``ties``: "range" counts every event at the same instant (order-free);
+    "row" counts tied events in (instant, ``tiebreak``) order, 1, 2, 3."""
+    if ties not in ("range", "row"):
+        raise ValueError("ties must be 'range' or 'row'")
+    if ties == "row" and tiebreak is None:
+        raise ValueError("ties='row' needs a tiebreak column")
     r = dedupe_rules(rules).select(F.col("EVENTO").alias("_ev"), F.col("QTD").alias("_qty"),
                                    (F.col("TEMPO").cast("long") * F.lit(US_PER_MINUTE)).alias("_w"))
     base_cols = tele.columns
@@ -58,12 +66,12 @@ def apply_rules(tele: DataFrame, rules: DataFrame, *, u: str = "ts_us",
         lengths = sorted({row["_w"] for row in r.select("_w").distinct().limit(MAX_FRAME_LENGTHS + 1).collect()
                           if row["_w"] is not None})
         if method == "frames" or len(lengths) <= MAX_FRAME_LENGTHS:
-            return _frames(ruled, base_cols, u, flag, bucket_us, lengths).unionByName(unruled)
-    return _sweep(ruled, base_cols, u, flag, bucket_us).unionByName(unruled)
+            return _frames(ruled, base_cols, u, flag, bucket_us, lengths, ties, tiebreak).unionByName(unruled)
+    return _sweep(ruled, base_cols, u, flag, bucket_us, ties, tiebreak).unionByName(unruled)
 
 
 def _frames(ruled: DataFrame, base_cols: list[str], u: str, flag: str, bucket_us: int,
-            lengths: list[int]) -> DataFrame:
+            lengths: list[int], ties: str = "range", tiebreak: str | None = None) -> DataFrame:
     """count(t - w, t] = G(0) - G(-w) for the row's own w, with one growing
     frame per distinct w; halo copies up to the row's w."""
     B = int(bucket_us)
@@ -74,10 +82,15 @@ def _frames(ruled: DataFrame, base_cols: list[str], u: str, flag: str, bucket_us
                  .withColumn("_out", F.col("_bk") == F.col("_home_bk")))
     payload = [F.when(F.col("_out"), F.col(c)).alias(c) if c not in ("TAG", "Alarme") else F.col(c)
                for c in base_cols]
-    rows = rows.select(*payload, uc.alias("_t"), "_bk", "_w", "_qty", "_out")
+    tb = [F.col(tiebreak).alias("_tb")] if ties == "row" else []
+    rows = rows.select(*payload, uc.alias("_t"), "_bk", "_w", "_qty", "_out", *tb)
     w = Window.partitionBy("TAG", "Alarme", "_bk").orderBy("_t")
     one = F.lit(1)
-    total = F.sum(one).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    if ties == "row":
+        total = F.sum(one).over(Window.partitionBy("TAG", "Alarme", "_bk").orderBy("_t", "_tb")
+                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    else:
+        total = F.sum(one).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     count = None
     for length in lengths:
         before = F.coalesce(F.sum(one).over(w.rangeBetween(Window.unboundedPreceding, -int(length))), F.lit(0))
@@ -87,7 +100,8 @@ def _frames(ruled: DataFrame, base_cols: list[str], u: str, flag: str, bucket_us
                 .where(F.col("_out")).drop("_out"))
 
 
-def _sweep(ruled: DataFrame, base_cols: list[str], u: str, flag: str, bucket_us: int) -> DataFrame:
+def _sweep(ruled: DataFrame, base_cols: list[str], u: str, flag: str, bucket_us: int,
+           ties: str = "range", tiebreak: str | None = None) -> DataFrame:
     B = int(bucket_us)
     uc = F.col(u).cast("long")
     home = floor_div(uc, B)
@@ -100,9 +114,14 @@ def _sweep(ruled: DataFrame, base_cols: list[str], u: str, flag: str, bucket_us:
     keep_payload = F.col("_arrive") & (F.col("_bk") == F.col("_home_bk"))
     payload = [F.when(keep_payload, F.col(c)).alias(c) if c not in ("TAG", "Alarme") else F.col(c)
                for c in base_cols]
-    sweep = sweep.select(*payload, "_bk", "_t", "_d", "_qty", keep_payload.alias("_out"))
-    w = (Window.partitionBy("TAG", "Alarme", "_bk").orderBy("_t", "_d")
-         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    tb = [F.col(tiebreak).alias("_tb")] if ties == "row" else []
+    sweep = sweep.select(*payload, "_bk", "_t", "_d", "_qty", keep_payload.alias("_out"), *tb)
+    if ties == "row":
+        w = (Window.partitionBy("TAG", "Alarme", "_bk").orderBy("_t", "_d", "_tb")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    else:
+        w = (Window.partitionBy("TAG", "Alarme", "_bk").orderBy("_t", "_d")
+             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     running = F.sum("_d").over(w)
     return (sweep.select(*base_cols, "_out", (running >= F.col("_qty")).cast("int").alias(flag))
                  .where(F.col("_out")).drop("_out"))

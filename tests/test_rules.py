@@ -100,3 +100,15 @@ def test_rules_stable_under_repartition(spark):
     ref = sorted(tuple(r) for r in apply_rules(t, A.rules(spark)).collect())
     for n in (1, 13):
         assert sorted(tuple(r) for r in apply_rules(t.repartition(n), A.rules(spark)).collect()) == ref
+
+
+@pytest.mark.parametrize("method", ["sweep", "frames"])
+def test_row_ties(spark, method):
+    rows = [(0, "A", "AL01", 0.0, 0), (1, "A", "AL01", 15.0, 0), (2, "A", "AL01", 15.0, 0),
+            (3, "A", "AL01", 15.0, 0), (4, "A", "AL01", 30.0, 0)]
+    rules = _rules(spark, [("AL01", 2, 15)])
+    rng = {r["event_id"]: r["Is_Dont_Go_derived"] for r in apply_rules(_tele(spark, rows), rules, method=method).collect()}
+    row = {r["event_id"]: r["Is_Dont_Go_derived"]
+           for r in apply_rules(_tele(spark, rows), rules, method=method, ties="row", tiebreak="event_id").collect()}
+    assert [rng[k] for k in range(5)] == [0, 1, 1, 1, 0]
+    assert [row[k] for k in range(5)] == [0, 0, 1, 1, 0]
