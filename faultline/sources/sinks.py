@@ -34,7 +34,16 @@ def write_text_report(df: DataFrame, path: str, col: str = "summary", mode: str
     df.select(F.col(col).cast("string").alias("value")).coalesce(1).write.mode(mode).text(path)
 
 
-def read_scored_test(spark: SparkSession, path: str, columns: list[str], ts_col: str, test_start_us: int):
+def read_scored_test(spark: SparkSession, path: str, columns: list[str], ts_col: str, test_start_us: int,
+                     month_col: str = "event_month"):
     """Column-pruned, predicate-pushed read of a stored scored/feature table
-    (only the listed columns; ``ts_col >= test_start_us`` reaches the scan)."""
-    return spark.read.parquet(path).select(*columns).where(F.col(ts_col) >= F.lit(test_start_us))
+    (only the listed columns; ``ts_col >= test_start_us`` reaches the scan).
+    When the table is partitioned by ``month_col`` ('yyyy-MM'), the implied
+    month bound prunes partitions too."""
+    df = spark.read.parquet(path)
+    cond = F.col(ts_col) >= F.lit(test_start_us)
+    if month_col in df.columns:
+        from faultline.functions.timecols import micros_to_ntz
+        first_month = F.date_format(micros_to_ntz(F.lit(int(test_start_us))), "yyyy-MM")
+        cond = cond & (F.col(month_col) >= first_month)
+    return df.where(cond).select(*columns)

@@ -92,3 +92,15 @@ def test_pushed_filter_and_pruned_columns(spark, tmp_out):
     assert "PushedFilters: [IsNotNull(ts_us), GreaterThanOrEqual(ts_us,50)]" in plan
     assert "ReadSchema: struct<ts_us:bigint,a:bigint>" in plan
     assert r.count() == 50
+
+
+def test_month_partition_pruning(spark, tmp_out):
+    day = 86_400_000_000
+    jan = 1_735_689_600_000_000
+    rows = [(jan + i * day, i, "2025-01" if i < 31 else "2025-02") for i in range(50)]
+    df = spark.createDataFrame(rows, "ts_us long, a long, event_month string")
+    sinks.write_parquet(df, os.path.join(tmp_out, "m"), partition_by=["event_month"], sort_within=["ts_us"])
+    r = sinks.read_scored_test(spark, os.path.join(tmp_out, "m"), ["ts_us", "a"], "ts_us", jan + 40 * day)
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_month" in plan and "2025-02" in plan
+    assert r.count() == 10
