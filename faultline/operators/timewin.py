@@ -229,25 +229,22 @@ def _carry_rows(rows: DataFrame, keys: list[str], B: int, since_cols: dict, firs
         aggs.append(F.min("_ford").alias("_ford"))
     aggs += [F.lit(True).alias("_has_ev")]
     b = rows.groupBy(*keys, floor_div(F.col("_u"), B).alias("_bk")).agg(*aggs)
-    wk = Window.partitionBy(*keys).orderBy("_bk")
-    prior = wk.rowsBetween(Window.unboundedPreceding, -1)
+    if iv is not None:
+        # latest interval of every (key, bucket), next to the event buckets
+        iv_b = (iv.groupBy(*keys, floor_div(F.col("_u"), B).alias("_bk")).agg(F.max("_st").alias("_st"))
+                  .withColumn("_has_ev", F.lit(False)))
+        b = b.unionByName(iv_b, allowMissingColumns=True)
+    # one window over the (key, bucket) table: an event bucket sorts before
+    # the same bucket's intervals, so "prior" holds earlier buckets only
+    prior = (Window.partitionBy(*keys).orderBy("_bk", F.col("_has_ev").desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
     whole = Window.partitionBy(*keys)
-    sel = [F.col(k) for k in keys] + [F.col("_bk")]
+    sel = [F.col(k) for k in keys] + [F.col("_bk"), F.col("_has_ev")]
     sel += [F.max(c).over(prior).alias(c) for c in since_cols.values()]
     sel += [F.min_by(c, "_ford").over(whole).alias(c) for c in first_cols.values()]
-    c = b.select(*sel)
     if iv is not None:
-        # latest interval of every (key, bucket); joined to the event buckets
-        # and rolled forward over the key's buckets in order
-        iv_b = iv.groupBy(*keys, floor_div(F.col("_u"), B).alias("_bk")).agg(F.max("_st").alias("_st"))
-        both = (c.withColumn("_has_ev", F.lit(True))
-                 .unionByName(iv_b.withColumn("_has_ev", F.lit(False)), allowMissingColumns=True))
-        # an event bucket's own intervals sort after it, so they stay out
-        prior_iv = (Window.partitionBy(*keys).orderBy("_bk", F.col("_has_ev").desc())
-                    .rowsBetween(Window.unboundedPreceding, -1))
-        c = (both.select(*[F.col(x) for x in c.columns], F.col("_has_ev"),
-                         F.max("_st").over(prior_iv).alias("_st_prior"))
-                 .where(F.col("_has_ev")).drop("_has_ev").withColumnRenamed("_st_prior", "_st"))
+        sel.append(F.max("_st").over(prior).alias("_st"))
+    c = b.select(*sel).where(F.col("_has_ev")).drop("_has_ev")
     # placed just before the bucket's first home instant
     return (c.withColumn("_u", F.col("_bk") * F.lit(B) - F.lit(1))
              .withColumn("_kind", F.lit(_CARRY)).withColumn("_home", F.lit(False)))
