@@ -231,6 +231,18 @@ def _dense_features(spark, sf_dir):
 
 register("feature_matrix_dense", _features_on(A.telemetry_dense, _DENSE_CTE)[1])(_dense_features)
 
+_HOT_CTE = """telemetry_v AS (
+  select * replace (case when e.user_id % 3 = 0 then 'EQHOT' else t.TAG end as TAG)
+  from telemetry t join events e using (event_id))"""
+
+
+def _hot_features(spark, sf_dir):
+    """Feature matrix when one TAG holds a third of the events."""
+    return build_features(A.telemetry_hot(spark, sf_dir), A.intervals(spark, sf_dir), keep=["event_id"])
+
+
+register("feature_matrix_hot", _features_on(A.telemetry_hot, _HOT_CTE)[1])(_hot_features)
+
 
 # --- rules ---------------------------------------------------------------------------------
 

@@ -6,7 +6,7 @@ view grows with the data; the same text is used by the DuckDB oracle
 (``faultline.plans.oracle``).
 
 Fixed values (the synthetic mapping, in natural order):
-  TAG = 'EQ' + 4-digit floor(user_id / 5)
+  TAG = 'EQ' + 4-digit floor(user_id / 5)  (skew view: 'EQHOT' when user_id % 3 = 0)
   Id_Criticidade: error 1, purchase 2, signup 3, other 4
   Criticidade: purchase with event_id % 97 = 0 -> 'N??o Crítico',
                purchase with event_id % 89 = 0 -> 'Não Cr??tico',
@@ -87,6 +87,13 @@ def telemetry_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry(spark, sf_dir, tag_expr="concat('EQ', cast(user_id % 10 as string))")
 
 
+def telemetry_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One equipment ('EQHOT', every user_id divisible by 3) holds about a
+    third of all events; the rest keep their TAGs. The skew case."""
+    return telemetry(spark, sf_dir, tag_expr="case when user_id % 3 = 0 then 'EQHOT' else " +
+                     _TELEMETRY_EXPRS["TAG"] + " end")
+
+
 def telemetry_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timestamps truncated to the hour, so equal (TAG, instant) groups exist."""
     t = telemetry(spark, sf_dir)

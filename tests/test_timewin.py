@@ -141,3 +141,19 @@ def test_asof_operator(spark):
                         value="Classe", out="state", keep=["event_id"], bucket_us=25 * MIN)
     got = [r["state"] for r in out.orderBy("event_id").collect()]
     assert got == [None, "Operando", "Parado", "Parado", None, None, None, None]
+
+
+def test_hot_key_is_split_across_tasks(spark):
+    """A TAG holding about a third of the rows is spread over its time
+    buckets: the largest window group is a small part of the key."""
+    from faultline.functions.frames import floor_div
+    from faultline.operators.timewin import DEFAULT_BUCKET_US
+    from faultline.sources import adapters as A
+    from tests_support import SF_CHECK
+    t = A.telemetry_hot(spark, SF_CHECK)
+    total = t.count()
+    hot = t.where(F.col("TAG") == "EQHOT").count()
+    assert hot > total / 4
+    groups = (t.groupBy("TAG", floor_div(F.col("ts_us"), DEFAULT_BUCKET_US).alias("bk")).count()
+               .agg(F.max("count").alias("m")).first()["m"])
+    assert groups < hot / 20
