@@ -821,3 +821,15 @@ from telemetry)"""))
 def quality_report(spark, sf_dir):
     """The one-row cleaning report with its text summary (what the text sink writes)."""
     return Q.quality_report(_tele(spark, sf_dir))
+
+
+_RULE_CTES_HOT = [O.TELEMETRY_CTE, _HOT_CTE.replace("telemetry_v AS", "telemetry_h AS")] + \
+    [c.replace("from telemetry t2", "from telemetry_h t2").replace("from telemetry t left", "from telemetry_h t left")
+     for c in _RULE_CTES[1:]]
+
+
+@register("rule_flags_hot", O.with_ctes(*_RULE_CTES_HOT, body="select * from flags"))
+def rule_flags_hot(spark, sf_dir):
+    """Rule windows when one TAG holds a third of the events."""
+    t = A.telemetry_hot(spark, sf_dir).select("event_id", "TAG", "Alarme", "ts_us", "Is_Dont_Go")
+    return R.apply_rules(t, A.rules(spark))
