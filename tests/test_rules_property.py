@@ -5,7 +5,6 @@ both tie semantics."""
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from faultline.operators.rules import apply_rules
 from faultline.sources.schema import RULES_SCHEMA

@@ -5,7 +5,6 @@ inverted intervals, intervals with equal starts, arbitrary bucket sizes)."""
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from faultline.plans.features import DEFAULT_MINUTES_SINCE, LABEL_HORIZONS, LOOKBACK_WINDOWS, build_features
 from helpers import MIN, T0
