@@ -18,13 +18,3 @@ def upto(w: WindowSpec, e: Column, hi: int) -> Column:
     (a growing frame; differences of two growing frames give any half-open
     range in O(n) per partition, unlike a sliding RANGE frame)."""
     return F.coalesce(F.sum(e).over(w.rangeBetween(Window.unboundedPreceding, hi)), F.lit(0))
-
-
-def lookback_count(w: WindowSpec, e: Column, span: int) -> Column:
-    """sum(e) over (u - span, u], peers of u included."""
-    return upto(w, e, 0) - upto(w, e, -span)
-
-
-def forward_any(w: WindowSpec, e: Column, span: int) -> Column:
-    """1 iff sum(e) over (u, u + span] > 0; rows at u itself are excluded."""
-    return ((upto(w, e, span) - upto(w, e, 0)) > 0).cast("int")

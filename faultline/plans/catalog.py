@@ -693,8 +693,7 @@ def horizon_pick(spark, sf_dir):
         _, sc, n_train, spw = _fitted(spark, sf_dir, lab, "gbt")
         r = EV.model_metrics(spark, "gbt", lab, sc, n_train, spw).withColumn("_order", F.lit(i))
         rows = r if rows is None else rows.unionByName(r)
-    best = rows.agg(F.max_by("label", F.struct(F.col("f1"), -F.col("_order"))).alias("b")).first()["b"]
-    return rows.withColumn("is_best", F.col("label") == F.lit(best)).drop("_order")
+    return EV.mark_best_horizon(rows)
 
 
 @register("model_comparison")

@@ -7,14 +7,12 @@ models are scored once per test set and the metric jobs read that output.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.operators import metrics as M
 from faultline.operators import ml
-from faultline.plans.features import FEATURE_COLS, LABEL_COLS
+from faultline.plans.features import FEATURE_COLS
 
 
 def scored_test(model, test: DataFrame, label: str, keep: list[str] = ()) -> DataFrame:
@@ -45,18 +43,11 @@ def train_and_score(train: DataFrame, test: DataFrame, label: str, family: str =
         float(bal["scale_pos_weight"])
 
 
-def horizon_table(spark: SparkSession, train: DataFrame, test: DataFrame, family: str = "gbt",
-                  labels=LABEL_COLS, n_trees: int = ml.N_TREES) -> DataFrame:
-    """Metrics per horizon plus ``is_best`` (highest F1, the shorter horizon
-    wins ties)."""
-    rows = None
-    for i, lab in enumerate(labels):
-        _, sc, n_train, spw = train_and_score(train, test, lab, family, n_trees)
-        r = model_metrics(spark, family, lab, sc, n_train, spw).withColumn("_order", F.lit(i))
-        rows = r if rows is None else rows.unionByName(r)
-    best = rows.agg(F.max_by("label", F.struct(F.col("f1"), -F.col("_order"))).alias("_best"))
-    best_label = best.first()["_best"]
-    return rows.withColumn("is_best", F.col("label") == F.lit(best_label)).drop("_order")
+def mark_best_horizon(rows: DataFrame, order_col: str = "_order") -> DataFrame:
+    """Add ``is_best``: the row with the highest F1; ties go to the smaller
+    ``order_col`` (the shorter horizon). One small aggregate."""
+    best = rows.agg(F.max_by("label", F.struct(F.col("f1"), -F.col(order_col))).alias("_b")).first()["_b"]
+    return rows.withColumn("is_best", F.col("label") == F.lit(best)).drop(order_col)
 
 
 def comparison(rows: DataFrame, baseline_names: list[str]) -> DataFrame:
@@ -113,7 +104,3 @@ def error_analysis(scored: DataFrame, threshold: float = M.REPORT_THRESHOLD) ->
         "recall_by_month": {r["month"]: {"recall": r["recall"], "tp": r["tp"], "fn": r["fn"],
                                          "positives": r["positives"]} for r in months},
     }
-
-
-def error_analysis_json(scored: DataFrame, threshold: float = M.REPORT_THRESHOLD) -> str:
-    return json.dumps(error_analysis(scored, threshold), indent=2, ensure_ascii=False)

@@ -55,16 +55,20 @@ def stage_features(clean: DataFrame, intervals: DataFrame, out_dir: str, **kw) -
 
 def stage_model(spark: SparkSession, features_path: str, out_dir: str, train_end: str, test_start: str,
                 family: str = "gbt", n_trees: int = 100, labels=LABEL_COLS) -> DataFrame:
+    from faultline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     feats = spark.read.parquet(features_path)
     train, test = S.temporal_split(feats, "ts_us", train_end, test_start)
     rows = None
-    for lab in labels:
+    for i, lab in enumerate(labels):
         model, sc, n_train, spw = EV.train_and_score(train, test, lab, family, n_trees)
         model.write().overwrite().save(f"{out_dir}/model_{family}_{lab}")
-        r = EV.model_metrics(spark, family, lab, sc, n_train, spw)
+        sc = sc.checkpoint()
+        r = EV.model_metrics(spark, family, lab, sc, n_train, spw).withColumn("_order", F.lit(i))
         sweep = M.threshold_sweep(sc).select(F.lit(lab).alias("label"), "*")
         sinks.write_json(sweep, f"{out_dir}/threshold_sweep_{family}_{lab}")
         rows = r if rows is None else rows.unionByName(r)
+    rows = EV.mark_best_horizon(rows)
     sinks.write_json(rows, f"{out_dir}/metrics_{family}")
     return rows
 
