@@ -58,7 +58,8 @@ def stage_model(spark: SparkSession, features_path: str, out_dir: str, train_end
     from faultline.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     feats = spark.read.parquet(features_path)
-    train, test = S.temporal_split(feats, "ts_us", train_end, test_start)
+    # the cut points, or the ordered 80/20 fall-back when nothing is after them
+    train, test = S.split_or_fallback(feats, "ts_us", "TAG", train_end, test_start)
     rows = None
     for i, lab in enumerate(labels):
         model, sc, n_train, spw = EV.train_and_score(train, test, lab, family, n_trees)

@@ -80,3 +80,14 @@ def test_cli_clean_rules_features(spark, tmp_out):
 def build_features_for_check(spark):
     from faultline.plans.features import build_features
     return build_features(A.telemetry(spark, SF_SMALL), A.intervals(spark, SF_SMALL))
+
+
+def test_model_stage_falls_back_to_ordered_split(spark, tmp_out):
+    raw = A.telemetry(spark, SF_SMALL)
+    path = stages.stage_features(raw, A.intervals(spark, SF_SMALL), tmp_out)
+    # the source system's 2025 cut points leave no test rows on 2024 data
+    rows = stages.stage_model(spark, path, tmp_out, "2025-04-30 23:59:59", "2025-05-01 00:00:00",
+                              family="rf", n_trees=3, labels=["label_4h"]).collect()
+    n = raw.count()
+    assert rows[0]["train_rows"] == int(n * 0.8) and rows[0]["test_rows"] == n - int(n * 0.8)
+    assert rows[0]["is_best"]
