@@ -9,11 +9,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faultline.functions.binning import right_closed_bin
+from faultline.functions.timecols import micros_to_ntz
+from faultline.operators import eda, ml
+from faultline.operators import metrics as M
+from faultline.operators import quality as Q
+from faultline.operators import rules as R
+from faultline.operators import split as S
+from faultline.plans import evaluation as EV
 from faultline.plans import oracle as O
+from faultline.session import ensure_checkpoint_dir
 from faultline.plans.features import FEATURE_COLS, LABEL_COLS, LOOKBACK_WINDOWS, build_features
+from faultline.sources import adapters as A
+from faultline.sources.telemetry import union_months
 
 LOOKBACK_COLS = list(LOOKBACK_WINDOWS)
-from faultline.sources import adapters as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,10 +53,6 @@ def feature_matrix(spark, sf_dir):
 
 # --- shared inputs -----------------------------------------------------------------
 
-from faultline.functions.binning import right_closed_bin  # noqa: E402
-from faultline.functions.timecols import micros_to_ntz  # noqa: E402
-from faultline.operators import eda, metrics as M, quality as Q, rules as R, split as S  # noqa: E402
-from faultline.sources.telemetry import union_months  # noqa: E402
 
 ADAPTER_TRAIN_END = "2024-01-20 23:59:59"
 ADAPTER_TEST_START = "2024-01-21 00:00:00"
@@ -445,8 +451,7 @@ select n_neg, n_pos, case when n_pos > 0 then cast(n_neg as double) / cast(n_pos
 from (select count(*) filter (where label_4h = 0) as n_neg, count(*) filter (where label_4h = 1) as n_pos
       from train_set)"""))
 def class_balance(spark, sf_dir):
-    from faultline.operators.ml import class_balance as cb
-    return cb(_train_set(spark, sf_dir), "label_4h")
+    return ml.class_balance(_train_set(spark, sf_dir), "label_4h")
 
 
 def _report_sql(src_cte_name: str, pred: str, score: str) -> str:
@@ -463,8 +468,7 @@ def _report_sql(src_cte_name: str, pred: str, score: str) -> str:
 @register("heuristic_metrics", _report_sql("test_set", "cast(critical_alarm_count_1h > 0 as integer)",
                                            "cast(critical_alarm_count_1h as double)"))
 def heuristic_metrics(spark, sf_dir):
-    from faultline.operators.ml import heuristic
-    return _report(heuristic(_test_set(spark, sf_dir).drop("y_pred", "y_prob")))
+    return _report(ml.heuristic(_test_set(spark, sf_dir).drop("y_pred", "y_prob")))
 
 
 def _report(scored_df):
@@ -475,19 +479,17 @@ def _report(scored_df):
     "test_set", "(select case when count(*) filter (where y = 1) > count(*) filter (where y = 0) then 1 else 0 end from train_set)",
     "cast((select case when count(*) filter (where y = 1) > count(*) filter (where y = 0) then 1 else 0 end from train_set) as double)"))
 def dummy_majority_metrics(spark, sf_dir):
-    from faultline.operators.ml import dummy_majority, majority_class
     train = _train_set(spark, sf_dir)
-    maj = majority_class(train, "y")
+    maj = ml.majority_class(train, "y")
     has_pos = train.where(F.col("y") == 1).limit(1).count() > 0
-    return _report(dummy_majority(_test_set(spark, sf_dir).drop("y_pred", "y_prob"), maj, has_pos))
+    return _report(ml.dummy_majority(_test_set(spark, sf_dir).drop("y_pred", "y_prob"), maj, has_pos))
 
 
 @register("dummy_stratified_metrics")
 def dummy_stratified_metrics(spark, sf_dir):
-    from faultline.operators.ml import dummy_stratified
     train = _train_set(spark, sf_dir)
     rate = train.agg(F.avg(F.col("y").cast("double"))).first()[0] or 0.0
-    return _report(dummy_stratified(_test_set(spark, sf_dir).drop("y_pred", "y_prob"), rate, ["event_id"]))
+    return _report(ml.dummy_stratified(_test_set(spark, sf_dir).drop("y_pred", "y_prob"), rate, ["event_id"]))
 
 
 # --- exploratory aggregates ------------------------------------------------------------------------
@@ -632,8 +634,6 @@ def rule_flag_totals(spark, sf_dir):
 
 # --- models (rows-only checks: Spark ML results have no SQL oracle) -------------------------------
 
-from faultline.operators import ml  # noqa: E402
-from faultline.plans import evaluation as EV  # noqa: E402
 
 _MODEL_CACHE: dict = {}
 
@@ -645,7 +645,6 @@ def _splits(spark, sf_dir):
     """Train / test splits of the feature table, written once to the
     checkpoint folder so the trainings and scorings that follow read it
     instead of re-running the window plan."""
-    from faultline.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FEATURE_TABLES:
@@ -657,7 +656,6 @@ def _fitted(spark, sf_dir, label="label_4h", family="gbt"):
     """Train once per (scale, label, family) in this process; the scored test
     set is checkpointed to the session's checkpoint folder so metric jobs do
     not re-run the model or the feature plan."""
-    from faultline.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     key = (spark.sparkContext.applicationId, sf_dir, label, family)
     if key not in _MODEL_CACHE:
