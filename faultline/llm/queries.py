@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import decontam, licenses, lm, mixing, ngram_join, pii, quality, secret_scan, tokens
+from faultline.llm import decontam, licenses, lm, mixing, ngram_join, pii, quality, secret_scan, suffix, tokens
 from faultline.llm.common import shared_path, table
 
 
@@ -23,6 +23,10 @@ def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.cut_report(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_token_output, op3_license_scans, op5_pii, op6_decontamination, op7_lm_scoring,
+    op1_quality_rules, op2_token_output, op3_license_scans, op4_suffix_dedup, op5_pii, op6_decontamination, op7_lm_scoring,
     op8_ngram_join, op9_secret_scans, op10_mixing)}
 
 ORACLE: dict[str, str] = {}
