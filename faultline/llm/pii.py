@@ -124,6 +124,10 @@ def joined(found: Column, kinds=KINDS) -> Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def n_of(found: Column, kind: int) -> Column:
+    return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 def pii_report(docs: DataFrame, kinds=KINDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: spans of each base kind counted, a digest of the
     base spans, all spans, and their scores in the same order."""
@@ -132,7 +136,6 @@ def pii_report(docs: DataFrame, kinds=KINDS, id_col: str = "doc_id", text_col: s
     own = F.filter(found, lambda s: s["kind"].isin(*base))
     return find_pii(docs, kinds, id_col, text_col).select(
         "doc_id",
-        *(F.size(F.filter(found, lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{kinds[i].name}")
-          for i in base),
+        *(n_of(found, i).alias(f"n_{kinds[i].name}") for i in base),
         F.sha2(joined(own, kinds), 256).alias("base_sha256"), joined(found, kinds).alias("spans"),
         F.array_join(F.transform(found, lambda s: F.format_number(s["score"], 2)), ",").alias("scores"))

@@ -141,10 +141,10 @@ def greedy_order(costs: dict[str, float], verdicts: dict[int, int], names: list[
 
 def plan_cascade(docs: DataFrame, rules=RULES, text_col: str = "text",
                  sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> list[Rule]:
-    """Order ``rules`` from at most ``sample_rows`` sampled rows.
+    """Order ``rules`` from a sample of about ``sample_rows`` rows.
 
-    Costs and verdicts are measured inside a task; the driver receives one row
-    per distinct combination of verdicts (at most 2 ** len(rules)).
+    Costs and verdicts are measured where the sampled rows are read; the driver
+    receives one row per combination of verdicts (at most 2 ** len(rules)).
     """
     ddl = "mask bigint, docs bigint, " + ", ".join(f"c{i} double" for i in range(len(rules)))
     arrow = arrow_schema(ddl)
@@ -167,8 +167,8 @@ def plan_cascade(docs: DataFrame, rules=RULES, text_col: str = "text",
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(c), f.type) for c, f in zip(cols, arrow)], schema=arrow)
 
-    sample = (docs.select(F.col(text_col).cast("string").alias("text"))
-              .sample(False, 0.2, seed).limit(sample_rows))
+    share = min(1.0, sample_rows / max(1, docs.count()))
+    sample = docs.select(F.col(text_col).cast("string").alias("text")).sample(False, share, seed)
     got = (sample.mapInArrow(measure, ddl).groupBy("mask")
            .agg(F.sum("docs"), *(F.sum(f"c{i}") for i in range(len(rules)))).collect())
     names = [r.name for r in rules]
