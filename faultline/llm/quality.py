@@ -20,6 +20,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +88,11 @@ class Facts:
     def n_shouts(self) -> int:
         return self.data.count(b"!")
 
+    @cached_property
+    def n_stutters(self) -> int:
+        """Words equal to the word before."""
+        return sum(map(eq, self.words, self.words[1:]))
+
     @cached_property
     def lines(self) -> list[bytes]:
         return [x for x in self.data.split(b"\n") if x.strip(_BLANKS)]
@@ -114,7 +120,8 @@ RULES = (
     Rule("shouting", lambda f: 5 * f.n_shouts > f.n_words),
     Rule("long_words", lambda f: f.word_chars > 25 * f.n_words),
     Rule("short_words", lambda f: 2 * f.word_chars < 3 * f.n_words),
-    Rule("dup_lines", lambda f: 100 * f.n_dup_lines > 30 * len(f.lines)),
+    Rule("stutter", lambda f: 5 * f.n_stutters > f.n_words),
+    Rule("dup_lines", lambda f: f.n_dup_lines >= 3 and 100 * f.n_dup_lines > 30 * len(f.lines)),
     REPEATS,
 )
 
