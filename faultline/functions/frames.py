@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 def floor_div(c: Column, divisor: int) -> Column:
     """Exact floor division of a long column by a positive constant."""
     d = F.lit(int(divisor))
-    return ((c - F.pmod(c, d)) / d).cast("long")
+    # an integral quotient: a double would round beyond 2^53
+    return F.call_function("div", c - F.pmod(c, d), d)
 
 
 def upto(w: WindowSpec, e: Column, hi: int) -> Column:

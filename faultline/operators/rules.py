@@ -2,49 +2,90 @@
 comparison of the derived flag with the registered one.
 
 A rule (EVENTO, QTD, TEMPO) flags an event of alarm EVENTO when at least QTD
-events of that alarm and TAG fall in (t - TEMPO min, t]. Window lengths
-differ per row, and Spark frame bounds are constants, so the count comes
-from a sweep line: every event emits +1 at t and -1 at t + TEMPO; the running
-sum at an arrival, with expiries ordered before arrivals at equal instants,
-is the number of events in (t - w, t]. The sweep runs per (TAG, Alarme, time
-bucket) with halo copies for the rows a bucket's frames can reach, so a hot
-(TAG, Alarme) pair is spread over many tasks.
+events of that alarm and TAG fall in (t - TEMPO min, t]. Window lengths differ
+per alarm, and Spark frame bounds are constants, so the count comes from a
+sweep line: n events at an instant t emit +n at t and -n at t + TEMPO, and the
+running sum at t is the number of events in (t - w, t]. One method serves any
+rule table.
+
+Scale. The sweep runs over distinct (TAG, Alarme, instant), a partial
+aggregate, so a crowded instant is one row. Each emitted row goes to the time
+bucket it falls in, and a carry row brings the sum of all earlier buckets, from
+a per-(TAG, Alarme, bucket) aggregate: no row is copied to a neighbouring
+bucket, so a bucket may be as narrow as a dense pair needs, whatever the rule's
+length. Rows meet the flagged instants in a join, which Spark broadcasts when
+they are few and splits by size when they are skewed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions.frames import floor_div
 from faultline.functions.timecols import US_PER_DAY, US_PER_MINUTE
 from faultline.operators.joins import join_small
 
+TARGET_ROWS = 1_000_000     # sweep rows per (TAG, Alarme, bucket)
 
-def dedupe_rules(rules: DataFrame) -> DataFrame:
-    """Most restrictive rule per alarm: lowest QTD, then lowest TEMPO."""
-    return (rules.where(F.col("EVENTO").isNotNull())
-                 .groupBy(F.col("EVENTO").cast("string").alias("EVENTO"))
-                 .agg(F.min(F.struct(F.col("QTD").cast("int").alias("QTD"),
-                                     F.col("TEMPO").cast("int").alias("TEMPO"))).alias("r"))
-                 .select("EVENTO", "r.QTD", "r.TEMPO"))
+
+def _parsed(rules: DataFrame) -> DataFrame:
+    return rules.select(F.col("EVENTO").cast("string").alias("EVENTO"),
+                        F.expr("try_cast(QTD as int)").alias("QTD"),
+                        F.expr("try_cast(TEMPO as int)").alias("TEMPO"))
+
+
+def _usable() -> Column:
+    return F.col("EVENTO").isNotNull() & F.col("QTD").isNotNull() & (F.coalesce(F.col("TEMPO"), F.lit(0)) > 0)
 
 
-MAX_FRAME_LENGTHS = 16
+def dedupe_rules(rules: DataFrame) -> DataFrame:
+    """Most restrictive rule per alarm: lowest QTD, then lowest TEMPO. Rules
+    without alarm, count or a positive length are rejected first, so a missing
+    length never stands before a given one."""
+    return (_parsed(rules).where(_usable()).groupBy("EVENTO")
+            .agg(F.min(F.struct("QTD", "TEMPO")).alias("r")).select("EVENTO", "r.QTD", "r.TEMPO"))
+
+
+def rule_rejects(rules: DataFrame) -> DataFrame:
+    """One row: rules given, rules rejected (no alarm, no count, no positive
+    length) and rules dropped as less restrictive doubles."""
+    r = _parsed(rules)
+    return r.agg(F.count(F.lit(1)).alias("n_rules"), F.count_if(~_usable()).alias("rejected"),
+                 (F.count_if(_usable()) - F.count_distinct(F.when(_usable(), F.col("EVENTO")))).alias("doubles"))
+
+
+def bucket_width(tele: DataFrame, keys: list[str], u: str, target_rows: int = TARGET_ROWS) -> int:
+    """A bucket width that gives the densest key about ``target_rows`` rows a
+    bucket: one aggregation over (key, day); one number reaches the driver."""
+    per_day = (tele.where(F.col(u).isNotNull()).groupBy(*keys, floor_div(F.col(u), US_PER_DAY).alias("_d"))
+               .agg(F.count(F.lit(1)).alias("_n")))
+    peak = per_day.agg(F.max("_n")).first()[0] or 1
+    return max(1, min(30 * US_PER_DAY, US_PER_DAY * target_rows // peak))
+
+
+def _swept(rows: DataFrame, keys: list[str], bucket_us: int) -> DataFrame:
+    """``rows`` (keys, _t, _d, ...) with their bucket, plus one carry row per
+    bucket: the sum of ``_d`` over all earlier buckets of the key, placed just
+    before the bucket."""
+    b = rows.withColumn("_bk", floor_div(F.col("_t"), bucket_us))
+    w = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (b.groupBy(*keys, "_bk").agg(F.sum("_d").cast("long").alias("_total"))
+             .select(*keys, "_bk", F.coalesce(F.sum("_total").over(w), F.lit(0)).cast("long").alias("_d"))
+             .withColumn("_t", F.col("_bk") * F.lit(int(bucket_us)) - F.lit(1)))
+    return b.unionByName(carry, allowMissingColumns=True)
 
 
 def apply_rules(tele: DataFrame, rules: DataFrame, *, u: str = "ts_us",
-                flag: str = "Is_Dont_Go_derived", bucket_us: int = US_PER_DAY,
-                max_rules: int = 100_000, method: str = "auto", ties: str = "range",
+                flag: str = "Is_Dont_Go_derived", bucket_us: int | None = None,
+                max_rules: int = 100_000, ties: str = "range",
                 tiebreak: str | None = None) -> DataFrame:
-    """Every input row plus ``flag`` (0/1). Rows without TAG, alarm, instant
-    or rule get 0. The rule table is broadcast only after its row count is
-    checked against ``max_rules``.
+    """Every input row plus ``flag`` (0/1, never null). Rows without TAG,
+    alarm, instant or usable rule get 0. The rule table is broadcast only after
+    its row count is checked against ``max_rules``.
 
-    ``method``: "frames" evaluates one growing-frame difference per distinct
-    rule length (no expiry rows: about half the rows of the sweep), "sweep"
-    the sweep line (any number of lengths), "auto" frames when the rule table
-    has at most 16 distinct lengths.
+    ``bucket_us``: width of the time buckets; by default from the density of
+    the densest TAG (``bucket_width``). The result does not depend on it.
 
     ``ties``: "range" counts every event at the same instant (order-free);
     "row" counts tied events in (instant, ``tiebreak``) order, 1, 2, 3."""
@@ -52,79 +93,41 @@ def apply_rules(tele: DataFrame, rules: DataFrame, *, u: str = "ts_us",
         raise ValueError("ties must be 'range' or 'row'")
     if ties == "row" and tiebreak is None:
         raise ValueError("ties='row' needs a tiebreak column")
+    width = int(bucket_us or bucket_width(tele, ["TAG"], u))
     r = dedupe_rules(rules).select(F.col("EVENTO").alias("_ev"), F.col("QTD").alias("_qty"),
                                    (F.col("TEMPO").cast("long") * F.lit(US_PER_MINUTE)).alias("_w"))
-    base_cols = tele.columns
-    j = join_small(tele, r, F.col("Alarme") == F.col("_ev"), "left", max_rows=max_rules)
-    ruled_cond = (F.col("TAG").isNotNull() & F.col("Alarme").isNotNull() & F.col(u).isNotNull()
-                  & F.col("_w").isNotNull() & F.col("_qty").isNotNull())
-    ruled = j.where(ruled_cond)
-    unruled = j.where(~ruled_cond).select(*base_cols, F.lit(0).alias(flag))
-
-    if method in ("auto", "frames"):
-        # bounded: the rule table passed the row check above
-        lengths = sorted({row["_w"] for row in r.select("_w").distinct().limit(MAX_FRAME_LENGTHS + 1).collect()
-                          if row["_w"] is not None})
-        if method == "frames" or len(lengths) <= MAX_FRAME_LENGTHS:
-            return _frames(ruled, base_cols, u, flag, bucket_us, lengths, ties, tiebreak).unionByName(unruled)
-    return _sweep(ruled, base_cols, u, flag, bucket_us, ties, tiebreak).unionByName(unruled)
-
-
-def _frames(ruled: DataFrame, base_cols: list[str], u: str, flag: str, bucket_us: int,
-            lengths: list[int], ties: str = "range", tiebreak: str | None = None) -> DataFrame:
-    """count(t - w, t] = G(0) - G(-w) for the row's own w, with one growing
-    frame per distinct w; halo copies up to the row's w."""
-    B = int(bucket_us)
-    uc = F.col(u).cast("long")
-    home = floor_div(uc, B)
-    rows = (ruled.withColumn("_home_bk", home)
-                 .withColumn("_bk", F.explode(F.sequence(home, floor_div(uc + F.col("_w"), B))))
-                 .withColumn("_out", F.col("_bk") == F.col("_home_bk")))
-    payload = [F.when(F.col("_out"), F.col(c)).alias(c) if c not in ("TAG", "Alarme") else F.col(c)
-               for c in base_cols]
-    tb = [F.col(tiebreak).alias("_tb")] if ties == "row" else []
-    rows = rows.select(*payload, uc.alias("_t"), "_bk", "_w", "_qty", "_out", *tb)
-    w = Window.partitionBy("TAG", "Alarme", "_bk").orderBy("_t")
-    one = F.lit(1)
-    if ties == "row":
-        total = F.sum(one).over(Window.partitionBy("TAG", "Alarme", "_bk").orderBy("_t", "_tb")
-                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    t = tele.where(F.col("TAG").isNotNull() & F.col(u).isNotNull())
+    order = [F.col(tiebreak).alias("_tb")] if ties == "row" else []
+    at = t.select("TAG", "Alarme", F.col(u).cast("long").alias("_t"), *order)
+    if ties == "range":
+        at = at.groupBy("TAG", "Alarme", "_t").agg(F.count(F.lit(1)).alias("_n"))
     else:
-        total = F.sum(one).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    count = None
-    for length in lengths:
-        before = F.coalesce(F.sum(one).over(w.rangeBetween(Window.unboundedPreceding, -int(length))), F.lit(0))
-        count = (F.when(F.col("_w") == F.lit(int(length)), total - before) if count is None
-                 else count.when(F.col("_w") == F.lit(int(length)), total - before))
-    return (rows.select(*base_cols, "_out", (count >= F.col("_qty")).cast("int").alias(flag))
-                .where(F.col("_out")).drop("_out"))
-
-
-def _sweep(ruled: DataFrame, base_cols: list[str], u: str, flag: str, bucket_us: int,
-           ties: str = "range", tiebreak: str | None = None) -> DataFrame:
-    B = int(bucket_us)
-    uc = F.col(u).cast("long")
-    home = floor_div(uc, B)
-    sweep = (ruled.withColumn("_home_bk", home)
-                  .withColumn("_bk", F.explode(F.sequence(home, floor_div(uc + F.col("_w"), B))))
-                  .withColumn("_arrive", F.explode(F.array(F.lit(True), F.lit(False))))
-                  .withColumn("_t", F.when(F.col("_arrive"), uc).otherwise(uc + F.col("_w")))
-                  .withColumn("_d", F.when(F.col("_arrive"), F.lit(1)).otherwise(F.lit(-1))))
-    # only the home arrival row is output; halo and expiry rows carry no payload
-    keep_payload = F.col("_arrive") & (F.col("_bk") == F.col("_home_bk"))
-    payload = [F.when(keep_payload, F.col(c)).alias(c) if c not in ("TAG", "Alarme") else F.col(c)
-               for c in base_cols]
-    tb = [F.col(tiebreak).alias("_tb")] if ties == "row" else []
-    sweep = sweep.select(*payload, "_bk", "_t", "_d", "_qty", keep_payload.alias("_out"), *tb)
+        at = at.withColumn("_n", F.lit(1).cast("long"))
+    ruled = join_small(at, r, F.col("Alarme") == F.col("_ev"), "inner", max_rows=max_rules).drop("_ev")
+    keys = ["TAG", "Alarme"]
+    both = ruled.withColumn("_arrive", F.explode(F.array(F.lit(True), F.lit(False))))
+    sweep = both.select(*keys, F.when(F.col("_arrive"), F.col("_t")).otherwise(F.col("_t") + F.col("_w")).alias("_t"),
+                        F.when(F.col("_arrive"), F.col("_n")).otherwise(-F.col("_n")).alias("_d"),
+                        "_qty", "_arrive", *[c for c in ("_tb",) if ties == "row"])
+    sweep = _swept(sweep, keys, width)
+    part = Window.partitionBy(*keys, "_bk")
     if ties == "row":
-        w = (Window.partitionBy("TAG", "Alarme", "_bk").orderBy("_t", "_d", "_tb")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        # expiries (-1) stand before arrivals (+1) of the same instant
+        running = F.sum("_d").over(part.orderBy("_t", "_d", "_tb").rowsBetween(Window.unboundedPreceding, 0))
     else:
-        w = (Window.partitionBy("TAG", "Alarme", "_bk").orderBy("_t", "_d")
-             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    running = F.sum("_d").over(w)
-    return (sweep.select(*base_cols, "_out", (running >= F.col("_qty")).cast("int").alias(flag))
-                 .where(F.col("_out")).drop("_out"))
+        running = F.sum("_d").over(part.orderBy("_t").rangeBetween(Window.unboundedPreceding, 0))
+    flagged = (sweep.withColumn("_run", running)
+               .where(F.coalesce(F.col("_arrive"), F.lit(False)) & (F.col("_run") >= F.col("_qty"))))
+    on = (F.col("TAG") == F.col("_k1")) & (F.col("Alarme") == F.col("_k2")) & (F.col(u).cast("long") == F.col("_k3"))
+    named = [F.col("TAG").alias("_k1"), F.col("Alarme").alias("_k2"), F.col("_t").alias("_k3")]
+    if ties == "row":
+        named.append(F.col("_tb").alias("_k4"))
+        on = on & F.col(tiebreak).eqNullSafe(F.col("_k4"))
+    found = flagged.select(*named, F.lit(1).alias("_hit"))
+    if ties == "row":
+        found = found.distinct()  # equal (instant, tiebreak) rows are one position
+    return (tele.join(found, on, "left")
+            .select(*tele.columns, F.coalesce(F.col("_hit"), F.lit(0)).cast("int").alias(flag)))
 
 
 def compare_signals(df: DataFrame, actual: str = "Is_Dont_Go",

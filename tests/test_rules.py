@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from faultline.operators.rules import apply_rules, compare_signals, dedupe_rules
+from faultline.operators.rules import apply_rules, compare_signals, dedupe_rules, rule_rejects
 from faultline.sources.schema import RULES_SCHEMA
 from helpers import MIN, T0
 
@@ -23,9 +23,8 @@ def test_dedupe_keeps_most_restrictive(spark):
     assert got == {"AL01": (3, 30), "AL02": (1, 5)}
 
 
-@pytest.mark.parametrize("method", ["sweep", "frames"])
 @pytest.mark.parametrize("bucket_min", [7, 30, 24 * 60])
-def test_e5_rule_windows(spark, bucket_min, method):
+def test_e5_rule_windows(spark, bucket_min):
     rows = []
     groups = {"A": [0, 10, 20], "B": [0, 10], "C": [0, 40, 80], "D": [0, 15, 30]}
     i = 0
@@ -35,8 +34,7 @@ def test_e5_rule_windows(spark, bucket_min, method):
             i += 1
     rows.append((i, "A", "UNRULED", 5.0, 1))
     rows.append((i + 1, None, "AL01", 20.0, 0))
-    out = apply_rules(_tele(spark, rows), _rules(spark, [("AL01", 3, 30)]), bucket_us=bucket_min * MIN,
-                      method=method)
+    out = apply_rules(_tele(spark, rows), _rules(spark, [("AL01", 3, 30)]), bucket_us=bucket_min * MIN)
     got = {r["event_id"]: r["Is_Dont_Go_derived"] for r in out.collect()}
     assert len(got) == len(rows)
     assert [got[k] for k in range(0, 3)] == [0, 0, 1]
@@ -46,11 +44,10 @@ def test_e5_rule_windows(spark, bucket_min, method):
     assert got[11] == 0 and got[12] == 0
 
 
-@pytest.mark.parametrize("method", ["sweep", "frames"])
-def test_peer_inclusive_ties(spark, method):
+def test_peer_inclusive_ties(spark):
     rows = [(0, "A", "AL01", 0.0, 0), (1, "A", "AL01", 15.0, 0), (2, "A", "AL01", 15.0, 0),
             (3, "A", "AL01", 15.0, 0), (4, "A", "AL01", 30.0, 0)]
-    out = apply_rules(_tele(spark, rows), _rules(spark, [("AL01", 3, 15)]), method=method)
+    out = apply_rules(_tele(spark, rows), _rules(spark, [("AL01", 3, 15)]))
     got = {r["event_id"]: r["Is_Dont_Go_derived"] for r in out.collect()}
     assert [got[k] for k in range(5)] == [0, 1, 1, 1, 0]
 
@@ -72,15 +69,14 @@ def test_compare_signals(spark):
     assert r["precision"] == 0.0 and r["recall"] == 0.0
 
 
-@pytest.mark.parametrize("method", ["sweep", "frames"])
-def test_rules_match_brute_force_on_adapter(spark, method):
-    """Sweep line and frames vs a direct per-row count on sf0.001."""
+def test_rules_match_brute_force_on_adapter(spark):
+    """Sweep line vs a direct per-row count on sf0.001."""
     from faultline.sources import adapters as A
     from tests_support import SF_SMALL
     t = A.telemetry(spark, SF_SMALL).select("event_id", "TAG", "Alarme", "ts_us", "Is_Dont_Go")
     rules = A.rules(spark)
     got = {r["event_id"]: r["Is_Dont_Go_derived"]
-           for r in apply_rules(t, rules, bucket_us=60 * MIN, method=method).collect()}
+           for r in apply_rules(t, rules, bucket_us=60 * MIN).collect()}
     dd = {r["EVENTO"]: (r["QTD"], r["TEMPO"]) for r in dedupe_rules(rules).collect()}
     rows = t.collect()
     for r in rows:
@@ -102,13 +98,39 @@ def test_rules_stable_under_repartition(spark):
         assert sorted(tuple(r) for r in apply_rules(t.repartition(n), A.rules(spark)).collect()) == ref
 
 
-@pytest.mark.parametrize("method", ["sweep", "frames"])
-def test_row_ties(spark, method):
+def test_row_ties(spark):
     rows = [(0, "A", "AL01", 0.0, 0), (1, "A", "AL01", 15.0, 0), (2, "A", "AL01", 15.0, 0),
             (3, "A", "AL01", 15.0, 0), (4, "A", "AL01", 30.0, 0)]
     rules = _rules(spark, [("AL01", 2, 15)])
-    rng = {r["event_id"]: r["Is_Dont_Go_derived"] for r in apply_rules(_tele(spark, rows), rules, method=method).collect()}
+    rng = {r["event_id"]: r["Is_Dont_Go_derived"] for r in apply_rules(_tele(spark, rows), rules).collect()}
     row = {r["event_id"]: r["Is_Dont_Go_derived"]
-           for r in apply_rules(_tele(spark, rows), rules, method=method, ties="row", tiebreak="event_id").collect()}
+           for r in apply_rules(_tele(spark, rows), rules, ties="row", tiebreak="event_id").collect()}
     assert [rng[k] for k in range(5)] == [0, 1, 1, 1, 0]
     assert [row[k] for k in range(5)] == [0, 0, 1, 1, 0]
+
+
+def test_missing_or_non_positive_lengths_are_rejected(spark):
+    rules = _rules(spark, [("AL01", 1, None), ("AL01", 1, 30), ("AL02", None, 5), ("AL03", 1, 0), ("AL04", 1, -5),
+                           (None, 1, 5), ("AL01", 2, 10)])
+    assert [tuple(r) for r in dedupe_rules(rules).collect()] == [("AL01", 1, 30)]
+    assert tuple(rule_rejects(rules).first()) == (7, 5, 1)
+
+
+def test_forty_lengths_leave_no_null_flag(spark):
+    rows = [(i, "A", f"AL{i % 40:02d}", float(i), 0) for i in range(200)]
+    rules = _rules(spark, [(f"AL{k:02d}", 1, 5 + k) for k in range(40)])
+    got = [r["Is_Dont_Go_derived"] for r in apply_rules(_tele(spark, rows), rules).collect()]
+    assert got == [1] * 200
+
+
+def test_length_far_beyond_the_bucket_makes_no_copies(spark):
+    """A 30-day rule over one-minute buckets."""
+    rows = [(0, "A", "AL01", 0.0, 0), (1, "A", "AL01", 29 * 1440.0, 0), (2, "A", "AL01", 31 * 1440.0, 0)]
+    out = apply_rules(_tele(spark, rows), _rules(spark, [("AL01", 2, 30 * 1440)]), bucket_us=MIN)
+    assert {r["event_id"]: r["Is_Dont_Go_derived"] for r in out.collect()} == {0: 0, 1: 1, 2: 1}
+
+
+def test_crowded_instant_is_one_row_of_the_sweep(spark):
+    rows = [(i, "A", "AL01", 5.0, 0) for i in range(500)]
+    out = apply_rules(_tele(spark, rows), _rules(spark, [("AL01", 500, 1)]))
+    assert [r["Is_Dont_Go_derived"] for r in out.collect()] == [1] * 500
