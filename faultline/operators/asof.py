@@ -17,16 +17,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.operators.timewin import DEFAULT_BUCKET_US, WindowSpecs, windowed
+from faultline.operators.timewin import WindowSpecs, windowed
 
 
 def asof_backward(left: DataFrame, right: DataFrame, *, keys: list[str], left_u: str,
                   right_start: str, right_end: str, value: str, out: str = "asof_value",
                   default: str | None = None, keep: list[str] = (),
-                  bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
-    """``left`` rows with non-null keys and instant, plus ``out``. Instants are
+                  bucket_us: int | None = None) -> DataFrame:
+    """Every ``left`` row (keys, ``left_u``, ``keep``) plus ``out``; a row
+    without key or instant matches nothing and gets ``default``. Instants are
     epoch-micro longs; the right key columns must carry the left names."""
     r = right.select(*[F.col(k) for k in keys], F.col(right_start).alias("_start"),
                      F.col(right_end).alias("_end"), F.col(value).alias("_value"))
     specs = WindowSpecs(states=r, state_name=out, state_default=default)
-    return windowed(left, keys, left_u, specs, keep=list(keep), bucket_us=bucket_us)
+    found = windowed(left, keys, left_u, specs, keep=list(keep), bucket_us=bucket_us)
+    whole = F.col(left_u).isNotNull()
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    rest = left.where(~whole).withColumn(out, F.lit(default).cast(found.schema[out].dataType))
+    return found.unionByName(rest.withColumn(left_u, F.col(left_u).cast("long")).select(*found.columns))

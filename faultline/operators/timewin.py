@@ -1,4 +1,4 @@
-"""Half-open time-range windows per key, at any key skew.
+"""Half-open time-range windows per key, for skewed keys.
 
 Spark's ``Window.partitionBy(key)`` puts every row of a key into one task, so
 one hot key (a third of the data, say) would make one task do a third of the
@@ -14,6 +14,12 @@ window runs per (key, bucket):
   per-(key, bucket) aggregate, rolled over the buckets of the key, and placed
   in front of the bucket's rows.
 
+Halo copies need buckets at least as wide as the longest frame. Where a key is
+so dense that such a bucket would still be too large for a task, or an instant
+holds very many rows, ``timewin_sweep`` takes over: it reduces rows to distinct
+instants and needs no copies, so its buckets may be as narrow as wanted. With
+``bucket_us=None`` the width follows from the densest key's rows per day.
+
 The result is one exchange on (key, bucket), one sort, one window operator.
 All frames are growing frames (unbounded preceding .. offset) so each is O(n)
 per partition; ranges come from differences of two of them.
@@ -33,8 +39,10 @@ from pyspark.sql import types as T
 
 from faultline.functions.frames import floor_div, upto
 from faultline.functions.timecols import US_PER_DAY, elapsed_minutes
+from faultline.operators.timewin_sweep import windowed_sweep
 
 DEFAULT_BUCKET_US = US_PER_DAY
+TARGET_ROWS = 2_000_000
 
 _EVENT, _INTERVAL, _CARRY = 0, 1, 2
 
@@ -65,16 +73,26 @@ class WindowSpecs:
 
 def windowed(ev: DataFrame, keys: list[str], u: str, specs: WindowSpecs, *,
              keep: list[str] = (), tiebreak: list[str] = (),
-             bucket_us: int = DEFAULT_BUCKET_US, ties: str = "range") -> DataFrame:
+             bucket_us: int | None = DEFAULT_BUCKET_US, ties: str = "range",
+             target_rows: int = TARGET_ROWS) -> DataFrame:
     """Compute ``specs`` for every row of ``ev`` with non-null keys and instant.
 
     ``u`` is a long column of epoch microseconds. Output: keys, ``u``, ``keep``
-    columns and one column per spec entry.
+    columns and one column per spec entry. ``bucket_us=None``: the width comes
+    from the data, about ``target_rows`` rows per (key, bucket) of the densest
+    key; below the longest frame, the sweep without halo copies takes over
+    (range ties; row ties keep the frame's width). Results are the same.
     """
     if ties not in ("range", "row"):
         raise ValueError("ties must be 'range' or 'row'")
-    B = int(bucket_us)
     keys = list(keys)
+    if bucket_us is None:
+        longest = max([s for _, s in [*specs.lookback.values(), *specs.forward.values()]], default=1)
+        width = suggest_bucket_us(ev, keys, u, 1, target_rows)
+        if width < longest and ties == "range":
+            return windowed_sweep(ev, keys, u, specs, keep=keep, tiebreak=tiebreak, bucket_us=width)
+        bucket_us = max(width, longest)
+    B = int(bucket_us)
     keep = [c for c in keep if c not in keys and c != u]
     tiebreak = list(tiebreak)
     passthrough = list(dict.fromkeys(keep + [c for c in tiebreak if c not in keys and c != u]))
@@ -251,10 +269,9 @@ def _carry_rows(rows: DataFrame, keys: list[str], B: int, since_cols: dict, firs
 
 
 def suggest_bucket_us(ev: DataFrame, keys: list[str], u: str, horizon_us: int,
-                      target_rows: int = 2_000_000, day_us: int = US_PER_DAY) -> int:
-    """A bucket width for ``windowed`` from the hottest key's density: about
-    ``target_rows`` rows per (key, bucket) task, never below the largest
-    frame span (at most three copies per row), never above 30 days.
+                      target_rows: int = TARGET_ROWS, day_us: int = US_PER_DAY) -> int:
+    """A bucket width from the hottest key's density: about ``target_rows`` rows
+    per (key, bucket) task, never below ``horizon_us``, never above 30 days.
 
     One aggregation job over (key, day) counts; only one number reaches the
     driver."""

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.timecols import US_PER_HOUR, US_PER_MINUTE, epoch_micros
-from faultline.operators.timewin import DEFAULT_BUCKET_US, WindowSpecs, windowed
+from faultline.operators.timewin import TARGET_ROWS, WindowSpecs, windowed
 from faultline.sources.schema import TRUCK, UNKNOWN_STATE, interval_key, time_column
 
 # --- fixed values -----------------------------------------------------------
@@ -65,7 +65,7 @@ def interval_frame(intervals: DataFrame) -> DataFrame:
 
 def build_features(tele: DataFrame, intervals: DataFrame | None = None, *,
                    keep: list[str] = (), tiebreak: list[str] = (),
-                   bucket_us: int = DEFAULT_BUCKET_US, ties: str = "range",
+                   bucket_us: int | None = None, ties: str = "range", target_rows: int = TARGET_ROWS,
                    include: set[str] | None = None) -> DataFrame:
     """Feature matrix, one row per telemetry row with a TAG and a timestamp.
 
@@ -91,7 +91,7 @@ def build_features(tele: DataFrame, intervals: DataFrame | None = None, *,
         specs.state_default = UNKNOWN_STATE
     tb = list(tiebreak) or [c for c in ("event_id",) if c in t.columns]
     out = windowed(t, ["TAG"], "ts_us", specs, keep=list(keep), tiebreak=tb,
-                   bucket_us=bucket_us, ties=ties)
+                   bucket_us=bucket_us, ties=ties, target_rows=target_rows)
     order = ["TAG", "ts_us"] + [c for c in keep if c not in ("TAG", "ts_us")] + \
         [c for c in FEATURE_COLS + ["current_state"] + LABEL_COLS if c in out.columns]
     return out.select(*order)
