@@ -3,10 +3,9 @@
 * confusion counts, precision / recall / F1 (zero denominators -> 0.0) in one
   pass; a threshold sweep evaluates every threshold in that same pass;
 * exact ROC-AUC and average precision (step-wise, as in common ML toolkits)
-  from a per-distinct-score table and a two-level prefix sum: score buckets
-  from approximate quantiles (a bounded list), bucket totals prefixed over
-  at most ``n_buckets`` rows, then a window per bucket. No unpartitioned
-  window over rows ever runs;
+  from a per-distinct-score table and a two-level prefix sum over range
+  partitions whose number follows the number of distinct scores. No
+  unpartitioned window over rows ever runs;
 * false-negative slices and recall by month for error analysis.
 """
 
@@ -24,6 +23,8 @@ REPORT_THRESHOLD = 0.7
 TIPO_KEYS = [("caminhao", 1), ("escavadeira", 0)]
 # -----------------------------------------------------------------------------
 
+PART_ROWS = 1_000_000   # distinct scores per range partition
+
 
 def _is(c: str | Column, v: int) -> Column:
     c = F.col(c) if isinstance(c, str) else c
@@ -86,39 +87,35 @@ def score_table(df: DataFrame, y: str = "y", score: str = "y_prob", pred: str |
               .agg(F.count_if(_is(y, 1)).alias("pos"), F.count_if(~_is(y, 1)).alias("neg")))
 
 
-def cumulative_by_score(st: DataFrame, n_buckets: int = 256, rel_err: float = 0.001) -> DataFrame:
+def cumulative_by_score(st: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """Add ``cum_pos`` / ``cum_neg``: totals over scores >= s.
 
-    Two-level prefix sum: quantile buckets of the distinct scores (at most
-    ``n_buckets`` boundaries reach the driver), per-bucket totals prefixed
-    over that bounded table, and a window per bucket for the rest."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = st.approxQuantile("s", probs, rel_err) if n_buckets > 1 else []
-    edges = sorted(set(q for q in qs if q is not None))
-    # bucket index = number of edges strictly below s (monotone in s)
-    b = F.lit(0)
-    if edges:
-        arr = F.array(*[F.lit(float(e)) for e in edges])
-        b = F.size(F.filter(arr, lambda e: e < F.col("s")))
-    sb = st.withColumn("_b", b)
-    tot = sb.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    # bounded: at most len(edges) + 1 rows
-    wt = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    Two-level prefix sum: the per-score table is range-partitioned on the score
+    (one partition per ``part_rows`` distinct scores, so the parallelism grows
+    with the table), partition totals are prefixed over one row a partition,
+    and a window per partition does the rest. The partitioned table is
+    checkpointed, so both levels see the same partitions."""
+    from faultline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(st.sparkSession)
+    n = max(1, -(-st.count() // part_rows))
+    part = st.repartitionByRange(n, F.col("s").desc()).withColumn("_b", F.spark_partition_id()).checkpoint()
+    tot = part.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
+    # one row per partition of part_rows scores
+    wt = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_b", F.coalesce(F.sum("_bp").over(wt), F.lit(0)).alias("_op"),
                      F.coalesce(F.sum("_bn").over(wt), F.lit(0)).alias("_on"))
     wb = (Window.partitionBy("_b").orderBy(F.col("s").desc())
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    j = sb.join(F.broadcast(off), "_b")
-    return j.select("s", "pos", "neg",
-                    (F.col("_op") + F.sum("pos").over(wb)).alias("cum_pos"),
-                    (F.col("_on") + F.sum("neg").over(wb)).alias("cum_neg"))
+    return part.join(F.broadcast(off), "_b").select(
+        "s", "pos", "neg", (F.col("_op") + F.sum("pos").over(wb)).alias("cum_pos"),
+        (F.col("_on") + F.sum("neg").over(wb)).alias("cum_neg"))
 
 
 def ranking_metrics(df: DataFrame, y: str = "y", score: str = "y_prob",
-                    n_buckets: int = 256) -> DataFrame:
+                    part_rows: int = PART_ROWS) -> DataFrame:
     """One row: n_pos, n_neg, auc_roc, auc_pr (average precision). Both AUCs
     are 0.0 when only one class is present."""
-    return ranking_from_scores(materialized_scores(df, y, score), n_buckets)
+    return ranking_from_scores(materialized_scores(df, y, score), part_rows)
 
 
 def confusion_from_scores(st: DataFrame, threshold: float | None = None) -> DataFrame:
@@ -132,10 +129,10 @@ def confusion_from_scores(st: DataFrame, threshold: float | None = None) -> Data
                   F.coalesce(F.sum(F.when(~hi, F.col("neg"))), z).cast("long").alias("tn"))
 
 
-def ranking_from_scores(st: DataFrame, n_buckets: int = 256) -> DataFrame:
+def ranking_from_scores(st: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     if "p" in st.columns:
         st = st.groupBy("s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    cum = cumulative_by_score(st, n_buckets)
+    cum = cumulative_by_score(st, part_rows)
     parts = cum.agg(
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
         F.sum(F.col("neg").cast("double") * ((F.col("cum_pos") - F.col("pos")).cast("double")
@@ -164,7 +161,7 @@ def materialized_scores(df: DataFrame, y: str = "y", score: str = "y_prob",
 
 def classification_report(df: DataFrame, y: str = "y", score: str = "y_prob",
                           threshold: float | None = 0.5, pred: str | None = None,
-                          n_buckets: int = 256) -> DataFrame:
+                          part_rows: int = PART_ROWS) -> DataFrame:
     """One row: confusion counts, precision, recall, f1 (prediction = score >=
     threshold, or the ``pred`` column) and the two ranking metrics, all from
     one pass over the rows."""
@@ -172,7 +169,7 @@ def classification_report(df: DataFrame, y: str = "y", score: str = "y_prob",
     cm = with_rates(confusion_from_scores(st, None if pred else threshold))
     if threshold is not None and not pred:
         cm = cm.withColumn("threshold", F.lit(float(threshold)))
-    return one_row_merge(cm, ranking_from_scores(st, n_buckets))
+    return one_row_merge(cm, ranking_from_scores(st, part_rows))
 
 
 def one_row_merge(a: DataFrame, b: DataFrame) -> DataFrame:

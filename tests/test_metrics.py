@@ -11,9 +11,9 @@ def _e7(spark):
     return spark.createDataFrame([(0.9, 1), (0.8, 0), (0.7, 1), (0.6, 0), (0.5, 1), (0.5, 0)], "y_prob double, y int")
 
 
-@pytest.mark.parametrize("n_buckets", [1, 2, 4, 256])
-def test_e7_ranking(spark, n_buckets):
-    r = M.ranking_metrics(_e7(spark), n_buckets=n_buckets).first()
+@pytest.mark.parametrize("part_rows", [1, 2, 4, 256])
+def test_e7_ranking(spark, part_rows):
+    r = M.ranking_metrics(_e7(spark), part_rows=part_rows).first()
     assert r["auc_pr"] == pytest.approx(0.722222, abs=1e-6)
     assert r["auc_roc"] == pytest.approx(0.611111, abs=1e-6)
 
@@ -53,7 +53,7 @@ def test_ranking_vs_brute_force(spark, seed):
     rnd = random.Random(seed)
     pairs = [(round(rnd.random(), 2), int(rnd.random() < 0.3)) for _ in range(400)]
     auc, ap = _brute(pairs)
-    r = M.ranking_metrics(spark.createDataFrame(pairs, "y_prob double, y int"), n_buckets=8).first()
+    r = M.ranking_metrics(spark.createDataFrame(pairs, "y_prob double, y int"), part_rows=8).first()
     assert r["auc_roc"] == pytest.approx(auc, abs=1e-6)
     assert r["auc_pr"] == pytest.approx(ap, abs=1e-6)
 
@@ -96,5 +96,5 @@ def test_ranking_stable_under_repartition(spark):
     s = A.scored(spark, SF_SMALL)
     ref = M.ranking_metrics(s).first()
     for n in (1, 11):
-        r = M.ranking_metrics(s.repartition(n), n_buckets=5).first()
+        r = M.ranking_metrics(s.repartition(n), part_rows=5).first()
         assert (r["auc_roc"], r["auc_pr"], r["n_pos"]) == (ref["auc_roc"], ref["auc_pr"], ref["n_pos"])
