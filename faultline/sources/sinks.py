@@ -10,18 +10,30 @@ from pyspark.sql import functions as F
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   sort_within: list[str] | None = None, mode: str = "overwrite") -> None:
-    """Parquet; sorting within partitions by time keeps row-group min/max
-    tight, so later time filters prune row groups."""
+    """Parquet. ``sort_within`` orders the rows of each file: the partition
+    columns stand first in the sort, as the writer would otherwise sort by them
+    alone and lose the order. Sorted files keep row-group min/max tight, so
+    later time filters prune row groups."""
     if sort_within:
-        df = df.sortWithinPartitions(*sort_within)
+        df = df.sortWithinPartitions(*(partition_by or []), *sort_within)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+# microseconds; the writer's own pattern would cut instants to milliseconds
+_CSV = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**_CSV).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What ``write_csv`` wrote, instants in full."""
+    return spark.read.schema(schema).options(**_CSV).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -3,6 +3,7 @@ table, with the existence and schema checks done before any data is read."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +11,14 @@ from faultline.sources.schema import (INTERVAL_SCHEMA, MONTHS, RULES_SCHEMA, Sch
                                       check_schema, interval_key)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """The file's frame (footers only); FileNotFoundError when there is none."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"Missing file: {path}") from e
+        raise
 
 
 def union_months(frames: dict[str, DataFrame], check_types: bool = True) -> DataFrame:
@@ -39,9 +43,7 @@ def load_telemetry(spark: SparkSession, data_dir: str, months=MONTHS,
     frames = {}
     for m in months:
         path = f"{data_dir.rstrip('/')}/{pattern.format(month=m)}"
-        if not _exists(spark, path):
-            raise FileNotFoundError(f"Missing file: {path}")
-        frames[m] = spark.read.parquet(path)
+        frames[m] = _read(spark, path)
     return union_months(frames, check_types=check_types)
 
 
