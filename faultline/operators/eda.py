@@ -4,7 +4,7 @@ figures; no drawing)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions.frames import floor_div
@@ -36,7 +36,11 @@ def daily_sum(df: DataFrame, u: str, flag: str, by: list[str] = ()) -> DataFrame
                  .agg(F.sum(F.col(flag).cast("long")).alias("total")))
     span = per_day.groupBy(*by).agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     cal = span.select(*by, F.explode(F.sequence("lo", "hi")).alias("day"))
-    return (cal.join(per_day, by + ["day"], "left")
+    found = per_day.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("day").alias("_day"), "total")
+    on = F.col("day") == F.col("_day")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_by_{c}"))  # a null group is a group
+    return (cal.join(found, on, "left")
                .select(*by, (F.col("day") * F.lit(US_PER_DAY)).alias("day_us"),
                        F.coalesce(F.col("total"), F.lit(0)).cast("long").alias("total")))
 
@@ -80,29 +84,23 @@ def label_correlation(df: DataFrame, features: list[str], label: str) -> DataFra
         rows.append(F.struct(F.lit(c).alias("feature"),
                              F.when(ok, F.round(F.col(f"{c}__cov") / (F.col(f"{c}__sx") * F.col("__sy")), 6))
                               .alias("corr")))
-    return wide.select(F.inline(F.array(*rows)))
+    return wide.select(F.inline(F.array(*rows))).orderBy("corr", "feature")
 
 
 def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
     """Equal-width histogram per column between its min and max: column,
     bin (0..bins-1, the max falls in the last bin), lo, hi, count. Empty bins
-    are omitted. Two passes in total: one for all bounds (two numbers per
-    column reach the driver), one that bins every column at once."""
-    rng = df.agg(*[F.min(F.col(c).cast("double")).alias(f"{c}__lo") for c in cols],
-                 *[F.max(F.col(c).cast("double")).alias(f"{c}__hi") for c in cols]).first()
-    entries = []
-    for c in cols:
-        lo, hi = rng[f"{c}__lo"], rng[f"{c}__hi"]
-        if lo is None:
-            continue
-        width = (hi - lo) / bins if hi > lo else 1.0
-        x = F.col(c).cast("double")
-        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-        entries.append(F.struct(F.lit(c).alias("column"), b.alias("bin"), F.lit(lo).alias("_lo"),
-                                F.lit(width).alias("_w")))
-    if not entries:
-        return df.sparkSession.createDataFrame([], "column string, bin int, lo double, hi double, count bigint")
-    exploded = df.select(F.inline(F.array(*entries))).where(F.col("bin").isNotNull())
-    h = exploded.groupBy("column", "bin", "_lo", "_w").agg(F.count(F.lit(1)).alias("count"))
+    are omitted. One lazy pass over the rows: they are counted per distinct
+    (column, value) first, and bounds and bins come from that table."""
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])
+    values = (df.select(F.inline(each)).where(F.col("x").isNotNull())
+              .groupBy("column", "x").agg(F.count(F.lit(1)).alias("n")))
+    # bounds by a window over the distinct values of each column
+    w = Window.partitionBy("column")
+    lo, hi = F.min("x").over(w), F.max("x").over(w)
+    v = (values.withColumn("_lo", lo)
+               .withColumn("_w", F.when(hi > lo, (hi - lo) / F.lit(float(bins))).otherwise(F.lit(1.0))))
+    b = F.least(F.floor((F.col("x") - F.col("_lo")) / F.col("_w")), F.lit(bins - 1)).cast("int")
+    h = v.groupBy("column", b.alias("bin"), "_lo", "_w").agg(F.sum("n").alias("count"))
     return h.select("column", "bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("lo"),
                     (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("hi"), "count")

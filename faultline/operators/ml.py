@@ -78,6 +78,12 @@ def feature_importances(spark: SparkSession, model: PipelineModel, features: lis
 
 # --- baselines -------------------------------------------------------------------
 
+def label_counts(train: DataFrame, label: str) -> dict:
+    """{n_pos, n_neg} of a 0/1 label, from one aggregate."""
+    return train.agg(F.count_if(F.coalesce(F.col(label) == 1, F.lit(False))).alias("n_pos"),
+                     F.count_if(F.coalesce(F.col(label) == 0, F.lit(False))).alias("n_neg")).first().asDict()
+
+
 def majority_class(train: DataFrame, label: str) -> int:
     """Most frequent label on train (ties -> 0, the smaller class value)."""
     r = train.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()

@@ -103,25 +103,28 @@ def tag_mismatch(tele: DataFrame, intervals: DataFrame, tele_key: str = "TAG",
 
 
 def duplicate_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Rows beyond the first copy of each distinct row (partial aggregation
-    on the full row, so hot duplicates are combined map-side)."""
+    """Rows beyond the first copy of each distinct row. Only a 128-bit digest
+    of the row is shuffled, and hot duplicates are combined before that."""
     cols = cols or df.columns
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    # every value with its length (a null has none), so no two rows spell alike
+    spelled = F.concat(*[F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"),
+                                             F.col(c).cast("string")), F.lit("-")) for c in cols])
+    g = df.groupBy(F.unhex(F.md5(spelled)).alias("_row")).agg(F.count(F.lit(1)).alias("_n"))
     return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"),
                  F.count(F.lit(1)).alias("distinct_rows"))
 
 
 def timestamp_gaps(df: DataFrame, u: str = "ts_us", month_col: str = "_source_month",
                    unit_us: int = US_PER_HOUR) -> DataFrame:
-    """Runs of empty time units (hours by default) between observed ones,
-    per source month: month, gap_start_us, gap_end_us (exclusive), missing.
-
-    The data is first reduced to distinct (month, unit) pairs by a partial
-    aggregate, so the ordered step runs on at most (time span / unit) rows."""
-    units = (df.where(F.col(u).isNotNull())
-               .select(F.col(month_col), floor_div(F.col(u), unit_us).alias("_h")).distinct())
-    w = Window.partitionBy(month_col).orderBy("_h")
-    nxt = F.lead("_h").over(w)
+    """Runs of empty time units (hours by default) between observed ones, over
+    the whole time line, so a gap across a month boundary is one gap: month (of
+    the last unit before it), gap_start_us, gap_end_us (exclusive), missing.
+
+    The data is first reduced to distinct units by a partial aggregate; the
+    ordered step runs on one row per unit of the time span (8,766 a year)."""
+    units = (df.where(F.col(u).isNotNull()).groupBy(floor_div(F.col(u), unit_us).alias("_h"))
+             .agg(F.max(month_col).alias(month_col)))
+    nxt = F.lead("_h").over(Window.orderBy("_h"))
     return (units.select(month_col, "_h", nxt.alias("_next"))
                  .where(F.col("_next") - F.col("_h") > 1)
                  .select(month_col,
@@ -141,3 +144,27 @@ def quality_report(raw: DataFrame) -> DataFrame:
                           F.concat(F.lit("  NULL string -> null (Valor): "), F.col("valor_null_fixed").cast("string")),
                           F.concat(F.lit("  Decimal separator fixed: "), F.col("decimal_fixed").cast("string")))
     return rep.withColumn("summary", summary)
+
+
+def full_quality_report(raw: DataFrame, intervals: DataFrame, u: str = "ts_us",
+                        month_col: str = "_source_month") -> DataFrame:
+    """One row: the cleaning counters, TAGs without intervals, duplicate rows,
+    gaps in the time line, inverted intervals and a text summary."""
+    parts = [quality_counts(raw).select("n_rows", "criticidade_fixed", "null_string_fixed", "valor_null_fixed",
+                                        "decimal_fixed", "valor_rejected"),
+             tag_mismatch(raw, intervals).agg(F.count(F.lit(1)).alias("tag_mismatches")),
+             duplicate_rows(raw).select("duplicate_rows"),
+             timestamp_gaps(raw, u, month_col).agg(F.count(F.lit(1)).alias("timestamp_gaps")),
+             inverted_intervals(intervals).select(F.col("inicio_after_fim").alias("inverted_intervals"))]
+    names = [c for p in parts for c in p.columns]
+    one = parts[0]
+    for p in parts[1:]:
+        one = one.unionByName(p, allowMissingColumns=True)
+    one = one.agg(*[F.max(c).alias(c) for c in names])  # one row per part, each column in one of them
+    lines = [("Telemetry rows: ", "n_rows"), ("  Criticidade encoding fixed: ", "criticidade_fixed"),
+             ("  NULL string -> null (Classe): ", "null_string_fixed"),
+             ("  NULL string -> null (Valor): ", "valor_null_fixed"), ("  Decimal separator fixed: ", "decimal_fixed"),
+             ("  TAGs without intervals: ", "tag_mismatches"), ("  Duplicate rows: ", "duplicate_rows"),
+             ("  Gaps in the time line: ", "timestamp_gaps"), ("  Inverted intervals: ", "inverted_intervals")]
+    return one.withColumn("summary", F.concat_ws("\n", *[F.concat(F.lit(t), F.col(c).cast("string"))
+                                                         for t, c in lines]))

@@ -7,6 +7,8 @@ train share 0.8; seed 42. Cut points are parameters for other data.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,10 +101,10 @@ def split_or_fallback(df: DataFrame, u: str = "ts_us", tiebreak: str = "event_id
 
 
 def hash_fraction(cols: list[str], seed: int = SEED) -> Column:
-    """A uniform value in [0, 1) from a seeded hash of ``cols``: the same on
-    every run and every partitioning."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(1_000_000)).cast("double") \
-        / F.lit(1_000_000.0)
+    """A uniform value in [0, 1), in steps of 2^-52, from the MD5 digest of the
+    seed and ``cols``: the same on every run, partitioning and engine."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def seeded_sample(df: DataFrame, fraction: float, key: list[str], seed: int = SEED) -> DataFrame:
@@ -110,8 +112,17 @@ def seeded_sample(df: DataFrame, fraction: float, key: list[str], seed: int = SE
     return df.where(hash_fraction(key, seed) < F.lit(float(fraction)))
 
 
-def fixed_size_sample(df: DataFrame, n: int, key: list[str], seed: int = SEED) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows: the n smallest seeded hashes (a top-k,
-    so Spark keeps only n rows per task before the final merge)."""
-    return (df.withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(c) for c in key]))
-              .orderBy("_h", *key).limit(n).drop("_h"))
+def fixed_size_sample(df: DataFrame, n: int, key: list[str], seed: int = SEED,
+                      n_rows: int | None = None) -> DataFrame:
+    """``min(n, rows)`` rows: the n smallest seeded hashes, ties by key.
+
+    A plain top-k would send up to n rows from every task to one; so rows above
+    a hash threshold are dropped first. The threshold lets n + 10 sqrt(n) + 100
+    rows through on average, so about that many rows meet in the merge, at any
+    number of tasks (that fewer than n pass is a ten-sigma event). ``n_rows``:
+    the row count, where the caller knows it; else it is counted."""
+    total = df.count() if n_rows is None else n_rows
+    h = hash_fraction(key, seed)
+    if total > n:
+        df = df.where(h < F.lit((n + 10 * math.sqrt(n) + 100) / total))
+    return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")

@@ -76,3 +76,27 @@ def test_calendar_fill_per_group(spark):
     df = spark.createDataFrame([("A", 1 * DAY, 1), ("A", 4 * DAY, 2), ("B", 2 * DAY, 0)], "TAG string, ts_us long, flag int")
     got = sorted((r["TAG"], r["day_us"] // DAY, r["total"]) for r in eda.daily_sum(df, "ts_us", "flag", by=["TAG"]).collect())
     assert got == [("A", 1, 1), ("A", 2, 0), ("A", 3, 0), ("A", 4, 2), ("B", 2, 0)]
+
+
+def test_daily_series_of_a_null_group_keeps_its_totals(spark):
+    df = spark.createDataFrame([(None, 0, 1), (None, 2 * DAY, 1), ("a", 0, 0)], "TAG string, ts_us long, flag int")
+    got = {(r["TAG"], r["day_us"] // DAY): r["total"] for r in eda.daily_sum(df, "ts_us", "flag", by=["TAG"]).collect()}
+    assert got == {(None, 0): 1, (None, 1): 0, (None, 2): 1, ("a", 0): 0}
+
+
+def test_sample_has_its_size_at_any_partitioning(spark):
+    df = spark.range(20_000).withColumnRenamed("id", "k")
+    for n in (1, 500, 20_000, 30_000):
+        assert S.fixed_size_sample(df.repartition(5), n, ["k"]).count() == min(n, 20_000)
+
+
+def test_tiny_fractions_are_not_rounded_up(spark):
+    df = spark.range(200_000).withColumnRenamed("id", "k")
+    assert S.seeded_sample(df, 1e-9, ["k"]).count() == 0
+    assert 80 < S.seeded_sample(df, 5e-4, ["k"]).count() < 125
+
+
+def test_correlation_is_sorted(spark):
+    df = spark.createDataFrame([(i, -i, i * i % 7, i) for i in range(20)], "a int, b int, c int, y int")
+    got = [r["corr"] for r in eda.label_correlation(df, ["a", "b", "c"], "y").collect()]
+    assert got == sorted(got) and got[0] == -1.0 and got[-1] == 1.0

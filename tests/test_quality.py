@@ -65,5 +65,13 @@ def test_timestamp_gaps(spark):
     df = spark.createDataFrame([("jan", 0), ("jan", h), ("jan", 4 * h + 5), ("feb", 10 * h)],
                                "_source_month string, ts_us long")
     g = Q.timestamp_gaps(df).collect()
+    # the second gap runs over the month boundary
     assert [(r["_source_month"], r["gap_start_us"], r["gap_end_us"], r["missing_units"]) for r in g] == \
-        [("jan", 2 * h, 4 * h, 2)]
+        [("jan", 2 * h, 4 * h, 2), ("jan", 5 * h, 10 * h, 5)]
+
+
+def test_duplicate_rows_tell_nulls_and_borders_apart(spark):
+    df = spark.createDataFrame([("a", None), ("a", None), (None, "a"), ("ab", "c"), ("a", "bc"), ("-", None), (None, "-")],
+                               "x string, y string")
+    r = Q.duplicate_rows(df).first()
+    assert r["duplicate_rows"] == 1 and r["distinct_rows"] == 6
