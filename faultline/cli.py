@@ -42,7 +42,8 @@ def main(argv=None) -> int:
     r.add_argument("--rules-format", default="csv")
     f = sub.add_parser("features")
     f.add_argument("--out", required=True)
-    f.add_argument("--bucket-hours", type=float, default=24.0)
+    f.add_argument("--bucket-hours", type=float, default=None,
+                   help="width of the time buckets; by default from the data")
     m = sub.add_parser("model")
     m.add_argument("--out", required=True)
     m.add_argument("--family", default="gbt", choices=["gbt", "rf"])
@@ -70,7 +71,7 @@ def main(argv=None) -> int:
     elif a.stage == "features":
         clean = spark.read.parquet(f"{out}/cleaned_telemetry")
         iv = spark.read.parquet(f"{out}/cleaned_intervals")
-        stages.stage_features(clean, iv, out, bucket_us=int(a.bucket_hours * US_PER_HOUR))
+        stages.stage_features(clean, iv, out, bucket_us=int(a.bucket_hours * US_PER_HOUR) if a.bucket_hours else None)
     elif a.stage == "model":
         rows = stages.stage_model(spark, f"{out}/features", out, a.train_end, a.test_start, family=a.family)
         for row in rows.collect():

@@ -4,13 +4,14 @@ work grows with the data."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.functions.binning import right_closed_bin
-from faultline.functions.timecols import micros_to_ntz
+from faultline.functions.timecols import epoch_micros, micros_to_ntz
 from faultline.operators import eda, ml
 from faultline.operators import metrics as M
 from faultline.operators import quality as Q
@@ -18,10 +19,12 @@ from faultline.operators import rules as R
 from faultline.operators import split as S
 from faultline.plans import evaluation as EV
 from faultline.plans import oracle as O
+from faultline.plans import stages
 from faultline.session import ensure_checkpoint_dir
 from faultline.plans.features import FEATURE_COLS, LABEL_COLS, LOOKBACK_WINDOWS, build_features
 from faultline.sources import adapters as A
-from faultline.sources.telemetry import union_months
+from faultline.sources import sinks
+from faultline.sources.telemetry import load_intervals, load_rules, load_telemetry, union_months
 
 LOOKBACK_COLS = list(LOOKBACK_WINDOWS)
 
@@ -158,6 +161,43 @@ def tag_mismatch(spark, sf_dir):
     return Q.tag_mismatch(_tele(spark, sf_dir), A.intervals(spark, sf_dir))
 
 
+@register("tag_mismatch_inverted", O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, body="""
+select distinct TAG from telemetry where TAG is not null
+  and TAG not in (select Tag from intervals where Tag is not null and inicio_us > fim_us)"""))
+def tag_mismatch_inverted(spark, sf_dir):
+    """TAGs that appear in no inverted interval (a non-empty mismatch list)."""
+    return Q.tag_mismatch(_tele(spark, sf_dir), A.intervals(spark, sf_dir).where("inicio_us > fim_us"))
+
+
+@register("full_quality_report", O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, "parts AS (select " + _QC_SQL + r""",
+  count(*) filter (where replace(case when Valor = 'NULL' then null else Valor end, ',', '.') is not null
+     and not regexp_matches(replace(case when Valor = 'NULL' then null else Valor end, ',', '.'),
+                            '^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$')) as valor_rejected,
+  (select count(distinct TAG) from telemetry where TAG not in (select Tag from intervals where Tag is not null))
+    as tag_mismatches,
+  (select cast(count(*) - (select count(*) from (select distinct * from telemetry)) as bigint) from telemetry)
+    as duplicate_rows,
+  (select count(*) from (select h, lead(h) over (order by h) as nxt
+     from (select distinct cast(floor(ts_us / 3600000000) as bigint) as h from telemetry)) where nxt - h > 1)
+    as timestamp_gaps,
+  (select count(*) from intervals where inicio_us > fim_us) as inverted_intervals
+  from telemetry)""", body="""
+select *, concat_ws(chr(10),
+    'Telemetry rows: ' || cast(n_rows as varchar),
+    '  Criticidade encoding fixed: ' || cast(criticidade_fixed as varchar),
+    '  NULL string -> null (Classe): ' || cast(null_string_fixed as varchar),
+    '  NULL string -> null (Valor): ' || cast(valor_null_fixed as varchar),
+    '  Decimal separator fixed: ' || cast(decimal_fixed as varchar),
+    '  TAGs without intervals: ' || cast(tag_mismatches as varchar),
+    '  Duplicate rows: ' || cast(duplicate_rows as varchar),
+    '  Gaps in the time line: ' || cast(timestamp_gaps as varchar),
+    '  Inverted intervals: ' || cast(inverted_intervals as varchar)) as summary
+from parts"""))
+def full_quality_report(spark, sf_dir):
+    """Cleaning counters and validators in one row."""
+    return Q.full_quality_report(_tele(spark, sf_dir), A.intervals(spark, sf_dir))
+
+
 _DUP_COLS = ["TAG", "Alarme", "Id_Criticidade", "Criticidade", "Valor", "Classe", "Is_Dont_Go", "Tipo"]
 
 
@@ -179,13 +219,26 @@ def alarm_profile_duplicates(spark, sf_dir):
 @register("timestamp_gaps", O.with_ctes(O.TELEMETRY_CTE, body="""
 select _source_month, (h + 1) * 3600000000 as gap_start_us, nxt * 3600000000 as gap_end_us,
   cast(nxt - h - 1 as bigint) as missing_units
-from (select _source_month, h, lead(h) over (partition by _source_month order by h) as nxt
-      from (select distinct _source_month, cast(floor(ts_us / 3600000000) as bigint) as h from telemetry))
+from (select _source_month, h, lead(h) over (order by h) as nxt
+      from (select max(_source_month) as _source_month, cast(floor(ts_us / 3600000000) as bigint) as h
+            from telemetry group by 2))
 where nxt - h > 1"""))
 def timestamp_gaps(spark, sf_dir):
     return Q.timestamp_gaps(_tele(spark, sf_dir))
 
 
+@register("timestamp_gaps_minutes", O.with_ctes(O.TELEMETRY_CTE, body="""
+select _source_month, (h + 1) * 60000000 as gap_start_us, nxt * 60000000 as gap_end_us,
+  cast(nxt - h - 1 as bigint) as missing_units
+from (select _source_month, h, lead(h) over (order by h) as nxt
+      from (select max(_source_month) as _source_month, cast(floor(ts_us / 60000000) as bigint) as h
+            from telemetry group by 2))
+where nxt - h > 1"""))
+def timestamp_gaps_minutes(spark, sf_dir):
+    """Gaps at minute grain, where there are some, across months too."""
+    return Q.timestamp_gaps(_tele(spark, sf_dir), unit_us=60_000_000)
+
+
 # --- time-window features ---------------------------------------------------------------
 
 def _feature_subset(cols):
@@ -249,6 +302,23 @@ def _hot_features(spark, sf_dir):
 
 register("feature_matrix_hot", _features_on(A.telemetry_hot, _HOT_CTE)[1])(_hot_features)
 
+_CROWDED_CTE = f"""telemetry_v AS (
+  select t.* replace (case when e.user_id % 3 = 0 then 'EQHOT' else t.TAG end as TAG,
+    case when e.user_id % 3 = 0 and event_id % 4 = 0 then {A.CROWDED_US}
+         when e.user_id % 3 = 0 then {A.CROWDED_US - 12 * 3_600_000_000} + t.ts_us % 86400000000
+         else t.ts_us end as ts_us)
+  from telemetry t join events e using (event_id))"""
+
+
+def _crowded_features(spark, sf_dir):
+    """One TAG holds a third of the events on one day, a quarter of them at one
+    instant; 500 rows per bucket make the sweep of dense keys take over."""
+    return build_features(A.telemetry_crowded(spark, sf_dir), A.intervals(spark, sf_dir), keep=["event_id"],
+                          target_rows=500)
+
+
+register("feature_matrix_crowded", _features_on(A.telemetry_crowded, _CROWDED_CTE)[1])(_crowded_features)
+
 
 # --- rules ---------------------------------------------------------------------------------
 
@@ -292,6 +362,31 @@ def rule_flags_by_alarm(spark, sf_dir):
         F.sum(F.col("Is_Dont_Go").cast("long")).alias("registered"))
 
 
+_MANY_CTES = [O.TELEMETRY_CTE, """telemetry_m AS (
+  select t.* replace (concat('AL', cast(e.user_id % 40 as varchar)) as Alarme)
+  from telemetry t join events e using (event_id))""", """rules AS (
+  select distinct concat('AL', cast(user_id % 40 as varchar)) as EVENTO, cast(1 + user_id % 4 as integer) as QTD,
+    cast(case when user_id % 7 <> 3 then (1 + user_id % 40) * (1 + user_id % 7) * 11 end as integer) as TEMPO
+  from events)""", """r AS (
+  select EVENTO, QTD, TEMPO from (
+    select *, row_number() over (partition by EVENTO order by QTD, TEMPO) as rn from rules where TEMPO > 0)
+  where rn = 1)""", """flags AS (
+  select t.event_id, t.TAG, t.Alarme, t.ts_us, t.Is_Dont_Go,
+    case when r.EVENTO is null or t.TAG is null then 0
+         when (select count(*) from telemetry_m t2 where t2.TAG = t.TAG and t2.Alarme = t.Alarme
+                 and t2.ts_us > t.ts_us - cast(r.TEMPO as bigint) * 60000000 and t2.ts_us <= t.ts_us) >= r.QTD
+         then 1 else 0 end as Is_Dont_Go_derived
+  from telemetry_m t left join r on t.Alarme = r.EVENTO)"""]
+
+
+@register("rule_flags_many", O.with_ctes(*_MANY_CTES, body="select * from flags"))
+def rule_flags_many(spark, sf_dir):
+    """Forty alarms and as many window lengths; the rules, with doubles and
+    missing lengths, are derived from the events."""
+    t = A.telemetry_many_alarms(spark, sf_dir).select("event_id", "TAG", "Alarme", "ts_us", "Is_Dont_Go")
+    return R.apply_rules(t, A.rules_many(spark, sf_dir))
+
+
 # --- metrics on the deterministic score ------------------------------------------------------
 
 def _scored(spark, sf_dir):
@@ -313,9 +408,8 @@ def prf(spark, sf_dir):
 @register("threshold_sweep", O.with_ctes(O.TELEMETRY_CTE, O.SCORED_CTE, body="""
 select threshold, tp, fp, fn, tn, """ + O.RATES + """ from (
   select th.threshold, """ + O.confusion_sql("s.y", "cast(s.y_prob >= th.threshold as integer)") + """
-  from scored s, (values (0.3), (0.5), (0.7)) th(threshold) group by th.threshold)"""
-    .replace("(values (0.3), (0.5), (0.7)) th(threshold)",
-             "(select cast(x as double) as threshold from (values (0.3), (0.5), (0.7)) v(x)) th")))
+  from scored s, (select cast(x as double) as threshold from (values (0.3), (0.5), (0.7)) v(x)) th
+  group by th.threshold)"""))
 def threshold_sweep(spark, sf_dir):
     return M.threshold_sweep(_scored(spark, sf_dir))
 
@@ -350,7 +444,21 @@ from (select cast(y_prob as double) as s, count(*) filter (where y = 1) as pos,
 def score_curve(spark, sf_dir):
     """ROC / PR curve points: cumulative positives and negatives at every
     distinct score, highest first."""
-    return M.cumulative_by_score(M.score_table(_scored(spark, sf_dir)))
+    return M.cumulative_by_score(M.materialized_scores(_scored(spark, sf_dir)))
+
+
+_UNIQUE_CTE = """unique_scored AS (
+  select Is_Dont_Go as y, cast((event_id * 7919) % 1000003 as double) / cast(1000003 as double) as y_prob
+  from telemetry)"""
+
+
+@register("ranking_unique_scores", _ranking_sql([O.TELEMETRY_CTE, _UNIQUE_CTE], "unique_scored",
+                                                ["n_pos", "n_neg", "auc_roc", "auc_pr"]))
+def ranking_unique_scores(spark, sf_dir):
+    """Ranking metrics of a near-unique score over many range partitions."""
+    t = _tele(spark, sf_dir).select(F.col("Is_Dont_Go").alias("y"), (
+        ((F.col("event_id") * 7919) % 1000003).cast("double") / F.lit(1000003.0)).alias("y_prob"))
+    return M.ranking_metrics(t, part_rows=500)
 
 
 # --- error analysis on scored features (test split, threshold 0.7) ----------------------------
@@ -479,19 +587,181 @@ def _report(scored_df):
     "test_set", "(select case when count(*) filter (where y = 1) > count(*) filter (where y = 0) then 1 else 0 end from train_set)",
     "cast((select case when count(*) filter (where y = 1) > count(*) filter (where y = 0) then 1 else 0 end from train_set) as double)"))
 def dummy_majority_metrics(spark, sf_dir):
-    train = _train_set(spark, sf_dir)
-    maj = ml.majority_class(train, "y")
-    has_pos = train.where(F.col("y") == 1).limit(1).count() > 0
-    return _report(ml.dummy_majority(_test_set(spark, sf_dir).drop("y_pred", "y_prob"), maj, has_pos))
+    n = ml.label_counts(_train_set(spark, sf_dir), "y")
+    return _report(ml.dummy_majority(_test_set(spark, sf_dir).drop("y_pred", "y_prob"), int(n["n_pos"] > n["n_neg"]),
+                                     n["n_pos"] > 0))
+
 
+_DRAW = ("cast(cast(('0x' || substr(md5(concat('42|', cast(event_id as varchar))), 1, 13)) as bigint) as double)"
+         " / cast(4503599627370496 as double)")
+_STRATIFIED = f"cast({_DRAW} < (select avg(cast(y as double)) from train_set) as integer)"
 
-@register("dummy_stratified_metrics")
+
+@register("dummy_stratified_metrics", _report_sql("test_set", _STRATIFIED, f"cast({_STRATIFIED} as double)"))
 def dummy_stratified_metrics(spark, sf_dir):
-    train = _train_set(spark, sf_dir)
-    rate = train.agg(F.avg(F.col("y").cast("double"))).first()[0] or 0.0
+    n = ml.label_counts(_train_set(spark, sf_dir), "y")
+    rate = n["n_pos"] / max(1, n["n_pos"] + n["n_neg"])
     return _report(ml.dummy_stratified(_test_set(spark, sf_dir).drop("y_pred", "y_prob"), rate, ["event_id"]))
 
 
+_BASELINES = {
+    "dummy_most_frequent": (
+        "(select cast(count(*) filter (where y = 1) > count(*) filter (where y = 0) as integer) from train_set)",
+        "cast((select cast(count(*) filter (where y = 1) > count(*) filter (where y = 0) as integer) from train_set)"
+        " as double)"),
+    "dummy_stratified": (_STRATIFIED, f"cast({_STRATIFIED} as double)"),
+    "heuristic_critical_1h": ("cast(critical_alarm_count_1h > 0 as integer)",
+                              "cast(critical_alarm_count_1h as double)"),
+}
+_SCORE_MODEL = ("cast(y_prob >= 0.5 as integer)", "y_prob")
+
+
+def _metric_ctes(name: str, source: str, pred: str, score: str, y: str = "y") -> list[str]:
+    """CTEs ``<name>_row``: counts, rates and ranking metrics of one prediction."""
+    return [f"{name}_src AS (select {y} as y, {pred} as y_pred, {score} as y_prob from {source})",
+            f"{name}_st AS (select y_prob as s, count(*) filter (where y = 1) as pos, "
+            f"count(*) filter (where y <> 1) as neg from {name}_src group by 1)",
+            f"""{name}_cum AS (select s, pos, neg,
+  sum(pos) over (order by s desc rows between unbounded preceding and current row) as cp,
+  sum(neg) over (order by s desc rows between unbounded preceding and current row) as cn from {name}_st)""",
+            f"""{name}_rank AS (select coalesce(sum(pos), 0) as n_pos, coalesce(sum(neg), 0) as n_neg,
+  sum(cast(neg as double) * (cast(cp - pos as double) + cast(pos as double) * 0.5)) as auc_num,
+  sum(case when pos > 0 then cast(pos as double) * (cast(cp as double) / cast(cp + cn as double)) end) as ap_num
+  from {name}_cum)""",
+            f"""{name}_row AS (select c.*, {O.RATES},
+  case when n_pos > 0 and n_neg > 0 then round(auc_num / (cast(n_pos as double) * cast(n_neg as double)), 6) else 0.0 end as auc_roc,
+  case when n_pos > 0 and n_neg > 0 then round(ap_num / cast(n_pos as double), 6) else 0.0 end as auc_pr
+  from (select {O.confusion_sql('y', 'y_pred')} from {name}_src) c, {name}_rank)"""]
+
+
+def _comparison_sql() -> str:
+    ctes, rows = list(_SF_SRC), []
+    for name, (pred, score) in {**_BASELINES, "score": _SCORE_MODEL}.items():
+        ctes += _metric_ctes(name, "test_set", pred, score)
+        rows.append(f"select '{name}' as model, * from {name}_row")
+    ctes.append("r AS (" + " union all ".join(rows) + ")")
+    ctes.append("b AS (select max(f1) as best from r where model <> 'score')")
+    ctes.append("w AS (select model as winner from r order by f1 desc, auc_pr desc, model limit 1)")
+    return O.with_ctes(*ctes, body="""
+select model, tp, fp, fn, tn, precision, recall, f1, auc_roc, auc_pr,
+  coalesce(cast(tp + fn as double) / nullif(cast(tp + fp + fn + tn as double), 0), 0.0) as base_rate,
+  coalesce(auc_pr / nullif(cast(tp + fn as double) / cast(tp + fp + fn + tn as double), 0), 0.0) as ap_lift,
+  b.best as best_baseline_f1, coalesce(f1 / nullif(b.best, 0), 0.0) as f1_lift,
+  model = w.winner as is_winner, w.winner = 'score' as winner_beats_baseline
+from r, b, w""")
+
+
+@register("baseline_comparison", _comparison_sql())
+def baseline_comparison(spark, sf_dir):
+    """All baselines next to a deterministic score: lifts, best baseline, winner."""
+    train, test = _test_split(_scored_features(spark, sf_dir))
+    test = test.withColumn("y_score", F.col("y_prob"))
+    rows = EV.baseline_rows(spark, train, test.drop("y_prob"), "label_4h", ["event_id"])
+    rows = rows.unionByName(EV.model_metrics(spark, "score", "label_4h", test.select("y", "y_prob"), 0, 1.0))
+    return EV.comparison(rows, list(_BASELINES)).select(
+        "model", "tp", "fp", "fn", "tn", "precision", "recall", "f1", "auc_roc", "auc_pr", "base_rate", "ap_lift",
+        "best_baseline_f1", "f1_lift", "is_winner", "winner_beats_baseline")
+
+
+def _horizon_sql() -> str:
+    ctes, rows = list(_SF_SRC), []
+    for i, label in enumerate(LABEL_COLS):
+        ctes += _metric_ctes(label, "test_set", *_SCORE_MODEL, y=label)
+        rows.append(f"select '{label}' as label, {i} as k, * from {label}_row")
+    ctes.append("r AS (" + " union all ".join(rows) + ")")
+    return O.with_ctes(*ctes, body="""
+select label, tp, fp, fn, tn, precision, recall, f1, auc_roc, auc_pr,
+  label = (select label from r order by f1 desc, k limit 1) as is_best from r""")
+
+
+@register("horizon_pick_scores", _horizon_sql())
+def horizon_pick_scores(spark, sf_dir):
+    """The best horizon by F1 of a deterministic score (ties: the shorter one)."""
+    _, test = _test_split(_scored_features(spark, sf_dir))
+    rows = None
+    for i, label in enumerate(LABEL_COLS):
+        t = test.select(F.col(label).cast("int").alias("y"), "y_prob")
+        r = EV.model_metrics(spark, "score", label, t, 0, 1.0).withColumn("_order", F.lit(i))
+        rows = r if rows is None else rows.unionByName(r)
+    return EV.mark_best_horizon(rows).select("label", "tp", "fp", "fn", "tn", "precision", "recall", "f1", "auc_roc",
+                                             "auc_pr", "is_best")
+
+
+# --- through files: what a user's run stores and reads again ----------------------------------------
+
+def _run_dir(spark, name: str) -> str:
+    """A new folder under the session's checkpoint storage."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/faultline-{name}-{uuid.uuid4().hex}"
+
+
+@register("stored_months_cleaned", O.with_ctes(O.TELEMETRY_CTE, O.CLEAN_CTE, body="""
+select event_id, TAG, Alarme, Criticidade, Classe, Valor, _source_month, ts_us from clean"""))
+def stored_months_cleaned(spark, sf_dir):
+    """Six monthly files are written, checked and loaded by the scan, cleaned,
+    stored by source month and read again."""
+    path = _run_dir(spark, "months")
+    for month, df in _monthly_slices(spark, sf_dir).items():
+        df.write.parquet(f"{path}/in/telemetry_{month}.parquet")
+    raw = load_telemetry(spark, f"{path}/in")
+    sinks.write_parquet(Q.clean_telemetry(raw), f"{path}/clean", partition_by=["_source_month"],
+                        sort_within=["TAG", "timestamp"])
+    c = spark.read.parquet(f"{path}/clean")
+    return c.select("event_id", "TAG", "Alarme", "Criticidade", "Classe", "Valor", "_source_month",
+                    epoch_micros(c, "timestamp").alias("ts_us"))
+
+
+@register("stored_features_test_read", O.with_ctes(
+    O.TELEMETRY_CTE, O.INTERVALS_CTE, O.FEATURES_CTE, body=f"""
+select TAG, ts_us, alarm_count_4h, current_state, label_4h from features
+where ts_us >= {O.ADAPTER_TEST_START_US}"""))
+def stored_features_test_read(spark, sf_dir):
+    """The feature table is stored by event month; the test rows are read back
+    with the time filter pushed to the files and only the needed columns."""
+    path = stages.stage_features(_tele(spark, sf_dir), A.intervals(spark, sf_dir), _run_dir(spark, "features"))
+    start = spark.range(1).select(S.wall_micros(ADAPTER_TEST_START)).first()[0]
+    return sinks.read_scored_test(spark, path, ["TAG", "ts_us", "alarm_count_4h", "current_state", "label_4h"],
+                                  "ts_us", start)
+
+
+@register("stored_intervals_text", O.with_ctes(O.INTERVALS_CTE, body="""
+select Tag, inicio_us, fim_us, Classe from intervals"""))
+def stored_intervals_text(spark, sf_dir):
+    """Intervals stored with text instants under the other key name, then loaded
+    (key renamed, instants parsed)."""
+    path = _run_dir(spark, "intervals")
+    iv = A.intervals(spark, sf_dir)
+    iv.select(F.col("Tag").alias("TAG"), F.col("Inicio").cast("string").alias("Inicio"),
+              F.col("Fim").cast("string").alias("Fim"), "Classe").write.parquet(path)
+    got = load_intervals(spark, path)
+    return got.select("Tag", epoch_micros(got, "Inicio").alias("inicio_us"), epoch_micros(got, "Fim").alias("fim_us"),
+                      "Classe")
+
+
+@register("stored_rule_flags_csv", O.with_ctes(*_RULE_CTES, body="""
+select TAG, Alarme, ts_us, Is_Dont_Go, Is_Dont_Go_derived from flags"""))
+def stored_rule_flags_csv(spark, sf_dir):
+    """The rule table is stored as CSV and loaded; the flags are stored as the
+    CSV extract and read again."""
+    path = _run_dir(spark, "rules")
+    sinks.write_csv(A.rules(spark), f"{path}/rules")
+    t = _tele(spark, sf_dir)
+    stages.stage_rules(spark, t, load_rules(spark, f"{path}/rules"), path)
+    got = sinks.read_csv(spark, f"{path}/business_rules_validation",
+                         "TAG string, Alarme string, timestamp timestamp_ntz, Is_Dont_Go int, Is_Dont_Go_derived int")
+    return got.select("TAG", "Alarme", epoch_micros(got, "timestamp").alias("ts_us"), "Is_Dont_Go",
+                      "Is_Dont_Go_derived")
+
+
+@register("stored_signal_json", O.with_ctes(*_RULE_CTES, body="""
+select tp as true_positives, fp as false_positives, fn as false_negatives, tn as true_negatives,
+  coalesce(cast(tp as double) / nullif(cast(tp + fp as double), 0), 0.0) as precision,
+  coalesce(cast(tp as double) / nullif(cast(tp + fn as double), 0), 0.0) as recall
+from (select """ + O.confusion_sql("Is_Dont_Go", "Is_Dont_Go_derived") + " from flags)"))
+def stored_signal_json(spark, sf_dir):
+    """The signal comparison as the rules stage stores it (JSON), read again."""
+    return stages.stage_rules(spark, _tele(spark, sf_dir), A.rules(spark), _run_dir(spark, "signal"))
+
+
 # --- exploratory aggregates ------------------------------------------------------------------------
 
 @register("alarm_frequency_top20", O.with_ctes(O.TELEMETRY_CTE, body="""
@@ -622,8 +892,7 @@ def alarm_bins(spark, sf_dir):
 
 @register("rule_flag_totals", O.with_ctes(*_RULE_CTES, body="""
 select count(*) as n_rows, cast(sum(Is_Dont_Go_derived) as bigint) as derived, cast(sum(Is_Dont_Go) as bigint) as registered
-from (select * from flags order by hash(event_id, 42), event_id limit 5000)""".replace(
-    "order by hash(event_id, 42), event_id limit 5000", "where true")))
+from flags"""))
 def rule_flag_totals(spark, sf_dir):
     """Rules evaluated on every row; totals over the output (sampling, when
     wanted, applies to the output, never before the window)."""
@@ -641,12 +910,21 @@ _MODEL_CACHE: dict = {}
 _FEATURE_TABLES: dict = {}
 
 
+def _state(spark, sf_dir) -> tuple:
+    """What the caches are keyed by: session, folder and the state of the event
+    files, so changed files give new models."""
+    m = A.read_table(spark, sf_dir, "events").select("_metadata.file_path", "_metadata.file_modification_time",
+                                                     "_metadata.file_size").distinct()
+    files = m.orderBy("file_path").collect()  # one row per file
+    return (spark.sparkContext.applicationId, sf_dir, tuple(map(tuple, files)))
+
+
 def _splits(spark, sf_dir):
     """Train / test splits of the feature table, written once to the
     checkpoint folder so the trainings and scorings that follow read it
     instead of re-running the window plan."""
     ensure_checkpoint_dir(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _state(spark, sf_dir)
     if key not in _FEATURE_TABLES:
         _FEATURE_TABLES[key] = _features(spark, sf_dir).checkpoint()
     return _test_split(_FEATURE_TABLES[key])
@@ -657,7 +935,7 @@ def _fitted(spark, sf_dir, label="label_4h", family="gbt"):
     set is checkpointed to the session's checkpoint folder so metric jobs do
     not re-run the model or the feature plan."""
     ensure_checkpoint_dir(spark)
-    key = (spark.sparkContext.applicationId, sf_dir, label, family)
+    key = (_state(spark, sf_dir), label, family)
     if key not in _MODEL_CACHE:
         train, test = _splits(spark, sf_dir)
         model, sc, n_train, spw = EV.train_and_score(train, test, label, family, keep=["event_id", "ts_us",
@@ -749,11 +1027,16 @@ def clean_preview(spark, sf_dir):
             .orderBy("TAG", "ts_us", "event_id").limit(5))
 
 
-@register("rule_flags_sample")
+_SAMPLE_ROWS = 2_000
+
+
+@register("rule_flags_sample", O.with_ctes(*_RULE_CTES, body=f"""
+select * from flags order by {_DRAW}, event_id limit {_SAMPLE_ROWS}"""))
 def rule_flags_sample(spark, sf_dir):
-    """50,000 rows of the rule output drawn by a seeded hash (rules run on
+    """2,000 rows of the rule output drawn by a seeded hash (rules run on
     every row first, so the sample does not thin the window counts)."""
-    return S.fixed_size_sample(_rule_flags(spark, sf_dir), 50_000, ["event_id"])
+    return S.fixed_size_sample(_rule_flags(spark, sf_dir), _SAMPLE_ROWS, ["event_id"],
+                               n_rows=_tele(spark, sf_dir).count())
 
 
 @register("sequential_split_counts", O.with_ctes(O.TELEMETRY_CTE, body="""
@@ -762,12 +1045,8 @@ select count(*) filter (where rn <= cut) as train_rows, count(*) filter (where r
 from (select ts_us, row_number() over (order by ts_us, event_id) as rn,
              cast(floor(count(*) over () * 0.8) as bigint) as cut from telemetry where ts_us is not null)"""))
 def sequential_split_counts(spark, sf_dir):
-    """The source system's fixed cut points (2025) on this data leave the
-    test side empty, so the ordered 80/20 fall-back applies."""
+    """The ordered 80/20 split (the fall-back when a cut leaves no test rows)."""
     t = _tele(spark, sf_dir).where(F.col("ts_us").isNotNull()).select("event_id", "ts_us")
-    _, test = S.temporal_split(t)
-    if test.limit(1).count() > 0:
-        raise AssertionError("expected the fall-back split on this data")
     cut = int(t.count() * S.FALLBACK_TRAIN_SHARE)
     rn = S.global_row_number(t, "ts_us", "event_id")
     tr = F.col("row_number") <= F.lit(cut)

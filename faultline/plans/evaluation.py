@@ -60,7 +60,8 @@ def comparison(rows: DataFrame, baseline_names: list[str]) -> DataFrame:
                .withColumn("ap_lift", M.safe_div(F.col("auc_pr"), F.col("base_rate")))
                .withColumn("best_baseline_f1", F.lit(bb))
                .withColumn("f1_lift", M.safe_div(F.col("f1"), F.lit(bb))))
-    winner = out.agg(F.max_by("model", F.struct("f1", "auc_pr")).alias("w")).first()["w"]
+    # a tie on both goes to the first name
+    winner = out.orderBy(F.col("f1").desc(), F.col("auc_pr").desc(), "model").first()["model"]
     return out.withColumn("is_winner", F.col("model") == F.lit(winner)) \
               .withColumn("winner_beats_baseline", F.lit(winner not in baseline_names))
 
@@ -68,10 +69,10 @@ def comparison(rows: DataFrame, baseline_names: list[str]) -> DataFrame:
 def baseline_rows(spark: SparkSession, train: DataFrame, test: DataFrame, label: str,
                   key: list[str]) -> DataFrame:
     """Metric rows for the majority, stratified and heuristic baselines."""
-    n_train = train.count()
-    maj = ml.majority_class(train, label)
-    rate = train.agg(F.avg(F.col(label).cast("double"))).first()[0] or 0.0
-    has_pos = rate > 0
+    n = ml.label_counts(train, label)
+    n_train = n["n_pos"] + n["n_neg"]
+    maj, has_pos = int(n["n_pos"] > n["n_neg"]), n["n_pos"] > 0
+    rate = n["n_pos"] / max(1, n_train)
     t = test.withColumn("y", F.col(label).cast("int"))
     rows = [model_metrics(spark, "dummy_most_frequent", label, ml.dummy_majority(t, maj, has_pos), n_train, 1.0),
             model_metrics(spark, "dummy_stratified", label, ml.dummy_stratified(t, rate, key), n_train, 1.0),

@@ -21,7 +21,7 @@ from faultline.operators import quality as Q
 from faultline.operators import rules as R
 from faultline.operators import split as S
 from faultline.plans import evaluation as EV
-from faultline.plans.features import FEATURE_COLS, LABEL_COLS, build_features
+from faultline.plans.features import FEATURE_COLS, LABEL_COLS, build_features, with_micros
 from faultline.sources import sinks
 
 
@@ -30,17 +30,20 @@ def stage_clean(raw: DataFrame, intervals: DataFrame, out_dir: str) -> None:
     sinks.write_parquet(clean, f"{out_dir}/cleaned_telemetry", partition_by=["_source_month"],
                         sort_within=["TAG", "timestamp"])
     sinks.write_parquet(intervals, f"{out_dir}/cleaned_intervals")
-    sinks.write_text_report(Q.quality_report(raw), f"{out_dir}/quality_report")
+    sinks.write_text_report(Q.full_quality_report(with_micros(raw), intervals), f"{out_dir}/quality_report")
     sinks.write_json(Q.inverted_intervals(intervals), f"{out_dir}/interval_report")
 
 
 def stage_rules(spark: SparkSession, clean: DataFrame, rules: DataFrame, out_dir: str) -> DataFrame:
+    """The flags are computed once, as the CSV extract; the comparison reads
+    that extract back and is itself read back from its JSON."""
     flags = R.apply_rules(clean.select("TAG", "Alarme", "ts_us", "timestamp", "Is_Dont_Go"), rules)
-    sinks.write_csv(flags.select("TAG", "Alarme", "timestamp", "Is_Dont_Go", "Is_Dont_Go_derived"),
-                    f"{out_dir}/business_rules_validation")
-    cmp = R.compare_signals(flags)
+    flags = flags.select("TAG", "Alarme", "timestamp", "Is_Dont_Go", "Is_Dont_Go_derived")
+    path = f"{out_dir}/business_rules_validation"
+    sinks.write_csv(flags, path)
+    cmp = R.compare_signals(sinks.read_csv(spark, path, flags.schema))
     sinks.write_json(cmp, f"{out_dir}/signal_comparison")
-    return cmp
+    return spark.read.schema(cmp.schema).json(f"{out_dir}/signal_comparison")
 
 
 def stage_features(clean: DataFrame, intervals: DataFrame, out_dir: str, **kw) -> str:
@@ -59,7 +62,9 @@ def stage_model(spark: SparkSession, features_path: str, out_dir: str, train_end
     ensure_checkpoint_dir(spark)
     feats = spark.read.parquet(features_path)
     # the cut points, or the ordered 80/20 fall-back when nothing is after them
-    train, test = S.split_or_fallback(feats, "ts_us", "TAG", train_end, test_start)
+    # (ties on the instant go by a hash of the whole row, so the cut is the same on every run)
+    feats = feats.withColumn("_row", F.xxhash64(*feats.columns))
+    train, test = S.split_or_fallback(feats, "ts_us", "_row", train_end, test_start)
     rows = None
     for i, lab in enumerate(labels):
         model, sc, n_train, spw = EV.train_and_score(train, test, lab, family, n_trees)

@@ -94,6 +94,39 @@ def telemetry_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
                      _TELEMETRY_EXPRS["TAG"] + " end")
 
 
+CROWDED_US = 1_705_320_000_000_000   # 2024-01-15 12:00:00
+
+
+def telemetry_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """'EQHOT' as in ``telemetry_hot``; a quarter of its events (event_id
+    divisible by 4) share one instant, the others fall on that one day."""
+    t = telemetry_hot(spark, sf_dir)
+    day = CROWDED_US - 12 * 3_600_000_000
+    hot = F.col("TAG") == "EQHOT"
+    u = (F.when(hot & (F.col("event_id") % 4 == 0), F.lit(CROWDED_US))
+         .when(hot, F.lit(day) + F.pmod(F.col("ts_us"), F.lit(86_400_000_000))).otherwise(F.col("ts_us")))
+    return t.withColumn("ts_us", u).withColumn("timestamp", micros_to_ntz(F.col("ts_us")))
+
+
+def telemetry_many_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty alarms ('AL' + user_id % 40) instead of the event types."""
+    t = telemetry(spark, sf_dir).drop("Alarme")
+    ev = read_table(spark, sf_dir, "events").select("event_id", F.concat(
+        F.lit("AL"), (F.col("user_id") % 40).cast("string")).alias("Alarme"))
+    return t.join(ev, "event_id")
+
+
+def rules_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules derived from the events, one per (user_id % 40, user_id % 7): QTD
+    1 + user_id % 4, TEMPO (1 + user_id % 40) * (1 + user_id % 7) * 11 minutes,
+    missing where user_id % 7 = 3. Doubles and missing lengths included."""
+    k, m = F.col("user_id") % 40, F.col("user_id") % 7
+    return (read_table(spark, sf_dir, "events").select(
+        F.concat(F.lit("AL"), k.cast("string")).alias("EVENTO"),
+        (1 + F.col("user_id") % 4).cast("int").alias("QTD"),
+        F.when(m != 3, (1 + k) * (1 + m) * 11).cast("int").alias("TEMPO")).distinct())
+
+
 def telemetry_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timestamps truncated to the hour, so equal (TAG, instant) groups exist."""
     t = telemetry(spark, sf_dir)

@@ -26,9 +26,10 @@ def test_feature_matrix_single_row_exchange(spark):
 
 
 def test_event_carry_is_hash_aggregate(spark):
+    """No sort- or object-based aggregate: the events' carry buffers are fixed-width."""
     df = catalog.QUERIES["time_since_critical"](spark, SF_SMALL)
-    p = _plan(df)
-    assert "HashAggregate" in p
+    p = df._jdf.queryExecution().sparkPlan().toString()
+    assert p.count("HashAggregate(") >= 2 and "SortAggregate" not in p and "ObjectHashAggregate" not in p
 
 
 def test_no_cartesian_anywhere(spark):
@@ -47,7 +48,7 @@ def test_ranking_row_windows_are_partitioned(spark):
     from faultline.operators import metrics as M
     from faultline.sources import adapters as A
     st = M.score_table(A.scored(spark, SF_SMALL))
-    p = M.cumulative_by_score(st, n_buckets=16)._jdf.queryExecution().executedPlan().toString()
+    p = M.cumulative_by_score(st, part_rows=16)._jdf.queryExecution().executedPlan().toString()
     windows = [ln for ln in p.splitlines() if "Window [" in ln]
     # two windows: bucket totals (no partition keys) and rows (partitioned by _b)
     assert any("], [_b" in ln for ln in windows)
