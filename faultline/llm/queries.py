@@ -55,4 +55,55 @@ QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_token_output, op3_license_scans, op4_suffix_dedup, op5_pii, op6_decontamination, op7_lm_scoring,
     op8_ngram_join, op9_secret_scans, op10_mixing)}
 
-ORACLE: dict[str, str] = {}
+OP1_SQL = r"""
+with w as (
+  select doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from (select doc_id, coalesce(text, '') as t from documents)),
+windows as (
+  select doc_id, i, count(*) over (partition by doc_id, g) as n
+  from (select doc_id, i, array_to_string(w[i:i+7], ' ') as g
+        from (select doc_id, w, unnest(range(1, len(w) - 6)) as i from w))),
+repeats as (
+  select doc_id, count(distinct j) as n_repeat_words
+  from (select doc_id, unnest(range(i, i + 8)) as j from windows where n > 1) group by doc_id),
+facts as (
+  select w.doc_id, cast(len(w) as bigint) as n_words,
+    cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
+    cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+    cast(length(t) - length(replace(t, '!', '')) as bigint) as n_shouts,
+    cast(len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) as bigint) as n_stutters,
+    cast(len(lines) as bigint) as n_lines, cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+    cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words
+  from w left join repeats on w.doc_id = repeats.doc_id)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+  not (n_words < 20 or 100 * n_repeat_words > 30 * n_words or 10 * n_symbols > n_words or 5 * n_shouts > n_words
+    or word_chars > 25 * n_words or 2 * word_chars < 3 * n_words or 5 * n_stutters > n_words
+    or (n_dup_lines >= 3 and 100 * n_dup_lines > 30 * n_lines)) as kept
+from facts"""
+
+OP8_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (
+  select distinct doc_id, array_to_string(w[i:i+2], ' ') as g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as i from w where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+both_of as (
+  select a.doc_id as a, b.doc_id as b, count(*) as i from s a join s b on a.g = b.g and a.doc_id < b.doc_id
+  group by a.doc_id, b.doc_id),
+links as (
+  select p.a, p.b from both_of p join n x on p.a = x.doc_id join n y on p.b = y.doc_id
+  where 100 * p.i >= 90 * (x.n + y.n - p.i)),
+e as (select a, b from links union all select b, a from links),
+reach(a, b) as (
+  select doc_id, doc_id from documents
+  union
+  select reach.a, e.b from reach join e on reach.b = e.a)
+select r.a as doc_id, coalesce(n.n, 0) as n_shingles, r.component_id
+from (select a, min(b) as component_id from reach group by a) r left join n on n.doc_id = r.a"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op8_ngram_join": OP8_SQL}
