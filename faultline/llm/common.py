@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +53,22 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
+def slices_by_bytes(batches: Iterator[pa.RecordBatch], column: int,
+                    most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut where the text column's bytes reach ``most`` (one longer
+    text stands alone): what Python holds does not grow with the texts' length."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        start = held = 0
+        for at, n in enumerate(size):
+            if at > start and held + n > most:
+                yield batch.slice(start, at - start)
+                start, held = at, 0
+            held += n
+        if len(size) > start:
+            yield batch.slice(start)
+
+
 ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
          "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()),
          "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}

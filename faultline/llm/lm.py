@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import arrow_schema, id_and_text, slices, stored
+from faultline.llm.common import arrow_schema, id_and_text, slices, slices_by_bytes, stored
 
 DEPTH = 3
 MOST_ROWS = 10_000_000
@@ -92,7 +92,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             held.clear()
             return got
 
-        for part in slices(batches):
+        for part in slices_by_bytes(batches, 0):
             for text in part.column(0).to_pylist():
                 held.update(raw(text).split())
             held[b""] += part.num_rows
@@ -112,7 +112,7 @@ def gram_counts(docs: DataFrame, depth: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for part in slices(batches):
+        for part in slices_by_bytes(batches, 0):
             held_out = np.array(part.column(1).to_pylist(), bool)
             grams, first = grams_of([raw(t) for t in part.column(0).to_pylist()], depth)
             size = np.diff(np.append(first, len(grams)))
@@ -220,7 +220,7 @@ def score_by_broadcast(docs: DataFrame, words: DataFrame, grams: DataFrame, tota
         keys, counts, gram_keys, log_p = shared.value
         small = gram_keys.astype(np.uint32 if depth <= 3 else np.uint64)
         value_set = pa.array(small)
-        for part in slices(batches, 4096):
+        for part in slices_by_bytes(batches, 1):
             texts = [raw(t) for t in part.column(1).to_pylist()]
             all_words, first = words_of(texts)
             n_tokens = np.diff(np.append(first, len(all_words)))
