@@ -23,94 +23,118 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.common import arrow_schema, id_and_text, shared_path, slices
+from faultline.llm.common import arrow_schema, id_and_text, shared_path, slices, slices_by_bytes
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 LIMIT = 18
 STEP = 128
 BLOCK_IDS = 1 << 16
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 600_000
 
 
 # ---------------------------------------------------------------- tokens
 
 class Encoder:
-    """The library's ids for texts, encoding each distinct chunk of a batch once.
+    """The library's ids for texts, with a bounded memory of chunks.
 
     A text is cut at single spaces between two characters that are no white
     space. Byte-level pieces never run across such a place (a space opens the
     piece that follows it), so the ids of a text are those of its chunks, each
     with its space in front. Other texts go to the library whole.
+
+    Chunks are kept in two generations of ``CACHE_CHUNKS``: when the young one
+    is full it becomes the old one, and what is met again moves up, so frequent
+    chunks stay.
     """
 
+    BAD = b""  # a chunk that is empty or has white space at an end
+
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, np.ndarray | None] = {}
-
-    def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text, from the library."""
+        kind, out = f"<u{self.width}", []
+        for at in range(0, len(texts), 1024):  # the library's results are large objects
+            got = self.tokenizer.encode_batch_fast(texts[at:at + 1024], add_special_tokens=False)
+            out += [np.array(e.ids, kind).tobytes() for e in got]
+        return out
 
     @staticmethod
     def apart(chunk: str) -> bool:
         return bool(chunk) and not chunk[0].isspace() and not chunk[-1].isspace()
 
-    def learn(self, chunks: list[str]) -> None:
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        fresh = [c for c in dict.fromkeys(chunks) if c not in self.cache]
+    def learn(self, chunks: set[str]) -> None:
+        if len(self.young) > CACHE_CHUNKS:
+            self.old, self.young = self.young, {}
+        known = chunks & self.old.keys()
+        self.young.update((c, self.old[c]) for c in known)
+        fresh = chunks - known
         good = [c for c in fresh if self.apart(c)]
-        self.cache.update(dict.fromkeys(fresh))
-        self.cache.update(zip(good, (bytes(np.array(i, "<u4")) for i in self.whole([" " + c for c in good]))))
+        self.young.update(dict.fromkeys(fresh, self.BAD))
+        self.young.update(zip(good, self.whole([" " + c for c in good])))
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
+        """Packed ids of each text."""
         split = [t.split(" ") for t in texts]
-        self.learn([c for chunks in split for c in chunks[1:]])
-        first = self.whole([chunks[0] for chunks in split])
-        got = []
-        for text, chunks, head in zip(texts, split, first):
-            parts = [self.cache[c] for c in chunks[1:]]
-            if len(parts) and (not self.apart(chunks[0]) or None in parts):
-                got.append(bytes(np.array(self.whole([text])[0], "<u4")))
-            else:
-                got.append(bytes(np.array(head, "<u4")) + b"".join(parts))
-        return got
+        heads = self.whole([chunks.pop(0) for chunks in split])
+        parts = [list(map(self.young.get, chunks)) for chunks in split]
+        missing = {c for chunks, got in zip(split, parts) if None in got
+                   for c, x in zip(chunks, got) if x is None}
+        if missing:
+            self.learn(missing)
+        out, odd = [], []
+        for n, (text, chunks, head, got) in enumerate(zip(texts, split, heads, parts)):
+            if None in got:
+                got = [self.young[c] if x is None else x for c, x in zip(chunks, got)]
+            if got and (self.BAD in got or text[0] == " " or text[text.index(" ") - 1].isspace()):
+                odd.append(n)
+            out.append(head + b"".join(got))
+        for n, ids in zip(odd, self.whole([texts[n] for n in odd])):
+            out[n] = ids
+        return out
 
 
 def tokenise(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): ids as packed bytes, two a piece while all fit 16 bits
-    (``width`` 2), else four; the end id is appended."""
+    """(doc_id, width, ids): ids packed in ``width`` bytes each (2 if the
+    vocabulary allows), the end id appended."""
     ddl = "doc_id bigint, width int, ids binary"
     arrow = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
-        end = bytes(np.array([end_id], "<u4"))
-        for part in slices(batches):
-            ids = encoder.batch([t or "" for t in part.column(1).to_pylist()])
-            wide = [np.frombuffer(x + end, "<u4") for x in ids]
-            small = [int(x.max()) < 1 << 16 for x in wide]
+        encoder = encoder_of(vocabulary)
+        end = end_id.to_bytes(encoder.width, "little")
+        for part in slices_by_bytes(batches, 1):
+            ids = [x + end for x in encoder.batch([t or "" for t in part.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part.column(0).to_pylist(), pa.int64()),
-                 pa.array([2 if s else 4 for s in small], pa.int32()),
-                 pa.array([(x.astype("<u2") if s else x).tobytes() for x, s in zip(wide, small)], pa.binary())],
-                schema=arrow)
+                [pa.array(part.column(0).to_pylist(), pa.int64()), pa.array([encoder.width] * len(ids), pa.int32()),
+                 pa.array(ids, pa.binary())], schema=arrow)
 
     ids = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     return ids.mapInArrow(run, ddl)
 
 
+@lru_cache(maxsize=1)
+def encoder_of(vocabulary: str) -> Encoder:
+    """One encoder per Python worker: its memory of chunks outlives a task."""
+    return Encoder(vocabulary)
+
+
 def unpacked(width: int, ids: bytes) -> np.ndarray:
     return np.frombuffer(ids, "<u2" if width == 2 else "<u4").astype(np.int64)
 
