@@ -115,7 +115,17 @@ def test_chunked_encoding_equals_the_library():
     texts = ["", " ", "  a b", "a  b", "a\n b c ", "x y z", "tab\t x", "nbsp  y", "don't stop 'll 12 345", "é è  ê",
              "<|endoftext|> a <|endoftext|>", "\U0001F600 \U0001F600 ok", "a " * 500 + "b"]
     want = [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-    assert [np.frombuffer(x, "<u4").tolist() for x in e.batch(texts)] == want
+    for _ in range(2):  # unknown chunks, then known ones
+        assert [np.frombuffer(x, "<u2").tolist() for x in e.batch(texts)] == want
+
+
+def test_chunk_memory_is_bounded_and_right_after_turnover(monkeypatch, small):
+    monkeypatch.setattr(tokens, "CACHE_CHUNKS", 50)
+    e = tokens.Encoder(VOCABULARY)
+    texts = [t or "" for _, t in small[1][:60]]
+    for at in range(0, 60, 10):
+        got = [np.frombuffer(x, "<u2").tolist() for x in e.batch(texts[at:at + 10])]
+        assert got == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts[at:at + 10]]
 
 
 # ---------------------------------------------------------------- op3
@@ -351,7 +361,7 @@ def test_pipeline_stages_follow_their_reports(spark, edge_docs, tmp_path):
     assert ids(kept[4]) == sorted(i for i, n in copies.items() for _ in range(n))
     e = tokens.Encoder(VOCABULARY)
     rows = [(r[0], r[1]) for r in kept[4].select("doc_id", "text").collect()]
-    want = brute.tokens(rows, lambda t: e.whole([t])[0])
+    want = brute.tokens(rows, lambda t: np.frombuffer(e.whole([t])[0], "<u2").tolist())
     assert sorted(map(tuple, kept[5].collect())) == sorted(want)
 
 
