@@ -35,12 +35,6 @@ def class_balance(train: DataFrame, label: str) -> DataFrame:
                          .otherwise(F.lit(1.0)))
 
 
-def weighted(train: DataFrame, label: str) -> tuple[DataFrame, float]:
-    """Add ``_w``: the positive-class weight on positives, 1.0 elsewhere."""
-    w = float(class_balance(train, label).first()["scale_pos_weight"])
-    return train.withColumn("_w", F.when(F.col(label) == 1, F.lit(w)).otherwise(F.lit(1.0))), w
-
-
 def _pipeline(features: list[str], label: str, family: str, n_trees: int, depth: int,
               step: float, seed: int) -> Pipeline:
     asm = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
@@ -58,8 +52,18 @@ def _pipeline(features: list[str], label: str, family: str, n_trees: int, depth:
 def train(train_df: DataFrame, features: list[str], label: str, family: str = "gbt",
           n_trees: int = N_TREES, depth: int = MAX_DEPTH, step: float = LEARNING_RATE,
           seed: int = SEED) -> PipelineModel:
-    data, _ = weighted(train_df.select(*features, F.col(label).cast("double").alias(label)), label)
-    return _pipeline(features, label, family, n_trees, depth, step, seed).fit(data)
+    return train_balanced(train_df, features, label, family, n_trees, depth, step, seed)[0]
+
+
+def train_balanced(train_df: DataFrame, features: list[str], label: str, family: str = "gbt",
+                   n_trees: int = N_TREES, depth: int = MAX_DEPTH, step: float = LEARNING_RATE,
+                   seed: int = SEED) -> tuple[PipelineModel, dict]:
+    """The fitted model and the class balance it was weighted by (one count)."""
+    data = train_df.select(*features, F.col(label).cast("double").alias(label))
+    balance = class_balance(data, label).first().asDict()
+    w = float(balance["scale_pos_weight"])
+    data = data.withColumn("_w", F.when(F.col(label) == 1, F.lit(w)).otherwise(F.lit(1.0)))
+    return _pipeline(features, label, family, n_trees, depth, step, seed).fit(data), balance
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "y_prob") -> DataFrame:
@@ -119,8 +123,12 @@ def permutation_importance(scored_fn, test: DataFrame, features: list[str], labe
     ``group_rows`` rows (a window per group: every row takes the value of the
     next row in seeded-hash order), so each group is one bounded task.
     ``scored_fn(df) -> df with y_prob``; ``metric_fn(df) -> one-row frame with
-    'auc_roc'``. Returns (feature, base, permuted, drop) rows as a list."""
+    'auc_roc'``. All shifted columns come from one window, stored once. Returns
+    (feature, base, permuted, drop) rows as a list."""
     from pyspark.sql import Window
+
+    from faultline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(test.sparkSession)
     n = test.count()
     groups = max(1, n // group_rows)
     g = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(groups))
@@ -129,10 +137,11 @@ def permutation_importance(scored_fn, test: DataFrame, features: list[str], labe
     w = Window.partitionBy("_g").orderBy("_h", key)
     wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     base_metric = metric_fn(scored_fn(test)).first()["auc_roc"]
+    shifted = base_t.withColumns({f"_p_{f}": F.coalesce(F.lead(f).over(w), F.first(f).over(wall))
+                                  for f in features}).drop("_g", "_h").checkpoint()
     out = []
     for f in features:
-        shifted = F.coalesce(F.lead(f).over(w), F.first(f).over(wall))
-        perm = base_t.withColumn(f, shifted).drop("_g", "_h")
+        perm = shifted.withColumn(f, F.col(f"_p_{f}")).select(*test.columns)
         m = metric_fn(scored_fn(perm)).first()["auc_roc"]
         out.append((f, float(base_metric), float(m), float(base_metric - m)))
     return out

@@ -37,8 +37,7 @@ def train_and_score(train: DataFrame, test: DataFrame, label: str, family: str =
                     n_trees: int = ml.N_TREES, keep: list[str] = ()):
     """Fit on the train split and score the test split (scored frame is
     checkpointed by the caller when reused)."""
-    model = ml.train(train, FEATURE_COLS, label, family=family, n_trees=n_trees)
-    bal = ml.class_balance(train, label).first()
+    model, bal = ml.train_balanced(train, FEATURE_COLS, label, family=family, n_trees=n_trees)
     return model, scored_test(model, test, label, keep), int(bal["n_neg"] + bal["n_pos"]), \
         float(bal["scale_pos_weight"])
 
