@@ -101,7 +101,7 @@ class Items:
         self.items: list[tuple[int, np.ndarray]] = []
         keys, owner = [], []
         for item_id, text in rows:
-            words = [w for w in words_of(text) if w]
+            words = words_of(text)
             if len(words) < least:
                 continue
             codes = np.array([self.codes.setdefault(w, len(self.codes)) for w in words], np.int64)
@@ -116,16 +116,17 @@ class Items:
 
     def matches(self, text: str | None, cover: float) -> list[tuple]:
         """(item_id, tiles, words covered, words of the item) of items found."""
-        words = [w for w in words_of(text) if w] if text and len(self.keys) else []
+        words = words_of(text) if len(self.keys) else []
         if len(words) < self.least:
             return []
         get = self.codes.get
-        doc = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        doc = np.array([get(w, -1) for w in words], np.int64)
         h = rolled(doc, self.least)
-        seeds = np.flatnonzero(np.isin(h, self.keys))
+        first = np.searchsorted(self.keys, h)
+        seeds = np.flatnonzero(self.keys[np.minimum(first, len(self.keys) - 1)] == h)
         if not len(seeds):
             return []
-        first = np.searchsorted(self.keys, h[seeds], "left")
+        first = first[seeds]
         last = np.searchsorted(self.keys, h[seeds], "right")
         by_item: dict[int, list[int]] = {}
         for t, a, b in zip(seeds.tolist(), first.tolist(), last.tolist()):

@@ -61,7 +61,7 @@ _NORMAL = bytes.maketrans(_SEPARATORS + bytes(range(0x41, 0x5B)),
 
 def words_of(text: str | None) -> list[bytes]:
     """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z."""
-    return (text or "").encode().translate(_NORMAL).split(b" ") if text else []
+    return (text or "").encode().translate(_NORMAL).split()
 
 
 def pieces(notice: Notice) -> list[tuple[int, str]]:
@@ -120,7 +120,7 @@ class Scanner:
         return sorted(found)
 
     def scan(self, text: str | None) -> dict:
-        words = [w for w in words_of(text) if w]
+        words = words_of(text)
         line = " " + b" ".join(words).decode() + " " if words else ""
         fuzzy = self.fuzzy(line) if line else []
         starts: list[int] = []
