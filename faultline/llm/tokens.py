@@ -37,7 +37,7 @@ END_ID = 0
 LIMIT = 18
 STEP = 128
 BLOCK_IDS = 1 << 16
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 250_000
 
 
 # ---------------------------------------------------------------- tokens
@@ -131,7 +131,8 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str
 
 @lru_cache(maxsize=1)
 def encoder_of(vocabulary: str) -> Encoder:
-    """One encoder per Python worker: its memory of chunks outlives a task."""
+    """One encoder per Python worker: its memory of chunks outlives a task. The
+    tasks of later stages, which run in the same workers, let it go first."""
     return Encoder(vocabulary)
 
 
@@ -257,6 +258,7 @@ def count_ids(ids: DataFrame) -> np.ndarray:
     arrow = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder_of.cache_clear()
         total = np.zeros(1, np.int64)
         for part in slices(batches):
             for width, data in zip(*(c.to_pylist() for c in part.columns)):
@@ -298,6 +300,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, shards: int | None
     arrow = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder_of.cache_clear()
         lengths, codes = shared.value
         held: list[tuple] = []
         state = {"shard": None, "block": 0}
@@ -342,8 +345,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     arrow = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder_of.cache_clear()
         ids, bits = decode_table(shared.value)
-        for part in slices(batches, 32):
+        for part in slices(batches, 16):
             shard, block, doc_ids, lens = (part.column(i).to_pylist() for i in range(4))
             points = [np.asarray(x.values) for x in part.column(4)]
             data = part.column(5).to_pylist()
