@@ -109,11 +109,15 @@ class Encoder:
         return out
 
 
-def tokenise(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """(doc_id, width, ids): ids packed in ``width`` bytes each (2 if the
-    vocabulary allows), the end id appended."""
-    ddl = "doc_id bigint, width int, ids binary"
+IDS_DDL = "doc_id bigint, shard int, width int, ids binary"
+
+
+def tokenise(docs: DataFrame, vocabulary: str, bounds: list[int] = (), end_id: int = END_ID,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, shard, width, ids): ids packed in ``width`` bytes each (2 if the
+    vocabulary allows), the end id appended; ``shard`` counts the ``bounds``
+    below the document's id."""
+    ddl, edges = IDS_DDL, np.array(bounds, np.int64)
     arrow = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,8 +125,10 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str
         end = end_id.to_bytes(encoder.width, "little")
         for part in slices_by_bytes(batches, 1):
             ids = [x + end for x in encoder.batch([t or "" for t in part.column(1).to_pylist()])]
+            at = np.array([np.iinfo(np.int64).min if x is None else x for x in part.column(0).to_pylist()], np.int64)
+            shard = np.searchsorted(edges, at).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part.column(0).to_pylist(), pa.int64()), pa.array([encoder.width] * len(ids), pa.int32()),
+                [part.column(0), pa.array(shard), pa.array([encoder.width] * len(ids), pa.int32()),
                  pa.array(ids, pa.binary())], schema=arrow)
 
     ids = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
@@ -279,22 +285,19 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, shards: int | None
                  end_id: int = END_ID) -> None:
     """Encode ``docs`` into the files under ``path``."""
     spark = docs.sparkSession
+    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # ranges of about as many documents each; the bounds are one number a shard
+    keys = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
+    cuts = [i / shards for i in range(1, shards)]
+    bounds = sorted({int(b) for b in keys.approxQuantile("doc_id", cuts, 0.2 / shards)}) if cuts else []
     packed = shared_path(spark, "token-ids")
-    tokenise(docs, vocabulary, end_id).write.option("compression", "zstd").parquet(packed)
-    ids = spark.read.schema("doc_id bigint, width int, ids binary").parquet(packed)
+    tokenise(docs, vocabulary, bounds, end_id).write.option("compression", "zstd").parquet(packed)
+    ids = spark.read.schema(IDS_DDL).parquet(packed)
     lengths = code_lengths(count_ids(ids))
     book = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(book, "id bigint, bits int").coalesce(1).write.parquet(f"{path}/book")
     codes = canonical_codes(lengths)
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # ranges of about as many documents each; the bounds are one number a shard
-    bounds = sorted(set(ids.approxQuantile("doc_id", [i / shards for i in range(1, shards)], 0.2 / shards)))
-    bounds = [int(b) for b in bounds]
     shared = spark.sparkContext.broadcast((lengths, codes))  # one entry per vocabulary id
-    at = F.lit(0)
-    if bounds:
-        b = F.array(*(F.lit(x) for x in bounds))
-        at = F.coalesce(F.size(F.filter(b, lambda x: x < F.col("doc_id"))), F.lit(0))
     ddl = ("shard int, block bigint, doc_ids array<bigint>, lens array<int>, "
            "checkpoints array<bigint>, data binary")
     arrow = arrow_schema(ddl)
@@ -327,7 +330,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, shards: int | None
         if held:
             yield block()
 
-    (ids.withColumn("shard", at.cast("int")).repartition(shards, "shard")
+    (ids.repartition(shards, "shard")
      .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
      .select("shard", "doc_id", "width", "ids").mapInArrow(run, ddl)
      .write.option("compression", "none").parquet(f"{path}/blocks"))
