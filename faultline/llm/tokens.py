@@ -21,9 +21,11 @@ doc_id comes first; an empty table gives files without blocks.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -62,15 +64,39 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
+        self.bare, self.letters = self.without_split()
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def whole(self, texts: list[str]) -> list[bytes]:
+    def without_split(self):
+        """(the same model without its byte-level split, byte -> its letter), or
+        (None, None) where the vocabulary is not split that way. A piece that is
+        known to stay whole can then go to the model directly."""
+        from tokenizers import Tokenizer
+
+        spec = json.loads(self.tokenizer.to_str())
+        split = spec["pre_tokenizer"] or {}
+        if spec["normalizer"] or split.get("type") != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"]:
+            return None, None
+        spec["pre_tokenizer"] = spec["post_processor"] = None
+        bare = Tokenizer.from_str(json.dumps(spec))
+        bare.encode_special_tokens = True
+        # visible characters of Latin-1 stand for their bytes, the letters from
+        # 256 on for the other bytes in turn
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in seen]
+        return bare, {**{b: b for b in seen}, **{b: 256 + k for k, b in enumerate(rest)}}
+
+    def pieces(self, cores: list[str]) -> list[bytes]:
+        """Packed ids of pieces, each one split piece by its characters."""
+        return self.whole([c.encode().decode("latin-1").translate(self.letters) for c in cores], self.bare)
+
+    def whole(self, texts: list[str], tokenizer=None) -> list[bytes]:
         """Packed ids of each text, from the library."""
         kind, out = f"<u{self.width}", []
         for at in range(0, len(texts), 1024):  # the library's results are large objects
-            got = self.tokenizer.encode_batch_fast(texts[at:at + 1024], add_special_tokens=False)
+            got = (tokenizer or self.tokenizer).encode_batch_fast(texts[at:at + 1024], add_special_tokens=False)
             out += [np.array(e.ids, kind).tobytes() for e in got]
         return out
 
@@ -86,7 +112,16 @@ class Encoder:
         fresh = chunks - known
         good = [c for c in fresh if self.apart(c)]
         self.young.update(dict.fromkeys(fresh, self.BAD))
-        self.young.update(zip(good, self.whole([" " + c for c in good])))
+        # letters with a run of ASCII marks behind them are two pieces, which the
+        # chunks share: each distinct one is encoded once, without the split
+        words = {c: core for c in good if (core := c.rstrip(punctuation)).isalpha()} if self.bare else {}
+        marks = {c[len(core):] for c, core in words.items()} - {""}
+        cores = list(set(words.values()))
+        of_core = dict(zip(cores, self.pieces([" " + c for c in cores])))
+        of_mark = dict(zip(marks, self.pieces(list(marks)))) | {"": b""}
+        self.young.update((c, of_core[core] + of_mark[c[len(core):]]) for c, core in words.items())
+        rest = [c for c in good if c not in words]
+        self.young.update(zip(rest, self.whole([" " + c for c in rest])))
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
