@@ -113,7 +113,8 @@ def test_blocks_decode_from_any_checkpoint():
 def test_chunked_encoding_equals_the_library():
     e = tokens.Encoder(VOCABULARY)
     texts = ["", " ", "  a b", "a  b", "a\n b c ", "x y z", "tab\t x", "nbsp  y", "don't stop 'll 12 345", "é è  ê",
-             "<|endoftext|> a <|endoftext|>", "\U0001F600 \U0001F600 ok", "a " * 500 + "b"]
+             "<|endoftext|> a <|endoftext|>", "\U0001F600 \U0001F600 ok", "a " * 500 + "b",
+             "x word, word. word!? it's (it's) naïve, Größe; ação... ñandú: x² Ⅳ, 日本語。 日本語, ʰ, ª º. don't, we'll! a_b _c_ 5th,"]
     want = [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     for _ in range(2):  # unknown chunks, then known ones
         assert [np.frombuffer(x, "<u2").tolist() for x in e.batch(texts)] == want
