@@ -39,7 +39,7 @@ END_ID = 0
 LIMIT = 18
 STEP = 128
 BLOCK_IDS = 1 << 16
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 100_000
 
 
 # ---------------------------------------------------------------- tokens
