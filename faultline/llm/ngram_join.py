@@ -29,6 +29,8 @@ Defined cases: null or empty texts and texts without words have no shingles and
 link with nothing; a text with fewer words than a shingle has one, its whole
 sequence; repeated rows are copies of one document; an empty table gives an
 empty result; other columns are not read by the join and kept by the filter.
+The filter tells rows apart by doc_id and text together: rows without a doc_id,
+or different texts under one, are documents of their own.
 """
 
 from __future__ import annotations
@@ -47,6 +49,8 @@ from faultline.llm.graph import components
 EXTEND = 20             # percent of a set that order 1 hands on beyond the plain prefix
 BLOCK = 512
 MOST_BROADCAST = 2_000_000   # ids of candidates, 8 bytes each
+MOST_KEYS = 1_000_000        # keys of rows that are dropped, 16 bytes each
+KEY = ("_fl_k1", "_fl_k2")
 _UPPER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD = np.uint64(0xBF58476D1CE4E5B9)
@@ -79,8 +83,11 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 def classes(docs: DataFrame, width: int, percent: int, extend: int) -> DataFrame:
     """(doc_id, n, print, class, prefix): 128-bit print of the set, its first 64
-    bits as a short class id, and the first prefix under order 1."""
-    ddl = "doc_id bigint, n bigint, print binary, class bigint, prefix array<bigint>"
+    bits as a short class id, and the first prefix under order 1; then the
+    bigint columns that ``docs`` has besides id and text."""
+    more = [c for c in docs.columns if c not in ("doc_id", "text")]
+    ddl = "doc_id bigint, n bigint, print binary, class bigint, prefix array<bigint>" + "".join(
+        f", {c} bigint" for c in more)
     arrow = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,9 +102,10 @@ def classes(docs: DataFrame, width: int, percent: int, extend: int) -> DataFrame
                 cols[2].append(mark)
                 cols[3].append(int.from_bytes(mark[:8], "little", signed=True))
                 cols[4].append(signed(s[:min(n, k)]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)]
+                                             + part.columns[2:], schema=arrow)
 
-    return docs.select("doc_id", "text").mapInArrow(run, ddl)
+    return docs.select("doc_id", "text", *more).mapInArrow(run, ddl)
 
 
 def index_entries(sets: DataFrame, percent: int, extend: int) -> DataFrame:
@@ -241,15 +249,39 @@ def join_report(docs: DataFrame, width: int = 3, percent: int = 90, extend: int
                          .select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a 128-bit key of doc_id and text; nulls are told apart."""
+    seen = [F.col("doc_id").cast("bigint"), F.col("text").cast("string")]
+    return docs.withColumns({k: F.xxhash64(F.lit(i), *(c.isNull() for c in seen), *seen)
+                             for i, k in enumerate(KEY)})
+
+
 def distinct_documents(docs: DataFrame, width: int = 5, percent: int = 80, extend: int = EXTEND,
                        block: int = BLOCK) -> DataFrame:
-    """One document of each group of linked ones, that with the smallest doc_id,
-    with all its columns; rows that repeat a doc_id count as one document."""
-    got = stored(join_report(docs, width, percent, extend, block), "join-report")
-    drop = got.where("doc_id <> component_id").select(F.col("doc_id").alias("_fl_drop")).distinct()
-    if got.where("doc_id <> component_id").count() <= MOST_BROADCAST:
-        drop = F.broadcast(drop)
-    kept = docs.join(drop, F.col("doc_id").cast("bigint") == F.col("_fl_drop"), "left_anti")
-    if got.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept
+    """One document of each group of linked ones, that with the smallest doc_id
+    (a null one is the largest; then the smallest key), with all its columns.
+    Rows that repeat a doc_id with its text count as one document."""
+    d = keyed(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                           *KEY)
+    sets = stored(classes(d, width, percent, extend), "join-sets")
+    comp = components(near_edges(d, sets, width, percent, extend, block), "join-links")
+    comp = comp.select(F.col("node").alias("class"), "label")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *KEY)
+    by_class = (sets.where("n > 0").groupBy("class").agg(F.min(rank).alias("least"))
+                .join(comp, "class", "left").withColumn("label", F.coalesce("label", "class")))
+    smallest = by_class.groupBy("label").agg(F.min("least").alias("first"))
+    to = by_class.select("class", "label").join(smallest, "label").select(
+        "class", *(F.col(f"first.{k}").alias(f"{k}_first") for k in KEY))
+    first = F.lit(True)
+    for k in KEY:
+        first = first & (F.col(k) == F.col(f"{k}_first"))
+    # texts without words link with nothing
+    got = stored(sets.where("n > 0").select("class", *KEY).join(to, "class").select(*KEY, first.alias("first"))
+                 .unionByName(sets.where("n = 0").select(*KEY, F.lit(True).alias("first"))), "join-report")
+    drop = got.where("not first").select(*KEY)
+    few = drop.count() <= MOST_KEYS
+    drop = drop.distinct()
+    kept = keyed(docs).join(F.broadcast(drop) if few else drop, list(KEY), "left_anti")
+    if got.where("first").groupBy(*KEY).count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates(list(KEY))
+    return kept.select(*docs.columns)

@@ -92,6 +92,25 @@ def test_distinct_documents(data):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, want))
 
 
+def test_distinct_documents_without_unique_ids(spark):
+    """Documents go by similarity: neither a null nor a shared doc_id removes a clean text."""
+    r = random.Random(8)
+    text = {c: " ".join(r.choices([f"w{k}" for k in range(300)], k=100)) for c in "ABCDEFGH"}
+    near = {c: t + " tail" for c, t in text.items()}
+    rows = [(None, text["A"]), (None, text["B"]), (None, text["C"]), (None, text["A"]),
+            (1, text["D"]), (1, text["E"]), (2, near["D"]), (None, near["D"]),
+            (3, text["F"]), (4, near["F"]), (4, text["G"]), (4, text["G"]),
+            (None, None), (None, ""), (None, ""), (5, ""), (5, " ")]
+    want = [(None, text["A"]), (None, text["B"]), (None, text["C"]), (1, text["D"]), (1, text["E"]),
+            (3, text["F"]), (4, text["G"]), (None, None), (None, ""), (5, ""), (5, " ")]
+    one = [(6, text["H"]), (6, near["H"]), (6, text["H"].upper())]
+    df = spark.createDataFrame(rows + one, "doc_id bigint, text string")
+    got = [sorted(map(tuple, ngram_join.distinct_documents(df.repartition(n)).collect()), key=repr) for n in (1, 5)]
+    assert [x for x in got[0] if x[0] != 6] == sorted(want, key=repr)
+    # of near copies under one id exactly one stays, the same one each time
+    assert sum(x[0] == 6 for x in got[0]) == 1 and got[0] == got[1]
+
+
 def by_id(rows):
     return sorted(rows, key=lambda r: tuple(map(repr, r)))
 
