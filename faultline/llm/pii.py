@@ -6,6 +6,8 @@ matches and ``regexp_extract_all`` the matches, and one fold over both adds up
 their lengths (code points). Each expression is written so that Java's engine
 neither rescans a run of characters nor recurses: a match can only start where
 a run starts or where the last match ended, and inner repeats are possessive.
+Account numbers are matched by their first four characters and look ahead at
+the groups behind them, as those may hold other words or the next number.
 
 Defined cases: a null text counts as empty (no spans, digest of the empty
 string); equal rows give equal results; an empty table gives an empty result;
@@ -46,6 +48,32 @@ def mod97(m: Column) -> Column:
     return F.length(flat).between(15, 34) & (rest == 1)
 
 
+# characters of the account numbers of a country (ISO 13616)
+ACCOUNT_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def account(m: Column) -> Column:
+    """The account number that ``m`` starts with, null without one: of the
+    beginnings that end with a group and pass mod-97, the one of the country's
+    length, else the longest."""
+    country = F.left(m, F.lit(2))
+    length = F.lit(None).cast("int")
+    for n, names in ACCOUNT_LENGTHS.items():
+        length = F.when(country.isin(*names.split()), n).otherwise(length)
+
+    def best(valid: Column) -> Column:
+        own = F.filter(valid, lambda p: F.length(F.regexp_replace(p, " ", "")) == length)
+        return F.coalesce(F.get(own, F.lit(0)), F.get(F.reverse(valid), F.lit(0)))
+
+    return let(F.split(m, " "), lambda parts: best(F.filter(
+        F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), " ")),
+        mod97)))
+
+
 @dataclass(frozen=True)
 class Kind:
     """``score`` without context words nearby, ``score`` + 0.3 with them."""
@@ -56,6 +84,7 @@ class Kind:
     score: float
     context: str
     base: bool = False
+    ahead: bool = False     # groups 1 and 2 look ahead: the rest of a match, context behind it
 
 
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
@@ -67,8 +96,9 @@ KINDS = (
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", "", luhn, 0.7, "card|visa|master|amex|pay|credit", True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+",
          lambda m: F.length(digits(m)).between(9, 15), 0.6, "phone|tel|call|mobile|fax", True),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+", "", mod97, 0.7,
-         "iban|account|bank|konto|compte"),
+    # one character more than the longest number has, to see whether its last group ends
+    Kind("iban", rf"(?<![A-Za-z0-9])[A-Z]{{2}}[0-9]{{2}}(?=((?:\x20?[A-Z0-9]){{11,31}}+)((?s:.{{0,{NEAR}}})))", "",
+         account, 0.7, "iban|account|bank|konto|compte", ahead=True),
     # no checksum: only context words make it a span
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", lambda m: F.lit(True), 0.3,
          "ssn|social|security|tax"),
@@ -104,9 +134,34 @@ def proposed(text: Column, at: int, kind: Kind) -> Column:
 
         return F.aggregate(rows, F.struct(F.lit(0).alias("pos"), none.alias("out")), add)["out"]
 
+    def fold_ahead(pieces: Column, matches: Column) -> Column:
+        """``m`` is what a match and its look ahead hold; of spans that overlap the first stays."""
+        rest, behind = (F.regexp_extract_all(text, rx, F.lit(i)) for i in (1, 2))
+        rows = F.arrays_zip(F.slice(pieces, 1, F.size(matches)).alias("before"), matches.alias("head"),
+                            rest.alias("rest"), behind.alias("behind"))
+
+        def add(acc: Column, x: Column) -> Column:
+            start = acc["pos"] + F.length(x["before"])
+            whole = F.concat(x["head"], x["rest"])
+
+            def span(m: Column) -> Column:
+                after = F.concat(F.substr(whole, F.length(m) + 1), x["behind"])
+                near = F.lower(F.concat(F.right(x["before"], F.lit(NEAR)), F.lit(" "), F.left(after, F.lit(NEAR))))
+                score = F.lit(kind.score) + F.when(near.rlike(kind.context), 0.3).otherwise(0.0)
+                return F.struct(start.alias("start"), F.lit(at).alias("kind"),
+                                (start + F.length(m)).alias("stop"), score.alias("score"))
+
+            new = F.when(start < acc["end"], none).otherwise(F.transform(
+                F.filter(F.array(kind.valid(whole)), lambda m: m.isNotNull()), span))
+            return F.struct((start + F.length(x["head"])).alias("pos"),
+                            F.greatest(acc["end"], F.get(new["stop"], F.lit(0))).alias("end"),
+                            F.concat(acc["out"], F.filter(new, lambda s: s["score"] >= LEAST)).alias("out"))
+
+        return F.aggregate(rows, F.struct(F.lit(0).alias("pos"), F.lit(0).alias("end"), none.alias("out")), add)["out"]
+
     rx = F.lit(kind.pattern)
     found = let(F.split(text, kind.pattern, -1), lambda pieces: F.when(F.size(pieces) <= 1, none).otherwise(
-        let(F.regexp_extract_all(text, rx, F.lit(0)), lambda matches: fold(pieces, matches))))
+        let(F.regexp_extract_all(text, rx, F.lit(0)), lambda matches: (fold_ahead if kind.ahead else fold)(pieces, matches))))
     return F.when(F.contains(text, F.lit(kind.holds)), found).otherwise(none) if kind.holds else found
 
 

@@ -186,6 +186,18 @@ def test_checksums_and_context(spark):
     assert got[5] == ("email:5:11", "1.00") and got[6] == ("email:2:8", "0.70")
 
 
+def test_account_numbers_before_capitals_codes_and_numbers(spark):
+    gb, de = "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"
+    rows = [f"{gb} Please pay", f"{de} BIC COBADEFF", f"{de} 2024-01-05", f"\U0001F600 {gb} {de} {gb}",
+            f"AB12 {gb} X", f"{de}and", f"{de}X", f"{de[:-1]}1 BIC COBADEFF", f"to {gb} AND THEN TO {de} TODAY",
+            f"{de} 2024 my konto", f"{gb}\n{de}"]
+    want = ["iban:0:27", "iban:0:22", "iban:0:22", "iban:2:29,iban:30:52,iban:53:80", "iban:5:32", "iban:0:22", "", "",
+            "iban:3:30,iban:43:65", "iban:0:22", "iban:0:27,iban:28:50"]
+    got = pii.pii_report(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()
+    assert [r["spans"] for r in sorted(got)] == want
+    assert [r["scores"] for r in sorted(got)][9] == "1.00"
+
+
 def test_pii_is_dataframe_operations_only(small):
     plan = pii.pii_report(small[0])._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and "Exchange" not in plan
