@@ -36,7 +36,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score_texts(table(spark, sf_dir, "documents"))
+    return lm.score_texts(table(spark, sf_dir, "documents"), depth=5)
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from faultline.llm import licenses, lm, mixing, ngram_join, pii, quality, secret_scan, suffix, tokens
+from faultline.llm import licenses, lm, mixing, ngram_join, pii, quality, queries, secret_scan, suffix, tokens
 from faultline.llm.common import shared_path
 from tests.llm import brute
 
@@ -193,6 +193,15 @@ def test_lm_model_is_context_tree_weighting(spark, most_rows):
         assert got[i]["n_bytes"] == len(t.encode()) + 1
 
 
+def test_lm_query_mixes_contexts_of_five_bytes(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(["the abbot of the abbey", "abbey abbots", "", "an abbot", "the abbey é"])]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op7_lm_scoring(spark, str(tmp_path)).collect()}
+    count = sequential_ctw([lm.raw(t) for i, t in rows if not got[i]["held_out"]], 5)
+    for i, t in rows:
+        assert math.isclose(got[i]["score"], ctw_score(count, 5, lm.raw(t)), rel_tol=1e-9), t
+
+
 def test_lm_beats_bytes_on_held_out_text(small):
     df, _ = small
     got = [r for r in lm.score_texts(df).collect() if r["held_out"]]
