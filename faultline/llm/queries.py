@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import decontam, licenses, lm, mixing, ngram_join, pii, quality, secret_scan, suffix, tokens
+from faultline.llm import decontam, licenses, lm, merkle, mixing, ngram_join, pii, quality, secret_scan, suffix, tokens
 from faultline.llm.common import shared_path, table
 
 
@@ -51,9 +51,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proof_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_token_output, op3_license_scans, op4_suffix_dedup, op5_pii, op6_decontamination, op7_lm_scoring,
-    op8_ngram_join, op9_secret_scans, op10_mixing)}
+    op8_ngram_join, op9_secret_scans, op10_mixing, op11_merkle_manifest)}
 
 OP1_SQL = r"""
 with w as (
@@ -106,4 +110,58 @@ reach(a, b) as (
 select r.a as doc_id, coalesce(n.n, 0) as n_shingles, r.component_id
 from (select a, min(b) as component_id from reach group by a) r left join n on n.doc_id = r.a"""
 
-ORACLE: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op8_ngram_join": OP8_SQL}
+# crc32 of a decimal id, bit by bit: a byte enters at every eighth step
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+    string_split({0}::varchar, ''), lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295)"""
+
+OP11_SQL = r"""
+with recursive f as (
+  select doc_id, source, {crc} % 2 = 0 and doc_id is not null as touched, text,
+    coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head
+  from documents),
+h as (
+  select doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+    sha256(head || coalesce(strlen(case when touched then replace(text, chr(10), '') else text end) || ':' ||
+                            case when touched then replace(text, chr(10), '') else text end, '-')) as tampered
+  from f),
+leaves as (
+  select *, dense_rank() over (order by source nulls first) - 1 as t, count(*) over (partition by source) as n,
+    row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as p
+  from h),
+nodes(t, level, p, n, h) as (
+  select t, 0, p, n, leaf from leaves
+  union all
+  select t, level + 1, p // 3, max(n + 2) // 3, sha256(string_agg(h, '' order by p))
+  from nodes where n > 1 group by t, level, p // 3),
+subroots as (select t, h from nodes where n = 1),
+tops(level, p, n, h) as (
+  select 0, t, count(*) over (), h from subroots
+  union all
+  select level + 1, p // 3, max(n + 2) // 3, sha256(string_agg(h, '' order by p)) from tops where n > 1
+  group by level, p // 3),
+beside as (
+  select a.t, a.level, a.p, coalesce(string_agg(b.h, '' order by b.p) filter (b.p < a.p), '') as l,
+    coalesce(string_agg(b.h, '' order by b.p) filter (b.p > a.p), '') as r
+  from nodes a join nodes b on a.t = b.t and a.level = b.level and a.p // 3 = b.p // 3 where a.n > 1 group by all),
+above as (
+  select a.level, a.p, coalesce(string_agg(b.h, '' order by b.p) filter (b.p < a.p), '') as l,
+    coalesce(string_agg(b.h, '' order by b.p) filter (b.p > a.p), '') as r
+  from tops a join tops b on a.level = b.level and a.p // 3 = b.p // 3 where a.n > 1 group by all),
+folds(doc_id, leaf, t, level, p, n, h, proof) as (
+  select doc_id, leaf, t, 0, p, n, tampered, '' from leaves
+  union all
+  select f.doc_id, f.leaf, f.t, f.level + 1, f.p // 3, (f.n + 2) // 3, sha256(b.l || f.h || b.r), f.proof || b.l || b.r
+  from folds f join beside b on f.t = b.t and f.level = b.level and f.p = b.p),
+climbs(doc_id, leaf, t, level, p, n, h, proof) as (
+  select doc_id, leaf, t, 0, t, (select count(*) from subroots), h, proof from folds where n = 1
+  union all
+  select c.doc_id, c.leaf, c.t, c.level + 1, c.p // 3, (c.n + 2) // 3, sha256(a.l || c.h || a.r), c.proof || a.l || a.r
+  from climbs c join above a on c.level = a.level and c.p = a.p)
+select c.doc_id, c.leaf, s.h as subroot, r.h as root, sha256(c.proof) as proof_sha256, c.h as folded_root,
+  c.h = r.h as verified, length(c.proof) // 64 as n_siblings
+from climbs c join subroots s on c.t = s.t, (select h from tops where n = 1) r where c.n = 1""".replace(
+    "{crc}", CRC32_SQL.format("doc_id"))
+
+ORACLE: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op8_ngram_join": OP8_SQL, "op11_merkle_manifest": OP11_SQL}
