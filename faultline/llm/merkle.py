@@ -34,9 +34,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from faultline.llm.common import arrow_schema, stored
+from faultline.llm.order import numbers, places
 
 FANOUT = 3
 LEVELS = 8                      # levels that one shuffle builds: blocks of 6,561 nodes
@@ -70,42 +70,11 @@ def leaf_hash(*values: Column) -> Column:
 
 
 def numbered(leaves: DataFrame) -> DataFrame:
-    """``leaves`` (source, doc_id, leaf, ...) with tree, pos and n, stored.
-
-    Range partitions on (source, doc_id, leaf) cut large sources; a row's place
-    is its place in its partition plus the rows of its source in partitions
-    before, taken from a table of one row per (partition, source)."""
-    spark = leaves.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["source", "doc_id", "leaf", "_seq"]
-    tagged = stored(leaves.withColumn("_seq", F.monotonically_increasing_id())
-                    .repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("_seq")
-                    .withColumn("_tag", F.monotonically_increasing_id()), "merkle-sorted")
-    tagged = tagged.withColumn("_part", F.shiftright("_tag", 33))
-    spans = stored(tagged.groupBy("_part", "source").agg(F.min("_tag").alias("_first"), F.count(F.lit(1)).alias("_rows")),
-                   "merkle-spans")
-    # a source has at most one span in each partition
-    before = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    spans = spans.withColumn("n", F.sum("_rows").over(Window.partitionBy("source")))
-    spans = spans.join(source_numbers(spans.select("source").distinct(), parts)
-                       .withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    left, right = tagged.alias("l"), spans.alias("r")
-    rows = left.join(right, (F.col("l._part") == F.col("r._part")) & F.col("l.source").eqNullSafe(F.col("r.source")))
-    pos = F.col("_before") + F.col("_tag") - F.col("_first")
-    return stored(rows.select(*[F.col(f"l.{c}") for c in leaves.columns], "tree", pos.alias("pos"), "n"), "merkle-leaves")
-
-
-def source_numbers(sources: DataFrame, parts: int) -> DataFrame:
-    """(source, tree): the places of distinct sources, null first, bytewise."""
-    s = stored(sources.repartitionByRange(parts, "source").sortWithinPartitions("source")
-               .withColumn("_tag", F.monotonically_increasing_id()), "merkle-sources")
-    s = s.withColumn("_p", F.shiftright("_tag", 33))
-    # one row per range partition
-    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    first = (s.groupBy("_p").agg(F.count(F.lit(1)).alias("_rows"), F.min("_tag").alias("_first"))
-             .withColumn("_before", F.coalesce(F.sum("_rows").over(w), F.lit(0))))
-    return s.join(first, "_p").select("source", (F.col("_before") + F.col("_tag") - F.col("_first")).alias("tree"))
+    """``leaves`` (source, doc_id, leaf, ...) with tree, pos and n, stored."""
+    def with_tree(spans: DataFrame) -> DataFrame:
+        trees = numbers(spans, "source", "merkle-sources", "tree").withColumnRenamed("source", "_s")
+        return spans.join(trees, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    return places(leaves, "source", ["doc_id", "leaf"], "merkle-leaves", with_tree)
 
 
 NODE = "tree bigint, level bigint, pos bigint, n bigint, hash string"

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import decontam, licenses, lm, merkle, mixing, ngram_join, pii, quality, secret_scan, suffix, tokens
+from faultline.llm import (cws, decontam, licenses, lm, merkle, mixing, ngram_join, pii, quality, secret_scan, suffix,
+                           tokens, trie)
 from faultline.llm.common import shared_path, table
 
 
@@ -55,9 +56,18 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proof_report(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.edit_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_token_output, op3_license_scans, op4_suffix_dedup, op5_pii, op6_decontamination, op7_lm_scoring,
-    op8_ngram_join, op9_secret_scans, op10_mixing, op11_merkle_manifest)}
+    op8_ngram_join, op9_secret_scans, op10_mixing, op11_merkle_manifest,
+    op12_conversation_trie, op13_document_fingerprints)}
 
 OP1_SQL = r"""
 with w as (
@@ -164,4 +174,41 @@ select c.doc_id, c.leaf, s.h as subroot, r.h as root, sha256(c.proof) as proof_s
 from climbs c join subroots s on c.t = s.t, (select h from tops where n = 1) r where c.n = 1""".replace(
     "{crc}", CRC32_SQL.format("doc_id"))
 
-ORACLE: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op8_ngram_join": OP8_SQL, "op11_merkle_manifest": OP11_SQL}
+OP12_SQL = r"""
+with t as (
+  select conv_id, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as cell,
+    length(coalesce(text, '')) as size, turn
+  from conversations where conv_id is not null),
+p as (select *, row_number() over (partition by conv_id order by turn nulls first, cell, size) - 1 as pos from t),
+c as (select conv_id, {crc} % 6 as h from (select distinct conv_id from p)),
+r as (
+  select c.conv_id, 0 as part, pos, cell, size from c join p on p.conv_id = c.conv_id - c.conv_id % 100 and pos < h
+  union all
+  select c.conv_id, 1, pos, cell, size from c join p on p.conv_id = c.conv_id and pos >= h),
+s as (
+  select c.conv_id, coalesce(list(cell order by part, pos) filter (cell is not null), []) as cells,
+    coalesce(list(size order by part, pos) filter (cell is not null), []) as sizes
+  from c left join r on c.conv_id = r.conv_id group by c.conv_id),
+m as (
+  select conv_id, d, len(cells) as n, array_to_string(cells[1:d], '') as key, sizes[d] as size
+  from (select *, unnest(range(0, len(cells) + 1)) as d from s)),
+nodes as (
+  select key, any_value(d) as depth, min(conv_id) as conv_id, count(*) as n_convs, coalesce(any_value(size), 0) as size,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (n = d), '')) as ends_sha256
+  from m group by key),
+family as (
+  select nodes.*, coalesce(k.n, 0) as n_children
+  from nodes left join (select left(key, length(key) - 32) as up, count(*) as n from nodes where key <> '' group by 1) k
+    on nodes.key = k.up),
+sums as (
+  select a.key, sum(case when b.n_children = 0 then 1 else 0 end)::bigint as n_leaves,
+    sum((b.n_convs - 1) * b.size)::bigint as saved_tokens
+  from family a join family b on starts_with(b.key, a.key) group by a.key)
+select f.conv_id, f.depth::bigint as depth, u.conv_id as parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens,
+  f.ends_sha256
+from family f join sums on f.key = sums.key
+  left join nodes u on f.key <> '' and u.key = left(f.key, length(f.key) - 32)""".replace(
+    "{crc}", CRC32_SQL.format("conv_id"))
+
+ORACLE: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op8_ngram_join": OP8_SQL, "op11_merkle_manifest": OP11_SQL,
+                          "op12_conversation_trie": OP12_SQL}
