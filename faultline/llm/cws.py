@@ -60,14 +60,11 @@ def mixed(z: np.ndarray) -> np.ndarray:
 
 
 def uniform(bits: np.ndarray) -> np.ndarray:
-    """32 bits -> (0, 1)."""
-    return ((bits >> np.uint32(9)).astype(np.float32) + np.float32(.5)) * np.float32(2 ** -23)
-
-
-def product_of_uniforms(words: np.ndarray) -> np.ndarray:
-    """The product of two uniforms from the halves of 64 bits."""
-    halves = words.view(np.uint32).reshape(*words.shape, 2)
-    return uniform(halves[..., 0]) * uniform(halves[..., 1])
+    """21 bits -> (0, 1)."""
+    u = bits.astype(np.float32)
+    u += np.float32(.5)
+    u *= np.float32(2 ** -21)
+    return u
 
 
 class Sampler:
@@ -75,6 +72,7 @@ class Sampler:
 
     def __init__(self, samples: int = SAMPLES, width: int = WIDTH):
         self.samples, self.width, self.words = samples, width, {}
+        self.index = np.arange(samples)
         self.salt = (mixed(np.arange(1, 2 * samples + 1, dtype=np.uint64) * _M3) | np.uint64(1)).reshape(2, samples)
 
     def terms(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -97,36 +95,45 @@ class Sampler:
             s = mixed(s * _M3 + w[j:len(w) - k + 1 + j])
         return np.unique(s, return_counts=True)
 
+    def bits(self, part: np.ndarray, word: int) -> np.ndarray:
+        """64 bits for each term and sample."""
+        z = part[:, None] * self.salt[word]
+        z ^= z >> np.uint64(29)
+        z *= _M1
+        z ^= z >> np.uint64(32)
+        return z
+
     def draw(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per sample the least value, its term and its step."""
+        """Per sample the least value a, its term and its step.
+
+        With x and y exponential, r = x + y is Gamma(2, 1) and b = x / r an
+        independent uniform, so that a = c exp(-y - r t); the first weight's
+        step is 0 and needs neither r nor b."""
         best = np.full(self.samples, np.inf, np.float32)
         term, step = np.zeros(self.samples, np.uint64), np.zeros(self.samples, np.float32)
-        for at in range(0, len(terms), ROWS):
-            part = terms[at:at + ROWS, None]
-            z1, z2 = part * self.salt[0], part * self.salt[1]
-            for z in (z1, z2):
-                z ^= z >> np.uint64(29)
-                z *= _M1
-                z ^= z >> np.uint64(32)
-            # -r and ln c of the two words' halves, b of both words
-            r = np.log(product_of_uniforms(z1))
-            ln_c = np.log(-np.log(product_of_uniforms(z2)))
-            z1 ^= z2 << np.uint64(1)
-            z1 *= _M2
-            beta = uniform((z1 >> np.uint64(32)).astype(np.uint32))
-            t = None
-            if counts[at:at + ROWS].max() > 1:
-                t = np.floor(beta - np.log(counts[at:at + ROWS, None].astype(np.float32)) / r)
-                beta -= t
-            beta -= np.float32(1)               # ln a = ln c - r (t - b) - r, with -r for r
-            beta *= r
-            ln_a = ln_c
-            ln_a -= beta
-            least = ln_a.argmin(axis=0)
-            value = ln_a[least, np.arange(self.samples)]
-            better = value < best
-            best[better], term[better] = value[better], part[least[better], 0]
-            step[better] = t[least, np.arange(self.samples)][better] if t is not None else 0
+        once = counts == 1
+        for some, ones in ((terms[once], True), (terms[~once], False)):
+            for at in range(0, len(some), ROWS):
+                part = some[at:at + ROWS]
+                z = self.bits(part, 0)
+                low = np.uint64((1 << 21) - 1)
+                u2 = uniform(z & low)
+                a = uniform((z >> np.uint64(21)) & low)
+                a *= uniform(z >> np.uint64(43))
+                np.log(a, out=a)
+                np.negative(a, out=a)
+                a *= u2                         # c exp(-y)
+                if not ones:
+                    x = -np.log(uniform(self.bits(part, 1) >> np.uint64(43)))
+                    r = x - np.log(u2)
+                    weight = counts[~once][at:at + ROWS, None].astype(np.float32)
+                    t = np.floor((np.log(weight) + x) / r)
+                    a *= np.exp(-r * t)
+                k = a.argmin(axis=0)
+                value = a[k, self.index]
+                better = (value < best) | ((value == best) & (part[k] < term))
+                best[better], term[better] = value[better], part[k[better]]
+                step[better] = 0 if ones else t[k, self.index][better]
         return best, term, step
 
 
