@@ -11,18 +11,22 @@ node's whole training sequence is
 and a decision's predicted probability mixes the estimates along the path of
 contexts: at each depth the node's own estimate counts with the posterior
 weight 1/2 KT / Pw and the deeper prediction with the rest. Training counts the
-(DEPTH + 1)-grams of all training texts; the nodes, their weights and the log
-probability of every gram that occurs in the corpus are computed as DataFrames,
-level by level, from those counts. Scoring sums the grams' log probabilities.
+(DEPTH + 1)-grams of all training texts. Grams are partitioned and sorted by the
+newest bytes of their context; all but the two oldest bytes name a subtree,
+which is solved where its grams lie, in numpy. Only the subtrees' tops are
+exchanged: the upper levels are DataFrames of few rows, and their share of the
+prediction goes back to the subtrees, which give each gram of the corpus its log
+probability. Scoring sums the grams' log probabilities.
 
 The word scores of the contract (additive smoothing over word counts) are
 computed in the same pass. Both lookup tables are broadcast only if they hold
-at most ``MOST_ROWS`` rows (12 bytes a row); beyond that, the documents' grams
+at most ``MOST_ROWS`` rows (16 bytes a row); beyond that, the documents' grams
 and words are joined with the tables by shuffles, with the same results.
 
 Defined cases: a null text counts as empty (one end token, one end byte); a
 null id trains like an empty one; repeated rows get equal scores and count each
-in training; an empty table gives an empty result.
+in training; very long texts are counted and scored whole, a slice of texts at a
+time; an empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +37,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +45,8 @@ from faultline.llm.common import arrow_schema, id_and_text, slices, slices_by_by
 
 DEPTH = 3
 MOST_ROWS = 10_000_000
+OWN = 2                 # oldest bytes of a context that a subtree spans
+ROWS = 1 << 18          # grams solved at once, about; a subtree is never cut
 HELD = 200_000          # distinct words or grams a task holds before it hands them on
 SEED = 42               # of the 64-bit hash that stands for a word
 _UPPER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
@@ -130,7 +135,14 @@ def gram_counts(docs: DataFrame, depth: int) -> DataFrame:
                 keys, counts = keys[:0], counts[:0]
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], schema=arrow)
 
-    return docs.select("text", "held_out").mapInArrow(run, ddl).groupBy("gram").agg(F.sum("n").alias("n"))
+    # one exchange: grams of a subtree meet, and are summed where they are
+    return (docs.select("text", "held_out").mapInArrow(run, ddl).withColumn("top", top_of("gram", depth))
+            .repartition("top").groupBy("top", "gram").agg(F.sum("n").alias("n")))
+
+
+def top_of(column: str, depth: int) -> Column:
+    """The context bytes that name a gram's subtree: all but the OWN oldest."""
+    return F.shiftrightunsigned(column, 8 * (1 + min(OWN, depth)))
 
 
 # ---------------------------------------------------------------- the tree
@@ -150,41 +162,185 @@ def ln_kt(a: Column, b: Column) -> Column:
     return ln_gamma(a + 0.5) + ln_gamma(b + 0.5) - math.log(math.pi) - ln_gamma(a + b + 1)
 
 
-def exploded(grams: DataFrame, depth: int) -> DataFrame:
-    """Eight decisions a gram: context, node (bits so far under a leading 1), bit."""
-    return (grams.withColumn("k", F.explode(F.array(*(F.lit(i) for i in range(8)))))
-            .withColumn("byte", F.col("gram").bitwiseAND(255))
-            .withColumn("context", F.shiftright("gram", 8))
-            .withColumn("node", F.expr("shiftright(byte + 256, 8 - k)"))
-            .withColumn("bit", F.expr("shiftright(byte, 7 - k) & 1")))
-
+def np_ln_gamma(x: np.ndarray) -> np.ndarray:
+    y, steps = x + 8, np.zeros(len(x))
+    for k in range(8):
+        steps += np.log(x + k)
+    return ((y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3)
+            + 1 / (1260 * y ** 5) - steps)
+
+
+def np_ln_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np_ln_gamma(a + 0.5) + np_ln_gamma(b + 0.5) - math.log(math.pi) - np_ln_gamma(a + b + 1)
+
+
+class Level:
+    """The nodes of one context length and one bit place: ``key`` is the
+    context, then the bits so far; counts of the next bit."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray, bit: int):
+        # keys: distinct (context, byte), sorted
+        node = keys >> np.uint64(8 - bit)
+        first = np.flatnonzero(np.diff(node, prepend=~node[:1]))
+        one = (keys >> np.uint64(7 - bit)) & np.uint64(1) == 1
+        self.key = node[first]
+        self.a = np.add.reduceat(np.where(one, 0, n), first).astype(np.float64)
+        self.b = np.add.reduceat(np.where(one, n, 0), first).astype(np.float64)
+        self.kt = (self.b + 0.5) / (self.a + self.b + 1)
+        self.own = np_ln_kt(self.a, self.b)
+
+    def at(self, keys: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.key, keys)
+
+
+def shortened(key: np.ndarray, bit: int) -> np.ndarray:
+    """The key with one context byte (the oldest) less."""
+    low = np.uint64((1 << bit) - 1)
+    return ((key >> np.uint64(bit + 8)) << np.uint64(bit)) | (key & low)
+
+
+def subtrees(grams: np.ndarray, n: np.ndarray, span: int) -> list[list[Level]]:
+    """Levels of whole subtrees by context length (longest first) and bit, with
+    their weighted probabilities ``ln_w``."""
+    out = []
+    for d in range(span + 1):
+        if d:
+            keys = ((keys >> np.uint64(16)) << np.uint64(8)) | (keys & np.uint64(255))
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], n[order]
+            first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+            keys, n = keys[first], np.add.reduceat(n, first)
+        else:
+            keys = grams
+        levels = [Level(keys, n, bit) for bit in range(8)]
+        for bit, level in enumerate(levels):
+            if d == 0:
+                level.ln_w = level.own
+            else:
+                child = out[-1][bit]
+                level.up = level.at(shortened(child.key, bit))
+                below = np.bincount(level.up, child.ln_w, len(level.key))
+                top = np.maximum(level.own, below)
+                level.ln_w = top + np.log1p(np.exp(np.minimum(level.own, below) - top)) - math.log(2)
+        out.append(levels)
+    return out
+
+
+def whole_tops(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[np.ndarray]]:
+    """The sorted batches' columns in runs of about ``most`` rows, cut where the
+    first column changes."""
+    held: list[list[np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        size += batch.num_rows
+        if size >= most:
+            columns = [np.concatenate(c) for c in zip(*held)]
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            held, size = [[c[cut:] for c in columns]], size - cut
+            if cut:
+                yield [c[:cut] for c in columns]
+    if size:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def subtree_tops(grams: DataFrame, depth: int) -> DataFrame:
+    """(context, node, a, b, ln_w) of the subtrees' first nodes."""
+    span = min(OWN, depth)
+    ddl = "context bigint, node bigint, a double, b double, ln_w double"
+    arrow = arrow_schema(ddl)
 
-def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
-    """(gram, log_p): log10 of the model's probability of each gram's byte."""
-    e = exploded(grams, depth)
-    level = e.groupBy("context", "node").agg(
-        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("a"),
-        F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("b"))
-    kt = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
-    level = stored(level.withColumn("ln_w", ln_kt(F.col("a"), F.col("b"))), "ctw-leaves")
-    mixed = level.select("context", "node", kt.alias("q"))
-    parents = []
-    for d in range(depth - 1, -1, -1):
-        up = (level.withColumn("context", F.shiftright("context", 8)).groupBy("context", "node")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, gram, n in whole_tops(batches, ROWS):
+            for bit, level in enumerate(subtrees(gram.view(np.uint64), n, span)[-1]):
+                node = (level.key & np.uint64((1 << bit) - 1)) | np.uint64(1 << bit)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((level.key >> np.uint64(bit)).view(np.int64)), pa.array(node.view(np.int64)),
+                     pa.array(level.a), pa.array(level.b), pa.array(level.ln_w)], schema=arrow)
+
+    return grams.select("top", "gram", "n").sortWithinPartitions("top", "gram").mapInArrow(run, ddl)
+
+
+def upper_shares(tops: DataFrame, levels: int) -> DataFrame:
+    """(top, node, plus, times): a decision's probability of a one is plus +
+    times the subtree's own prediction. ``levels`` contexts stand above."""
+    key = ["context", "node"]
+    level, above = tops, []
+    for d in range(levels - 1, -1, -1):
+        up = (level.withColumn("context", F.shiftrightunsigned("context", 8)).groupBy(*key)
               .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("ln_w").alias("below"))
               .withColumn("own", ln_kt(F.col("a"), F.col("b"))))
         top = F.greatest("own", "below")
         ln_w = top + F.log1p(F.exp(F.least("own", "below") - top)) - math.log(2)
         level = stored(up.withColumn("ln_w", ln_w), f"ctw-level{d}")
-        parents.append(level.select(F.col("context").alias("_c"), F.col("node").alias("_n"), kt.alias("kt"),
-                                    F.exp(F.col("own") - math.log(2) - F.col("ln_w")).alias("w")))
-    for i, up in enumerate(parents):
-        mixed = (mixed.join(up, (F.shiftright("context", 8 * (i + 1)) == F.col("_c"))
-                            & (F.col("node") == F.col("_n")))
-                 .select("context", "node", (F.col("w") * F.col("kt") + (1 - F.col("w")) * F.col("q")).alias("q")))
-    p = F.when(F.col("bit") == 1, F.col("q")).otherwise(1 - F.col("q"))
-    return (e.select("gram", "context", "node", "bit").join(mixed, ["context", "node"])
-            .groupBy("gram").agg(F.sum(F.log10(p)).alias("log_p")))
+        above.append(level)
+    share = None
+    for level in reversed(above):       # from the empty context on
+        w = F.exp(F.col("own") - math.log(2) - F.col("ln_w"))
+        kt = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
+        here = level.select("context", "node", (w * kt).alias("plus"), (1 - w).alias("times"))
+        if share is not None:
+            before = share.select(F.col("context").alias("_c"), F.col("node").alias("_n"),
+                                  F.col("plus").alias("_p"), F.col("times").alias("_t"))
+            here = (here.join(before, (F.shiftrightunsigned("context", 8) == F.col("_c")) & (F.col("node") == F.col("_n")))
+                    .select("context", "node", (F.col("_p") + F.col("_t") * F.col("plus")).alias("plus"),
+                            (F.col("_t") * F.col("times")).alias("times")))
+        share = here
+    nodes = tops.select(F.col("context").alias("top"), "node")
+    if share is None:
+        return nodes.select("top", "node", F.lit(0.0).alias("plus"), F.lit(1.0).alias("times"))
+    return (nodes.join(share, (F.shiftrightunsigned("top", 8) == share["context"]) & (nodes["node"] == share["node"]))
+            .select("top", nodes["node"], "plus", "times"))
+
+
+def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
+    """(gram, log_p): log10 of the model's probability of each gram's byte, from
+    (top, gram, n)."""
+    span = min(OWN, depth)
+    tops = stored(subtree_tops(grams.repartition("top"), depth), "ctw-tops")
+    shares = stored(upper_shares(tops, depth - span), "ctw-shares")
+    # both tables by subtree: its shares, then its grams
+    none = F.lit(None)
+    rows = shares.select("top", none.cast("bigint").alias("gram"), F.col("node"), "plus", "times").unionByName(
+        grams.select("top", "gram", F.col("n").alias("node"), none.cast("double").alias("plus"), none.cast("double").alias("times")))
+    ddl = "gram bigint, log_p double"
+    arrow = arrow_schema(ddl)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for top, mark, gram, node, plus, times in whole_tops(batches, ROWS):
+            share = mark == 0
+            # first nodes of the subtrees: top, then the bits so far under a leading 1
+            bits = np.zeros(int(share.sum()), np.int64)
+            for k in range(1, 8):
+                bits += node[share] >= 1 << k
+            grams, n = gram[~share].astype(np.int64).view(np.uint64), node[~share]
+            levels = subtrees(grams, n, span)
+            log_p = np.zeros(len(grams))
+            for bit in range(8):
+                first = levels[-1][bit]
+                own = np.flatnonzero(bits == bit)
+                key = (top[share][own].view(np.uint64) << np.uint64(bit)) | (
+                    node[share][own].view(np.uint64) & np.uint64((1 << bit) - 1))
+                at = first.at(key)
+                p, t = np.empty(len(first.key)), np.empty(len(first.key))
+                p[at], t[at] = plus[share][own], times[share][own]
+                # from the subtree's first node down: plus and times of each deeper one
+                for d in range(span, 0, -1):
+                    level = levels[d][bit]
+                    w = np.exp(level.own - math.log(2) - level.ln_w)
+                    p, t = (p + t * w * level.kt)[level.up], (t * (1 - w))[level.up]
+                leaf = levels[0][bit]
+                q = p + t * leaf.kt
+                one = (grams >> np.uint64(7 - bit)) & np.uint64(1) == 1
+                q = q[leaf.at(grams >> np.uint64(8 - bit))]
+                log_p += np.log10(np.where(one, q, 1 - q))
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(log_p)], schema=arrow)
+
+    mark = F.when(F.col("gram").isNull(), 0).otherwise(1).cast("bigint")
+    return (rows.select("top", mark.alias("mark"), F.coalesce("gram", F.lit(0)).alias("gram"), "node", "plus", "times")
+            .repartition("top").sortWithinPartitions("top", "mark", "gram").mapInArrow(run, ddl))
 
 
 # ---------------------------------------------------------------- scores
@@ -213,13 +369,14 @@ def score_by_broadcast(docs: DataFrame, words: DataFrame, grams: DataFrame, tota
     if counts.max(initial=0) < 1 << 31:
         counts = counts.astype(np.int32)
     g = grams.select("gram", "log_p").toArrow()
-    shared = spark.sparkContext.broadcast((keys, counts, g[0].to_numpy().copy(), g[1].to_numpy().copy()))
+    by_gram = np.argsort(g[0].to_numpy(), kind="stable")
+    shared = spark.sparkContext.broadcast((keys, counts, g[0].to_numpy()[by_gram], g[1].to_numpy()[by_gram]))
+    del w, g
     arrow = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, gram_keys, log_p = shared.value
-        small = gram_keys.astype(np.uint32 if depth <= 3 else np.uint64)
-        value_set = pa.array(small)
+        gram_keys = gram_keys.view(np.uint64).astype(np.uint32 if depth <= 3 else np.uint64, copy=False)
         for part in slices_by_bytes(batches, 1):
             texts = [raw(t) for t in part.column(1).to_pylist()]
             all_words, first = words_of(texts)
@@ -231,8 +388,8 @@ def score_by_broadcast(docs: DataFrame, words: DataFrame, grams: DataFrame, tota
             base = np.add.reduceat(np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))[each], first)
             known = np.add.reduceat((c > 0).astype(np.int64)[each], first)
             found, start = grams_of(texts, depth)
-            at = pc.index_in(pa.array(found), value_set=value_set)
-            score = np.add.reduceat(log_p[np.asarray(at)].astype(np.float64), start)
+            # every gram of the corpus is in the table
+            score = np.add.reduceat(log_p[np.searchsorted(gram_keys, found)], start)
             cols = [part.column(0).to_pylist(), part.column(2).to_pylist(), n_tokens, known,
                     np.full(len(texts), total), base, score, np.array([len(t) + 1 for t in texts])]
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cols, arrow)], schema=arrow)
