@@ -1,12 +1,15 @@
 """Token ids as binary files: canonical length-limited Huffman coding.
 
-1. Texts are encoded by the ``tokenizers`` library; ids are kept as packed
-   bytes, an end id after each document.
+1. Texts are encoded by the ``tokenizers`` library as it loads the vocabulary;
+   ids are kept as packed bytes, an end id after each document. Chunks of text
+   are counted over all documents first, and the commonest, up to a bound in
+   bytes, are encoded once and broadcast; the others are encoded where they stand.
 2. Ids are counted over all documents. The counts (one per vocabulary entry)
    give code lengths of at most ``LIMIT`` bits by package-merge; canonical
    codes follow from the lengths alone, so the file's book holds lengths only.
-3. Documents are dealt to shards by ranges of ``doc_id``, sorted, and coded in
-   blocks. A block is independent: its ids are one bit string with the bit
+3. Documents are dealt to shards by ranges of (doc_id, first ids, hash of all
+   ids, running number), so that not even equal rows meet in one shard, sorted,
+   and coded in blocks. A block is independent: its ids are one bit string with the bit
    offset of every ``STEP``-th id as a checkpoint.
 4. Decoding looks ``LIMIT`` bits up in one table (id, length). All checkpoints
    of a block advance together, one id a step.
@@ -15,59 +18,67 @@ A file set is two Parquet folders: ``book`` (id, bits) and ``blocks`` (shard,
 block, doc_ids, lens, checkpoints, data), shard and block ascending with doc_id.
 
 Defined cases: a null text is empty and holds the end id only; rows that share
-a doc_id stand next to each other, in the order of their ids' bytes; a null
-doc_id comes first; an empty table gives files without blocks.
+a doc_id stand next to each other, in the order of their first 64 bytes of ids,
+then of a hash; a null doc_id comes first; a text that holds one of the
+vocabulary's added tokens gets that token's id there, as from the library; a
+very long text is one block of its own; an empty table gives files without
+blocks. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.common import arrow_schema, id_and_text, shared_path, slices, slices_by_bytes
+from faultline.llm.common import arrow_schema, id_and_text, shared_path, slices, slices_by_bytes, stored
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 LIMIT = 18
 STEP = 128
 BLOCK_IDS = 1 << 16
-CACHE_CHUNKS = 100_000
+CHUNK_BYTES = 12 << 20          # text of the chunks that are encoded beforehand and broadcast
+CHUNK_LENGTH = 64               # longer chunks are encoded where they stand
+HELD = 200_000                  # distinct chunks a task holds before it hands their counts on
 
 
 # ---------------------------------------------------------------- tokens
 
 class Encoder:
-    """The library's ids for texts, with a bounded memory of chunks.
+    """The library's ids for texts, given the ids of common chunks.
 
     A text is cut at single spaces between two characters that are no white
     space. Byte-level pieces never run across such a place (a space opens the
     piece that follows it), so the ids of a text are those of its chunks, each
-    with its space in front. Other texts go to the library whole.
+    with its space in front. Other texts, and those that hold an added token of
+    the vocabulary, go to the library whole.
 
-    Chunks are kept in two generations of ``CACHE_CHUNKS``: when the young one
-    is full it becomes the old one, and what is met again moves up, so frequent
-    chunks stay.
+    ``known`` has the ids of common chunks. Others are encoded batch by batch
+    and forgotten, so memory does not grow.
     """
 
     BAD = b""  # a chunk that is empty or has white space at an end
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, known: dict[str, bytes] | None = None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bare, self.letters = self.without_split()
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known = known or {}
 
     def without_split(self):
         """(the same model without its byte-level split, byte -> its letter), or
@@ -81,7 +92,6 @@ class Encoder:
             return None, None
         spec["pre_tokenizer"] = spec["post_processor"] = None
         bare = Tokenizer.from_str(json.dumps(spec))
-        bare.encode_special_tokens = True
         # visible characters of Latin-1 stand for their bytes, the letters from
         # 256 on for the other bytes in turn
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -104,14 +114,10 @@ class Encoder:
     def apart(chunk: str) -> bool:
         return bool(chunk) and not chunk[0].isspace() and not chunk[-1].isspace()
 
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.young) > CACHE_CHUNKS:
-            self.old, self.young = self.young, {}
-        known = chunks & self.old.keys()
-        self.young.update((c, self.old[c]) for c in known)
-        fresh = chunks - known
-        good = [c for c in fresh if self.apart(c)]
-        self.young.update(dict.fromkeys(fresh, self.BAD))
+    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """The ids of each chunk with a space in front."""
+        good = [c for c in chunks if self.apart(c)]
+        out = dict.fromkeys(chunks, self.BAD)
         # letters with a run of ASCII marks behind them are two pieces, which the
         # chunks share: each distinct one is encoded once, without the split
         words = {c: core for c in good if (core := c.rstrip(punctuation)).isalpha()} if self.bare else {}
@@ -119,24 +125,25 @@ class Encoder:
         cores = list(set(words.values()))
         of_core = dict(zip(cores, self.pieces([" " + c for c in cores])))
         of_mark = dict(zip(marks, self.pieces(list(marks)))) | {"": b""}
-        self.young.update((c, of_core[core] + of_mark[c[len(core):]]) for c, core in words.items())
+        out.update((c, of_core[core] + of_mark[c[len(core):]]) for c, core in words.items())
         rest = [c for c in good if c not in words]
-        self.young.update(zip(rest, self.whole([" " + c for c in rest])))
+        out.update(zip(rest, self.whole([" " + c for c in rest])))
+        return out
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
         split = [t.split(" ") for t in texts]
         heads = self.whole([chunks.pop(0) for chunks in split])
-        parts = [list(map(self.young.get, chunks)) for chunks in split]
+        parts = [list(map(self.known.get, chunks)) for chunks in split]
         missing = {c for chunks, got in zip(split, parts) if None in got
                    for c, x in zip(chunks, got) if x is None}
-        if missing:
-            self.learn(missing)
+        fresh = self.learn(missing) if missing else {}
         out, odd = [], []
         for n, (text, chunks, head, got) in enumerate(zip(texts, split, heads, parts)):
             if None in got:
-                got = [self.young[c] if x is None else x for c, x in zip(chunks, got)]
-            if got and (self.BAD in got or text[0] == " " or text[text.index(" ") - 1].isspace()):
+                got = [fresh[c] if x is None else x for c, x in zip(chunks, got)]
+            if (got and (self.BAD in got or text[0] == " " or text[text.index(" ") - 1].isspace())
+                    or any(a in text for a in self.added)):
                 odd.append(n)
             out.append(head + b"".join(got))
         for n, ids in zip(odd, self.whole([texts[n] for n in odd])):
@@ -144,36 +151,89 @@ class Encoder:
         return out
 
 
-IDS_DDL = "doc_id bigint, shard int, width int, ids binary"
+def chunk_counts(texts: DataFrame) -> DataFrame:
+    """(chunk, n): how often each chunk of at most CHUNK_LENGTH characters stands
+    behind a space of the column ``text``."""
+    ddl = "chunk string, n bigint"
+    arrow = arrow_schema(ddl)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
 
-def tokenise(docs: DataFrame, vocabulary: str, bounds: list[int] = (), end_id: int = END_ID,
-             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, shard, width, ids): ids packed in ``width`` bytes each (2 if the
-    vocabulary allows), the end id appended; ``shard`` counts the ``bounds``
-    below the document's id."""
-    ddl, edges = IDS_DDL, np.array(bounds, np.int64)
+        def hand_on() -> pa.RecordBatch:
+            short = [(c, n) for c, n in held.items() if len(c) <= CHUNK_LENGTH]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([c for c, _ in short], pa.string()),
+                                               pa.array([n for _, n in short], pa.int64())], schema=arrow)
+
+        for part in slices_by_bytes(batches, 0):
+            for text in part.column(0).to_pylist():
+                if text:
+                    held.update(text.split(" ")[1:])
+            if len(held) > HELD:
+                yield hand_on()
+        yield hand_on()
+
+    return texts.select("text").mapInArrow(run, ddl).groupBy("chunk").agg(F.sum("n").alias("n"))
+
+
+def common_chunks(docs: DataFrame, vocabulary: str, most_bytes: int = CHUNK_BYTES, text_col: str = "text") -> dict[str, bytes]:
+    """The ids of the chunks that occur most often, at most ``most_bytes`` of
+    text in all, each encoded once. A chunk that stands once gains nothing."""
+    counts = stored(chunk_counts(docs.select(F.col(text_col).cast("string").alias("text"))).where("n > 1"), "token-chunks")
+    # bytes by steps of the count (sixteen to a doubling): a table of bounded size
+    size = F.octet_length("chunk") + 8
+    steps = counts.groupBy(F.floor(F.log2("n") * 16).alias("step")).agg(F.sum(size).alias("bytes")).collect()
+    total, least = 0, None
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        total += r["bytes"]
+        if total > most_bytes:
+            break
+        least = r["step"]
+    if least is None:
+        return {}
+    chosen = counts.where(F.floor(F.log2("n") * 16) >= least).select("chunk")
+    ddl = "chunk string, ids binary"
     arrow = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(vocabulary)
+        for part in slices(batches, 8192):
+            got = encoder.learn(set(part.column(0).to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.binary())],
+                                             schema=arrow)
+
+    table = chosen.mapInArrow(run, ddl).toArrow()
+    return dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist()))
+
+
+IDS_DDL = "doc_id bigint, width int, ids binary"
+
+
+def tokenise(docs: DataFrame, vocabulary: str, end_id: int = END_ID, most_bytes: int = CHUNK_BYTES,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, width, ids): ids packed in ``width`` bytes each (2 if the
+    vocabulary allows), the end id appended."""
+    arrow = arrow_schema(IDS_DDL)
+    known = docs.sparkSession.sparkContext.broadcast(common_chunks(docs, vocabulary, most_bytes, text_col))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(vocabulary)
+        encoder.known = known.value
         end = end_id.to_bytes(encoder.width, "little")
         for part in slices_by_bytes(batches, 1):
             ids = [x + end for x in encoder.batch([t or "" for t in part.column(1).to_pylist()])]
-            at = np.array([np.iinfo(np.int64).min if x is None else x for x in part.column(0).to_pylist()], np.int64)
-            shard = np.searchsorted(edges, at).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(shard), pa.array([encoder.width] * len(ids), pa.int32()),
-                 pa.array(ids, pa.binary())], schema=arrow)
+                [part.column(0), pa.array([encoder.width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], schema=arrow)
 
     ids = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    return ids.mapInArrow(run, ddl)
+    return ids.mapInArrow(run, IDS_DDL)
 
 
 @lru_cache(maxsize=1)
 def encoder_of(vocabulary: str) -> Encoder:
-    """One encoder per Python worker: its memory of chunks outlives a task. The
-    tasks of later stages, which run in the same workers, let it go first."""
+    """One encoder per Python worker. The tasks of later stages, which run in the
+    same workers, let it go first."""
     return Encoder(vocabulary)
 
 
@@ -321,12 +381,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, shards: int | None
     """Encode ``docs`` into the files under ``path``."""
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # ranges of about as many documents each; the bounds are one number a shard
-    keys = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
-    cuts = [i / shards for i in range(1, shards)]
-    bounds = sorted({int(b) for b in keys.approxQuantile("doc_id", cuts, 0.2 / shards)}) if cuts else []
     packed = shared_path(spark, "token-ids")
-    tokenise(docs, vocabulary, bounds, end_id).write.option("compression", "zstd").parquet(packed)
+    tokenise(docs, vocabulary, end_id).write.option("compression", "zstd").parquet(packed)
     ids = spark.read.schema(IDS_DDL).parquet(packed)
     lengths = code_lengths(count_ids(ids))
     book = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
@@ -341,7 +397,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, shards: int | None
         encoder_of.cache_clear()
         lengths, codes = shared.value
         held: list[tuple] = []
-        state = {"shard": None, "block": 0}
+        state = {"shard": TaskContext.get().partitionId(), "block": 0}  # ranges ascend with the partitions
 
         def block() -> pa.RecordBatch:
             ids = np.concatenate([x for _, x in held])
@@ -354,20 +410,20 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, shards: int | None
 
         n = 0
         for part in slices(batches):
-            for shard, doc_id, width, data in zip(*(c.to_pylist() for c in part.columns)):
-                if held and (shard != state["shard"] or n >= BLOCK_IDS):
+            for doc_id, width, data in zip(*(c.to_pylist() for c in part.columns)):
+                if n >= BLOCK_IDS:
                     yield block()
                     n = 0
-                if shard != state["shard"]:
-                    state.update(shard=shard, block=0)
                 held.append((doc_id, unpacked(width, data)))
                 n += len(held[-1][1])
         if held:
             yield block()
 
-    (ids.repartition(shards, "shard")
-     .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
-     .select("shard", "doc_id", "width", "ids").mapInArrow(run, ddl)
+    order = ["doc_id", "_first", "_hash", "_seq"]
+    (ids.select("*", F.substring("ids", 1, 64).alias("_first"), F.xxhash64("ids").alias("_hash"),
+                F.monotonically_increasing_id().alias("_seq"))
+     .repartitionByRange(shards, *order).sortWithinPartitions(*order)
+     .select("doc_id", "width", "ids").mapInArrow(run, ddl)
      .write.option("compression", "none").parquet(f"{path}/blocks"))
 
 
