@@ -8,9 +8,14 @@ is cut to k + 1 pieces, a match with at most k errors holds one piece exactly:
 an Aho-Corasick automaton finds all pieces in one pass, each hit places a
 window around the notice's possible position, and the ``regex`` library's
 bounded-error matching verifies the window and reports the span and its errors.
+Each window is searched by itself; of overlapping matches of a notice the one
+with fewest errors stands. The words that tell a licence from its neighbours
+(marked ``[...]`` in a notice) must stand exactly: errors count elsewhere only.
 
 Defined cases: a null text counts as empty (no words, no labels, score 0);
-equal rows give equal results; an empty table gives an empty result.
+equal rows give equal results; very long texts are searched whole, in one pass
+and windows of a notice's length; an empty table gives an empty result. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -35,22 +40,39 @@ PHRASES = (
 
 @dataclass(frozen=True)
 class Notice:
-    text: str
+    """``form``: the notice in normal form; words in ``[...]`` allow no errors."""
+
+    form: str
     label: str
     errors: int
 
+    @property
+    def text(self) -> str:
+        return self.form.replace("[", "").replace("]", "")
+
+    def pattern(self) -> regex.Pattern:
+        parts = regex.split(r"\[(.*?)\]", self.form)      # free, exact, free, exact, ...
+        out = []
+        for k, part in enumerate(parts):
+            if k % 2:
+                out.append(rf"\b{regex.escape(part)}\b")
+            elif part:
+                out.append(f"(?:{regex.escape(part)}){{e<={self.errors}}}")
+        return regex.compile("(?b)" + "".join(out))
+
 
 # Short license notices in the normal form, with allowed errors.
 NOTICES = (
-    Notice("under the mit license", "mit", 2),
+    Notice("under the [mit] license", "mit", 2),
     Notice("permission is hereby granted free of charge to any person obtaining a copy", "mit", 6),
-    Notice("licensed under the apache license version 2 0", "apache-2", 4),
-    Notice("licensed under cc by nc 4 0", "cc-by-nc", 1),
-    Notice("creative commons attribution noncommercial", "cc-by-nc", 3),
-    Notice("licensed under the gnu general public license version 3", "gpl-3", 4),
-    Notice("under the terms of the gnu lesser general public license", "lgpl", 4),
+    Notice("licensed under the [apache] license version [2] 0", "apache-2", 4),
+    Notice("licensed under [cc] [by] [nc] 4 0", "cc-by-nc", 1),
+    Notice("creative commons attribution [noncommercial]", "cc-by-nc", 3),
+    Notice("creative commons attribution [non commercial]", "cc-by-nc", 3),
+    Notice("licensed under the gnu [general] public license version [3]", "gpl-3", 4),
+    Notice("under the terms of the gnu [lesser] general public license", "lgpl", 4),
     Notice("redistribution and use in source and binary forms", "bsd", 4),
-    Notice("subject to the terms of the mozilla public license", "mpl", 4),
+    Notice("subject to the terms of the [mozilla] public license", "mpl", 4),
 )
 
 _SEPARATORS = bytes(b for b in range(0x80) if not (0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A
@@ -83,8 +105,7 @@ class Scanner:
         for piece, uses in seeds.items():
             self.automaton.add_word(piece, (len(piece), uses))
         self.automaton.make_automaton()
-        self.patterns = [regex.compile(f"(?b)(?:{regex.escape(n.text)}){{e<={n.errors}}}")
-                         for n in notices]
+        self.patterns = [n.pattern() for n in notices]
 
     def exact(self, line: str, starts: list[int]) -> list[tuple[int, str]]:
         """(first word, label) of each exact place in ``' ' + words + ' '``."""
@@ -97,26 +118,29 @@ class Scanner:
         return found
 
     def fuzzy(self, line: str) -> list[tuple[int, int, int, int]]:
-        """(notice, start, end, errors) of each verified match. Windows of one
-        notice that overlap are joined, so no match is cut."""
-        windows: dict[int, list[list[int]]] = {}
+        """(notice, start, end, errors) of the verified matches. A match has an
+        exact piece, whose window holds it whole; every window is searched for
+        its best match, and of overlapping ones the better stands."""
+        windows: dict[int, set[tuple[int, int]]] = {}
         for last, (length, uses) in self.automaton.iter(line):
             first = last - length + 1
             for i, offset in uses:
                 n = self.notices[i]
-                a = max(0, first - offset - n.errors)
-                b = min(len(line), first - offset + len(n.text) + n.errors)
-                spans = windows.setdefault(i, [])
-                if spans and a <= spans[-1][1]:
-                    spans[-1][1] = max(b, spans[-1][1])
-                    spans[-1][0] = min(a, spans[-1][0])
-                else:
-                    spans.append([a, b])
+                windows.setdefault(i, set()).add((max(0, first - offset - n.errors),
+                                                  min(len(line), first - offset + len(n.text) + n.errors)))
         found = []
         for i, spans in windows.items():
+            matches = set()
             for a, b in spans:
-                for m in self.patterns[i].finditer(line, a, b):
-                    found.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
+                m = self.patterns[i].search(line, a, b)
+                if m and sum(m.fuzzy_counts) <= self.notices[i].errors:
+                    matches.add((sum(m.fuzzy_counts), m.start(), m.end()))
+            taken: list[tuple[int, int]] = []
+            for errors, a, b in sorted(matches):
+                k = bisect_left(taken, (a, b))
+                if (k == 0 or taken[k - 1][1] <= a) and (k == len(taken) or b <= taken[k][0]):
+                    taken.insert(k, (a, b))
+                    found.append((i, a, b, errors))
         return sorted(found)
 
     def scan(self, text: str | None) -> dict:

@@ -120,31 +120,98 @@ def test_chunked_encoding_equals_the_library():
         assert [np.frombuffer(x, "<u2").tolist() for x in e.batch(texts)] == want
 
 
-def test_chunk_memory_is_bounded_and_right_after_turnover(monkeypatch, small):
-    monkeypatch.setattr(tokens, "CACHE_CHUNKS", 50)
-    e = tokens.Encoder(VOCABULARY)
-    texts = [t or "" for _, t in small[1][:60]]
-    for at in range(0, 60, 10):
-        got = [np.frombuffer(x, "<u2").tolist() for x in e.batch(texts[at:at + 10])]
-        assert got == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts[at:at + 10]]
+def fresh():
+    """The library's tokenizer as the contract calls it."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(VOCABULARY)
+    return lambda text: t.encode(text, add_special_tokens=False).ids
+
+
+def test_end_marker_in_a_text_is_the_librarys(spark, same):
+    encode = fresh()
+    assert encode("a <|endoftext|> b") == [64, 220, 50256, 275]
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "plain text a b a b"), (4, "x<|endoftext|>y z " * 3),
+            (5, "almost <|endoftext| > there"), (None, None)] + [(k, "a <|endoftext|> b a b") for k in range(10, 30)]
+    path = shared_path(spark, "test-marker")
+    tokens.write_tokens(spark.createDataFrame(rows, "doc_id bigint, text string"), path, VOCABULARY, shards=2)
+    same(tokens.token_digest(spark, path).collect(), brute.tokens(rows, encode))
+
+
+@pytest.mark.parametrize("most_bytes", [0, 300, 1 << 20])
+def test_common_chunks_do_not_change_the_ids(small, most_bytes):
+    df, rows = small
+    known = tokens.common_chunks(df, VOCABULARY, most_bytes)
+    assert sum(len(c.encode()) + 8 for c in known) <= most_bytes and bool(known) == bool(most_bytes)
+    encode, e = fresh(), tokens.Encoder(VOCABULARY, known)
+    texts = [t or "" for _, t in rows]
+    for at in range(0, len(texts), 50):
+        got = [np.frombuffer(x, "<u2").tolist() for x in e.batch(texts[at:at + 50])]
+        assert got == [encode(t) for t in texts[at:at + 50]]
+
+
+def test_equal_rows_are_dealt_over_shards(spark, same):
+    rows = [(None, "the same row")] * 300 + [(7, "shared id")] * 300 + [(k, f"row {k}") for k in range(50)]
+    path = shared_path(spark, "test-ties")
+    tokens.write_tokens(spark.createDataFrame(rows, "doc_id bigint, text string"), path, VOCABULARY, shards=8)
+    same(tokens.token_digest(spark, path).collect(), brute.tokens(rows, fresh()))
+    per_shard = [r["n"] for r in spark.read.parquet(f"{path}/blocks").selectExpr("shard", "size(lens) as n")
+                 .groupBy("shard").sum("n").withColumnRenamed("sum(n)", "n").collect()]
+    assert len(per_shard) >= 6 and max(per_shard) < 200
 
 
 # ---------------------------------------------------------------- op3
 
 def test_fuzzy_notices_within_the_bound_are_found():
+    """Errors anywhere but in the words that tell licences apart."""
     r = random.Random(4)
     s = licenses.Scanner()
     for notice in licenses.NOTICES:
+        free, inside = [], False
+        for c in notice.form:
+            if c in "[]":
+                inside = c == "["
+            else:
+                free.append(not inside)
+        # a word must also stay a word: the places beside an exact one are kept
+        free = [f and all(free[max(0, k - 1):k + 2]) for k, f in enumerate(free)]
+        places = [k for k, f in enumerate(free) if f]
         for _ in range(10):
             t = list(notice.text)
             for _ in range(notice.errors):
-                t[r.randrange(len(t))] = "z"
+                t[r.choice(places)] = "z"
             text = "some words before " + "".join(t) + " and after"
             got = s.scan(text)
             assert notice.label in {x[2] for x in got["spans"]}, (notice.text, "".join(t))
             assert got["score"] >= 1 - notice.errors / len(notice.text) - 1e-9
 
 
+def test_neighbouring_licences_are_told_apart():
+    s = licenses.Scanner()
+    labels = lambda text: {x[2] for x in s.scan(text)["spans"]}
+    for text in ("Distributed under the MPL license", "under the edit license", "under the Limit license",
+                 "Licensed under the Apache License, Version 1.1", "Licensed under the Apache License, Version 1.0",
+                 "GNU General Public License version 2", "Licensed under the GNU General Public License version 2",
+                 "Licensed under CC BY-ND 4.0", "Licensed under CC BY 4.0", "under the mitt license",
+                 "Creative Commons Attribution NoDerivatives", "Creative Commons Attribution Commercial"):
+        assert labels(text) == set(), text
+    for text, label in (("Released undr the MIT Licence", "mit"), ("Licenced under the Apache Licence, Version 2.0", "apache-2"),
+                        ("Licensed under CC BY-NC 4.0", "cc-by-nc"), ("Creative Comons Attribution-NonCommercial", "cc-by-nc"),
+                        ("Creative Commons Atribution Non-Commercial", "cc-by-nc"),
+                        ("Licensed under the GNU General Public Licence, version 3", "gpl-3"),
+                        ("under the terms of the GNU Lesser General Public Licence", "lgpl"),
+                        ("subject to the terms of the Mozilla Public Licence", "mpl")):
+        assert labels(text) == {label}, text
+
+
+def test_a_worse_match_before_a_better_one_is_kept():
+    s = licenses.Scanner()
+    for text in ("undr the mit license under the mit license", "under the mit license undr the mit license",
+                 "undr the mit license under the mit license undder the mit licence"):
+        n = text.count("mit")
+        assert len([x for x in s.scan(text)["spans"] if x[2] == "mit"]) == n, text
+
+
 def test_fuzzy_notices_beyond_the_bound_are_not():
     s = licenses.Scanner([licenses.Notice("under the mit license", "mit", 2)], ())
     assert s.scan("under the mxxx license")["spans"] == []
@@ -372,9 +439,8 @@ def test_pipeline_stages_follow_their_reports(spark, edge_docs, tmp_path):
     assert ids(kept[3]) == [i for i in ids(kept[2]) if i not in bad]
     copies = {r["doc_id"]: r["copies"] for r in mixing.mix_report(kept[3]).collect()}
     assert ids(kept[4]) == sorted(i for i, n in copies.items() for _ in range(n))
-    e = tokens.Encoder(VOCABULARY)
     rows = [(r[0], r[1]) for r in kept[4].select("doc_id", "text").collect()]
-    want = brute.tokens(rows, lambda t: np.frombuffer(e.whole([t])[0], "<u2").tolist())
+    want = brute.tokens(rows, fresh())
     assert sorted(map(tuple, kept[5].collect())) == sorted(want)
 
 
