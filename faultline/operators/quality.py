@@ -168,3 +168,55 @@ def full_quality_report(raw: DataFrame, intervals: DataFrame, u: str = "ts_us",
              ("  Gaps in the time line: ", "timestamp_gaps"), ("  Inverted intervals: ", "inverted_intervals")]
     return one.withColumn("summary", F.concat_ws("\n", *[F.concat(F.lit(t), F.col(c).cast("string"))
                                                          for t, c in lines]))
+
+
+def tag_gaps(df: DataFrame, key: str = "TAG", u: str = "ts_us", silent_hours: int = 48) -> DataFrame:
+    """Per equipment: its sessions (hours with events, cut where ``silent_hours``
+    or more pass without any), the gaps between them, the longest one's empty
+    hours, and the days on which gaps begin, ascending, as a list.
+
+    Rows are first reduced to distinct (key, hour), so an equipment has at most
+    8,784 rows a year however many events; session windows merge these."""
+    from faultline.functions.timecols import micros_to_ntz
+    hours = (df.where(F.col(key).isNotNull() & F.col(u).isNotNull())
+             .select(key, floor_div(F.col(u), US_PER_HOUR).alias("_h")).distinct()
+             .withColumn("_t", micros_to_ntz(F.col("_h") * F.lit(US_PER_HOUR)).cast("timestamp")))
+    # an hour that begins ``silent_hours`` + 1 after another has that many empty ones between
+    sessions = (hours.groupBy(key, F.session_window("_t", f"{silent_hours} hours 1 second"))
+                .agg(F.min("_h").alias("_from"), F.max("_h").alias("_to")).select(key, "_from", "_to"))
+    nxt = F.lead("_from").over(Window.partitionBy(key).orderBy("_from"))
+    gaps = sessions.withColumn("_next", nxt)
+    begin = F.date_format(micros_to_ntz((F.col("_to") + 1) * F.lit(US_PER_HOUR)), "yyyy-MM-dd")
+    has = F.col("_next").isNotNull()
+    return gaps.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_sessions"), F.count_if(has).alias("n_gaps"),
+        F.coalesce(F.max(F.when(has, F.col("_next") - F.col("_to") - 1)), F.lit(0)).cast("long").alias("longest_gap_hours"),
+        F.array_sort(F.collect_set(F.when(has, begin))).alias("gap_days"))
+
+
+def report_lists(raw: DataFrame, intervals: DataFrame, u: str = "ts_us", silent_hours: int = 48) -> DataFrame:
+    """One row: the TAGs that no interval names and the months (yyyy-MM) in
+    which some equipment falls silent, as sorted lists, and the row count. Both
+    lists are as long as the fleet or the calendar, not the table."""
+    tags = tag_mismatch(raw, intervals).agg(F.array_sort(F.collect_set("TAG")).alias("tag_mismatches"))
+    months = (tag_gaps(raw, u=u, silent_hours=silent_hours)
+              .select(F.explode("gap_days").alias("_d")).select(F.substring("_d", 1, 7).alias("_m")).distinct()
+              .agg(F.array_sort(F.collect_set("_m")).alias("gap_months")))
+    rows = raw.agg(F.count(F.lit(1)).alias("n_rows"))
+    one = tags.unionByName(months, allowMissingColumns=True).unionByName(rows, allowMissingColumns=True)
+    return one.agg(*[F.max(c).alias(c) for c in ("tag_mismatches", "gap_months", "n_rows")])
+
+
+def clean_and_count(raw: DataFrame, write) -> DataFrame:
+    """Clean ``raw``, hand it to ``write`` (a sink) and give the counters of
+    ``quality_counts``, observed while the sink runs: the raw files are read once."""
+    from pyspark.sql import Observation
+    seen = Observation("quality_counts")
+    names = ["criticidade_fixed", "null_string_fixed", "valor_null_fixed", "decimal_fixed", "valor_rejected"]
+    flags = [criticidade_changed(F.col("Criticidade")), is_null_literal(F.col("Classe")), is_null_literal(F.col("Valor")),
+             has_decimal_comma(F.col("Valor")), decimal_rejected(F.col("Valor"))]
+    marked = raw.observe(seen, F.count(F.lit(1)).alias("n_rows"), *[F.count_if(f).alias(n) for n, f in zip(names, flags)])
+    write(clean_telemetry(marked))
+    got = seen.get
+    return raw.sparkSession.createDataFrame([tuple(got[n] for n in ("n_rows", *names))],
+                                            "n_rows bigint, " + ", ".join(f"{n} bigint" for n in names))
