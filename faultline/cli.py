@@ -77,9 +77,7 @@ def main(argv=None) -> int:
         for row in rows.collect():
             print(json.dumps(row.asDict()))
     elif a.stage == "errors":
-        start_us = spark.range(1).select(S.wall_micros(a.test_start)).first()[0]
-        rep = stages.stage_errors(spark, f"{out}/features", f"{out}/model_{a.family}_{a.label}", start_us,
-                                  a.label, a.threshold)
+        rep = stages.stage_scored_errors(spark, f"{out}/scored_{a.family}_{a.label}", a.threshold)
         text = json.dumps(rep, indent=2, ensure_ascii=False)
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite") \
             .text(f"{out}/error_analysis_{a.family}_{a.label}")

@@ -63,7 +63,9 @@ def train_balanced(train_df: DataFrame, features: list[str], label: str, family:
     balance = class_balance(data, label).first().asDict()
     w = float(balance["scale_pos_weight"])
     data = data.withColumn("_w", F.when(F.col(label) == 1, F.lit(w)).otherwise(F.lit(1.0)))
-    return _pipeline(features, label, family, n_trees, depth, step, seed).fit(data), balance
+    # the copy leaves the training summary behind: a summary holds the session,
+    # which cannot be sent to executors once the session has observed metrics
+    return _pipeline(features, label, family, n_trees, depth, step, seed).fit(data).copy(), balance
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "y_prob") -> DataFrame:
@@ -116,32 +118,34 @@ def heuristic(test: DataFrame, feature: str = "critical_alarm_count_1h") -> Data
 
 
 def permutation_importance(scored_fn, test: DataFrame, features: list[str], label: str,
-                           key: str, metric_fn, group_rows: int = 10_000, seed: int = SEED):
-    """Drop of ``metric_fn`` when one feature is shuffled over the whole test set.
+                           key: str, group_rows: int = 10_000, seed: int = SEED) -> DataFrame:
+    """(feature, base_auc, permuted_auc, drop): how much the ROC-AUC falls when
+    one feature is shuffled over the whole test set.
 
     The shuffle is a cyclic shift inside random groups of about
     ``group_rows`` rows (a window per group: every row takes the value of the
-    next row in seeded-hash order), so each group is one bounded task.
-    ``scored_fn(df) -> df with y_prob``; ``metric_fn(df) -> one-row frame with
-    'auc_roc'``. All shifted columns come from one window, stored once. Returns
-    (feature, base, permuted, drop) rows as a list."""
+    next row in seeded-hash order), so each group is one bounded task. All
+    shifted columns come from one window, stored once; then every row stands
+    once per feature, with that feature shifted, and once as it is, is scored by
+    ``scored_fn(df) -> df with y_prob`` in one pass, and all are reported by
+    feature in one job."""
     from pyspark.sql import Window
 
+    from faultline.operators.grouped import long_form, report_by_group
     from faultline.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(test.sparkSession)
-    n = test.count()
-    groups = max(1, n // group_rows)
+    groups = max(1, test.count() // group_rows)
     g = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(groups))
     h = F.xxhash64(F.lit(seed), F.col(key))
-    base_t = test.withColumn("_g", g).withColumn("_h", h)
     w = Window.partitionBy("_g").orderBy("_h", key)
     wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    base_metric = metric_fn(scored_fn(test)).first()["auc_roc"]
-    shifted = base_t.withColumns({f"_p_{f}": F.coalesce(F.lead(f).over(w), F.first(f).over(wall))
-                                  for f in features}).drop("_g", "_h").checkpoint()
-    out = []
-    for f in features:
-        perm = shifted.withColumn(f, F.col(f"_p_{f}")).select(*test.columns)
-        m = metric_fn(scored_fn(perm)).first()["auc_roc"]
-        out.append((f, float(base_metric), float(m), float(base_metric - m)))
-    return out
+    shifted = test.withColumn("_g", g).withColumn("_h", h).withColumns(
+        {f"_p_{f}": F.coalesce(F.lead(f).over(w), F.first(f).over(wall)) for f in features}).drop("_g", "_h").checkpoint()
+    as_is = {f: F.col(f) for f in features}
+    variants = {"": as_is, **{f: {**as_is, f: F.col(f"_p_{f}")} for f in features}}
+    rows = long_form(shifted, "feature", variants, [F.col(label).alias("y")])
+    auc = report_by_group(scored_fn(rows).select("feature", "y", "y_prob"), ["feature"]).select("feature", "auc_roc").checkpoint()
+    # one row per feature and one of the rows as they are
+    base = auc.where("feature = ''").first()["auc_roc"]
+    return auc.where("feature <> ''").select("feature", F.lit(float(base)).alias("base_auc"), F.col("auc_roc").alias("permuted_auc"),
+                                             (F.lit(float(base)) - F.col("auc_roc")).alias("drop"))

@@ -1001,9 +1001,7 @@ def permutation_importance(spark, sf_dir):
     model, _, _, _ = _fitted(spark, sf_dir, "label_4h", "gbt")
     _, test = _splits(spark, sf_dir)
     test = test.select("event_id", *FEATURE_COLS, F.col("label_4h").cast("int").alias("y")).checkpoint()
-    rows = ml.permutation_importance(lambda d: ml.score(model, d), test, FEATURE_COLS, "y", "event_id",
-                                     lambda d: M.ranking_metrics(d, "y", "y_prob"))
-    return spark.createDataFrame(rows, "feature string, base_auc double, permuted_auc double, drop double")
+    return ml.permutation_importance(lambda d: ml.score(model, d), test, FEATURE_COLS, "y", "event_id")
 
 
 # --- diagnostics, previews, sampling, ordered split ------------------------------------------------

@@ -7,11 +7,16 @@ models are scored once per test set and the metric jobs read that output.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.operators import metrics as M
 from faultline.operators import ml
+from faultline.operators.grouped import long_form, report_by_group
+from faultline.operators.split import hash_fraction
 from faultline.plans.features import FEATURE_COLS
 
 
@@ -66,20 +71,62 @@ def comparison(rows: DataFrame, baseline_names: list[str]) -> DataFrame:
 
 
 def baseline_rows(spark: SparkSession, train: DataFrame, test: DataFrame, label: str,
-                  key: list[str]) -> DataFrame:
-    """Metric rows for the majority, stratified and heuristic baselines."""
+                  key: list[str], threshold: float = 0.5) -> DataFrame:
+    """Metric rows of the majority, stratified and heuristic baselines: the test
+    rows are read once, in long form, and reported by model in one job."""
     n = ml.label_counts(train, label)
     n_train = n["n_pos"] + n["n_neg"]
     maj, has_pos = int(n["n_pos"] > n["n_neg"]), n["n_pos"] > 0
     rate = n["n_pos"] / max(1, n_train)
     t = test.withColumn("y", F.col(label).cast("int"))
-    rows = [model_metrics(spark, "dummy_most_frequent", label, ml.dummy_majority(t, maj, has_pos), n_train, 1.0),
-            model_metrics(spark, "dummy_stratified", label, ml.dummy_stratified(t, rate, key), n_train, 1.0),
-            model_metrics(spark, "heuristic_critical_1h", label, ml.heuristic(t), n_train, 1.0)]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    scores = {"dummy_most_frequent": F.lit(float(maj) if has_pos else 0.0),
+              "dummy_stratified": (hash_fraction(key) < F.lit(float(rate))).cast("double"),
+              "heuristic_critical_1h": F.col("critical_alarm_count_1h").cast("double")}
+    rows = long_form(t, "model", {m: {"y_prob": c} for m, c in scores.items()}, ["y"])
+    rep = report_by_group(rows, ["model"], threshold=threshold)
+    return rep.select("model", F.lit(label).alias("label"), F.lit(float(threshold)).alias("threshold"),
+                      "tp", "fp", "fn", "tn", "precision", "recall", "f1", "auc_roc", "auc_pr",
+                      F.lit(int(n_train)).cast("long").alias("train_rows"),
+                      (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("test_rows"),
+                      F.lit(1.0).alias("scale_pos_weight"))
+
+
+def in_parallel(spark: SparkSession, jobs: dict, threads: int) -> dict:
+    """{name: job()}: jobs submitted from pooled threads, each in a scheduler pool
+    of its own name, so that one job's tasks fill the cores another leaves idle
+    (pools share fairly under ``spark.scheduler.mode=FAIR``). The first failure is
+    raised once all have ended."""
+    sc = spark.sparkContext
+
+    def run(name, job):
+        sc.setLocalProperty("spark.scheduler.pool", f"faultline-{name}")
+        try:
+            return job()
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max(1, threads)) as pool:
+        got = {name: pool.submit(inheritable_thread_target(spark)(run), name, job) for name, job in jobs.items()}
+    return {name: f.result() for name, f in got.items()}
+
+
+def train_horizons(train: DataFrame, test: DataFrame, labels: list[str], family: str = "gbt",
+                   n_trees: int = ml.N_TREES, keep: list[str] = (), threads: int | None = None) -> dict:
+    """{label: (model, scored test set, train rows, positive weight)}. The
+    horizons are fitted at the same time over one stored matrix (``threads``: 1
+    for one after another); each scored set is checkpointed, so metrics never
+    run a model again."""
+    from faultline.session import ensure_checkpoint_dir
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    matrix = train.select(*FEATURE_COLS, *labels).checkpoint()
+
+    def job(label):
+        model, sc, n_train, spw = train_and_score(matrix, test, label, family, n_trees, keep)
+        return model, sc.checkpoint(), n_train, spw
+
+    jobs = {label: (lambda label=label: job(label)) for label in labels}
+    return in_parallel(spark, jobs, len(labels) if threads is None else threads)
 
 
 def error_analysis(scored: DataFrame, threshold: float = M.REPORT_THRESHOLD) -> dict:

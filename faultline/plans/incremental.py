@@ -2,11 +2,11 @@
 
 A new month touches itself and the seam only. Under one path:
 
-  final/batch=k   feature rows that no later event can change
+  features/batch=k  the rows put out, by _open: false are those that no later
+                  event can change, true those within a horizon of the seam, whose
+                  labels may still change (the next batch puts these out again)
   state/batch=k   what the next month needs:
     seam          the last instant
-    open          feature rows whose labels may still change (within a horizon of
-                  the seam), as they are now
     tail          raw rows within two horizons of the seam: the open rows' look-back
     carry         per TAG, from rows before the tail: its first row and its last
                   critical instant
@@ -84,10 +84,7 @@ def append_month(spark: SparkSession, path: str, batch: int, tele: DataFrame, in
         feats = feats.where(F.col("ts_us") >= seam - REACH)
     # a label looks ahead by REACH at most, and an event at the seam may still come
     feats = feats.withColumn("_open", F.col("ts_us") >= new_seam - REACH)
-    feats.write.mode("overwrite").partitionBy("_open").parquet(f"{here}/made")
-    made = spark.read.schema(feats.schema).parquet(f"{here}/made")
-    made.where(~F.col("_open")).drop("_open").write.mode("overwrite").parquet(f"{path}/final/batch={batch}")
-    made.where("_open").drop("_open").write.mode("overwrite").parquet(f"{here}/open")
+    feats.write.mode("overwrite").partitionBy("_open").parquet(f"{path}/features/batch={batch}")
 
     start = new_seam - 2 * REACH
     rows.where(F.col("ts_us") > start).write.mode("overwrite").parquet(f"{here}/tail")
@@ -104,8 +101,12 @@ def append_month(spark: SparkSession, path: str, batch: int, tele: DataFrame, in
 
 
 def read_features(spark: SparkSession, path: str, batch: int) -> DataFrame:
-    """All feature rows after batches 1 to ``batch``."""
-    out = spark.read.parquet(f"{path}/state/batch={batch}/open")
+    """All feature rows after batches 1 to ``batch``: what is final, and the
+    last batch's open rows."""
+    schema = spark.read.parquet(f"{path}/features/batch={batch}").schema
+    out = None
     for k in range(1, batch + 1):
-        out = out.unionByName(spark.read.schema(out.schema).parquet(f"{path}/final/batch={k}"))
+        part = spark.read.schema(schema).parquet(f"{path}/features/batch={k}")
+        part = (part if k == batch else part.where(~F.col("_open"))).drop("_open")
+        out = part if out is None else out.unionByName(part)
     return out

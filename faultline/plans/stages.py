@@ -26,9 +26,11 @@ from faultline.sources import sinks
 
 
 def stage_clean(raw: DataFrame, intervals: DataFrame, out_dir: str) -> None:
-    clean = Q.clean_telemetry(raw)
-    sinks.write_parquet(clean, f"{out_dir}/cleaned_telemetry", partition_by=["_source_month"],
-                        sort_within=["TAG", "timestamp"])
+    """The counters are observed while the clean table is written."""
+    counts = Q.clean_and_count(raw, lambda clean: sinks.write_parquet(
+        clean, f"{out_dir}/cleaned_telemetry", partition_by=["_source_month"], sort_within=["TAG", "timestamp"]))
+    sinks.write_json(counts, f"{out_dir}/cleaning_counts")
+    sinks.write_json(Q.report_lists(with_micros(raw), intervals), f"{out_dir}/quality_lists")
     sinks.write_parquet(intervals, f"{out_dir}/cleaned_intervals")
     sinks.write_text_report(Q.full_quality_report(with_micros(raw), intervals), f"{out_dir}/quality_report")
     sinks.write_json(Q.inverted_intervals(intervals), f"{out_dir}/interval_report")
@@ -57,7 +59,9 @@ def stage_features(clean: DataFrame, intervals: DataFrame, out_dir: str, **kw) -
 
 
 def stage_model(spark: SparkSession, features_path: str, out_dir: str, train_end: str, test_start: str,
-                family: str = "gbt", n_trees: int = 100, labels=LABEL_COLS) -> DataFrame:
+                family: str = "gbt", n_trees: int = 100, labels=LABEL_COLS, threads: int | None = None) -> DataFrame:
+    """Per horizon a model, its scored test set, a sweep and a metrics row. The
+    horizons are trained at the same time (``threads``: 1 for one by one)."""
     from faultline.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     feats = spark.read.parquet(features_path)
@@ -65,11 +69,12 @@ def stage_model(spark: SparkSession, features_path: str, out_dir: str, train_end
     # (ties on the instant go by a hash of the whole row, so the cut is the same on every run)
     feats = feats.withColumn("_row", F.xxhash64(*feats.columns))
     train, test = S.split_or_fallback(feats, "ts_us", "_row", train_end, test_start)
+    fitted = EV.train_horizons(train, test, labels, family, n_trees, keep=["ts_us", "current_state"], threads=threads)
     rows = None
     for i, lab in enumerate(labels):
-        model, sc, n_train, spw = EV.train_and_score(train, test, lab, family, n_trees)
+        model, sc, n_train, spw = fitted[lab]
         model.write().overwrite().save(f"{out_dir}/model_{family}_{lab}")
-        sc = sc.checkpoint()
+        sinks.write_parquet(sc, f"{out_dir}/scored_{family}_{lab}")
         r = EV.model_metrics(spark, family, lab, sc, n_train, spw).withColumn("_order", F.lit(i))
         sweep = M.threshold_sweep(sc).select(F.lit(lab).alias("label"), "*")
         sinks.write_json(sweep, f"{out_dir}/threshold_sweep_{family}_{lab}")
@@ -79,6 +84,12 @@ def stage_model(spark: SparkSession, features_path: str, out_dir: str, train_end
     return rows
 
 
+def stage_scored_errors(spark: SparkSession, scored_path: str, threshold: float = M.REPORT_THRESHOLD) -> dict:
+    """The error analysis of a scored test set that ``stage_model`` stored: no
+    model is loaded and nothing is scored again."""
+    return EV.error_analysis(spark.read.parquet(scored_path), threshold)
+
+
 def stage_errors(spark: SparkSession, features_path: str, model_path: str, test_start_us: int,
                  label: str = "label_4h", threshold: float = M.REPORT_THRESHOLD) -> dict:
     """Load the saved model, read only the needed columns of the test rows

@@ -121,3 +121,22 @@ def test_model_stage_falls_back_to_ordered_split(spark, tmp_out):
     n = raw.count()
     assert rows[0]["train_rows"] == int(n * 0.8) and rows[0]["test_rows"] == n - int(n * 0.8)
     assert rows[0]["is_best"]
+
+
+def test_horizons_in_parallel_and_errors_from_the_stored_scores(spark, tmp_out):
+    """Fitted at the same time or one by one: the same models; the error analysis needs no model."""
+    from pyspark.ml import PipelineModel
+    path = stages.stage_features(A.telemetry(spark, SF_SMALL), A.intervals(spark, SF_SMALL), tmp_out)
+    cut = ("2024-01-20 23:59:59", "2024-01-21 00:00:00")
+    got = {}
+    for name, threads in (("together", None), ("in_turn", 1)):
+        rows = stages.stage_model(spark, path, f"{tmp_out}/{name}", *cut, family="rf", n_trees=4, threads=threads)
+        got[name] = sorted(map(tuple, rows.collect()))
+    assert got["together"] == got["in_turn"] and len(got["together"]) == 3
+    for label in ("label_1h", "label_2h", "label_4h"):
+        a, b = (PipelineModel.load(f"{tmp_out}/{n}/model_rf_{label}").stages[-1].toDebugString.split("\n", 1)[1]
+                for n in got)
+        assert a == b
+    start = spark.range(1).select(wall_micros(cut[1])).first()[0]
+    assert stages.stage_scored_errors(spark, f"{tmp_out}/together/scored_rf_label_4h", .3) == stages.stage_errors(
+        spark, path, f"{tmp_out}/together/model_rf_label_4h", start, threshold=.3)
