@@ -15,7 +15,7 @@ is broadcast (its size is checked, not assumed) and one pass over the documents
 meets all its items. No documents are shuffled.
 
 Defined cases: null or empty texts and items, and items of fewer than ``least``
-words, are found nowhere; repeated rows are each reported; equal matches are
+words, are found nowhere; very long texts are tiled whole; repeated rows are each reported; equal matches are
 marked from the left; an empty table on either side gives an empty report, and
 the filter then keeps every document; other columns are kept by the filter.
 """

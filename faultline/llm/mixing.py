@@ -21,7 +21,8 @@ All draws are hashes of the seed and the documents' keys: reruns agree.
 Defined cases: a null or empty text has size 0 and is taken as its rate says,
 which adds no words; a source without words has target 0; a null source is a
 source, the last one; rows that repeat a document share one key, are rounded
-as one unit and split its copies evenly; an empty table gives an empty result.
+as one unit and split its copies evenly; very long texts count with all their words; an empty table gives
+an empty result; other columns are kept by ``mixed`` and not read by the report.
 Everything is DataFrame operations.
 """
 

@@ -27,7 +27,7 @@ blocks. Tasks hand on a spanning forest of the links they find, never all pairs.
 
 Defined cases: null or empty texts and texts without words have no shingles and
 link with nothing; a text with fewer words than a shingle has one, its whole
-sequence; repeated rows are copies of one document; an empty table gives an
+sequence; of very long texts every shingle counts; repeated rows are copies of one document; an empty table gives an
 empty result; other columns are not read by the join and kept by the filter.
 The filter tells rows apart by doc_id and text together: rows without a doc_id,
 or different texts under one, are documents of their own.

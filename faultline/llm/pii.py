@@ -10,7 +10,7 @@ Account numbers are matched by their first four characters and look ahead at
 the groups behind them, as those may hold other words or the next number.
 
 Defined cases: a null text counts as empty (no spans, digest of the empty
-string); equal rows give equal results; an empty table gives an empty result;
+string); very long texts are searched whole; equal rows give equal results; an empty table gives an empty result;
 other columns are not read.
 """
 

@@ -9,7 +9,7 @@ until one rejects it. The order changes only the time: a document is kept when
 no rule rejects it, whatever the order.
 
 Defined cases: a null or empty text has no words and is rejected by
-``min_words``; rows with equal texts get equal verdicts; an empty table gives
+``min_words``; very long texts are judged whole; rows with equal texts get equal verdicts; an empty table gives
 an empty result; other columns are neither read nor lost.
 """
 

@@ -7,7 +7,7 @@ trigrams that the queries name; AND and OR over the postings leave the
 candidates, and only those are verified by the expression. A rule from which
 no mandatory trigram follows is run over every document.
 
-Defined cases: a null text counts as empty; equal rows give equal results; an
+Defined cases: a null text counts as empty; very long texts are searched whole; equal rows give equal results; an
 empty table gives an empty result; other columns are not read.
 """
 

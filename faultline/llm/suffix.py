@@ -24,7 +24,7 @@ documents) would be an unbounded group; its single contexts are cut to windows
 instead, which are counted by 128-bit hash in a plain aggregation, exactly.
 
 Defined cases: null and empty texts have no bytes; texts under 200 bytes lose
-none; copies and repeated rows repeat each other's strings and lose all their
+none; very long texts are read whole; copies and repeated rows repeat each other's strings and lose all their
 bytes from 200 on; an empty table gives an empty result; other columns are not
 read by the report and kept by the filter.
 """
