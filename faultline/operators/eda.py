@@ -4,7 +4,7 @@ figures; no drawing)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.frames import floor_div
@@ -90,16 +90,15 @@ def label_correlation(df: DataFrame, features: list[str], label: str) -> DataFra
 def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
     """Equal-width histogram per column between its min and max: column,
     bin (0..bins-1, the max falls in the last bin), lo, hi, count. Empty bins
-    are omitted. One lazy pass over the rows: they are counted per distinct
-    (column, value) first, and bounds and bins come from that table."""
+    are omitted. The rows are counted per distinct (column, value); bounds, one
+    row per column, and bins both come from that exchange."""
     each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])
     values = (df.select(F.inline(each)).where(F.col("x").isNotNull())
               .groupBy("column", "x").agg(F.count(F.lit(1)).alias("n")))
-    # bounds by a window over the distinct values of each column
-    w = Window.partitionBy("column")
-    lo, hi = F.min("x").over(w), F.max("x").over(w)
-    v = (values.withColumn("_lo", lo)
-               .withColumn("_w", F.when(hi > lo, (hi - lo) / F.lit(float(bins))).otherwise(F.lit(1.0))))
+    bounds = values.groupBy("column").agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
+    # as many rows as columns are given
+    v = values.join(F.broadcast(bounds), "column").withColumn(
+        "_w", F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))).otherwise(F.lit(1.0)))
     b = F.least(F.floor((F.col("x") - F.col("_lo")) / F.col("_w")), F.lit(bins - 1)).cast("int")
     h = v.groupBy("column", b.alias("bin"), "_lo", "_w").agg(F.sum("n").alias("count"))
     return h.select("column", "bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("lo"),

@@ -76,6 +76,29 @@ def _swept(rows: DataFrame, keys: list[str], bucket_us: int) -> DataFrame:
     return b.unionByName(carry, allowMissingColumns=True)
 
 
+def _flagged(at: DataFrame, rules: DataFrame, width: int, max_rules: int, ties: str = "range",
+             carried: list[str] = ()) -> DataFrame:
+    """The instants ``at`` (TAG, Alarme, _t, _n, ``carried``) at which their rule's
+    count is reached, by the sweep line."""
+    r = dedupe_rules(rules).select(F.col("EVENTO").alias("_ev"), F.col("QTD").alias("_qty"),
+                                   (F.col("TEMPO").cast("long") * F.lit(US_PER_MINUTE)).alias("_w"))
+    ruled = join_small(at, r, F.col("Alarme") == F.col("_ev"), "inner", max_rows=max_rules).drop("_ev")
+    keys = ["TAG", "Alarme"]
+    both = ruled.withColumn("_arrive", F.explode(F.array(F.lit(True), F.lit(False))))
+    sweep = both.select(*keys, F.when(F.col("_arrive"), F.col("_t")).otherwise(F.col("_t") + F.col("_w")).alias("_t"),
+                        F.when(F.col("_arrive"), F.col("_n")).otherwise(-F.col("_n")).alias("_d"),
+                        "_qty", "_arrive", *[c for c in ("_tb",) if ties == "row"], *carried)
+    sweep = _swept(sweep, keys, width)
+    part = Window.partitionBy(*keys, "_bk")
+    if ties == "row":
+        # expiries (-1) stand before arrivals (+1) of the same instant
+        running = F.sum("_d").over(part.orderBy("_t", "_d", "_tb").rowsBetween(Window.unboundedPreceding, 0))
+    else:
+        running = F.sum("_d").over(part.orderBy("_t").rangeBetween(Window.unboundedPreceding, 0))
+    return (sweep.withColumn("_run", running)
+            .where(F.coalesce(F.col("_arrive"), F.lit(False)) & (F.col("_run") >= F.col("_qty"))))
+
+
 def apply_rules(tele: DataFrame, rules: DataFrame, *, u: str = "ts_us",
                 flag: str = "Is_Dont_Go_derived", bucket_us: int | None = None,
                 max_rules: int = 100_000, ties: str = "range",
@@ -94,30 +117,13 @@ def apply_rules(tele: DataFrame, rules: DataFrame, *, u: str = "ts_us",
     if ties == "row" and tiebreak is None:
         raise ValueError("ties='row' needs a tiebreak column")
     width = int(bucket_us or bucket_width(tele, ["TAG"], u))
-    r = dedupe_rules(rules).select(F.col("EVENTO").alias("_ev"), F.col("QTD").alias("_qty"),
-                                   (F.col("TEMPO").cast("long") * F.lit(US_PER_MINUTE)).alias("_w"))
     t = tele.where(F.col("TAG").isNotNull() & F.col(u).isNotNull())
-    order = [F.col(tiebreak).alias("_tb")] if ties == "row" else []
-    at = t.select("TAG", "Alarme", F.col(u).cast("long").alias("_t"), *order)
+    at = t.select("TAG", "Alarme", F.col(u).cast("long").alias("_t"), *([F.col(tiebreak).alias("_tb")] if ties == "row" else []))
     if ties == "range":
         at = at.groupBy("TAG", "Alarme", "_t").agg(F.count(F.lit(1)).alias("_n"))
     else:
         at = at.withColumn("_n", F.lit(1).cast("long"))
-    ruled = join_small(at, r, F.col("Alarme") == F.col("_ev"), "inner", max_rows=max_rules).drop("_ev")
-    keys = ["TAG", "Alarme"]
-    both = ruled.withColumn("_arrive", F.explode(F.array(F.lit(True), F.lit(False))))
-    sweep = both.select(*keys, F.when(F.col("_arrive"), F.col("_t")).otherwise(F.col("_t") + F.col("_w")).alias("_t"),
-                        F.when(F.col("_arrive"), F.col("_n")).otherwise(-F.col("_n")).alias("_d"),
-                        "_qty", "_arrive", *[c for c in ("_tb",) if ties == "row"])
-    sweep = _swept(sweep, keys, width)
-    part = Window.partitionBy(*keys, "_bk")
-    if ties == "row":
-        # expiries (-1) stand before arrivals (+1) of the same instant
-        running = F.sum("_d").over(part.orderBy("_t", "_d", "_tb").rowsBetween(Window.unboundedPreceding, 0))
-    else:
-        running = F.sum("_d").over(part.orderBy("_t").rangeBetween(Window.unboundedPreceding, 0))
-    flagged = (sweep.withColumn("_run", running)
-               .where(F.coalesce(F.col("_arrive"), F.lit(False)) & (F.col("_run") >= F.col("_qty"))))
+    flagged = _flagged(at, rules, width, max_rules, ties)
     on = (F.col("TAG") == F.col("_k1")) & (F.col("Alarme") == F.col("_k2")) & (F.col(u).cast("long") == F.col("_k3"))
     named = [F.col("TAG").alias("_k1"), F.col("Alarme").alias("_k2"), F.col("_t").alias("_k3")]
     if ties == "row":
@@ -138,3 +144,25 @@ def compare_signals(df: DataFrame, actual: str = "Is_Dont_Go",
         F.col("tp").alias("true_positives"), F.col("fp").alias("false_positives"),
         F.col("fn").alias("false_negatives"), F.col("tn").alias("true_negatives"),
         "precision", "recall")
+
+
+def flag_confusion(tele: DataFrame, rules: DataFrame, *, u: str = "ts_us", actual: str = "Is_Dont_Go",
+                   bucket_us: int | None = None, max_rules: int = 100_000) -> DataFrame:
+    """``compare_signals`` of the derived flag without deriving it for every row:
+    the sweep's instants carry their counts of actual 1 and 0, so flagged
+    instants give the hits, and one total gives the rest. Rows are not joined."""
+    from faultline.operators.metrics import _is, with_rates
+    width = int(bucket_us or bucket_width(tele, ["TAG"], u))
+    at = (tele.where(F.col("TAG").isNotNull() & F.col(u).isNotNull())
+          .groupBy("TAG", "Alarme", F.col(u).cast("long").alias("_t"))
+          .agg(F.count(F.lit(1)).alias("_n"), F.count_if(_is(actual, 1)).alias("_yes"),
+               F.count_if(_is(actual, 0)).alias("_no")))
+    zero = F.lit(0).cast("long")
+    hits = _flagged(at, rules, width, max_rules, carried=["_yes", "_no"]).agg(
+        F.sum("_yes").alias("tp"), F.sum("_no").alias("fp"), zero.alias("pos"), zero.alias("neg"))
+    all_rows = tele.agg(zero.alias("tp"), zero.alias("fp"), F.count_if(_is(actual, 1)).alias("pos"),
+                        F.count_if(_is(actual, 0)).alias("neg"))
+    one = hits.unionByName(all_rows).agg(*[F.sum(F.coalesce(F.col(c), zero)).alias(c) for c in ("tp", "fp", "pos", "neg")])
+    return with_rates(one.withColumns({"fn": F.col("pos") - F.col("tp"), "tn": F.col("neg") - F.col("fp")})).select(
+        F.col("tp").alias("true_positives"), F.col("fp").alias("false_positives"),
+        F.col("fn").alias("false_negatives"), F.col("tn").alias("true_negatives"), "precision", "recall")

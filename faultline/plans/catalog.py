@@ -350,7 +350,8 @@ select tp as true_positives, fp as false_positives, fn as false_negatives, tn as
   coalesce(cast(tp as double) / nullif(cast(tp + fn as double), 0), 0.0) as recall
 from (select """ + O.confusion_sql("Is_Dont_Go", "Is_Dont_Go_derived") + " from flags)"))
 def signal_compare(spark, sf_dir):
-    return R.compare_signals(_rule_flags(spark, sf_dir))
+    t = _tele(spark, sf_dir).select("TAG", "Alarme", "ts_us", "Is_Dont_Go")
+    return R.flag_confusion(t, A.rules(spark))
 
 
 @register("rule_flags_by_alarm", O.with_ctes(*_RULE_CTES, body="""

@@ -1,5 +1,6 @@
 """More queries of the catalogue: reports by group, forward chaining, appended
-months, shifts, lists of gaps, counters taken during the write."""
+months, shifts, lists of gaps, counters taken during the write, bucketed
+storage, merged profiles, oversampling."""
 
 from __future__ import annotations
 
@@ -8,13 +9,15 @@ from pyspark.sql import functions as F
 
 from faultline.functions.timecols import US_PER_HOUR
 from faultline.operators import quality as Q
-from faultline.operators import shifts, validation
+from faultline.operators import oversample, profiles, shifts, validation
 from faultline.operators.grouped import long_form, report_by_group
 from faultline.plans import catalog as C
 from faultline.plans import incremental
 from faultline.plans import oracle as O
+from faultline.plans.features import FEATURE_COLS, interval_frame
 from faultline.sources import adapters as A
-from faultline.sources import sinks
+from faultline.sources import bucketed, sinks
+from faultline.sources.schema import UNKNOWN_STATE
 
 register = C.register
 
@@ -186,3 +189,137 @@ def observed_quality_counts(spark, sf_dir):
     """The cleaning counters taken while the clean table is written: one scan."""
     return Q.clean_and_count(C._tele(spark, sf_dir), lambda df: sinks.write_parquet(
         df, f"{C._run_dir(spark, 'observed')}/clean", partition_by=["_source_month"]))
+
+
+# --- bucketed storage ----------------------------------------------------------------------------------
+
+def _stored_line(spark, sf_dir) -> DataFrame:
+    line = bucketed.timeline(C._tele(spark, sf_dir).select("TAG", "ts_us", "event_id", "Alarme", "Id_Criticidade"),
+                             interval_frame(A.intervals(spark, sf_dir)), ["TAG"], "ts_us")
+    return spark.table(bucketed.write_bucketed(line, f"{C._run_dir(spark, 'line')}/t", ["TAG"], "ts_us"))
+
+
+@register("bucketed_states", O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, O.FEATURES_CTE,
+                                         body="select event_id, TAG, ts_us, current_state from features"))
+def bucketed_states(spark, sf_dir):
+    """The as-of state from a stored timeline: written once by (TAG, day), read
+    without an exchange."""
+    s = bucketed.states_of(_stored_line(spark, sf_dir), ["TAG"], "ts_us", default=UNKNOWN_STATE)
+    return s.select("event_id", "TAG", "ts_us", "current_state")
+
+
+@register("bucketed_daily_profile", O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, O.FEATURES_CTE, body="""
+select f.TAG, f.ts_us // 86400000000 as day, count(*) as n_alarms, count(*) filter (where Id_Criticidade = 1) as n_critical,
+  count(distinct Alarme) as n_types, count(distinct current_state) as n_states, min(f.ts_us) as first_us, max(f.ts_us) as last_us
+from features f join telemetry t using (event_id) group by 1, 2"""))
+def bucketed_daily_profile(spark, sf_dir):
+    """Alarms, types and states of every equipment and day, over the stored layout."""
+    s = bucketed.states_of(_stored_line(spark, sf_dir), ["TAG"], "ts_us", default=UNKNOWN_STATE)
+    return s.groupBy("TAG", F.col(bucketed.BUCKET).alias("day")).agg(
+        F.count(F.lit(1)).alias("n_alarms"), F.count_if(F.col("Id_Criticidade") == 1).alias("n_critical"),
+        # a handful of types and states: sets, as counting distinct would expand the rows
+        F.size(F.collect_set("Alarme")).cast("long").alias("n_types"),
+        F.size(F.collect_set("current_state")).cast("long").alias("n_states"),
+        F.min("ts_us").alias("first_us"), F.max("ts_us").alias("last_us"))
+
+
+@register("bucketed_feature_join", O.with_ctes(O.TELEMETRY_CTE, O.INTERVALS_CTE, O.FEATURES_CTE, body="""
+select t.TAG, t.Alarme, count(*) as n_rows, cast(sum(alarm_count_4h) as bigint) as alarms_4h,
+  cast(sum(label_4h) as bigint) as n_label_4h from features f join telemetry t using (event_id) group by all"""))
+def bucketed_feature_join(spark, sf_dir):
+    """Stored features meet the stored telemetry by (TAG, day, event) where they lie."""
+    f = C._features(spark, sf_dir, include={"alarm_count_4h", "label_4h"})
+    f = spark.table(bucketed.write_bucketed(f, f"{C._run_dir(spark, 'features')}/t", ["TAG"], "ts_us"))
+    t = C._tele(spark, sf_dir).select("TAG", "ts_us", "event_id", "Alarme")
+    t = spark.table(bucketed.write_bucketed(t, f"{C._run_dir(spark, 'tele')}/t", ["TAG"], "ts_us", drop_invalid=True))
+    met = f.join(t.drop("ts_us"), ["TAG", bucketed.BUCKET, "event_id"])
+    per_day = met.groupBy("TAG", bucketed.BUCKET, "Alarme").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("alarm_count_4h").alias("a"), F.sum("label_4h").alias("l"))
+    return per_day.groupBy("TAG", "Alarme").agg(F.sum("n").alias("n_rows"), F.sum("a").alias("alarms_4h"),
+                                                F.sum("l").alias("n_label_4h"))
+
+
+# --- profiles that merge ---------------------------------------------------------------------------------
+
+_PROFILED = ["TAG", "Alarme", "event_id"]
+
+
+def _month_profiles(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(rows, one stored row of sketches per source month)."""
+    t = C._clean(spark, sf_dir)
+    path = f"{C._run_dir(spark, 'profiles')}/p"
+    sinks.write_parquet(profiles.part_profiles(t, "_source_month", _PROFILED, ["TAG", "Alarme"], ["Valor"]), path)
+    return t, spark.read.parquet(path)
+
+
+@register("merged_distinct_profile", O.with_ctes(O.TELEMETRY_CTE, body=" union all ".join(f"""
+select scope, '{c}' as "column", count(*) as n_rows, count(distinct {c}) as n_distinct, true as within_bound
+from (select 'all' as scope, * from telemetry union all select 'first half', * from telemetry
+      where _source_month in ('jan', 'feb', 'mar')) group by scope""" for c in _PROFILED)))
+def merged_distinct_profile(spark, sf_dir):
+    """Distinct counts from the months' merged sketches, held against the exact
+    ones: over all months and over the first three."""
+    rows, stored = _month_profiles(spark, sf_dir)
+    half = F.col("_source_month").isin("jan", "feb", "mar")
+    scopes = F.explode(F.filter(F.array(F.lit("all"), F.when(half, F.lit("first half"))), lambda s: s.isNotNull()))
+    est = profiles.distinct_estimates(profiles.merged(stored.withColumn("scope", scopes), ["scope"]))
+    exact = rows.withColumn("scope", scopes).groupBy("scope").agg(
+        *[F.count_distinct(c).alias(f"exact_{c}") for c in _PROFILED])
+    bound = F.lit(profiles.distinct_error(sigmas=4))
+    each = F.array(*[F.struct(F.lit(c).alias("column"), "n_rows", F.col(f"exact_{c}").alias("n_distinct"),
+                              (F.abs(F.col(f"distinct_{c}") - F.col(f"exact_{c}")) <= bound * F.col(f"exact_{c}"))
+                              .alias("within_bound")) for c in _PROFILED])
+    return est.join(exact, "scope").select("scope", F.inline(each))
+
+
+@register("merged_top20", O.with_ctes(O.TELEMETRY_CTE, body="""
+select TAG, count(*) as count from telemetry where TAG is not null group by TAG order by count desc, TAG limit 20"""))
+def merged_top20(spark, sf_dir):
+    """The 20 equipments with the most alarms: candidates from the months' merged
+    sketches, counts exact."""
+    rows, stored = _month_profiles(spark, sf_dir)
+    return profiles.exact_top(rows, profiles.merged(stored), "TAG", 20)
+
+
+@register("merged_value_quantiles", O.with_ctes(O.TELEMETRY_CTE, O.CLEAN_CTE, body=" union all ".join(
+    f"select cast({r} as double) as rank, (select count(Valor) from clean) as n_values, true as within_bound"
+    for r in (0.05, 0.25, 0.5, 0.75, 0.95))))
+def merged_value_quantiles(spark, sf_dir):
+    """Quantiles of the cleaned values from the merged sketches; the share of rows
+    below each is within 2 percent of its rank."""
+    rows, stored = _month_profiles(spark, sf_dir)
+    q = profiles.quantile_estimates(profiles.merged(stored), "Valor", [.05, .25, .5, .75, .95]).collect()  # five rows
+    aggs = [F.count("Valor").alias("n")]
+    for i, r in enumerate(q):
+        aggs += [F.count_if(F.col("Valor") < r["value"]).alias(f"lo{i}"), F.count_if(F.col("Valor") <= r["value"]).alias(f"hi{i}")]
+    n = F.col("n")
+    each = F.array(*[F.struct(F.lit(r["rank"]).alias("rank"), n.alias("n_values"),
+                              ((F.col(f"lo{i}") <= (r["rank"] + .02) * n) & (F.col(f"hi{i}") >= (r["rank"] - .02) * n))
+                              .alias("within_bound")) for i, r in enumerate(q)])
+    return rows.agg(*aggs).select(F.inline(each))
+
+
+# --- oversampling ------------------------------------------------------------------------------------------
+
+@register("oversampled_train_counts", O.with_ctes(*C._SF_SRC, body="""
+select n_pos, n_neg, need as n_new, n_pos + need as n_pos_after, need // n_pos as least_copies,
+  (need + n_pos - 1) // n_pos as most_copies, cast(0 as bigint) as n_outside
+from (select *, greatest(n_neg - n_pos, 0) as need from (
+  select count(*) filter (where label_1h = 1) as n_pos, count(*) filter (where label_1h = 0) as n_neg from train_set))"""))
+def oversampled_train_counts(spark, sf_dir):
+    """The training set's minority brought level by synthetic rows, each between
+    its parent and one of the parent's nearest neighbours."""
+    train = C._train_set(spark, sf_dir).select("event_id", "label_1h", *FEATURE_COLS)
+    new = oversample.synthetic_rows(train, FEATURE_COLS, "label_1h", "event_id")
+    out = F.lit(False)
+    for i, c in enumerate(FEATURE_COLS):
+        a, b = F.col("_own")[i], F.col("_near")[i]
+        out = out | (F.col(c) < F.least(a, b) - 1e-9) | (F.col(c) > F.greatest(a, b) + 1e-9)
+    made = new.groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"), F.count_if(out).alias("outside"))
+    own = train.groupBy("event_id", "label_1h").count().join(made, "event_id", "left")
+    pos = F.col("label_1h") == 1
+    copies = F.coalesce(F.col("copies"), F.lit(0)).cast("long")
+    return own.agg(F.count_if(pos).alias("n_pos"), F.count_if(F.col("label_1h") == 0).alias("n_neg"),
+                   F.sum(copies).alias("n_new"), (F.count_if(pos) + F.sum(copies)).alias("n_pos_after"),
+                   F.min(F.when(pos, copies)).alias("least_copies"), F.max(F.when(pos, copies)).alias("most_copies"),
+                   F.coalesce(F.sum("outside"), F.lit(0)).cast("long").alias("n_outside"))
