@@ -10,12 +10,14 @@ are not used again. The search length goes down from the item's length to
 ``least``. Tiles may stand in any order, so reordered passages count. An item
 is found in a document when its tiles cover at least ``cover`` of its words.
 
-The benchmark is read in blocks of at most ``BLOCK_BYTES`` of text; each block
+The benchmark is read in blocks of about ``BLOCK_BYTES`` of text; each block
 is broadcast (its size is checked, not assumed) and one pass over the documents
-meets all its items. No documents are shuffled.
+meets all its items. With several blocks, each one's result is written before
+the next block is read. No documents are shuffled.
 
-Defined cases: null or empty texts and items, and items of fewer than ``least``
-words, are found nowhere; very long texts are tiled whole; repeated rows are each reported; equal matches are
+Defined cases: null or empty texts, and items without words, are found nowhere;
+the seed of an item of fewer than ``least`` words is the whole item, so it is
+found where it stands as a whole; very long texts are tiled whole; repeated rows are each reported; equal matches are
 marked from the left; an empty table on either side gives an empty report, and
 the filter then keeps every document; other columns are kept by the filter.
 """
@@ -29,26 +31,41 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import arrow_schema, id_and_text, slices
+from faultline.llm.common import arrow_schema, id_and_text, slices, stored
 from faultline.llm.licenses import words_of
 
 LEAST = 5
 COVER = 0.5
 BLOCK_BYTES = 32 << 20
 _BASE = np.uint64(0x100000001B3)
+_BACK = np.uint64(pow(0x100000001B3, -1, 1 << 64))    # the base's inverse
+
+
+class Running:
+    """Prefix sums from which the Karp-Rabin hashes of all windows of any width
+    follow in one step each: S(i) sums c[j] * base^-j over j < i, and the hash of
+    c[i..i+w) is (S(i + w) - S(i)) * base^(i + w - 1), modulo 2^64."""
+
+    def __init__(self, codes: np.ndarray):
+        n = len(codes)
+        self.power = np.full(n, _BASE)
+        back = np.full(n, _BACK)
+        if n:
+            self.power[0] = back[0] = 1
+        self.power, back = np.cumprod(self.power), np.cumprod(back)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((codes.astype(np.uint64) + np.uint64(0x9E3779B9)) * back, out=self.sums[1:])
+
+    def windows(self, width: int) -> np.ndarray:
+        n = len(self.power) - width + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        return (self.sums[width:] - self.sums[:n]) * self.power[width - 1:]
 
 
 def rolled(codes: np.ndarray, width: int) -> np.ndarray:
-    """Polynomial (Karp-Rabin) hashes, modulo 2^64, of all ``width``-word windows,
-    from prefix hashes: h(i, w) = P(i + w) - P(i) * base^w."""
-    n = len(codes) - width + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    c = codes.astype(np.uint64) + np.uint64(0x9E3779B9)
-    h = np.zeros(n, np.uint64)
-    for k in range(width):
-        h = h * _BASE + c[k:k + n]
-    return h
+    """Hashes of all ``width``-word windows."""
+    return Running(codes).windows(width)
 
 
 def tiles(item: np.ndarray, doc: np.ndarray, seeds: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -61,16 +78,19 @@ def tiles(item: np.ndarray, doc: np.ndarray, seeds: np.ndarray, least: int) -> l
     lo = max(0, int(seeds.min(initial=n)))
     hi = min(n, int(seeds.max(initial=0)) + m + least)
     b = doc[lo:hi].tolist()
+    of_item, of_doc = Running(item), Running(doc[lo:hi])
     size = m
     while size >= least and len(seeds):
+        # windows without a marked word
+        marked = np.concatenate(([0], np.cumsum(used_a)))
+        free = np.flatnonzero(marked[size:] == marked[:m - size + 1])
         table: dict[int, list[int]] = {}
-        for p, h in enumerate(rolled(item, size).tolist()):
-            if not used_a[p:p + size].any():
-                table.setdefault(h, []).append(p)
+        for p, h in zip(free.tolist(), of_item.windows(size)[free].tolist()):
+            table.setdefault(h, []).append(p)
         found = []
         if table:
             # running hashes of the document's windows, seed places only
-            h_doc = rolled(doc[lo:hi], size)
+            h_doc = of_doc.windows(size)
             at = seeds[seeds - lo < len(h_doc)]
             keys = np.array(list(table), np.uint64)
             for t in at[np.isin(h_doc[at - lo], keys)].tolist():
@@ -97,56 +117,59 @@ class Items:
     """One block of the benchmark: word codes of its items and their seeds."""
 
     def __init__(self, rows: list[tuple], least: int):
-        self.least, self.codes = least, {}
+        self.codes: dict[bytes, int] = {}
         self.items: list[tuple[int, np.ndarray]] = []
-        keys, owner = [], []
+        seeds: dict[int, tuple[list, list]] = {}    # by seed length
         for item_id, text in rows:
             words = words_of(text)
-            if len(words) < least:
+            if not words:
                 continue
             codes = np.array([self.codes.setdefault(w, len(self.codes)) for w in words], np.int64)
-            h = np.unique(rolled(codes, least))
-            keys.append(h)
-            owner.append(np.full(len(h), len(self.items)))
+            keys, owner = seeds.setdefault(min(least, len(words)), ([], []))
+            keys.append(np.unique(rolled(codes, min(least, len(words)))))
+            owner.append(np.full(len(keys[-1]), len(self.items)))
             self.items.append((item_id, codes))
-        self.keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        self.owner = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-        order = np.argsort(self.keys, kind="stable")
-        self.keys, self.owner = self.keys[order], self.owner[order]
+        self.seeds = {}
+        for width, (keys, owner) in seeds.items():
+            key, own = np.concatenate(keys), np.concatenate(owner)
+            order = np.argsort(key, kind="stable")
+            self.seeds[width] = key[order], own[order]
 
     def matches(self, text: str | None, cover: float) -> list[tuple]:
         """(item_id, tiles, words covered, words of the item) of items found."""
-        words = words_of(text) if len(self.keys) else []
-        if len(words) < self.least:
+        words = words_of(text) if self.items else []
+        if not words:
             return []
         get = self.codes.get
         doc = np.array([get(w, -1) for w in words], np.int64)
-        h = rolled(doc, self.least)
-        first = np.searchsorted(self.keys, h)
-        seeds = np.flatnonzero(self.keys[np.minimum(first, len(self.keys) - 1)] == h)
-        if not len(seeds):
-            return []
-        first = first[seeds]
-        last = np.searchsorted(self.keys, h[seeds], "right")
-        by_item: dict[int, list[int]] = {}
-        for t, a, b in zip(seeds.tolist(), first.tolist(), last.tolist()):
-            for i in self.owner[a:b].tolist():
-                by_item.setdefault(i, []).append(t)
+        running = Running(doc)
+        by_item: dict[int, tuple[int, list[int]]] = {}
+        for width, (keys, owner) in self.seeds.items():
+            h = running.windows(width)
+            first = np.searchsorted(keys, h)
+            seeds = np.flatnonzero(keys[np.minimum(first, len(keys) - 1)] == h)
+            last = np.searchsorted(keys, h[seeds], "right")
+            for t, a, b in zip(seeds.tolist(), first[seeds].tolist(), last.tolist()):
+                for i in owner[a:b].tolist():
+                    by_item.setdefault(i, (width, []))[1].append(t)
         out = []
-        for i, places in sorted(by_item.items()):
+        for i, (width, places) in sorted(by_item.items()):
             item_id, codes = self.items[i]
-            got = tiles(codes, doc, np.array(places), self.least)
+            got = tiles(codes, doc, np.array(places), width)
             covered = sum(k for _, _, k in got)
-            if covered >= cover * len(codes):
+            if got and covered >= cover * len(codes):
                 out.append((item_id, len(got), covered, len(codes)))
         return out
 
 
-def blocks(benchmark: DataFrame, block_bytes: int, id_col: str, text_col: str) -> Iterator[list[tuple]]:
-    """The benchmark's rows in blocks of about ``block_bytes`` of text."""
+def block_count(benchmark: DataFrame, block_bytes: int, text_col: str = "text") -> int:
+    size = benchmark.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()[0]
+    return max(1, -(-size // block_bytes))
+
+
+def blocks(benchmark: DataFrame, n: int, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple]]:
+    """The benchmark's rows in ``n`` blocks; each is read when it is asked for."""
     b = benchmark.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    size = b.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = max(1, -(-size // block_bytes))
     for i in range(n):
         part = b.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == i) if n > 1 else b
         yield [(r["id"], r["text"]) for r in part.orderBy("id", "text").collect()]
@@ -160,7 +183,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, cove
     arrow = arrow_schema(ddl)
     ids = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     out = None
-    for rows in blocks(benchmark, block_bytes, "item_id", "text"):
+    n = block_count(benchmark, block_bytes)
+    for rows in blocks(benchmark, n):
         shared = docs.sparkSession.sparkContext.broadcast(rows)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -174,6 +198,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, cove
                     [pa.array(list(c), f.type) for c, f in zip(cols, arrow)], schema=arrow)
 
         found = ids.mapInArrow(run, ddl)
+        if n > 1:   # one block at a time: its report is written before the next is read
+            found = stored(found, "decontam-block")
+            shared.destroy()
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -182,7 +209,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, c
                     text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents in which no item is found, with all their columns."""
     at = docs.columns.index(text_col)
-    for rows in blocks(benchmark, block_bytes, "item_id", "text"):
+    n = block_count(benchmark, block_bytes)
+    for rows in blocks(benchmark, n):
         shared = docs.sparkSession.sparkContext.broadcast(rows)
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -192,4 +220,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, c
                 yield part.filter(pa.array(good, pa.bool_()))
 
         docs = docs.mapInArrow(keep, docs.schema)
+        if n > 1:
+            docs = stored(docs, "decontam-kept")
+            shared.destroy()
     return docs
