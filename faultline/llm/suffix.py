@@ -12,12 +12,11 @@
 4. Repeated windows become spans per distinct text, and the texts are cut.
 
 The suffix array is built by grouping suffixes by their longest Lyndon prefix.
-Going from right to left, a suffix's Lyndon prefix swallows the following ones
-that are greater, which also yields every suffix's previous smaller suffix. The
-groups are laid out from the last place down in descending order of their
-prefixes; then one sweep emits each group's order: a suffix in final place puts
-the suffix one to the left, and along its previous-smaller pointers those
-before, in the next place of their groups. Nothing is renamed or sorted again.
+Groups of integers are processed in descending order; a member's previous
+smaller suffix moves to a group above its own (``lyndon_groups``). Then one sweep
+emits each group's order: a suffix in final place puts the suffix one to the
+left, and along its previous-smaller pointers those before, in the next place of
+their groups. Nothing is renamed, and no prefix is built or sorted.
 
 A core with more than ``MOST_CONTEXTS`` distinct contexts (a passage in very many
 documents) would be an unbounded group; its single contexts are cut to windows
@@ -49,27 +48,73 @@ BATCH_CONTEXTS = 128           # contexts under one suffix array
 MOST_BROADCAST = 4_000_000      # rows of at most 16 bytes
 
 
+def lyndon_groups(codes: list[int]) -> tuple[list[int], list[tuple[int, int]], list[int]]:
+    """(group of each suffix, (group, size) from the greatest down, previous
+    smaller suffix of each). Groups begin as the symbols and are processed from the
+    greatest down. A member's previous smaller suffix is the nearest to its left
+    that is in no group processed so far. Such a suffix's Lyndon prefix swallows
+    the member's, so it moves to a group just above its own, higher the more
+    members it swallows. Every processed suffix moves one at most, so the groups
+    take linear time, but for the nearest-to-the-left search, a path-compressed
+    chain."""
+    n = len(codes)
+    number = {c: g for g, c in enumerate(sorted(set(codes)))}
+    group = [number[c] for c in codes]
+    members: list[list[int]] = [[] for _ in number]
+    for p, g in enumerate(group):
+        members[g].append(p)
+    below = list(range(-1, len(number) - 1))
+    above = list(range(1, len(number) + 1))
+    before, jump = [-1] * n, list(range(-1, n - 1))
+    done = bytearray(n)
+    layout = []
+    g = len(number) - 1
+    while g >= 0:
+        own = [p for p in members[g] if group[p] == g]   # others moved on
+        members[g] = []
+        for p in own:
+            done[p] = 1
+        swallowed: dict[int, int] = {}
+        for p in own:
+            j = p - 1
+            while j >= 0 and done[j]:
+                j = jump[j]
+            q = p
+            while q > j and jump[q] != j:
+                jump[q], q = j, jump[q]
+            before[p] = j
+            if j >= 0:
+                swallowed[j] = swallowed.get(j, 0) + 1
+        by_count: list[list[int]] = [[] for _ in range(max(swallowed.values(), default=0) + 1)]
+        for p, k in swallowed.items():
+            by_count[k].append(p)
+        for k in range(len(by_count) - 1, 0, -1):
+            fresh: dict[int, int] = {}
+            for p in by_count[k]:
+                old = group[p]
+                new = fresh.get(old)
+                if new is None:
+                    new = fresh[old] = len(members)
+                    members.append([])
+                    below.append(old)
+                    above.append(above[old])
+                    below[above[old]] = new     # a lower group always has one above
+                    above[old] = new
+                members[new].append(p)
+                group[p] = new
+        layout.append((g, len(own)))
+        g = below[g]
+    return group, layout, before
+
+
 def suffix_array(text: str) -> list[int]:
     """Order of all suffixes. The last symbol must be the smallest, once."""
     n = len(text)
-    words: list[str] = [""] * n
-    before = [-1] * n
-    stack: list[int] = []
-    for i in range(n - 1, -1, -1):
-        word = text[i]
-        while stack and word < words[stack[-1]]:
-            j = stack.pop()
-            word += words[j]
-            before[j] = i
-        words[i] = word
-        stack.append(i)
-    size: dict[str, int] = {}
-    for word in words:
-        size[word] = size.get(word, 0) + 1
-    place, end = {}, n
-    for word in sorted(size, reverse=True):  # groups from the greatest down
-        end -= size[word]
-        place[word] = end
+    group, layout, before = lyndon_groups(list(map(ord, text)))
+    place, end = [0] * (max(g for g, _ in layout) + 1), n
+    for g, size in layout:
+        end -= size
+        place[g] = end
     order = [-1] * n
     put = bytearray(n)
     order[0] = n - 1
@@ -77,9 +122,8 @@ def suffix_array(text: str) -> list[int]:
     for i in range(n):
         s = order[i] - 1
         while s >= 0 and not put[s]:
-            word = words[s]
-            at = place[word]
-            place[word] = at + 1
+            at = place[group[s]]
+            place[group[s]] = at + 1
             order[at] = s
             put[s] = 1
             s = before[s]

@@ -227,6 +227,30 @@ def test_suffix_array_orders_all_suffixes():
         assert suffix.suffix_array(t) == sorted(range(len(t)), key=lambda i: t[i:])
 
 
+def lyndon_prefix(t):
+    """Longest prefix of t that is smaller than all its own suffixes."""
+    return max((t[:k] for k in range(1, len(t) + 1) if all(t[:k] < t[i:k] for i in range(1, k))), key=len)
+
+
+def test_groups_are_those_of_lyndon_prefixes():
+    r = random.Random(16)
+    for _ in range(200):
+        t = "".join(r.choice("bcd") for _ in range(r.randrange(40))) + "a"
+        group, layout, before = suffix.lyndon_groups(list(map(ord, t)))
+        words = [lyndon_prefix(t[i:]) for i in range(len(t))]
+        rank = {g: k for k, (g, _) in enumerate(layout)}
+        assert sorted(set(words), reverse=True) == [
+            {w for w, h in zip(words, group) if h == g}.pop() for g, size in layout if size]
+        assert all((words[i] > words[j]) == (rank[group[i]] < rank[group[j]]) for i in range(len(t)) for j in range(i))
+        assert before == [max((j for j in range(i) if t[j:] < t[i:]), default=-1) for i in range(len(t))]
+
+
+def test_suffix_array_takes_linear_time_on_increasing_text():
+    n = 40_000      # the prefixes of all suffixes together have 800 million symbols
+    t = "".join(chr(1000 + i) for i in range(n)) + "a"
+    assert suffix.suffix_array(t) == [n, *range(n)]
+
+
 def test_equal_windows_have_equal_anchors():
     r = random.Random(7)
     p = anchors.Powers()
@@ -314,6 +338,39 @@ def test_tiles_cover_what_greedy_tiling_covers():
         assert (whole == 0) == (longest == 0) and sum(k for _, _, k in got) >= 0.6 * whole
 
 
+def test_running_hashes_equal_those_of_each_window():
+    r = random.Random(18)
+    codes = np.array([r.randrange(-1, 50) for _ in range(300)])
+    for width in (1, 2, 5, 64, 299, 300, 301):
+        want = []
+        for i in range(300 - width + 1):
+            h = 0
+            for c in codes[i:i + width].tolist():
+                h = (h * 0x100000001B3 + ((c % (1 << 64)) + 0x9E3779B9)) % (1 << 64)
+            want.append(h)
+        assert decontam.rolled(codes, width).tolist() == want
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 40])
+def test_short_items_are_found_where_they_stand_as_a_whole(spark, block_bytes):
+    items = spark.createDataFrame([(1, "Too short"), (2, "lone"), (3, "a b c d e f g h"), (4, "?!")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "far too short, really"), (2, "too long; short"), (3, "LONE"), (4, "a b c d short too"),
+                                  (5, "d e f g h and too short")], "doc_id bigint, text string")
+    got = decontam.contaminated(docs, items, block_bytes=block_bytes).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["n_covered"]) for r in got) == [(1, 1, 2), (3, 2, 1), (5, 1, 2), (5, 3, 5)]
+    assert sorted(r["doc_id"] for r in decontam.clean_documents(docs, items, block_bytes=block_bytes).collect()) == [2, 4]
+
+
+def test_contaminated_on_the_edge_table(spark, edge_docs, edges):
+    """Items cut from the edge texts are found in them; other columns clash."""
+    texts = dict(edges)
+    items = [(1, " ".join(texts[8].split()[2:62])), (2, None), (3, ""), (4, "w1"), (5, texts[21])]
+    bench = spark.createDataFrame(items, "item_id bigint, text string").withColumn("doc_id", F.lit("clash"))
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(edge_docs, bench).collect()}
+    assert {(8, 1), (9, 1), (10, 1), (21, 5)} <= got and not any(i in (2, 3) for _, i in got)
+    assert {d for d, i in got if i == 4} == {d for d, t in edges if b"w1" in licenses.words_of(t)}
+
+
 def bench_rows(spark):
     return spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa"), (2, None), (3, "too short"),
                                   (4, "one two three four five six seven eight nine ten eleven twelve")],
