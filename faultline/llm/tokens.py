@@ -30,13 +30,13 @@ from __future__ import annotations
 import json
 import os
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,11 +50,77 @@ STEP = 128
 BLOCK_IDS = 1 << 16
 CHUNK_BYTES = 12 << 20          # text of the chunks that are encoded beforehand and broadcast
 CHUNK_LENGTH = 64               # longer chunks are encoded where they stand
-HELD = 200_000                  # distinct chunks a task holds before it hands their counts on
+ENCODED = 8 << 20               # text whose distinct chunks a task encodes at a time
+COUNTED = 16 << 20              # text whose chunks a task counts before it hands the counts on
 
 
 # ---------------------------------------------------------------- tokens
 
+class Chunks:
+    """Ids of chunks in flat arrays: texts in the order of their hashes, so that
+    many are found by one sorted search; the texts themselves are compared."""
+
+    def __init__(self, texts: pa.Array, ids: list[bytes], width: int):
+        marks = self.marks(texts)
+        order = np.argsort(marks, kind="stable")
+        self.mark = marks[order]
+        self.text = texts.take(pa.array(order))
+        self.size = np.fromiter(map(len, ids), np.int64, len(ids))[order] // width
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(ids[k] for k in order.tolist()), f"<u{width}")
+
+    @staticmethod
+    def marks(texts: pa.Array) -> np.ndarray:
+        """A hash of each text, eight bytes at a time, of 256 bytes at most."""
+        if not len(texts):
+            return np.zeros(0, np.uint64)
+        _, offsets, data = texts.buffers()
+        first = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        data = np.concatenate([np.frombuffer(data or b"", np.uint8), np.zeros(8, np.uint8)])
+        words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # one from every byte
+        size = np.diff(first)
+        h, rows = size.astype(np.uint64), np.arange(len(size))
+        for at in range(0, 256, 8):
+            rows = rows[size[rows] > at]
+            if not len(rows):
+                break
+            left = np.minimum(size[rows] - at, 8).astype(np.uint64)
+            word = words[first[rows] + at] & (np.uint64(2**64 - 1) >> (np.uint64(64) - left * np.uint64(8)))
+            x = (h[rows] ^ word) * np.uint64(0x9E3779B97F4A7C15)
+            h[rows] = x ^ (x >> np.uint64(32))
+        return h
+
+    def find(self, texts: pa.Array) -> np.ndarray:
+        """The place of each text, -1 for one that is not held."""
+        if not len(self.mark) or not len(texts):
+            return np.full(len(texts), -1)
+        marks = self.marks(texts)
+        at = np.minimum(np.searchsorted(self.mark, marks), len(self.mark) - 1)
+        same = self.mark[at] == marks
+        near = np.flatnonzero(same)
+        same[near] = pc.equal(self.text.take(pa.array(at[near])), texts.take(pa.array(near))).to_numpy(zero_copy_only=False)
+        return np.where(same, at, -1)
+
+
+def gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs data[start:start + size], one behind the other."""
+    shift = start - (np.cumsum(size) - size)
+    return data[np.repeat(shift, size) + np.arange(int(size.sum()))]
+
+
+def spaced(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(chunks between the texts' single spaces, each text's first; last one more)."""
+    lists = pc.split_pattern(texts, " ")
+    return lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+
+
+def behind_spaces(chunks: pa.Array, first: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(chunks with a space in front, which ones of all these are)."""
+    mask = np.ones(len(chunks), bool)
+    mask[first[:-1]] = False
+    return chunks.filter(pa.array(mask)), mask
+
+
 class Encoder:
     """The library's ids for texts, given the ids of common chunks.
 
@@ -64,13 +130,14 @@ class Encoder:
     with its space in front. Other texts, and those that hold an added token of
     the vocabulary, go to the library whole.
 
-    ``known`` has the ids of common chunks. Others are encoded batch by batch
-    and forgotten, so memory does not grow.
+    ``known`` has the ids of common chunks. Others are encoded batch by batch,
+    each distinct one once, and forgotten, so memory does not grow.
     """
 
     BAD = b""  # a chunk that is empty or has white space at an end
+    GAP = "\u00ff"  # the letter of byte 255, which no text holds
 
-    def __init__(self, vocabulary: str, known: dict[str, bytes] | None = None):
+    def __init__(self, vocabulary: str, known: Chunks | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -78,19 +145,23 @@ class Encoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bare, self.letters = self.without_split()
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known = known or {}
+        self.known = known or Chunks(pa.array([], pa.string()), [], self.width)
 
     def without_split(self):
-        """(the same model without its byte-level split, byte -> its letter), or
-        (None, None) where the vocabulary is not split that way. A piece that is
-        known to stay whole can then go to the model directly."""
+        """(the same model, split at GAP alone in place of its byte-level split,
+        byte -> its letter), or (None, None) where the vocabulary is not split
+        that way. A piece that is known to stay whole can then go to the model
+        directly."""
         from tokenizers import Tokenizer
 
         spec = json.loads(self.tokenizer.to_str())
         split = spec["pre_tokenizer"] or {}
-        if spec["normalizer"] or split.get("type") != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"]:
+        if (spec["normalizer"] or split.get("type") != "ByteLevel" or split["add_prefix_space"]
+                or not split["use_regex"] or self.tokenizer.token_to_id(self.GAP) is None):
             return None, None
-        spec["pre_tokenizer"] = spec["post_processor"] = None
+        spec["pre_tokenizer"] = {"type": "Split", "pattern": {"String": self.GAP}, "behavior": "Isolated",
+                                 "invert": False}
+        spec["post_processor"] = None
         bare = Tokenizer.from_str(json.dumps(spec))
         # visible characters of Latin-1 stand for their bytes, the letters from
         # 256 on for the other bytes in turn
@@ -99,14 +170,25 @@ class Encoder:
         return bare, {**{b: b for b in seen}, **{b: 256 + k for k, b in enumerate(rest)}}
 
     def pieces(self, cores: list[str]) -> list[bytes]:
-        """Packed ids of pieces, each one split piece by its characters."""
-        return self.whole([c.encode().decode("latin-1").translate(self.letters) for c in cores], self.bare)
+        """Packed ids of pieces, each one split piece by its characters. Many go
+        to the library as one text, with GAP's token between their ids."""
+        gap, out = self.bare.token_to_id(self.GAP), []
+        for at in range(0, len(cores), 4096):
+            part = cores[at:at + 4096]
+            letters = b"\xff".join(c.encode() for c in part).decode("latin-1").translate(self.letters)
+            ids = np.array(self.bare.encode_batch_fast([letters], add_special_tokens=False)[0].ids, f"<u{self.width}")
+            ends = [*np.flatnonzero(ids == gap).tolist(), len(ids)]
+            packed, start = ids.tobytes(), 0
+            for end in ends:
+                out.append(packed[start * self.width:end * self.width])
+                start = end + 1
+        return out
 
-    def whole(self, texts: list[str], tokenizer=None) -> list[bytes]:
+    def whole(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text, from the library."""
         kind, out = f"<u{self.width}", []
         for at in range(0, len(texts), 1024):  # the library's results are large objects
-            got = (tokenizer or self.tokenizer).encode_batch_fast(texts[at:at + 1024], add_special_tokens=False)
+            got = self.tokenizer.encode_batch_fast(texts[at:at + 1024], add_special_tokens=False)
             out += [np.array(e.ids, kind).tobytes() for e in got]
         return out
 
@@ -114,40 +196,82 @@ class Encoder:
     def apart(chunk: str) -> bool:
         return bool(chunk) and not chunk[0].isspace() and not chunk[-1].isspace()
 
-    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+    def learn(self, chunks: list[str]) -> list[bytes]:
         """The ids of each chunk with a space in front."""
-        good = [c for c in chunks if self.apart(c)]
-        out = dict.fromkeys(chunks, self.BAD)
-        # letters with a run of ASCII marks behind them are two pieces, which the
-        # chunks share: each distinct one is encoded once, without the split
-        words = {c: core for c in good if (core := c.rstrip(punctuation)).isalpha()} if self.bare else {}
-        marks = {c[len(core):] for c, core in words.items()} - {""}
-        cores = list(set(words.values()))
-        of_core = dict(zip(cores, self.pieces([" " + c for c in cores])))
-        of_mark = dict(zip(marks, self.pieces(list(marks)))) | {"": b""}
-        out.update((c, of_core[core] + of_mark[c[len(core):]]) for c, core in words.items())
-        rest = [c for c in good if c not in words]
-        out.update(zip(rest, self.whole([" " + c for c in rest])))
-        return out
-
-    def batch(self, texts: list[str]) -> list[bytes]:
+        ids = dict.fromkeys(chunks, self.BAD)
+        rest, words = [], {}
+        for c in ids:
+            if not self.apart(c):
+                continue
+            # letters with a run of ASCII marks behind them are two pieces, and a
+            # single line end between two such words is one; the chunks share these
+            parts = []
+            for k, line in enumerate(c.split("\n") if self.bare else ()):
+                core = line.rstrip(punctuation)
+                if not core.isalpha():
+                    parts = None
+                    break
+                parts += ["\n", core] if k else [" " + core]
+                if len(core) < len(line):
+                    parts.append(line[len(core):])
+            if parts:
+                words[c] = parts
+            else:
+                rest.append(c)
+        need = list({x for parts in words.values() for x in parts})
+        # a word with marks behind it is often common without them
+        of = {}
+        if len(self.known.mark):
+            cores = [x[1:] for x in need if x[0] == " "]
+            known = self.known
+            for core, at in zip(cores, known.find(pa.array(cores, pa.string())).tolist()):
+                if at >= 0 and known.size[at]:
+                    a = known.start[at]
+                    of[" " + core] = known.data[a:a + known.size[at]].tobytes()
+            need = [x for x in need if x not in of]
+        of.update(zip(need, self.pieces(need) if need else ()))
+        ids.update((c, b"".join([of[x] for x in parts])) for c, parts in words.items())
+        ids.update(zip(rest, self.whole([" " + c for c in rest])))
+        return [ids[c] for c in chunks]
+
+    def batch(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Packed ids of each text."""
-        split = [t.split(" ") for t in texts]
-        heads = self.whole([chunks.pop(0) for chunks in split])
-        parts = [list(map(self.known.get, chunks)) for chunks in split]
-        missing = {c for chunks, got in zip(split, parts) if None in got
-                   for c, x in zip(chunks, got) if x is None}
-        fresh = self.learn(missing) if missing else {}
-        out, odd = [], []
-        for n, (text, chunks, head, got) in enumerate(zip(texts, split, heads, parts)):
-            if None in got:
-                got = [fresh[c] if x is None else x for c, x in zip(chunks, got)]
-            if (got and (self.BAD in got or text[0] == " " or text[text.index(" ") - 1].isspace())
-                    or any(a in text for a in self.added)):
-                odd.append(n)
-            out.append(head + b"".join(got))
-        for n, ids in zip(odd, self.whole([texts[n] for n in odd])):
-            out[n] = ids
+        texts = pc.fill_null(pa.array(texts, pa.string()), "")
+        if not len(texts):
+            return []
+        flat, first = spaced(texts)
+        after, mask = behind_spaces(flat, first)
+        # ids of the distinct chunks: known ones, fresh ones, then the texts' heads
+        seen = after.dictionary_encode()
+        distinct, known = seen.dictionary, self.known
+        at = known.find(distinct)
+        held, missing = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        heads = flat.take(pa.array(first[:-1])).to_pylist()
+        fresh = self.learn(distinct.take(pa.array(missing)).to_pylist()) + self.whole(heads)
+        fresh_size = np.fromiter(map(len, fresh), np.int64, len(fresh)) // self.width
+        pool = np.concatenate([gathered(known.data, known.start[at[held]], known.size[at[held]]),
+                               np.frombuffer(b"".join(fresh), f"<u{self.width}")])
+        size = np.zeros(len(distinct) + len(heads), np.int64)
+        start = np.zeros(len(size), np.int64)
+        place = np.concatenate([held, missing, len(distinct) + np.arange(len(heads))])
+        sizes = np.concatenate([known.size[at[held]], fresh_size])
+        size[place] = sizes
+        start[place] = np.cumsum(sizes) - sizes
+        code = np.empty(len(flat), np.int64)
+        code[mask] = seen.indices.to_numpy()
+        code[first[:-1]] = len(distinct) + np.arange(len(heads))
+        ids = gathered(pool, start[code], size[code]).tobytes()
+        ends = np.concatenate([[0], np.cumsum(size[code])])[first] * self.width
+        out = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        bad = np.flatnonzero(mask & (size[code] == 0))
+        odd = set((np.searchsorted(first, bad, "right") - 1).tolist())
+        many = np.diff(first) > 1
+        odd.update(n for n, h in enumerate(heads) if many[n] and (not h or h[-1].isspace()))
+        for a in self.added:
+            odd.update(np.flatnonzero(pc.match_substring(texts, a).to_numpy(zero_copy_only=False)).tolist())
+        odd = sorted(odd)
+        for n, got in zip(odd, self.whole(texts.take(pa.array(odd, pa.int64())).to_pylist())):
+            out[n] = got
         return out
 
 
@@ -158,26 +282,17 @@ def chunk_counts(texts: DataFrame) -> DataFrame:
     arrow = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def hand_on() -> pa.RecordBatch:
-            short = [(c, n) for c, n in held.items() if len(c) <= CHUNK_LENGTH]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([c for c, _ in short], pa.string()),
-                                               pa.array([n for _, n in short], pa.int64())], schema=arrow)
-
-        for part in slices_by_bytes(batches, 0):
-            for text in part.column(0).to_pylist():
-                if text:
-                    held.update(text.split(" ")[1:])
-            if len(held) > HELD:
-                yield hand_on()
-        yield hand_on()
+        for part in slices_by_bytes(batches, 0, COUNTED):
+            chunks, _ = behind_spaces(*spaced(pc.fill_null(part.column(0), "")))
+            counts = pc.value_counts(chunks)
+            short = pc.less_equal(pc.utf8_length(counts.field("values")), CHUNK_LENGTH)
+            yield pa.RecordBatch.from_arrays([counts.field("values").filter(short), counts.field("counts").filter(short)],
+                                             schema=arrow)
 
     return texts.select("text").mapInArrow(run, ddl).groupBy("chunk").agg(F.sum("n").alias("n"))
 
 
-def common_chunks(docs: DataFrame, vocabulary: str, most_bytes: int = CHUNK_BYTES, text_col: str = "text") -> dict[str, bytes]:
+def common_chunks(docs: DataFrame, vocabulary: str, most_bytes: int = CHUNK_BYTES, text_col: str = "text") -> Chunks | None:
     """The ids of the chunks that occur most often, at most ``most_bytes`` of
     text in all, each encoded once. A chunk that stands once gains nothing."""
     counts = stored(chunk_counts(docs.select(F.col(text_col).cast("string").alias("text"))).where("n > 1"), "token-chunks")
@@ -191,7 +306,7 @@ def common_chunks(docs: DataFrame, vocabulary: str, most_bytes: int = CHUNK_BYTE
             break
         least = r["step"]
     if least is None:
-        return {}
+        return None
     chosen = counts.where(F.floor(F.log2("n") * 16) >= least).select("chunk")
     ddl = "chunk string, ids binary"
     arrow = arrow_schema(ddl)
@@ -199,12 +314,12 @@ def common_chunks(docs: DataFrame, vocabulary: str, most_bytes: int = CHUNK_BYTE
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(vocabulary)
         for part in slices(batches, 8192):
-            got = encoder.learn(set(part.column(0).to_pylist()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.binary())],
-                                             schema=arrow)
+            got = encoder.learn(part.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got, pa.binary())], schema=arrow)
 
-    table = chosen.mapInArrow(run, ddl).toArrow()
-    return dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist()))
+    table = chosen.mapInArrow(run, ddl).toArrow().combine_chunks()
+    width = Encoder(vocabulary).width
+    return Chunks(pa.concat_arrays(table.column(0).chunks), table.column(1).to_pylist(), width)
 
 
 IDS_DDL = "doc_id bigint, width int, ids binary"
@@ -219,10 +334,10 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = END_ID, most_bytes:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(vocabulary)
-        encoder.known = known.value
+        encoder.known = known.value or encoder.known
         end = end_id.to_bytes(encoder.width, "little")
-        for part in slices_by_bytes(batches, 1):
-            ids = [x + end for x in encoder.batch([t or "" for t in part.column(1).to_pylist()])]
+        for part in slices_by_bytes(batches, 1, ENCODED):
+            ids = [x + end for x in encoder.batch(part.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([encoder.width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], schema=arrow)
 
