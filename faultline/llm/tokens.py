@@ -50,8 +50,8 @@ STEP = 128
 BLOCK_IDS = 1 << 16
 CHUNK_BYTES = 12 << 20          # text of the chunks that are encoded beforehand and broadcast
 CHUNK_LENGTH = 64               # longer chunks are encoded where they stand
-ENCODED = 8 << 20               # text whose distinct chunks a task encodes at a time
-COUNTED = 16 << 20              # text whose chunks a task counts before it hands the counts on
+ENCODED = 3 << 20               # text whose distinct chunks a task encodes at a time
+COUNTED = 6 << 20               # text whose chunks a task counts before it hands the counts on
 
 
 # ---------------------------------------------------------------- tokens
@@ -104,8 +104,10 @@ class Chunks:
 
 def gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The runs data[start:start + size], one behind the other."""
-    shift = start - (np.cumsum(size) - size)
-    return data[np.repeat(shift, size) + np.arange(int(size.sum()))]
+    kind = np.int32 if len(data) + int(size.sum()) < 2**31 else np.int64
+    at = np.repeat((start - (np.cumsum(size) - size)).astype(kind), size)
+    at += np.arange(len(at), dtype=kind)
+    return data[at]
 
 
 def spaced(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -288,6 +290,7 @@ def chunk_counts(texts: DataFrame) -> DataFrame:
             short = pc.less_equal(pc.utf8_length(counts.field("values")), CHUNK_LENGTH)
             yield pa.RecordBatch.from_arrays([counts.field("values").filter(short), counts.field("counts").filter(short)],
                                              schema=arrow)
+        pa.default_memory_pool().release_unused()  # the worker goes on to encode
 
     return texts.select("text").mapInArrow(run, ddl).groupBy("chunk").agg(F.sum("n").alias("n"))
 
