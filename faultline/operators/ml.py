@@ -6,13 +6,23 @@ split (1.0 without positives). The boosted-tree family maps to
 ``GBTClassifier``; the second family (leaf-wise boosting in the source
 system, which Spark ML lacks) maps to ``RandomForestClassifier`` with 100
 trees of depth 6 on the same weights.
+
+Boosting passes over its rows some six times a tree, one tree after another, and
+sees of a feature only the bin it falls into. So beyond ``BIN_ROWS`` rows they are
+binned first and added up: one weighted row per distinct (bins, label), whose
+number follows the variety of the rows rather than their count. A weighted row
+stands for its rows exactly (same sums, same residuals, no bagging). The forest
+draws rows, so it is fitted on the rows themselves.
 """
 
 from __future__ import annotations
 
+import math
+import sys
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +33,10 @@ from faultline.operators.split import SEED, hash_fraction
 N_TREES = 100
 MAX_DEPTH = 6
 LEARNING_RATE = 0.1
+MAX_BINS = 32           # of a feature, Spark's own number
+BIN_ROWS = 10_000       # up to here Spark's trees choose bins from every row, beyond from a sample
+RANKS = 1024            # quantiles of each class that bins are chosen from
+PART_GROUPS = 25_000    # distinct binned rows per partition
 # -----------------------------------------------------------------------------
 
 
@@ -36,11 +50,11 @@ def class_balance(train: DataFrame, label: str) -> DataFrame:
 
 
 def _pipeline(features: list[str], label: str, family: str, n_trees: int, depth: int,
-              step: float, seed: int) -> Pipeline:
+              step: float, seed: int, max_bins: int = MAX_BINS) -> Pipeline:
     asm = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
     if family == "gbt":
         clf = GBTClassifier(featuresCol="_features", labelCol=label, weightCol="_w", maxIter=n_trees,
-                            maxDepth=depth, stepSize=step, seed=seed)
+                            maxDepth=depth, stepSize=step, seed=seed, maxBins=max_bins)
     elif family == "rf":
         clf = RandomForestClassifier(featuresCol="_features", labelCol=label, weightCol="_w",
                                      numTrees=n_trees, maxDepth=depth, seed=seed)
@@ -49,6 +63,59 @@ def _pipeline(features: list[str], label: str, family: str, n_trees: int, depth:
     return Pipeline(stages=[asm, clf])
 
 
+def thresholds(weights: dict[float, float], max_bins: int = MAX_BINS) -> list[float]:
+    """Cuts between the distinct values of one feature, given their weights: all
+    of them if they make ``max_bins`` bins at most, else those nearest to equal
+    shares of the weight (the rule of Spark's trees)."""
+    values = sorted(weights)
+    middles = [(a + b) / 2.0 for a, b in zip(values, values[1:])]
+    if len(middles) < max_bins:
+        return middles
+    stride = sum(weights.values()) / max_bins
+    out, target, upto = [], stride, weights[values[0]]
+    for value, middle in zip(values[1:], middles):
+        before, upto = upto, upto + weights[value]
+        if abs(before - target) < abs(upto - target):
+            out.append(middle)
+            target += stride
+    return out[:max_bins - 1]
+
+
+def binner(data: DataFrame, features: list[str], label: str, weight: float) -> Bucketizer:
+    """Bins of every feature, from quantiles of all rows of each class (one row of
+    quantiles a class reaches the driver), the classes weighing as in training.
+    The bucket below the first cut is left empty, so codes start at 1 (Spark's trees
+    guess the weight of code 0); nulls stay null, NaN has a bucket of its own."""
+    ranks = [i / RANKS for i in range(RANKS + 1)]
+    classes = data.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *[
+        F.percentile_approx(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")), ranks, RANKS * 10)
+         .alias(f"q{i}") for i, c in enumerate(features)]).collect()
+    cuts = []
+    for i in range(len(features)):
+        found: dict[float, float] = {}
+        for r in classes:
+            share = r["n"] * (weight if r[label] == 1 else 1.0) / (RANKS + 1)
+            for v in r[f"q{i}"] or []:
+                if math.isfinite(v):
+                    found[v] = found.get(v, 0.0) + share
+        cuts.append([-math.inf, -sys.float_info.max, *sorted(set(thresholds(found))), math.inf])
+    return Bucketizer(splitsArray=cuts, inputCols=features, outputCols=[f"_b_{c}" for c in features],
+                      handleInvalid="keep")
+
+
+def grouped_bins(data: DataFrame, bins: Bucketizer, label: str) -> DataFrame:
+    """(bins, label, _w): the rows of ``data`` added up by bins and label, stored
+    in the order of the bins."""
+    from faultline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(data.sparkSession)
+    keys = [*bins.getOutputCols(), label]
+    # zero is added to leave out the codes' metadata: they are ordered, not categories
+    coded = bins.transform(data).select(*[(F.col(c) + F.lit(0.0)).alias(c) for c in keys], "_w")
+    groups = coded.groupBy(*keys).agg(F.sum("_w").alias("_w")).checkpoint()
+    parts = max(1, -(-groups.count() // PART_GROUPS))
+    return groups.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).checkpoint()
+
+
 def train(train_df: DataFrame, features: list[str], label: str, family: str = "gbt",
           n_trees: int = N_TREES, depth: int = MAX_DEPTH, step: float = LEARNING_RATE,
           seed: int = SEED) -> PipelineModel:
@@ -57,22 +124,32 @@ def train(train_df: DataFrame, features: list[str], label: str, family: str = "g
 
 def train_balanced(train_df: DataFrame, features: list[str], label: str, family: str = "gbt",
                    n_trees: int = N_TREES, depth: int = MAX_DEPTH, step: float = LEARNING_RATE,
-                   seed: int = SEED) -> tuple[PipelineModel, dict]:
-    """The fitted model and the class balance it was weighted by (one count)."""
+                   seed: int = SEED, bin_rows: int = BIN_ROWS) -> tuple[PipelineModel, dict]:
+    """The fitted model and the class balance it was weighted by (one count).
+    Boosted trees of more than ``bin_rows`` rows are fitted on binned rows."""
     data = train_df.select(*features, F.col(label).cast("double").alias(label))
     balance = class_balance(data, label).first().asDict()
     w = float(balance["scale_pos_weight"])
     data = data.withColumn("_w", F.when(F.col(label) == 1, F.lit(w)).otherwise(F.lit(1.0)))
+    if family == "gbt" and balance["n_neg"] + balance["n_pos"] > bin_rows:
+        bins = binner(data, features, label, w)
+        fitted = _pipeline(bins.getOutputCols(), label, family, n_trees, depth, step, seed, MAX_BINS + 4).fit(
+            grouped_bins(data, bins, label))
+        return PipelineModel([bins, *fitted.stages]).copy(), balance
     # the copy leaves the training summary behind: a summary holds the session,
     # which cannot be sent to executors once the session has observed metrics
     return _pipeline(features, label, family, n_trees, depth, step, seed).fit(data).copy(), balance
 
 
+def _code_columns(model: PipelineModel) -> list[str]:
+    return [c for s in model.stages if isinstance(s, Bucketizer) for c in s.getOutputCols()]
+
+
 def score(model: PipelineModel, df: DataFrame, out: str = "y_prob") -> DataFrame:
     """Add P(class 1) as ``out``; drops the ML helper columns."""
     s = model.transform(df)
     return (s.withColumn(out, vector_to_array(F.col("probability")).getItem(1))
-             .drop("_features", "rawPrediction", "probability", "prediction"))
+             .drop("_features", "rawPrediction", "probability", "prediction", *_code_columns(model)))
 
 
 def feature_importances(spark: SparkSession, model: PipelineModel, features: list[str]) -> DataFrame:

@@ -82,3 +82,44 @@ def test_error_analysis_invariants(spark):
     assert sum(fnd["tipo_caminhao"].values()) == cm["fn"] == sum(fnd["alarm_count_4h_bin"].values())
     assert sum(fnd["current_state"].values()) == cm["fn"]
     assert sum(v["tp"] for v in rep["recall_by_month"].values()) == cm["tp"]
+
+
+def _graded(spark, n=3000):
+    rows = [(i % 7, float(i % 5) - 2, (i * i) % 11, int((i % 7) * 3 + (i * i) % 11 + (i * 13 % 17) > 26)) for i in range(n)]
+    return spark.createDataFrame(rows, "a int, b double, c long, y int")
+
+
+def test_boosting_on_binned_rows_equals_boosting_on_rows(spark):
+    df = _graded(spark)
+    cols = ["a", "b", "c"]
+    plain, b1 = ml.train_balanced(df, cols, "y", n_trees=8, depth=4)
+    binned, b2 = ml.train_balanced(df, cols, "y", n_trees=8, depth=4, bin_rows=0)
+    assert b1 == b2
+    seen = df.select(*cols).distinct().unionByName(spark.createDataFrame([(99, -50., -3)], "a int, b double, c long"))
+    want, got = ({r[:3]: r["y_prob"] for r in ml.score(m, seen).collect()} for m in (plain, binned))
+    assert want.keys() == got.keys() and all(abs(want[k] - got[k]) < 1e-9 for k in want)
+    assert ml.score(binned, seen).columns == [*cols, "y_prob"]
+    a, b = (m.stages[-1].featureImportances.toArray() for m in (plain, binned))
+    assert max(abs(a - b)) < 1e-9
+
+
+def test_binned_rows_follow_the_variety_of_rows_not_their_count(spark):
+    sizes = set()
+    for n in (6545, 19635):     # the pattern recurs after 6,545 rows
+        df = _graded(spark, n).withColumn("_w", F.when(F.col("y") == 1, 3.0).otherwise(1.0))
+        df = df.withColumn("c", F.when(F.col("c") == 9, None).otherwise(F.col("c")))
+        g = ml.grouped_bins(df, ml.binner(df, ["a", "b", "c"], "y", 3.0), "y")
+        assert g.agg(F.sum("_w")).first()[0] == df.agg(F.sum("_w")).first()[0]
+        sizes.add(g.count())
+    assert len(sizes) == 1 and sizes.pop() < 800
+
+
+def test_bins_take_equal_shares_of_the_weight(spark):
+    assert ml.thresholds({}) == [] and ml.thresholds({3.0: 1.0}) == []
+    assert ml.thresholds({0.0: 5.0, 2.0: 1.0, 3.0: 9.0}) == [1.0, 2.5]
+    assert ml.thresholds({float(v): 1.0 for v in range(64)}) == [v - 0.5 for v in range(2, 64, 2)]
+    # rare positives weigh as much as all others, so half the bins lie among them
+    df = spark.range(40_000).select((F.col("id") % 40 == 0).cast("int").alias("y"), F.when(
+        F.col("id") % 40 == 0, 1e6 + F.col("id")).otherwise(F.col("id")).cast("double").alias("x"))
+    cuts = ml.binner(df, ["x"], "y", 39.0).getSplitsArray()[0]
+    assert len(cuts) <= ml.MAX_BINS + 2 and 14 <= sum(1e6 < c < 2e6 for c in cuts) <= 17
