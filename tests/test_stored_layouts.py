@@ -170,6 +170,37 @@ def test_nothing_to_draw_from(spark):
     assert oversample.synthetic_rows(spark.createDataFrame([], schema), ["a"], "y", "id").count() == 0
 
 
+def test_nearest_by_distance_then_key_leaves_out_equal_keys():
+    r = np.random.default_rng(3)
+    x = r.integers(0, 3, size=(150, 2)).astype(float)       # many ties
+    keys = np.array([f"{v:03d}" for v in r.permutation(150)]).astype("S")
+    keys[7] = keys[90]
+    asks = r.random(150) < .6
+    for k in (1, 5, 200):
+        place, near, d2 = oversample.nearest(x, keys, asks, k)
+        want = []
+        for i in np.flatnonzero(asks):
+            found = sorted((((x[i] - x[j]) ** 2).sum(), keys[j], j) for j in range(150) if keys[j] != keys[i])[:k]
+            want += [(keys[i], i, keys[j], d) for d, _, j in found]
+        got = [(keys[i], i, keys[j], d) for i, j, d in zip(place, near, d2)]
+        assert sorted(got) == sorted(want)
+    assert all(len(a) == 0 for a in oversample.nearest(x, keys, np.zeros(150, bool), 3))
+    assert [len(a) for a in oversample.nearest(x[:1], keys[:1], np.ones(1, bool), 3)] == [0, 0, 0]
+
+
+def test_the_training_set_is_built_once_for_oversampling(spark, monkeypatch):
+    from faultline.plans import catalog_more
+    plans = []
+
+    def draw(df, *a, **kw):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df, *a, **kw)
+    plain = oversample.synthetic_rows
+    monkeypatch.setattr(oversample, "synthetic_rows", draw)
+    catalog_more.oversampled_train_counts(spark, SF_SMALL).collect()
+    assert plans and "Window" not in plans[0]
+
+
 # --- signals compared without flags per row ---
 
 def test_flag_confusion_equals_the_flags_compared(spark):
