@@ -18,14 +18,18 @@ plan: they lie before every window of the rows that are put out, and only the
 unbounded look-backs (first type, minutes since the last critical alarm) see
 them. Each batch writes folders of its own, so one that fails is run again
 without touching what stands.
+
+A batch is read some six times (its span, the density, features, state): where all
+months come from one table, ``by_month`` stores them apart first, in one pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from faultline.functions.timecols import epoch_micros
+from faultline.plans.evaluation import in_parallel
 from faultline.plans.features import CRITICAL_LEVEL, LABEL_HORIZONS, LOOKBACK_WINDOWS, build_features, with_micros
 from faultline.sources.schema import interval_key
 
@@ -84,20 +88,31 @@ def append_month(spark: SparkSession, path: str, batch: int, tele: DataFrame, in
         feats = feats.where(F.col("ts_us") >= seam - REACH)
     # a label looks ahead by REACH at most, and an event at the seam may still come
     feats = feats.withColumn("_open", F.col("ts_us") >= new_seam - REACH)
-    feats.write.mode("overwrite").partitionBy("_open").parquet(f"{path}/features/batch={batch}")
 
     start = new_seam - 2 * REACH
-    rows.where(F.col("ts_us") > start).write.mode("overwrite").parquet(f"{here}/tail")
     old = rows.where(F.col("ts_us") <= start).groupBy("TAG").agg(
         F.min(F.struct("ts_us", "event_id", "Tipo")).alias("first"),
         F.max(F.when(F.col("Id_Criticidade") == CRITICAL_LEVEL, F.col("ts_us"))).alias("critical_us"))
     if carry is not None:
         old = old.unionByName(carry).groupBy("TAG").agg(F.min("first").alias("first"), F.max("critical_us").alias("critical_us"))
-    old.write.mode("overwrite").parquet(f"{here}/carry")
     begun = F.max(F.when(F.col("inicio_us") <= new_seam - REACH, F.col("inicio_us"))).over(Window.partitionBy("Tag"))
-    (iv.withColumn("_begun", begun)     # intervals of one TAG: few, and pruned by every batch
-       .where((F.col("inicio_us") > new_seam - REACH) | (F.col("inicio_us") == F.col("_begun"))).drop("_begun")
-       .write.mode("overwrite").parquet(f"{here}/intervals"))
+    # intervals of one TAG: few, and pruned by every batch
+    kept = iv.withColumn("_begun", begun).where(
+        (F.col("inicio_us") > new_seam - REACH) | (F.col("inicio_us") == F.col("_begun"))).drop("_begun")
+    tail = rows.where(F.col("ts_us") > start)
+    # none reads what another writes
+    in_parallel(spark, {
+        "features": lambda: feats.write.mode("overwrite").partitionBy("_open").parquet(f"{path}/features/batch={batch}"),
+        **{name: (lambda name=name, df=df: df.write.mode("overwrite").parquet(f"{here}/{name}"))
+           for name, df in {"tail": tail, "carry": old, "intervals": kept}.items()}}, 4)
+
+
+def by_month(df: DataFrame, month: Column, path: str) -> DataFrame:
+    """``df`` stored under ``path`` by ``month`` (column ``_month``), in one pass, so
+    that a month is read without the others. Rows without a month are left out."""
+    rows = df.withColumn("_month", month).where("_month is not null")
+    rows.write.partitionBy("_month").parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def read_features(spark: SparkSession, path: str, batch: int) -> DataFrame:

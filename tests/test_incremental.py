@@ -119,3 +119,30 @@ def test_counters_come_from_the_write(spark, tmp_out):
     assert got == Q.quality_counts(raw).first()
     assert len(plans) == 1 and plans[0].count("FileScan") == 1 and "CollectMetrics" in plans[0]
     assert spark.read.parquet(f"{tmp_out}/clean").count() == raw.count()
+
+
+def test_months_are_stored_apart_in_one_pass(spark, tmp_out):
+    raw = spark.createDataFrame([("A", 5), ("B", 15), (None, 25), ("C", None), ("D", 21)], "TAG string, u bigint")
+    month = sum(((F.col("u") >= lo).cast("int") for lo in (10, 20)), F.lit(1))
+    got = incremental.by_month(raw, month, f"{tmp_out}/in")
+    assert sorted(map(repr, map(tuple, got.select("_month", "TAG", "u").collect()))) == sorted(map(repr, [
+        (1, "A", 5), (2, "B", 15), (3, None, 25), (3, "D", 21)]))
+    assert len(got.where("_month = 2").inputFiles()) >= 1 and "PartitionFilters: [isnotnull(_month" in \
+        got.where("_month = 2")._jdf.queryExecution().executedPlan().toString()
+    none = incremental.by_month(raw.limit(0), month, f"{tmp_out}/none")
+    assert none.where("_month = 1").count() == 0 and none.columns == got.columns
+
+
+def test_the_appended_months_read_the_events_once(spark, monkeypatch):
+    from faultline.plans import catalog, catalog_more
+    read = []
+
+    def append(session, path, k, tele, intervals):
+        read.extend(f for df in (tele, intervals) for f in df.inputFiles())
+        return plain(session, path, k, tele, intervals)
+    plain = incremental.append_month
+    monkeypatch.setattr(incremental, "append_month", append)
+    got = catalog_more.features_by_month_append(spark, SF_SMALL)
+    assert read and not any(f.endswith("events.parquet") or "/events.parquet/" in f for f in read)
+    full = catalog.feature_matrix(spark, SF_SMALL)
+    assert sorted(map(tuple, got.select(*full.columns).collect())) == sorted(map(tuple, full.collect()))
