@@ -30,9 +30,8 @@ from __future__ import annotations
 import json
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +50,7 @@ BLOCK_IDS = 1 << 16
 CHUNK_BYTES = 12 << 20          # text of the chunks that are encoded beforehand and broadcast
 CHUNK_LENGTH = 64               # longer chunks are encoded where they stand
 ENCODED = 3 << 20               # text whose distinct chunks a task encodes at a time
-COUNTED = 6 << 20               # text whose chunks a task counts before it hands the counts on
+COUNTED = 16 << 20              # text whose chunks a task counts before it hands the counts on
 
 
 # ---------------------------------------------------------------- tokens
@@ -137,6 +136,9 @@ class Encoder:
     """
 
     BAD = b""  # a chunk that is empty or has white space at an end
+    MARKS = r"[!-/:-@\[-`{-~]"  # ASCII punctuation
+    PLAIN = rf"^\p{{L}}+{MARKS}*(\n\p{{L}}+{MARKS}*)*$"
+    CUT = "\x01"  # stands in no plain chunk
     GAP = "\u00ff"  # the letter of byte 255, which no text holds
 
     def __init__(self, vocabulary: str, known: Chunks | None = None):
@@ -171,20 +173,45 @@ class Encoder:
         rest = [b for b in range(256) if b not in seen]
         return bare, {**{b: b for b in seen}, **{b: 256 + k for k, b in enumerate(rest)}}
 
-    def pieces(self, cores: list[str]) -> list[bytes]:
-        """Packed ids of pieces, each one split piece by its characters. Many go
-        to the library as one text, with GAP's token between their ids."""
-        gap, out = self.bare.token_to_id(self.GAP), []
+    def pieces(self, cores: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one behind the other, how many each has) of pieces, each one split
+        piece by its characters. Many go to the library as one text, with GAP's
+        token between their ids."""
+        gap, kind = self.bare.token_to_id(self.GAP), f"<u{self.width}"
+        data, sizes = [np.zeros(0, kind)], [np.zeros(0, np.int64)]
         for at in range(0, len(cores), 4096):
-            part = cores[at:at + 4096]
-            letters = b"\xff".join(c.encode() for c in part).decode("latin-1").translate(self.letters)
-            ids = np.array(self.bare.encode_batch_fast([letters], add_special_tokens=False)[0].ids, f"<u{self.width}")
-            ends = [*np.flatnonzero(ids == gap).tolist(), len(ids)]
-            packed, start = ids.tobytes(), 0
-            for end in ends:
-                out.append(packed[start * self.width:end * self.width])
-                start = end + 1
-        return out
+            # pieces hold no CUT; byte 255 stands in no text and its letter is GAP
+            text = self.CUT.join(cores[at:at + 4096]).encode().replace(self.CUT.encode(), b"\xff").decode("latin-1")
+            ids = np.array(self.bare.encode_batch_fast([text.translate(self.letters)], add_special_tokens=False)[0].ids, kind)
+            gaps = ids == gap
+            sizes.append(np.diff(np.flatnonzero(gaps), prepend=-1, append=len(ids)) - 1)
+            data.append(ids[~gaps])
+        return np.concatenate(data), np.concatenate(sizes)
+
+    def plain(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one behind the other, how many each has) of chunks of words of
+        letters, each with marks behind it or not, between single line ends. The pieces of
+        all are looked up or encoded once each and put together in flat arrays."""
+        lists = pc.split_pattern(pc.replace_substring_regex(pc.binary_join_element_wise(" ", chunks, ""), f"({self.MARKS}+|\n)",
+                                                            rf"{self.CUT}\1{self.CUT}"), self.CUT)
+        seen = lists.flatten().dictionary_encode()
+        parts, known = seen.dictionary, self.known
+        start, size = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        # a word with marks behind it is often common without them
+        words = np.flatnonzero(pc.starts_with(parts, " ").to_numpy(zero_copy_only=False))
+        at = known.find(pc.utf8_slice_codeunits(parts.take(pa.array(words)), 1))
+        held = np.flatnonzero(at >= 0)
+        held = held[known.size[at[held]] > 0]
+        size[words[held]] = known.size[at[held]]
+        need = np.flatnonzero((size == 0) & (pc.binary_length(parts).to_numpy() > 0))
+        fresh, size[need] = self.pieces(parts.take(pa.array(need)).to_pylist())
+        place = np.concatenate([words[held], need])
+        start[place] = np.cumsum(size[place]) - size[place]
+        pool = np.concatenate([gathered(known.data, known.start[at[held]], known.size[at[held]]), fresh])
+        code = seen.indices.to_numpy()
+        first = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        ends = np.concatenate([[0], np.cumsum(size[code])])[first]
+        return gathered(pool, start[code], size[code]), np.diff(ends)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text, from the library."""
@@ -200,39 +227,30 @@ class Encoder:
 
     def learn(self, chunks: list[str]) -> list[bytes]:
         """The ids of each chunk with a space in front."""
+        data, size = self.learned(pa.array(chunks, pa.string()))
+        packed, ends = data.tobytes(), np.cumsum(size) * self.width
+        return [packed[b - n:b] for b, n in zip(ends.tolist(), (size * self.width).tolist())]
+
+    def learned(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one behind the other, how many each has) of chunks with a space in
+        front; none for a bad chunk."""
+        simple = (pc.match_substring_regex(chunks, self.PLAIN).to_numpy(zero_copy_only=False) if self.bare
+                  else np.zeros(len(chunks), bool))
+        quick, slow = np.flatnonzero(simple), np.flatnonzero(~simple)
+        start, size = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        pool = np.zeros(0, f"<u{self.width}")
+        if len(quick):
+            pool, size[quick] = self.plain(chunks.take(pa.array(quick)))
+        rest = self.others(chunks.take(pa.array(slow)).to_pylist())
+        size[slow] = np.fromiter(map(len, rest), np.int64, len(rest)) // self.width
+        place = np.concatenate([quick, slow])
+        start[place] = np.cumsum(size[place]) - size[place]
+        return gathered(np.concatenate([pool, np.frombuffer(b"".join(rest), pool.dtype)]), start, size), size
+
+    def others(self, chunks: list[str]) -> list[bytes]:
+        """Packed ids of chunks that are not plain, each with a space in front."""
         ids = dict.fromkeys(chunks, self.BAD)
-        rest, words = [], {}
-        for c in ids:
-            if not self.apart(c):
-                continue
-            # letters with a run of ASCII marks behind them are two pieces, and a
-            # single line end between two such words is one; the chunks share these
-            parts = []
-            for k, line in enumerate(c.split("\n") if self.bare else ()):
-                core = line.rstrip(punctuation)
-                if not core.isalpha():
-                    parts = None
-                    break
-                parts += ["\n", core] if k else [" " + core]
-                if len(core) < len(line):
-                    parts.append(line[len(core):])
-            if parts:
-                words[c] = parts
-            else:
-                rest.append(c)
-        need = list({x for parts in words.values() for x in parts})
-        # a word with marks behind it is often common without them
-        of = {}
-        if len(self.known.mark):
-            cores = [x[1:] for x in need if x[0] == " "]
-            known = self.known
-            for core, at in zip(cores, known.find(pa.array(cores, pa.string())).tolist()):
-                if at >= 0 and known.size[at]:
-                    a = known.start[at]
-                    of[" " + core] = known.data[a:a + known.size[at]].tobytes()
-            need = [x for x in need if x not in of]
-        of.update(zip(need, self.pieces(need) if need else ()))
-        ids.update((c, b"".join([of[x] for x in parts])) for c, parts in words.items())
+        rest = [c for c in ids if self.apart(c)]
         ids.update(zip(rest, self.whole([" " + c for c in rest])))
         return [ids[c] for c in chunks]
 
@@ -249,14 +267,15 @@ class Encoder:
         at = known.find(distinct)
         held, missing = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
         heads = flat.take(pa.array(first[:-1])).to_pylist()
-        fresh = self.learn(distinct.take(pa.array(missing)).to_pylist()) + self.whole(heads)
-        fresh_size = np.fromiter(map(len, fresh), np.int64, len(fresh)) // self.width
-        pool = np.concatenate([gathered(known.data, known.start[at[held]], known.size[at[held]]),
-                               np.frombuffer(b"".join(fresh), f"<u{self.width}")])
+        fresh, fresh_size = self.learned(distinct.take(pa.array(missing)))
+        first_ids = self.whole(heads)
+        first_size = np.fromiter(map(len, first_ids), np.int64, len(first_ids)) // self.width
+        pool = np.concatenate([gathered(known.data, known.start[at[held]], known.size[at[held]]), fresh,
+                               np.frombuffer(b"".join(first_ids), f"<u{self.width}")])
         size = np.zeros(len(distinct) + len(heads), np.int64)
         start = np.zeros(len(size), np.int64)
         place = np.concatenate([held, missing, len(distinct) + np.arange(len(heads))])
-        sizes = np.concatenate([known.size[at[held]], fresh_size])
+        sizes = np.concatenate([known.size[at[held]], fresh_size, first_size])
         size[place] = sizes
         start[place] = np.cumsum(sizes) - sizes
         code = np.empty(len(flat), np.int64)
@@ -279,7 +298,9 @@ class Encoder:
 
 def chunk_counts(texts: DataFrame) -> DataFrame:
     """(chunk, n): how often each chunk of at most CHUNK_LENGTH characters stands
-    behind a space of the column ``text``."""
+    behind a space of the column ``text``, in the parts of COUNTED bytes that hold
+    it twice or more. The counts only choose which chunks are encoded beforehand;
+    one that stands once in a part gains nothing there, and most chunks do."""
     ddl = "chunk string, n bigint"
     arrow = arrow_schema(ddl)
 
@@ -287,7 +308,8 @@ def chunk_counts(texts: DataFrame) -> DataFrame:
         for part in slices_by_bytes(batches, 0, COUNTED):
             chunks, _ = behind_spaces(*spaced(pc.fill_null(part.column(0), "")))
             counts = pc.value_counts(chunks)
-            short = pc.less_equal(pc.utf8_length(counts.field("values")), CHUNK_LENGTH)
+            short = pc.and_(pc.less_equal(pc.utf8_length(counts.field("values")), CHUNK_LENGTH),
+                            pc.greater(counts.field("counts"), 1))
             yield pa.RecordBatch.from_arrays([counts.field("values").filter(short), counts.field("counts").filter(short)],
                                              schema=arrow)
         pa.default_memory_pool().release_unused()  # the worker goes on to encode
@@ -298,7 +320,7 @@ def chunk_counts(texts: DataFrame) -> DataFrame:
 def common_chunks(docs: DataFrame, vocabulary: str, most_bytes: int = CHUNK_BYTES, text_col: str = "text") -> Chunks | None:
     """The ids of the chunks that occur most often, at most ``most_bytes`` of
     text in all, each encoded once. A chunk that stands once gains nothing."""
-    counts = stored(chunk_counts(docs.select(F.col(text_col).cast("string").alias("text"))).where("n > 1"), "token-chunks")
+    counts = stored(chunk_counts(docs.select(F.col(text_col).cast("string").alias("text"))), "token-chunks")
     # bytes by steps of the count (sixteen to a doubling): a table of bounded size
     size = F.octet_length("chunk") + 8
     steps = counts.groupBy(F.floor(F.log2("n") * 16).alias("step")).agg(F.sum(size).alias("bytes")).collect()
@@ -480,8 +502,9 @@ def count_ids(ids: DataFrame) -> np.ndarray:
         encoder_of.cache_clear()
         total = np.zeros(1, np.int64)
         for part in slices(batches):
-            for width, data in zip(*(c.to_pylist() for c in part.columns)):
-                n = np.bincount(unpacked(width, data), minlength=len(total))
+            for width in pc.unique(part.column(0)).to_pylist():
+                own = part.column(1).filter(pc.equal(part.column(0), width))
+                n = np.bincount(unpacked(width, b"".join(own.to_pylist())), minlength=len(total))
                 n[: len(total)] += total
                 total = n
         used = np.flatnonzero(total)
@@ -545,16 +568,19 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, shards: int | None
      .write.option("compression", "none").parquet(f"{path}/blocks"))
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+DOCS_DDL = "shard int, block bigint, at int, doc_id bigint, ids binary"
+
+
+def read_tokens(spark: SparkSession, path: str, then: Callable | None = None, ddl: str = DOCS_DDL) -> DataFrame:
     """(shard, block, at, doc_id, ids): every document of the files; ``at`` is
-    its place in the block and ``ids`` are little-endian 32-bit ids."""
+    its place in the block and ``ids`` are little-endian 32-bit ids. ``then`` takes
+    these batches where they are decoded and gives those of ``ddl`` instead."""
     rows = spark.read.schema("id bigint, bits int").parquet(f"{path}/book").collect()
     lengths = np.zeros(max((r["id"] for r in rows), default=-1) + 1, np.int64)
     for r in rows:
         lengths[r["id"]] = r["bits"]
     shared = spark.sparkContext.broadcast(lengths)
-    ddl = "shard int, block bigint, at int, doc_id bigint, ids binary"
-    arrow = arrow_schema(ddl)
+    arrow = arrow_schema(DOCS_DDL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder_of.cache_clear()
@@ -577,7 +603,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     blocks = spark.read.schema("shard int, block bigint, doc_ids array<bigint>, lens array<int>, "
                                "checkpoints array<bigint>, data binary").parquet(f"{path}/blocks")
-    return blocks.mapInArrow(run, ddl)
+    return blocks.mapInArrow((lambda batches: then(run(batches))) if then else run, ddl)
 
 
 def token_digest(spark: SparkSession, path: str) -> DataFrame:
@@ -613,6 +639,6 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
             cols = [shard, block, doc_id, inner, [len(x) // 4 for x in ids], [zlib.crc32(x) for x in ids]]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
 
-    docs = read_tokens(spark, path).mapInArrow(run, ddl)
+    docs = read_tokens(spark, path, run, ddl)
     return docs.join(offsets, ["shard", "block"]).select(
         "doc_id", (F.col("block_start") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32")

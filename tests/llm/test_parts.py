@@ -167,6 +167,19 @@ def test_common_chunks_do_not_change_the_ids(small, most_bytes):
         assert got == [encode(t) for t in texts[at:at + 50]]
 
 
+def test_only_chunks_that_recur_are_counted(spark):
+    rows = [("x twice twice once", ), ("y thrice thrice thrice é é", ), (None, ), ("twice", )]
+    got = tokens.chunk_counts(spark.createDataFrame(rows, "text string").coalesce(1)).collect()
+    assert sorted(map(tuple, got)) == [("thrice", 3), ("twice", 2), ("é", 2)]
+
+
+def test_files_are_digested_where_they_are_read(spark):
+    path = shared_path(spark, "test-passes")
+    tokens.write_tokens(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string"), path, VOCABULARY, shards=2)
+    plan = tokens.token_digest(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_equal_rows_are_dealt_over_shards(spark, same):
     rows = [(None, "the same row")] * 300 + [(7, "shared id")] * 300 + [(k, f"row {k}") for k in range(50)]
     path = shared_path(spark, "test-ties")
