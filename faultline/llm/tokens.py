@@ -59,14 +59,19 @@ class Chunks:
     """Ids of chunks in flat arrays: texts in the order of their hashes, so that
     many are found by one sorted search; the texts themselves are compared."""
 
-    def __init__(self, texts: pa.Array, ids: list[bytes], width: int):
+    def __init__(self, texts: pa.Array, ids: pa.Array | list[bytes], width: int):
         marks = self.marks(texts)
         order = np.argsort(marks, kind="stable")
         self.mark = marks[order]
         self.text = texts.take(pa.array(order))
-        self.size = np.fromiter(map(len, ids), np.int64, len(ids))[order] // width
+        # the packed ids are put in order as numbers: no object per chunk
+        ids = pa.array(ids, pa.binary())
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets or bytes(4), np.int32)[ids.offset:ids.offset + len(ids) + 1].astype(np.int64)
+        size, flat = np.diff(ends) // width, np.frombuffer(data or b"", np.uint8)[ends[0]:ends[-1]].view(f"<u{width}")
+        self.size = size[order]
         self.start = np.cumsum(self.size) - self.size
-        self.data = np.frombuffer(b"".join(ids[k] for k in order.tolist()), f"<u{width}")
+        self.data = gathered(flat, (np.cumsum(size) - size)[order], self.size)
 
     @staticmethod
     def marks(texts: pa.Array) -> np.ndarray:
@@ -333,18 +338,19 @@ def common_chunks(docs: DataFrame, vocabulary: str, most_bytes: int = CHUNK_BYTE
     if least is None:
         return None
     chosen = counts.where(F.floor(F.log2("n") * 16) >= least).select("chunk")
-    ddl = "chunk string, ids binary"
+    ddl = "chunk string, ids binary, width int"
     arrow = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(vocabulary)
         for part in slices(batches, 8192):
             got = encoder.learn(part.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got, pa.binary())], schema=arrow)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(got, pa.binary()), pa.array([encoder.width] * len(got), pa.int32())], schema=arrow)
 
+    # the width comes with the ids: the driver loads no vocabulary
     table = chosen.mapInArrow(run, ddl).toArrow().combine_chunks()
-    width = Encoder(vocabulary).width
-    return Chunks(pa.concat_arrays(table.column(0).chunks), table.column(1).to_pylist(), width)
+    return Chunks(pa.concat_arrays(table.column(0).chunks), pa.concat_arrays(table.column(1).chunks), table.column(2)[0].as_py())
 
 
 IDS_DDL = "doc_id bigint, width int, ids binary"
@@ -510,11 +516,18 @@ def count_ids(ids: DataFrame) -> np.ndarray:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], schema=arrow)
 
-    rows = ids.select("width", "ids").mapInArrow(run, ddl).groupBy("id").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(max((r["id"] for r in rows), default=-1) + 1, np.int64)
-    for r in rows:
-        counts[r["id"]] = r["n"]
-    return counts
+    rows = ids.select("width", "ids").mapInArrow(run, ddl).groupBy("id").agg(F.sum("n").alias("n"))
+    return by_id(rows)
+
+
+def by_id(rows: DataFrame) -> np.ndarray:
+    """The values of (id, value) rows in the order of the ids, 0 where none is: one
+    number per vocabulary entry."""
+    table = rows.toArrow()
+    ids, values = (c.to_numpy().astype(np.int64) for c in table.columns)
+    out = np.zeros(int(ids.max(initial=-1)) + 1, np.int64)
+    out[ids] = values
+    return out
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, shards: int | None = None,
@@ -526,7 +539,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, shards: int | None
     tokenise(docs, vocabulary, end_id).write.option("compression", "zstd").parquet(packed)
     ids = spark.read.schema(IDS_DDL).parquet(packed)
     lengths = code_lengths(count_ids(ids))
-    book = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
+    used = np.flatnonzero(lengths)
+    book = pa.table([pa.array(used, pa.int64()), pa.array(lengths[used], pa.int32())], names=["id", "bits"])
     spark.createDataFrame(book, "id bigint, bits int").coalesce(1).write.parquet(f"{path}/book")
     codes = canonical_codes(lengths)
     shared = spark.sparkContext.broadcast((lengths, codes))  # one entry per vocabulary id
@@ -575,10 +589,7 @@ def read_tokens(spark: SparkSession, path: str, then: Callable | None = None, dd
     """(shard, block, at, doc_id, ids): every document of the files; ``at`` is
     its place in the block and ``ids`` are little-endian 32-bit ids. ``then`` takes
     these batches where they are decoded and gives those of ``ddl`` instead."""
-    rows = spark.read.schema("id bigint, bits int").parquet(f"{path}/book").collect()
-    lengths = np.zeros(max((r["id"] for r in rows), default=-1) + 1, np.int64)
-    for r in rows:
-        lengths[r["id"]] = r["bits"]
+    lengths = by_id(spark.read.schema("id bigint, bits int").parquet(f"{path}/book"))
     shared = spark.sparkContext.broadcast(lengths)
     arrow = arrow_schema(DOCS_DDL)
 

@@ -173,6 +173,21 @@ def test_only_chunks_that_recur_are_counted(spark):
     assert sorted(map(tuple, got)) == [("thrice", 3), ("twice", 2), ("é", 2)]
 
 
+def test_the_driver_loads_no_vocabulary(spark, monkeypatch, same):
+    rows = [(k, "some words recur, some words recur here") for k in range(6)]
+    monkeypatch.setattr(tokens, "Encoder", None)  # in this process alone
+    path = shared_path(spark, "test-driver")
+    tokens.write_tokens(spark.createDataFrame(rows, "doc_id bigint, text string"), path, VOCABULARY, shards=2)
+    same(tokens.token_digest(spark, path).collect(), brute.tokens(rows, fresh()))
+
+
+def test_chunks_take_their_ids_from_a_part_of_an_array():
+    ids = pa.array([b"\x09\x00", b"\x01\x00\x02\x00", b"", b"\x03\x00"], pa.binary()).slice(1)
+    held = tokens.Chunks(pa.array(["a", "b", "c"]), ids, 2)
+    at = held.find(pa.array(["a", "b", "c"]))
+    assert [held.data[held.start[k]:held.start[k] + held.size[k]].tolist() for k in at] == [[1, 2], [], [3]]
+
+
 def test_files_are_digested_where_they_are_read(spark):
     path = shared_path(spark, "test-passes")
     tokens.write_tokens(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string"), path, VOCABULARY, shards=2)
