@@ -11,17 +11,26 @@ Boosting passes over its rows some six times a tree, one tree after another, and
 sees of a feature only the bin it falls into. So beyond ``BIN_ROWS`` rows they are
 binned first and added up: one weighted row per distinct (bins, label), whose
 number follows the variety of the rows rather than their count. A weighted row
-stands for its rows exactly (same sums, same residuals, no bagging). The forest
-draws rows, so it is fitted on the rows themselves.
+stands for its rows exactly (same sums, same residuals, no bagging).
+
+The forest draws its rows: each row counts a Poisson(1) number of times in a tree.
+Spark holds all rows in memory with one draw a tree, and every level passes all rows
+down all trees. So beyond ``FOREST_ROWS`` rows it is fitted on the added-up rows too:
+n equal rows count Poisson(n) times in a tree, which is what n draws of Poisson(1)
+add up to. Its trees are fitted one by one on their own draws, some at a time.
 """
 
 from __future__ import annotations
 
 import math
 import sys
+from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +46,8 @@ MAX_BINS = 32           # of a feature, Spark's own number
 BIN_ROWS = 10_000       # up to here Spark's trees choose bins from every row, beyond from a sample
 RANKS = 1024            # quantiles of each class that bins are chosen from
 PART_GROUPS = 25_000    # distinct binned rows per partition
+FOREST_ROWS = 1_000_000  # up to here the forest is fitted on the rows: fewer, larger jobs
+FOREST_THREADS = 8      # trees fitted at a time
 # -----------------------------------------------------------------------------
 
 
@@ -104,18 +115,62 @@ def binner(data: DataFrame, features: list[str], label: str, weight: float) -> B
 
 
 def grouped_bins(data: DataFrame, bins: Bucketizer, label: str) -> DataFrame:
-    """(bins, label, _w): the rows of ``data`` added up by bins and label, stored
-    in the order of the bins."""
+    """(bins, label, _w, _n): the rows of ``data`` added up by bins and label, with
+    their number, stored in the order of the bins."""
     from faultline.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(data.sparkSession)
     keys = [*bins.getOutputCols(), label]
     # zero is added to leave out the codes' metadata: they are ordered, not categories
     coded = bins.transform(data).select(*[(F.col(c) + F.lit(0.0)).alias(c) for c in keys], "_w")
-    groups = coded.groupBy(*keys).agg(F.sum("_w").alias("_w")).checkpoint()
+    groups = coded.groupBy(*keys).agg(F.sum("_w").alias("_w"), F.count(F.lit(1)).alias("_n")).checkpoint()
     parts = max(1, -(-groups.count() // PART_GROUPS))
     return groups.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).checkpoint()
 
 
+def tree_draws(groups: DataFrame, keys: list[str], n_trees: int, seed: int) -> DataFrame:
+    """``groups`` with columns _t0, _t1, ...: how often a group's ``_n`` rows count in
+    each tree, Poisson(_n). A batch is seeded by its own keys, so reruns agree."""
+    def draw(n: pd.Series, key: pd.Series) -> pd.DataFrame:
+        rng = np.random.default_rng(key.to_numpy().view(np.uint64))
+        got = rng.poisson(n.to_numpy()[:, None], (len(n), n_trees))
+        return pd.DataFrame(got, columns=names)
+
+    names = [f"_t{t}" for t in range(n_trees)]
+    udf = F.pandas_udf(draw, ", ".join(f"{c} bigint" for c in names))
+    return groups.withColumn("_draws", udf("_n", F.xxhash64(F.lit(seed), *keys))).select("*", "_draws.*").drop("_draws")
+
+
+def forest_of_groups(groups: DataFrame, codes: list[str], label: str, n_trees: int, depth: int, seed: int) -> PipelineModel:
+    """The assembler and a forest whose trees are fitted on the groups' draws."""
+    from faultline.llm.common import stored
+    spark = groups.sparkSession
+    asm = VectorAssembler(inputCols=codes, outputCol="_features", handleInvalid="keep")
+    # a file holds each tree's draws as a column of its own, so a tree reads no others
+    drawn = asm.transform(stored(tree_draws(groups, [*codes, label], n_trees, seed), "forest-draws"))
+    # two classes, also where a tree draws rows of one
+    y = F.col(label).alias(label, metadata={"ml_attr": {"type": "nominal", "num_vals": 2}})
+
+    def tree(t: int):
+        rows = drawn.where(F.col(f"_t{t}") > 0).select(
+            "_features", y, (F.col("_w") / F.col("_n") * F.col(f"_t{t}")).alias("_w"))
+        clf = RandomForestClassifier(featuresCol="_features", labelCol=label, weightCol="_w", numTrees=1,
+                                     bootstrap=False, featureSubsetStrategy="sqrt", maxDepth=depth,
+                                     seed=seed + t, maxBins=MAX_BINS + 4)
+        return clf.fit(rows)._java_obj.trees()[0]
+
+    with ThreadPoolExecutor(FOREST_THREADS) as pool:
+        trees = list(pool.map(inheritable_thread_target(spark)(tree), range(n_trees)))
+    # Python has no call that makes one forest of fitted trees
+    sc = spark.sparkContext
+    classes = sc._jvm.org.apache.spark.ml.classification
+    held = sc._gateway.new_array(classes.DecisionTreeClassificationModel, n_trees)
+    for t, x in enumerate(trees):
+        held[t] = x
+    made = classes.RandomForestClassificationModel(f"forest_{seed}", held, len(codes), 2)
+    model = RandomForestClassificationModel(made.set(made.getParam("numTrees"), n_trees))
+    return PipelineModel([asm, model.setFeaturesCol("_features")])
+
+
 def train(train_df: DataFrame, features: list[str], label: str, family: str = "gbt",
           n_trees: int = N_TREES, depth: int = MAX_DEPTH, step: float = LEARNING_RATE,
           seed: int = SEED) -> PipelineModel:
@@ -124,9 +179,11 @@ def train(train_df: DataFrame, features: list[str], label: str, family: str = "g
 
 def train_balanced(train_df: DataFrame, features: list[str], label: str, family: str = "gbt",
                    n_trees: int = N_TREES, depth: int = MAX_DEPTH, step: float = LEARNING_RATE,
-                   seed: int = SEED, bin_rows: int = BIN_ROWS) -> tuple[PipelineModel, dict]:
+                   seed: int = SEED, bin_rows: int = BIN_ROWS,
+                   forest_rows: int = FOREST_ROWS) -> tuple[PipelineModel, dict]:
     """The fitted model and the class balance it was weighted by (one count).
-    Boosted trees of more than ``bin_rows`` rows are fitted on binned rows."""
+    Boosted trees of more than ``bin_rows`` rows, and forests of more than
+    ``forest_rows``, are fitted on binned rows."""
     data = train_df.select(*features, F.col(label).cast("double").alias(label))
     balance = class_balance(data, label).first().asDict()
     w = float(balance["scale_pos_weight"])
@@ -136,6 +193,10 @@ def train_balanced(train_df: DataFrame, features: list[str], label: str, family:
         fitted = _pipeline(bins.getOutputCols(), label, family, n_trees, depth, step, seed, MAX_BINS + 4).fit(
             grouped_bins(data, bins, label))
         return PipelineModel([bins, *fitted.stages]).copy(), balance
+    if family == "rf" and balance["n_pos"] and balance["n_neg"] + balance["n_pos"] > forest_rows:
+        bins = binner(data, features, label, w)
+        fitted = forest_of_groups(grouped_bins(data, bins, label), bins.getOutputCols(), label, n_trees, depth, seed)
+        return PipelineModel([bins, *fitted.stages]).copy(), balance
     # the copy leaves the training summary behind: a summary holds the session,
     # which cannot be sent to executors once the session has observed metrics
     return _pipeline(features, label, family, n_trees, depth, step, seed).fit(data).copy(), balance

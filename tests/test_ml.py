@@ -114,6 +114,42 @@ def test_binned_rows_follow_the_variety_of_rows_not_their_count(spark):
     assert len(sizes) == 1 and sizes.pop() < 800
 
 
+def test_forest_on_added_up_rows_is_near_the_forest_on_rows(spark):
+    df = _graded(spark)
+    cols = ["a", "b", "c"]
+    plain, b1 = ml.train_balanced(df, cols, "y", "rf", n_trees=40, depth=4)
+    forests = [ml.train_balanced(df, cols, "y", "rf", n_trees=40, depth=4, forest_rows=0) for _ in range(2)]
+    assert all(b == b1 for _, b in forests)
+    seen = df.select(*cols).distinct().unionByName(spark.createDataFrame([(99, -50., -3)], "a int, b double, c long"))
+    want, got, again = ({r[:3]: r["y_prob"] for r in ml.score(m, seen).collect()} for m in (plain, *[f for f, _ in forests]))
+    assert got == again and want.keys() == got.keys()
+    assert max(abs(want[k] - got[k]) for k in want) < 0.15
+    assert sum(abs(want[k] - got[k]) for k in want) / len(want) < 0.04
+    assert ml.score(forests[0][0], seen).columns == [*cols, "y_prob"]
+    last = forests[0][0].stages[-1]
+    assert last.getNumTrees == 40 and len({t.toDebugString.split("\n", 1)[1] for t in last.trees}) > 20
+    a, b = (m.stages[-1].featureImportances.toArray() for m in (plain, forests[0][0]))
+    assert max(abs(a - b)) < 0.1
+
+
+def test_each_tree_draws_as_many_rows_as_there_are(spark):
+    g = spark.createDataFrame([(float(k), k % 2, 1 + 400 * (k % 5)) for k in range(500)], "k double, y int, _n long")
+    names = [f"_t{t}" for t in range(20)]
+    rows = ml.tree_draws(g.coalesce(1), ["k", "y"], 20, 1).select("_n", *names).collect()
+    total = sum(r["_n"] for r in rows)
+    assert all(abs(sum(r[c] for r in rows) - total) < 5 * total ** 0.5 for c in names)
+    # a group's draws vary as the sum of its rows' draws: variance n
+    spread = [(r[c] - r["_n"]) ** 2 / r["_n"] for r in rows for c in names]
+    assert 0.9 < sum(spread) / len(spread) < 1.1
+    assert len({tuple(r[c] for r in rows) for c in names}) == 20
+
+
+def test_a_tree_that_draws_one_class_knows_both(spark):
+    df = spark.createDataFrame([(float(k % 9), int(k == 7)) for k in range(300)], "x double, y int")
+    model, _ = ml.train_balanced(df, ["x"], "y", "rf", n_trees=12, depth=3, forest_rows=0)
+    assert all(0.0 <= r["y_prob"] <= 1.0 for r in ml.score(model, df).collect())
+
+
 def test_bins_take_equal_shares_of_the_weight(spark):
     assert ml.thresholds({}) == [] and ml.thresholds({3.0: 1.0}) == []
     assert ml.thresholds({0.0: 5.0, 2.0: 1.0, 3.0: 9.0}) == [1.0, 2.5]
