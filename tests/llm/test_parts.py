@@ -464,6 +464,20 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert all(got[i] == 0 for i in range(61)) and all(got[1000 + i] == 1000 for i in range(51))
 
 
+@pytest.mark.parametrize("edges, rounds, want", [
+    ([(5, 2), (9, 2), (2, 9), (7, 4), (3, 3)], 0, {2: 2, 5: 2, 9: 2, 4: 4, 7: 4}),  # stars
+    ([], 0, {}),
+    ([(1, 2), (2, 3)], 1, {1: 1, 2: 1, 3: 1}),                                      # 2 is on both sides
+    ([(1, 3), (2, 3), (8, 9)], 1, {1: 1, 2: 1, 3: 1, 8: 8, 9: 8}),                  # 3 has two edges down
+])
+def test_components_write_no_round_for_stars(spark, monkeypatch, edges, rounds, want):
+    names, keep = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, name: names.append(name) or keep(df, name))
+    got = graph.components(spark.createDataFrame(edges, "a bigint, b bigint"), "t")
+    assert dict(map(tuple, got.collect())) == want and got.count() == len(want)
+    assert names == ["t-0"] + [f"t-{x}" for i in range(rounds) for x in (f"low{i}", f"large{i}", f"least{i}", i + 1)]
+
+
 # ---------------------------------------------------------------- op9
 
 def test_trigram_queries_lose_no_match(small, edges):
