@@ -18,8 +18,16 @@ l of their first k(n) = n - ceil(t * n) + l shingles. Two orders are used:
   classes leave here, and passages that many documents share, being frequent,
   are not in the second prefix of documents that hold other text as well.
 
-Classes that share a shingle of the second prefix, the intersection of both
-filters, form candidate components. All pairs of one component are verified
+Classes that share a shingle of the second prefix pass both filters. Most such
+pairs share no more than that, and in a large corpus they chain most of its
+classes, so the pairs of each shingle's classes are compared first, by parity
+bitmaps: one bit for all shingles of a set that hash to it. Two sets differ in
+at least as many shingles as their bitmaps in bits, which bounds their
+intersection, so no linked pair is lost. Shingles with the same classes are one
+list; a list of more than ``LIST`` classes is cut by size, as linked sets have
+like sizes, then to blocks.
+
+Pairs that pass form candidate components. All pairs of one component are verified
 exactly inside tasks: intersections of all members are one product of their
 incidence matrix with itself. A component of more than ``BLOCK`` classes is cut
 to blocks and every pair of blocks is one group, so no task holds more than two
@@ -48,6 +56,9 @@ from faultline.llm.graph import components
 
 EXTEND = 20             # percent of a set that order 1 hands on beyond the plain prefix
 BLOCK = 512
+LIST = 1024             # classes of one shingle that are compared at once, or twice as many
+BITS = 256              # of a bitmap, at least; beyond that as many as the set has shingles, or up to twice
+FEW = 24                # classes that are compared one by one, more of them in arrays
 MOST_BROADCAST = 2_000_000   # ids of candidates, 8 bytes each
 MOST_KEYS = 1_000_000        # keys of rows that are dropped, 16 bytes each
 KEY = ("_fl_k1", "_fl_k2")
@@ -77,22 +88,30 @@ def prefix_length(n, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """Parities of the numbers of shingles at each bit. A bitmap of half as many
+    bits is its halves' XOR."""
+    bits = max(BITS, 1 << (len(s) - 1).bit_length() if len(s) else 0)
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
 def classes(docs: DataFrame, width: int, percent: int, extend: int) -> DataFrame:
-    """(doc_id, n, print, class, prefix): 128-bit print of the set, its first 64
-    bits as a short class id, and the first prefix under order 1; then the
-    bigint columns that ``docs`` has besides id and text."""
+    """(doc_id, n, print, class, prefix, bits): 128-bit print of the set, its first
+    64 bits as a short class id, the first prefix under order 1, and the bitmap;
+    then the bigint columns that ``docs`` has besides id and text."""
     more = [c for c in docs.columns if c not in ("doc_id", "text")]
-    ddl = "doc_id bigint, n bigint, print binary, class bigint, prefix array<bigint>" + "".join(
+    ddl = "doc_id bigint, n bigint, print binary, class bigint, prefix array<bigint>, bits binary" + "".join(
         f", {c} bigint" for c in more)
     arrow = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            cols: list[list] = [part.column(0).to_pylist(), [], [], [], []]
+            cols: list[list] = [part.column(0).to_pylist(), [], [], [], [], []]
             for text in part.column(1).to_pylist():
                 s = shingles(text, width)
                 n = len(s)
@@ -102,6 +121,7 @@ def classes(docs: DataFrame, width: int, percent: int, extend: int) -> DataFrame
                 cols[2].append(mark)
                 cols[3].append(int.from_bytes(mark[:8], "little", signed=True))
                 cols[4].append(signed(s[:min(n, k)]))
+                cols[5].append(bitmap(s))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)]
                                              + part.columns[2:], schema=arrow)
 
@@ -111,9 +131,9 @@ def classes(docs: DataFrame, width: int, percent: int, extend: int) -> DataFrame
 def index_entries(sets: DataFrame, percent: int, extend: int) -> DataFrame:
     """(shingle, class) of the second prefix, shingles of two classes or more."""
     entries = sets.where("n > 0").select("class", "n", F.explode("prefix").alias("shingle"))
-    often = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    met = (entries.join(often, "shingle").groupBy("class", "shingle")
-           .agg(F.max("df").alias("df"), F.max("n").alias("n")))
+    # one exchange; a document has a shingle once, so no shingle has more than a small part of the rows
+    met = (entries.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("df > 1")
+           .groupBy("class", "shingle").agg(F.max("df").alias("df"), F.max("n").alias("n")))
     spare = F.expr(f"{extend} * (({percent} * n + 99) div 100) div 100")
     w = Window.partitionBy("class")
     # the shingles seen once come before all these under order 2
@@ -137,6 +157,70 @@ def groups_of(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[
         yield key, rows
 
 
+def joined(m: int, pairs: Iterator[tuple[int, np.ndarray]]) -> list[tuple[int, int]]:
+    """A spanning forest of 0 to m - 1 under pairs (one, others)."""
+    label, out = np.arange(m), []
+    for i, others in pairs:
+        apart = others[label[others] != label[i]]
+        while len(apart):
+            j = int(apart[0])
+            out.append((i, j))
+            label[label == label[j]] = label[i]
+            apart = apart[label[apart] != label[i]]
+    return out
+
+
+def alike(size: np.ndarray, bits: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that may be linked, by sizes and bitmaps."""
+    m = len(size)
+
+    def may(a, b, apart):
+        # linked: (100 + percent) * intersection >= percent * (a + b)
+        return (100 + percent) * np.minimum((a + b - apart) // 2, np.minimum(a, b)) >= percent * (a + b)
+
+    if m <= FEW:
+        n, x = size.tolist(), [int.from_bytes(b, "little") for b in bits]
+
+        def folded(i: int, to: int) -> int:
+            y, k = x[i], 8 * len(bits[i])
+            while k > to:
+                k //= 2
+                y = (y >> k) ^ (y & ((1 << k) - 1))
+            return y
+
+        def one_by_one():
+            for i in range(m):
+                for j in range(i + 1, m):
+                    to = 8 * min(len(bits[i]), len(bits[j]))
+                    both = min((n[i] + n[j] - (folded(i, to) ^ folded(j, to)).bit_count()) // 2, n[i], n[j])
+                    if (100 + percent) * both >= percent * (n[i] + n[j]):
+                        yield i, np.array([j])
+
+        return joined(m, one_by_one())
+    width = np.array([len(b) for b in bits])
+
+    def in_arrays():
+        for w in np.unique(width):
+            # those of this width among themselves and with wider ones, folded to it
+            own = np.flatnonzero(width == w)
+            wide = np.flatnonzero((width >= w) & (100 * size[own].max() >= percent * size))
+            flat = np.empty((len(wide), w // 8), np.uint64)
+            for v in np.unique(width[wide]):
+                at = np.flatnonzero(width[wide] == v)
+                y = np.frombuffer(b"".join(bits[k] for k in wide[at]), np.uint64).reshape(len(at), -1)
+                while y.shape[1] > w // 8:
+                    y = y[:, :y.shape[1] // 2] ^ y[:, y.shape[1] // 2:]
+                flat[at] = y
+            place = np.searchsorted(wide, own)
+            for i, p in zip(own, place):
+                near = np.flatnonzero(((width[wide] > w) | (wide > i)) & (100 * size[wide] >= percent * size[i])
+                                      & (percent * size[wide] <= 100 * size[i]))
+                apart = np.bitwise_count(flat[near] ^ flat[p]).sum(axis=1, dtype=np.int64)
+                yield int(i), wide[near[may(size[i], size[wide[near]], apart)]]
+
+    return joined(m, in_arrays())
+
+
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairwise intersections: the product of the incidence matrix
     (members by shingles that two or more of them hold) with its transpose,
@@ -183,13 +267,53 @@ def links(names: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[
     return out
 
 
+def candidates(sets: DataFrame, percent: int, extend: int, most: int = LIST) -> DataFrame:
+    """(a, b): pairs of classes that share a shingle of the second prefix and whose
+    bitmaps may be linked, enough to connect all such pairs of a list."""
+    kept = stored(index_entries(sets, percent, extend), "join-index")
+    # shingles with the same classes are one list
+    print_of = [F.bit_xor(F.xxhash64(F.lit(k), F.col("class"))).alias(f"x{k}") for k in (1, 2)]
+    lists = (kept.groupBy("shingle").agg(F.count(F.lit(1)).alias("many"), *print_of).where("many > 1")
+             .groupBy("many", "x1", "x2").agg(F.min("shingle").alias("shingle")).select("shingle", "many"))
+    bits = sets.where("n > 0").select("class", "n", "bits").distinct()
+    rows = kept.join(lists, "shingle").join(bits, "class")
+    # linked sets are of neighbouring steps of size, or of one
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent) * (1 + 1e-9)))
+    many = F.col("many") > most
+    dealt = stored(rows.select("shingle", "class", "n", "bits", F.explode(
+        F.when(many, F.array(step, step + 1)).otherwise(F.array(F.lit(-1).cast("bigint")))).alias("step")), "join-lists")
+    large = dealt.where("step >= 0").groupBy("shingle", "step").agg(F.ceil(F.count(F.lit(1)) / most).alias("blocks"))
+    own = F.pmod(F.xxhash64("class"), F.col("blocks"))
+    one = F.lit(0).cast("bigint")
+    cut = (dealt.where("step >= 0").join(large, ["shingle", "step"]).withColumn("own", own)
+           .withColumn("other", F.explode(F.sequence(one, F.col("blocks") - 1)))
+           .select("shingle", "step", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                   "class", "n", "bits"))
+    whole = dealt.where("step < 0").select("shingle", "step", one.alias("i"), one.alias("j"), "class", "n", "bits")
+    ddl = "a bigint, b bigint"
+    arrow = arrow_schema(ddl)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = [], []
+        for _, rows in groups_of(batches, 4):
+            if len(rows) > 1:
+                names, n, bits = zip(*rows)
+                for i, j in alike(np.array(n), bits, percent):
+                    a.append(names[i])
+                    b.append(names[j])
+            if len(a) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=arrow)
+                a, b = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=arrow)
+
+    key = ["shingle", "step", "i", "j"]
+    return whole.unionByName(cut).repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, ddl)
+
+
 def near_edges(docs: DataFrame, sets: DataFrame, width: int, percent: int, extend: int,
                block: int = BLOCK) -> DataFrame:
     """(a, b): links between classes, enough to connect all that are linked."""
-    kept = stored(index_entries(sets, percent, extend), "join-index")
-    spread = kept.groupBy("shingle").agg(F.min("class").alias("b"), F.max("class").alias("_max")).where("b <> _max")
-    star = kept.join(spread, "shingle").select(F.col("class").alias("a"), "b").distinct()
-    comp = components(star, "join-candidates")
+    comp = components(candidates(sets, percent, extend), "join-candidates")
     sizes = comp.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / block).cast("bigint").alias("blocks"))
     members = stored(comp.join(sizes, "label").select(F.col("node").alias("class"), "label", "blocks"), "join-members")
     # one document stands for each candidate class; only these are cut to shingles again

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from faultline.llm import licenses, lm, mixing, ngram_join, pii, quality, queries, secret_scan, suffix, tokens
+from faultline.llm import graph, licenses, lm, mixing, ngram_join, pii, quality, queries, secret_scan, suffix, tokens
 from faultline.llm.common import shared_path
 from tests.llm import brute
 
@@ -84,6 +84,62 @@ def test_ngram_join_of_many_near_copies(spark, same):
         same(ngram_join.join_report(df, width, percent, block=16).collect(), brute.components(rows, width, percent))
 
 
+def test_ngram_join_verifies_no_chains_of_shared_passages(spark, same, monkeypatch):
+    """Texts that share half their words with the next one are no candidates."""
+    r = random.Random(4)
+    part = [" ".join(r.choices([f"w{k}" for k in range(2000)], k=60)) for _ in range(301)]
+    rows = [(i, f"{part[i]} {part[i + 1]}") for i in range(300)] + [(1000 + i, f"{part[i]} {part[i + 1]} end") for i in range(20)]
+    seen, keep = [], ngram_join.components
+
+    def components(edges, name):
+        got = keep(edges, name)
+        seen.extend([r["node"] for r in got.collect()] if name == "join-candidates" else [])
+        return got
+
+    monkeypatch.setattr(ngram_join, "components", components)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    same(ngram_join.join_report(df, 3, 90).collect(), brute.components(rows, 3, 90))
+    assert len(seen) == 40
+
+
+@pytest.mark.parametrize("percent", [100, 90, 80, 60])
+def test_ngram_join_candidates_lose_no_link(spark, percent):
+    """Sets of many sizes around those where bitmaps get wider, lists cut by size and to blocks."""
+    r = random.Random(percent)
+    rows, base = [], [f"b{k}" for k in range(700)]
+    for i, n in enumerate([5, 60, 230, 250, 258, 270, 300, 480, 515, 540, 640] * 12):
+        w = base[:n]
+        for _ in range(r.randrange(1 + n // 20)):
+            w[r.randrange(n)] = f"x{r.randrange(50)}"
+        rows.append((i, " ".join(w)))
+    sets = {i: set(ngram_join.shingles(t, 2).tolist()) for i, t in rows}
+    linked = [(a, b) for a in sets for b in sets if a < b
+              and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    classes = ngram_join.classes(df, 2, percent, ngram_join.EXTEND).cache()
+    name = {x["doc_id"]: x["class"] for x in classes.collect()}
+    for most in (4, 1024):
+        got = dict(map(tuple, graph.components(ngram_join.candidates(classes, percent, ngram_join.EXTEND, most), "t").collect()))
+        assert linked and all(got.get(name[a], name[a]) == got.get(name[b], name[b]) for a, b in linked)
+
+
+def test_ngram_join_compares_alike_one_by_one_and_in_arrays(monkeypatch):
+    r = np.random.default_rng(3)
+    base = r.integers(0, 1 << 63, 700, np.uint64)
+    sets = [np.unique(np.append(base[:n - k], r.integers(0, 1 << 63, k, np.uint64)))
+            for n in [3, 200, 250, 256, 258, 280, 500, 513, 560] for k in [0, 1, n // 12, n // 6] * 3]
+    size, bits = np.array([len(s) for s in sets]), [ngram_join.bitmap(s) for s in sets]
+    for percent in (60, 80, 90, 100):
+        groups = []
+        for few in (0, len(sets)):
+            monkeypatch.setattr(ngram_join, "FEW", few)
+            label = list(range(len(sets)))
+            for a, b in ngram_join.alike(size, bits, percent):
+                label = [label[a] if x == label[b] else x for x in label]
+            groups.append({frozenset(i for i, x in enumerate(label) if x == y) for y in label})
+        assert groups[0] == groups[1] and 1 < len(groups[0]) < len(sets)
+
+
 def test_distinct_documents(data):
     df, rows = data
     want = {i for i, _, c in brute.components(rows, 5, 80) if i == c}
