@@ -19,9 +19,11 @@ prediction goes back to the subtrees, which give each gram of the corpus its log
 probability. Scoring sums the grams' log probabilities.
 
 The word scores of the contract (additive smoothing over word counts) are
-computed in the same pass. Both lookup tables are broadcast only if they hold
-at most ``MOST_ROWS`` rows (16 bytes a row); beyond that, the documents' grams
-and words are joined with the tables by shuffles, with the same results.
+computed in the same pass. A lookup table is broadcast whole if it holds at most
+``MOST_ROWS`` rows (16 bytes a row). Of a larger one only the commonest rows are
+broadcast, by powers of two of their training counts and ``COMMON`` rows at most;
+the documents' other words or grams, rare ones, are joined with the table by
+shuffles and added to what the pass has found, with the same results.
 
 Defined cases: a null text counts as empty (one end token, one end byte); a
 null id trains like an empty one; repeated rows get equal scores and count each
@@ -41,10 +43,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import arrow_schema, id_and_text, slices, slices_by_bytes, stored
+from faultline.llm.common import arrow_schema, id_and_text, slices_by_bytes, stored
 
 DEPTH = 3
 MOST_ROWS = 10_000_000
+COMMON = 4_000_000      # rows broadcast of a table that has more than MOST_ROWS
 OWN = 2                 # oldest bytes of a context that a subtree spans
 ROWS = 1 << 18          # grams solved at once, about; a subtree is never cut
 HELD = 200_000          # distinct words or grams a task holds before it hands them on
@@ -296,7 +299,7 @@ def upper_shares(tops: DataFrame, levels: int) -> DataFrame:
 
 
 def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
-    """(gram, log_p): log10 of the model's probability of each gram's byte, from
+    """(gram, log_p, n): log10 of the model's probability of each gram's byte, from
     (top, gram, n)."""
     span = min(OWN, depth)
     tops = stored(subtree_tops(grams.repartition("top"), depth), "ctw-tops")
@@ -305,7 +308,7 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
     none = F.lit(None)
     rows = shares.select("top", none.cast("bigint").alias("gram"), F.col("node"), "plus", "times").unionByName(
         grams.select("top", "gram", F.col("n").alias("node"), none.cast("double").alias("plus"), none.cast("double").alias("times")))
-    ddl = "gram bigint, log_p double"
+    ddl = "gram bigint, log_p double, n bigint"
     arrow = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +339,7 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
                 one = (grams >> np.uint64(7 - bit)) & np.uint64(1) == 1
                 q = q[leaf.at(grams >> np.uint64(8 - bit))]
                 log_p += np.log10(np.where(one, q, 1 - q))
-            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(log_p)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(log_p), pa.array(n)], schema=arrow)
 
     mark = F.when(F.col("gram").isNull(), 0).otherwise(1).cast("bigint")
     return (rows.select("top", mark.alias("mark"), F.coalesce("gram", F.lit(0)).alias("gram"), "node", "plus", "times")
@@ -360,19 +363,64 @@ def hashed(words: pa.Array) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w, SEED) for w in words.to_pylist()], np.uint64).view(np.int64)
 
 
-def score_by_broadcast(docs: DataFrame, words: DataFrame, grams: DataFrame, total: int, distinct: int,
-                       depth: int, ddl: str) -> DataFrame:
+def size_of(n: Column) -> Column:
+    """The binary digits of n + 1."""
+    return F.length(F.bin(n + 1))
+
+
+def commonest(table: DataFrame, most_rows: int) -> tuple[DataFrame, bool]:
+    """(rows to broadcast, whether they are the whole table), by the column n."""
+    sizes = sorted(table.groupBy(size_of(F.col("n")).alias("size")).count().collect(), reverse=True)
+    if sum(r["count"] for r in sizes) <= most_rows:
+        return table, True
+    held, least = 0, math.inf
+    for r in sizes:
+        held += r["count"]
+        if held > min(COMMON, most_rows):
+            break
+        least = r["size"]
+    return table.where(size_of(F.col("n")) >= F.lit(least)), False
+
+
+def found_in(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in the sorted keys, whether each is there)."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def rest_of(text: np.ndarray, code: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(where each text's codes start and, last, end; its distinct codes; their counts)."""
+    order = np.lexsort((code, text))
+    text, code = text[order], code[order]
+    first = np.flatnonzero(np.append(True, (np.diff(text) != 0) | (code[1:] != code[:-1]))[:len(code)])
+    return (np.searchsorted(text[first], np.arange(n_texts + 1)).astype(np.int32), code[first],
+            np.diff(np.append(first, len(code))))
+
+
+def score_by_tables(docs: DataFrame, words: DataFrame, grams: DataFrame, total: int, distinct: int,
+                    depth: int, most_rows: int) -> DataFrame:
+    """Scores by what is broadcast, then those of the words and grams that are not."""
     spark = docs.sparkSession
-    w = words.select(F.xxhash64("word").alias("h"), F.col("n").cast("bigint")).toArrow()
+    some_words, all_words_here = commonest(words, most_rows)
+    some_grams, all_grams_here = commonest(grams, most_rows)
+    w = some_words.select(F.xxhash64("word").alias("h"), F.col("n").cast("bigint")).toArrow()
     order = np.argsort(w[0].to_numpy(), kind="stable")
     keys, counts = w[0].to_numpy()[order], w[1].to_numpy()[order]
     if counts.max(initial=0) < 1 << 31:
         counts = counts.astype(np.int32)
-    g = grams.select("gram", "log_p").toArrow()
-    by_gram = np.argsort(g[0].to_numpy(), kind="stable")
-    shared = spark.sparkContext.broadcast((keys, counts, g[0].to_numpy()[by_gram], g[1].to_numpy()[by_gram]))
-    del w, g
-    arrow = arrow_schema(ddl)
+    del w, order
+    g = some_grams.select("gram", "log_p").toArrow()
+    order = np.argsort(g[0].to_numpy(), kind="stable")
+    shared = spark.sparkContext.broadcast((keys, counts, g[0].to_numpy()[order], g[1].to_numpy()[order]))
+    del g, order
+    ddl = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+           "base_score double, score double, n_bytes bigint")
+    whole = all_words_here and all_grams_here
+    more = "words array<string>, word_n array<bigint>, grams array<bigint>, gram_n array<bigint>"
+    ddl_of_pass = ddl if whole else f"{ddl}, {more}"
+    arrow = arrow_schema(ddl_of_pass)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, gram_keys, log_p = shared.value
@@ -381,64 +429,60 @@ def score_by_broadcast(docs: DataFrame, words: DataFrame, grams: DataFrame, tota
             texts = [raw(t) for t in part.column(1).to_pylist()]
             all_words, first = words_of(texts)
             n_tokens = np.diff(np.append(first, len(all_words)))
-            h = hashed(all_words.dictionary)
-            at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
-            c = np.where(keys[at] == h, counts[at], 0) if len(keys) else np.zeros(len(h), np.int64)
+            at, here = found_in(keys, hashed(all_words.dictionary))
+            c = np.where(here, counts[at], 0) if len(keys) else np.zeros(len(here), np.int64)
             each = np.asarray(all_words.indices)
-            base = np.add.reduceat(np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))[each], first)
+            of_each = np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
+            if not all_words_here:
+                of_each[~here] = 0
+            base = np.add.reduceat(of_each[each], first)
             known = np.add.reduceat((c > 0).astype(np.int64)[each], first)
             found, start = grams_of(texts, depth)
-            # every gram of the corpus is in the table
-            score = np.add.reduceat(log_p[np.searchsorted(gram_keys, found)], start)
+            size = np.array([len(t) + 1 for t in texts])
+            if all_grams_here:  # every gram of the corpus is in the table
+                p = log_p[np.searchsorted(gram_keys, found)]
+            else:
+                at, seen = found_in(gram_keys, found)
+                p = np.where(seen, log_p[at], 0) if len(log_p) else np.zeros(len(found))
             cols = [part.column(0).to_pylist(), part.column(2).to_pylist(), n_tokens, known,
-                    np.full(len(texts), total), base, score, np.array([len(t) + 1 for t in texts])]
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cols, arrow)], schema=arrow)
-
-    return docs.select("doc_id", "text", "held_out").mapInArrow(run, ddl)
-
-
-def score_by_join(docs: DataFrame, words: DataFrame, grams: DataFrame, total: int, distinct: int,
-                  depth: int) -> DataFrame:
-    """The same scores by shuffles: one row per document and distinct word or
-    gram meets its table. Rows that repeat a document are counted (``copies``)
-    and restored at the end."""
-    ddl = "doc_id bigint, text_hash bigint, held_out boolean, word string, gram bigint, n bigint, bytes bigint"
-    arrow = arrow_schema(ddl)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 64):
-            for doc_id, text, held_out in zip(*(c.to_pylist() for c in part.columns)):
-                data = raw(text)
-                h = xxhash.xxh64_intdigest(text or "", SEED)
-                h -= (h >> 63) << 64
-                count = Counter(data.split())
-                count[b""] += 1
-                found, n = np.unique(grams_of([data], depth)[0], return_counts=True)
-                w, k = len(count), len(found)
-                cols = [[doc_id] * (w + k), [h] * (w + k), [held_out] * (w + k),
-                        [x.decode() for x in count] + [None] * k, [None] * w + found.tolist(),
-                        list(count.values()) + n.tolist(), [0] * w + n.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
-
-    rows = docs.select("doc_id", "text", "held_out").mapInArrow(run, ddl)
-    key = ["doc_id", "text_hash", "held_out"]
-    w = (rows.where("word is not null").join(words.withColumnRenamed("n", "c"), "word", "left")
-         .withColumn("c", F.coalesce("c", F.lit(0)))
-         .groupBy(*key).agg(
-             F.sum(F.when(F.col("word") == "", F.lit(1)).otherwise(0)).alias("copies"),
-             F.sum("n").alias("n_tokens"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("n_known"),
-             F.sum(F.col("n") * F.log10((F.col("c") + 0.5) / (total + 0.5 * (distinct + 1)))).alias("base_score")))
-    g = (rows.where("gram is not null").join(grams, "gram").groupBy(*key)
-         .agg(F.sum(F.col("n") * F.col("log_p")).alias("score"), F.sum("bytes").alias("n_bytes")))
-    g = g.select(*(F.col(c).alias(f"_{c}") for c in key), "score", "n_bytes")
-    both = w.join(g, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))
-                  & (F.col("held_out") == F.col("_held_out")))
-    one = lambda c: F.col(c) / F.col("copies")
-    return (both.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies").cast("bigint"))))
-            .select("doc_id", "held_out", one("n_tokens").cast("bigint").alias("n_tokens"),
-                    one("n_known").cast("bigint").alias("n_known"), F.lit(total).cast("bigint").alias("train_tokens"),
-                    one("base_score").alias("base_score"), one("score").alias("score"),
-                    one("n_bytes").cast("bigint").alias("n_bytes")))
+                    np.full(len(texts), total), base, np.add.reduceat(p, start), size]
+            cols = [pa.array(x, f.type) for x, f in zip(cols, arrow)]
+            if not whole:
+                which = np.arange(len(texts))
+                lost = np.zeros(len(each), bool) if all_words_here else ~here[each]
+                at, code, n = rest_of(np.repeat(which, n_tokens)[lost], each[lost], len(texts))
+                cols += [pa.ListArray.from_arrays(at, all_words.dictionary.take(pa.array(code)).cast(pa.string())),
+                         pa.ListArray.from_arrays(at, pa.array(n, pa.int64()))]
+                lost = np.zeros(len(found), bool) if all_grams_here else ~seen
+                at, code, n = rest_of(np.repeat(which, size)[lost], found[lost].astype(np.int64), len(texts))
+                cols += [pa.ListArray.from_arrays(at, pa.array(code, pa.int64())),
+                         pa.ListArray.from_arrays(at, pa.array(n, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(cols, arrow)], schema=arrow)
+
+    got = docs.select("doc_id", "text", "held_out").mapInArrow(run, ddl_of_pass)
+    if whole:
+        return got
+    got = stored(got.withColumn("_row", F.monotonically_increasing_id()), "lm-scored")
+
+    def rest(values: str, counts: str, name: str) -> DataFrame:
+        return (got.select("_row", F.explode(F.arrays_zip(values, counts)).alias("_z"))
+                .select("_row", F.col(f"_z.{values}").alias(name), F.col(f"_z.{counts}").alias("times")))
+
+    known = F.coalesce("n", F.lit(0))
+    parts = []
+    if not all_words_here:
+        parts.append(rest("words", "word_n", "word").join(words, "word", "left").select(
+            "_row", F.when(known > 0, F.col("times")).otherwise(0).alias("k"),
+            (F.col("times") * F.log10((known + 0.5) / (total + 0.5 * (distinct + 1)))).alias("b"), F.lit(0.0).alias("s")))
+    if not all_grams_here:
+        parts.append(rest("grams", "gram_n", "gram").join(grams, "gram").select(
+            "_row", F.lit(0).cast("bigint").alias("k"), F.lit(0.0).alias("b"), (F.col("times") * F.col("log_p")).alias("s")))
+    added = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    added = added.groupBy("_row").agg(*(F.sum(x).alias(x) for x in "kbs"))
+    plus = {"n_known": "k", "base_score": "b", "score": "s"}
+    kinds = [x.split() for x in ddl.split(", ")]
+    return got.join(added, "_row", "left").select(*(
+        (F.col(c) + F.coalesce(plus[c], F.lit(0)) if c in plus else F.col(c)).cast(kind).alias(c) for c, kind in kinds))
 
 
 def score_texts(docs: DataFrame, depth: int = DEPTH, most_rows: int = MOST_ROWS, id_col: str = "doc_id",
@@ -451,10 +495,5 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, most_rows: int = MOST_ROWS,
     words = stored(word_counts(d), "lm-words")
     grams = stored(gram_scores(stored(gram_counts(d, depth), "lm-grams"), depth), "lm-gram-scores")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    ddl = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
-           "base_score double, score double, n_bytes bigint")
-    if max(distinct, grams.count()) <= most_rows:
-        got = score_by_broadcast(d, words, grams, total, distinct, depth, ddl)
-    else:
-        got = score_by_join(d, words, grams, total, distinct, depth)
+    got = score_by_tables(d, words, grams, total, distinct, depth, most_rows)
     return got.withColumn("bits_per_byte", -F.col("score") / math.log10(2) / F.col("n_bytes"))

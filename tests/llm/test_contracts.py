@@ -181,6 +181,27 @@ def test_lm_counts_and_base(data, most_rows):
     assert np.allclose([r[5] for r in got], [r[5] for r in want], rtol=1e-9)
 
 
+def test_lm_joins_only_what_is_not_broadcast(data, monkeypatch):
+    """Of tables that are too large the commonest rows are broadcast; only other words and grams are shuffled."""
+    df, rows = data
+    want = by_id(lm.score_texts(df, depth=2).collect())
+    scored, keep = [], lm.stored
+
+    def stored(out, name):
+        out = keep(out, name)
+        scored.extend(out.collect() if name == "lm-scored" else [])
+        return out
+
+    monkeypatch.setattr(lm, "stored", stored)
+    monkeypatch.setattr(lm, "COMMON", 40)
+    got = by_id(lm.score_texts(df, depth=2, most_rows=50).collect())
+    assert [r[:5] for r in got] == [r[:5] for r in want] and [r[7] for r in got] == [r[7] for r in want]
+    assert np.allclose([r[5:7] for r in got], [r[5:7] for r in want], rtol=1e-9)
+    rest = {w for r in scored for w in r["words"]}
+    every = {w for _, t in rows for w in lm.raw(t).decode().split()} | {""}
+    assert len(scored) == len(rows) and rest and rest < every and any(r["grams"] for r in scored)
+
+
 def sequential_ctw(texts, depth):
     """Node counts of all contexts, as plain dictionaries."""
     count = {}
