@@ -439,11 +439,10 @@ def score_by_tables(docs: DataFrame, words: DataFrame, grams: DataFrame, total:
             known = np.add.reduceat((c > 0).astype(np.int64)[each], first)
             found, start = grams_of(texts, depth)
             size = np.array([len(t) + 1 for t in texts])
-            if all_grams_here:  # every gram of the corpus is in the table
-                p = log_p[np.searchsorted(gram_keys, found)]
-            else:
-                at, seen = found_in(gram_keys, found)
-                p = np.where(seen, log_p[at], 0) if len(log_p) else np.zeros(len(found))
+            # in order, each gram once: a large table is read from one end to the other
+            found, place = np.unique(found, return_inverse=True)
+            at, seen = found_in(gram_keys, found)
+            p = (np.where(seen, log_p[at], 0) if len(log_p) else np.zeros(len(found)))[place]
             cols = [part.column(0).to_pylist(), part.column(2).to_pylist(), n_tokens, known,
                     np.full(len(texts), total), base, np.add.reduceat(p, start), size]
             cols = [pa.array(x, f.type) for x, f in zip(cols, arrow)]
@@ -453,9 +452,9 @@ def score_by_tables(docs: DataFrame, words: DataFrame, grams: DataFrame, total:
                 at, code, n = rest_of(np.repeat(which, n_tokens)[lost], each[lost], len(texts))
                 cols += [pa.ListArray.from_arrays(at, all_words.dictionary.take(pa.array(code)).cast(pa.string())),
                          pa.ListArray.from_arrays(at, pa.array(n, pa.int64()))]
-                lost = np.zeros(len(found), bool) if all_grams_here else ~seen
-                at, code, n = rest_of(np.repeat(which, size)[lost], found[lost].astype(np.int64), len(texts))
-                cols += [pa.ListArray.from_arrays(at, pa.array(code, pa.int64())),
+                lost = ~seen[place]  # none if the table is whole: it has every gram of the corpus
+                at, code, n = rest_of(np.repeat(which, size)[lost], place[lost], len(texts))
+                cols += [pa.ListArray.from_arrays(at, pa.array(found[code].astype(np.int64))),
                          pa.ListArray.from_arrays(at, pa.array(n, pa.int64()))]
             yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(cols, arrow)], schema=arrow)
 
